@@ -177,7 +177,7 @@ WITH l AS (
 t AS (
   SELECT event_id,
          list_transform(regexp_extract_all(line, '(?:[^,"]|"(?:\\\\.|[^"])*")+'),
-                        x -> trim(replace(x, '"', ''))) AS toks
+                        lambda x: trim(replace(x, '"', ''))) AS toks
   FROM l)
 SELECT event_id, len(toks) AS n_tokens, array_to_string(toks, '|') AS tokens FROM t
 """
