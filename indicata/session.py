@@ -47,11 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a fresh
     folder is made and registered as the checkpoint folder.
     """
-    base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="indicata-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, base)
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        # DataFrame.checkpoint() needs the context's folder; keep it in step
+        # with the session setting (or the local fallback above).
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
