@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions.dates import format_day, format_month, parse_timestamp
-from indicata.functions.numbers import (default_zero, parse_decimal_comma, round_half_up,
-                                        to_number, truncate_to_long)
+from indicata.functions.numbers import parse_decimal_comma, round_half_up, truncate_to_long
 from indicata.functions.tokens import clean_tokens, split_quoted
-from indicata.operators.filters import non_empty_key
+from indicata.operators.aggregates import partial_sums
 from indicata.operators.ordering import top_n
 from indicata.plans import landing
 from indicata.plans.pipelines import (cases_with_counts, country_indicators,
@@ -178,13 +177,22 @@ def year_value_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- E8: grouped average over six keys ---------------------------------------------
 
 def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    """E8's average over six keys, four of which come from part and supplier.
+
+    Line items are first reduced to partial sums and counts per (part,
+    supplier, flag, status) -- the finest keys that determine the six
+    grouping keys -- so the two dimension joins move partials instead of
+    line items, and a hot part or supplier is collapsed map-side.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
+        F.col("l_extendedprice").cast("string").alias("valor"))
+    partial = partial_sums(li, ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"], "valor",
+                           "valor", "n_valor")
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_size")
     supp = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    dump = li.join(part, "l_partkey").join(supp, "l_suppkey").select(
-        F.col("l_orderkey").cast("string").alias("catalogo_id"),
-        F.col("l_linenumber").cast("string").alias("serie_id"),
+    dump = partial.join(part, "l_partkey").join(supp, "l_suppkey").select(
         F.col("l_partkey").cast("string").alias("dataset_id"),
         F.col("l_suppkey").cast("string").alias("distribucion_id"),
         F.col("p_type").alias("serie_titulo"),
@@ -193,9 +201,9 @@ def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_returnflag").alias("distribucion_descripcion"),
         F.col("s_nationkey").cast("string").alias("dataset_responsable"),
         F.col("l_linestatus").alias("dataset_titulo"),
-        F.col("l_extendedprice").cast("string").alias("valor"),
+        "valor", "n_valor",
     )
-    return series_average(dump)
+    return series_average(dump, count="n_valor")
 
 
 # --- E5 / E6 / K4: filter, exclusion, first-n -----------------------------------------

@@ -181,6 +181,9 @@ def deposit_tables(rates: DataFrame, deposits_30_days: DataFrame,
 # E8 ------------------------------------------------------------------------
 
 def series_average(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, value: str = "valor",
-                   ids: Sequence[str] = SERIES_ID_COLUMNS) -> DataFrame:
-    """Average value per series over its descriptive keys."""
-    return group_average(exclude(df, ids), list(keys), value, "promedio_x_serie")
+                   ids: Sequence[str] = SERIES_ID_COLUMNS, count: str | None = None) -> DataFrame:
+    """Average value per series over its descriptive keys.
+
+    ``count`` marks ``value`` as partial sums (see ``partial_sums``).
+    """
+    return group_average(exclude(df, ids), list(keys), value, "promedio_x_serie", count=count)
