@@ -295,7 +295,7 @@ def json_records_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- CSV sources and the CSV hand-off -------------------------------------------------------------
 
 def csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = landing.land_csv(spark, table(spark, sf_dir, "nation"), "nation-csv")
+    path = landing.land_csv(spark, table(spark, sf_dir, "customer"), "customer-csv")
     return read_csv_text(spark, path)
 
 
@@ -309,7 +309,7 @@ def csv_scan_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = landing.land_csv(spark, table(spark, sf_dir, "nation"), "nation-inferred")
+    path = landing.land_csv(spark, table(spark, sf_dir, "customer"), "customer-inferred")
     return read_csv_typed(spark, path)
 
 
@@ -325,13 +325,11 @@ def csv_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- zip archives ---------------------------------------------------------------------------
 
 def zip_member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    nation = nation.withColumn("region", F.col("n_regionkey"))
-    path = landing.land_zip_archives(spark, nation, "region", "nation-zip")
+    customer = table(spark, sf_dir, "customer")
+    path = landing.land_zip_archives(spark, customer, "customer-zip")
     lines = read_zip_members(spark, path, member_prefix="API")
     header = member_headers(lines).select("header").first()["header"]
-    return member_table(lines, header.split(",")).select(
-        F.regexp_extract("member", r"([^/]+)$", 1).alias("member"), "n_nationkey", "n_name", "n_regionkey")
+    return member_table(lines, header.split(",")).drop("archive", "member")
 
 
 QUERIES = {

@@ -72,42 +72,56 @@ def land_preamble_folder(spark: SparkSession, long: DataFrame, key: str, year: s
     return path
 
 
-def _zip_writer(base: str, member_prefix: str, extra_member: str, key: str):
+def _open_output(target: str):
     from pyarrow import fs as pafs
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = str(pdf[key].iloc[0])
+    if target.startswith("file:"):
+        target = target[len("file:"):]
+        while target.startswith("//"):
+            target = target[1:]
+    if "://" in target:
+        filesystem, inner = pafs.FileSystem.from_uri(target)
+    else:
+        filesystem, inner = pafs.LocalFileSystem(), target
+    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return filesystem.open_output_stream(inner)
+
+
+def _zip_partition_writer(base: str, member_prefix: str, extra_member: str):
+    def write(batches):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
         buf = io.BytesIO()
+        rows = 0
         with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
-            zf.writestr(f"{extra_member}_{k}.csv", "note\nmetadata only\n")
-            zf.writestr(f"{member_prefix}_{k}.csv", pdf.drop(columns=[key]).to_csv(index=False))
-        target = f"{base}/archive_{k}.zip"
-        if target.startswith("file:"):
-            target = target[len("file:"):]
-        if "://" in target:
-            filesystem, inner = pafs.FileSystem.from_uri(target)
-        else:
-            filesystem, inner = pafs.LocalFileSystem(), target
-        filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        with filesystem.open_output_stream(inner) as out:
-            out.write(buf.getvalue())
-        return pd.DataFrame({"archive": [target], "rows": [len(pdf)]})
+            zf.writestr(f"{extra_member}_{part:05d}.csv", "note\nmetadata only\n")
+            with zf.open(f"{member_prefix}_{part:05d}.csv", "w") as member:
+                header = True
+                for pdf in batches:
+                    member.write(pdf.to_csv(index=False, header=header).encode("utf-8"))
+                    header = False
+                    rows += len(pdf)
+        if rows:
+            with _open_output(f"{base}/archive_{part:05d}.zip") as out:
+                out.write(buf.getvalue())
+        yield pd.DataFrame({"rows": [rows]})
 
     return write
 
 
-def land_zip_archives(spark: SparkSession, df: DataFrame, key: str, name: str,
+def land_zip_archives(spark: SparkSession, df: DataFrame, name: str,
                       member_prefix: str = "API", extra_member: str = "Metadata") -> str:
-    """One archive per value of ``key`` holding a CSV member of that key's
-    rows (``<member_prefix>_<k>.csv``) and a member to be ignored.
+    """One archive per Spark partition of ``df``, holding a CSV member of the
+    partition's rows (``<member_prefix>_<part>.csv``) and a member to be
+    ignored.
 
-    Written by the executors (``applyInPandas``); each group is one
-    archive's rows, so ``key`` must have a bounded number of rows per value.
+    Written by the executors (``mapInPandas``): each archive is bounded by a
+    partition's size, and a retried task rewrites the same archive.
     """
     path = scratch_path(spark, name)
-    text_cols = [F.col(c).cast("string").alias(c) for c in df.columns if c != key]
-    grouped = df.select(F.col(key).cast("string").alias(key), *text_cols)
-    written = grouped.groupBy(key).applyInPandas(
-        _zip_writer(path, member_prefix, extra_member, key), schema="archive string, rows long")
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    written = text.mapInPandas(_zip_partition_writer(path, member_prefix, extra_member),
+                               schema="rows long")
     written.agg(F.sum("rows")).collect()  # one row: runs the writes
     return path

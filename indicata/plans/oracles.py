@@ -194,8 +194,9 @@ FROM events
 """
 
 CSV_SCAN_STRINGS = """
-SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
-FROM nation
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer
 """
 
 CSV_SCAN_SEMICOLON = """
@@ -205,7 +206,8 @@ FROM orders
 """
 
 CSV_SCAN_INFERRED = """
-SELECT n_nationkey, n_name, n_regionkey FROM nation
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+FROM customer
 """
 
 CSV_ROUNDTRIP_TEXT = """
@@ -219,11 +221,7 @@ FROM orders
 
 FOLDER_SCAN_FILE_KEY = NWAY_KEY_JOIN
 
-ZIP_MEMBER_SCAN = """
-SELECT 'API_' || CAST(n_regionkey AS VARCHAR) || '.csv' AS member,
-       CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey
-FROM nation
-"""
+ZIP_MEMBER_SCAN = CSV_SCAN_STRINGS
 
 ORACLES = {
     "period_over_period": PERIOD_OVER_PERIOD,
