@@ -76,14 +76,18 @@ SELECT fecha_inflacion, valor_mensual, valor_anual, fecha_riesgo, valor_riesgo
 FROM e1 ORDER BY ts_inflacion DESC
 """
 
+def _scaled(region: str, factor: str) -> str:
+    return (f"SELECT '{region}' AS region, fecha_inflacion, "
+            f"CAST(ROUND(CAST(valor_mensual AS DECIMAL(28,10)) * {factor}, 2) AS DOUBLE) AS valor_mensual, "
+            f"CAST(ROUND(CAST(valor_anual AS DECIMAL(28,10)) * {factor}, 2) AS DOUBLE) AS valor_anual FROM pm")
+
+
 REGION_SCALED_SERIES = f"""
 WITH {_E1_CTES},
-pm AS (SELECT DISTINCT fecha_inflacion, valor_mensual, valor_anual FROM e1),
-f AS (SELECT * FROM (VALUES ('parana', 0.1), ('santafe', 0.2), ('cordoba', 0.3)) t(region, factor))
-SELECT f.region, pm.fecha_inflacion,
-       CAST(ROUND(CAST(pm.valor_mensual AS DECIMAL(28,10)) * CAST(f.factor AS DECIMAL(10,6)), 2) AS DOUBLE) AS valor_mensual,
-       CAST(ROUND(CAST(pm.valor_anual AS DECIMAL(28,10)) * CAST(f.factor AS DECIMAL(10,6)), 2) AS DOUBLE) AS valor_anual
-FROM pm, f
+pm AS (SELECT DISTINCT fecha_inflacion, valor_mensual, valor_anual FROM e1)
+{_scaled('parana', '0.1')}
+UNION ALL {_scaled('santafe', '0.2')}
+UNION ALL {_scaled('cordoba', '0.3')}
 """
 
 _NATION_INDICATORS = """

@@ -182,3 +182,20 @@ def test_zip_members_prefix_and_last(spark, workdir):
 def test_rows_to_frame(spark):
     df = rows_to_frame(spark, [("parana", 0.1)], "region string, factor double")
     assert rows(df) == [("parana", 0.1)]
+
+
+def test_indicator_blank_line_and_stray_quote(spark, workdir):
+    from indicata.plans.pipelines import country_indicators_from_folder
+    folder = f"{workdir}/odd"
+    _write(f"{folder}/a.csv", PREAMBLE + HEADER
+           + '"Peru","PER","1","2",\n'
+           + "\n"                                   # blank line: no key, dropped
+           + '"Bad "quote","BQ","3","4",\n'         # stray quote inside a field
+           + '"Uruguay","URY","5","x",\n')          # unreadable value -> 0
+    _write(f"{folder}/b.csv", PREAMBLE + HEADER
+           + '"Peru","PER","1","7",\n'
+           + '"Uruguay","URY","1","8",\n')
+    long = read_indicator_folder(spark, f"{folder}/*.csv", "Country Name", "2023")
+    assert long.filter("stem = 'a'").count() == 4
+    out = country_indicators_from_folder(spark, f"{folder}/*.csv", ["a", "b"])
+    assert rows(out) == [("Peru", 2.0, 7.0), ("Uruguay", 0.0, 8.0)]
