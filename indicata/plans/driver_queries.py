@@ -62,6 +62,24 @@ def period_over_period_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_index_change(src, parse_text=False, partition_by=["c_mktsegment"])
 
 
+def period_over_period_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 end to end: orders landed as the ';' price-index CSV with decimal
+    commas (unreadable '///' for pending orders), parsed to float as text
+    measures are, then aggregated."""
+    o = table(spark, sf_dir, "orders")
+    comma = lambda c: F.translate(c.cast("string"), ".", ",")
+    src = o.select(
+        format_month("o_orderdate").alias("Periodo"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("///"))
+        .otherwise(comma(F.col("o_totalprice"))).alias("Indice_IPC"),
+        comma(F.col("o_totalprice") / 1000).alias("v_m_IPC"),
+        comma((F.col("o_custkey") % 100).cast("double")).alias("v_i_a_IPC"),
+        F.col("o_orderpriority").alias("Region"),
+    )
+    path = landing.land_csv(spark, src, "price-index", sep=";")
+    return price_index_change(read_csv_text(spark, path, sep=";"))
+
+
 # --- E1 / E2: key join, year-month join, per-region scaling ---------------------
 
 def _index_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -335,6 +353,7 @@ def zip_member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "period_over_period": period_over_period,
     "period_over_period_by_key": period_over_period_by_key,
+    "period_over_period_csv": period_over_period_csv,
     "monthly_daily_join": monthly_daily_join,
     "region_scaled_series": region_scaled,
     "nway_key_join": nway_key_join,

@@ -51,6 +51,26 @@ FROM w WHERE prev IS NOT NULL AND prev <> 0
 ORDER BY Periodo DESC, c_mktsegment
 """
 
+PERIOD_OVER_PERIOD_CSV = f"""
+WITH src AS (
+  SELECT strftime(o_orderdate, '%Y-%m') AS Periodo,
+         TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN '///' ELSE CAST(o_totalprice AS VARCHAR) END AS FLOAT) AS idx,
+         TRY_CAST(CAST(o_totalprice / 1000 AS VARCHAR) AS FLOAT) AS vm,
+         CAST(CAST(o_custkey % 100 AS DOUBLE) AS FLOAT) AS via
+  FROM orders),
+agg AS (
+  SELECT Periodo, SUM(CAST(idx AS DOUBLE)) AS indice_ipc,
+         {_r2('AVG(CAST(vm AS DOUBLE))')} AS avg_ipc_mensual,
+         {_r2('AVG(CAST(via AS DOUBLE))')} AS avg_ipc_interanual
+  FROM src GROUP BY Periodo),
+w AS (SELECT *, LAG(indice_ipc) OVER (ORDER BY Periodo) AS prev FROM agg)
+SELECT Periodo, avg_ipc_mensual,
+       {_r2('(indice_ipc - prev) / NULLIF(prev, 0) * 100')} AS variacion_mensual,
+       avg_ipc_interanual
+FROM w WHERE prev IS NOT NULL AND prev <> 0 AND indice_ipc IS NOT NULL
+ORDER BY Periodo DESC
+"""
+
 _E1_CTES = f"""
 m AS (SELECT date_trunc('month', o_orderdate) AS fecha_inflacion,
              {_r2('AVG(CAST(o_totalprice AS DECIMAL(18,2))) / 1000')} AS valor_mensual
@@ -230,6 +250,7 @@ ZIP_MEMBER_SCAN = CSV_SCAN_STRINGS
 ORACLES = {
     "period_over_period": PERIOD_OVER_PERIOD,
     "period_over_period_by_key": PERIOD_OVER_PERIOD_BY_KEY,
+    "period_over_period_csv": PERIOD_OVER_PERIOD_CSV,
     "monthly_daily_join": MONTHLY_DAILY_JOIN,
     "region_scaled_series": REGION_SCALED_SERIES,
     "nway_key_join": NWAY_KEY_JOIN,
