@@ -61,14 +61,13 @@ def land_preamble_folder(spark: SparkSession, long: DataFrame, key: str, year: s
     lines = parts[0]
     for p in parts[1:]:
         lines = lines.unionByName(p)
-    # One ordered file per stem; the number of stems is the number of
-    # indicators (a handful), each file holds one row per country.  The lines
-    # are computed once and checkpointed to the shared folder so the per-stem
-    # writes do not recompute the upstream aggregates.
-    lines = lines.checkpoint(eager=True)
-    for (stem,) in lines.select("stem").distinct().collect():
-        (lines.filter(F.col("stem") == stem).coalesce(1).sortWithinPartitions("ord", "line")
-         .select("line").write.mode("overwrite").text(f"{path}/stem={stem}"))
+    # One job writes every stem: rows are hash-partitioned by stem and sorted
+    # by (stem, order) inside each task; the partitioned writer finds that
+    # ordering already satisfies its own (by stem) and writes each stem's
+    # lines in that order into one file.  Each file holds one row per
+    # country, a size bound set by the key.
+    (lines.repartition("stem").sortWithinPartitions("stem", "ord", "line")
+     .select("stem", "line").write.mode("overwrite").partitionBy("stem").text(path))
     return path
 
 
