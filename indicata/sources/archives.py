@@ -8,6 +8,7 @@ and each task streams its archive's members line by line with
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -96,3 +97,23 @@ def member_table(lines: DataFrame, columns: list[str]) -> DataFrame:
 def member_headers(lines: DataFrame) -> DataFrame:
     """First line of each member (one row per member)."""
     return lines.filter(F.col("line_no") == 0).select("archive", "member", F.col("line").alias("header"))
+
+
+def numbered_member_lines(lines: DataFrame) -> DataFrame:
+    """Member lines as (file, stem, pos, line), the shape the preamble parser
+    takes; the stem is the archive's file name before the first dot."""
+    name = F.regexp_extract("archive", r"([^/]+)$", 1)
+    return lines.select(F.concat_ws("!", "archive", "member").alias("file"),
+                        F.split_part(name, F.lit("."), F.lit(1)).alias("stem"),
+                        F.col("line_no").alias("pos"), "line")
+
+
+def header_columns(header_line: str) -> list[str]:
+    """Column names of one CSV header line (quotes and commas handled)."""
+    return next(csv.reader([header_line]))
+
+
+def archive_stems(spark: SparkSession, path: str, glob: str = "*.zip") -> list[str]:
+    """Sorted stems of the archives under ``path``, from the listing only."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).inputFiles()
+    return sorted({f.rstrip("/").rsplit("/", 1)[-1].split(".")[0] for f in files})

@@ -41,14 +41,8 @@ def _with_line_numbers(lines: DataFrame) -> DataFrame:
             .drop("first_rid", "offset"))
 
 
-def read_preamble_lines(spark: SparkSession, path: str, skip: int = PREAMBLE_LINES) -> DataFrame:
-    """Records of every file in a folder, with the file's header.
-
-    Columns: ``file`` (name), ``stem`` (name before the first dot), ``pos``
-    (line number in the file), ``tokens`` and ``header`` (cleaned token
-    arrays).  Rows equal to the header row (compared before cleaning, as
-    raw tokens) are removed.
-    """
+def numbered_text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of every file under ``path`` with (file, stem, pos, line)."""
     text = spark.read.text(path)
     # A folder written by Spark as ``stem=<name>/part-*`` carries the stem as
     # a partition column; plain files are named by their own stem.
@@ -58,26 +52,50 @@ def read_preamble_lines(spark: SparkSession, path: str, skip: int = PREAMBLE_LIN
                       F.col("_metadata.file_block_start").alias("split"),
                       F.monotonically_increasing_id().alias("rid"),
                       stem.alias("stem"))
-    numbered = _with_line_numbers(raw).withColumn("raw_tokens", split_quoted("line"))
-    headers = (numbered.filter(F.col("pos") == skip)
+    return _with_line_numbers(raw).select("file", "stem", "pos", "line")
+
+
+def preamble_records(numbered: DataFrame, skip: int = PREAMBLE_LINES) -> DataFrame:
+    """Records of numbered lines (file, stem, pos, line), each file's header
+    attached (S4, R5, R6).
+
+    Line ``skip`` of each file is its header; earlier lines are preamble.
+    Rows equal to the header (compared as raw tokens, before cleaning) are
+    removed.  Output: file, stem, pos, tokens, header (cleaned arrays).
+    """
+    tokens = numbered.withColumn("raw_tokens", split_quoted("line"))
+    headers = (tokens.filter(F.col("pos") == skip)
                .select("file", F.col("raw_tokens").alias("header_raw"),
                        clean_tokens("raw_tokens").alias("header")))
-    return (numbered.filter(F.col("pos") > skip)
+    return (tokens.filter(F.col("pos") > skip)
             .join(headers, "file")
             .filter(F.col("raw_tokens") != F.col("header_raw"))
             .select("file", "stem", "pos", clean_tokens("raw_tokens").alias("tokens"), "header"))
 
 
+def read_preamble_lines(spark: SparkSession, path: str, skip: int = PREAMBLE_LINES) -> DataFrame:
+    """Records of every file in a folder, with the file's header.
+
+    Columns: ``file``, ``stem`` (name before the first dot), ``pos`` (line
+    number in the file), ``tokens`` and ``header`` (cleaned token arrays).
+    """
+    return preamble_records(numbered_text_lines(spark, path), skip)
+
+
+def indicator_values(records: DataFrame, key: str, value: str) -> DataFrame:
+    """Long table (stem, key, value text) from preamble records."""
+    return records.select("stem",
+                          field_by_name("tokens", "header", key).alias(key),
+                          field_by_name("tokens", "header", value).alias(value))
+
+
 def read_indicator_folder(spark: SparkSession, path: str, key: str, value: str,
                           skip: int = PREAMBLE_LINES) -> DataFrame:
     """Long table (stem, key, value text) of a folder of indicator files.
 
     One scan of the whole folder; the file stem names the indicator.
     """
-    recs = read_preamble_lines(spark, path, skip)
-    return recs.select("stem",
-                       field_by_name("tokens", "header", key).alias(key),
-                       field_by_name("tokens", "header", value).alias(value))
+    return indicator_values(read_preamble_lines(spark, path, skip), key, value)
 
 
 def folder_stems(spark: SparkSession, path: str) -> list[str]:
