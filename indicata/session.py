@@ -47,11 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a fresh
     folder is made and registered as the checkpoint folder.
     """
-    sc = spark.sparkContext
-    base = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client; the server owns the folder
+        sc = None
+    base = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not base:
         base = tempfile.mkdtemp(prefix="indicata-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         # DataFrame.checkpoint() needs the context's folder; keep it in step
         # with the session setting (or the local fallback above).
         sc.setCheckpointDir(base)
