@@ -49,3 +49,4 @@ def join_all_on_key(frames: Sequence[DataFrame], key: str, how: str = "inner") -
     if not frames:
         raise ValueError("join_all_on_key needs at least one frame")
     return reduce(lambda a, b: a.join(b, on=key, how=how), frames)
+

@@ -13,9 +13,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indicata.plans.pipelines import (cases_with_counts, country_indicators, deposit_tables,
-                                      incidents_without_codes, indicator_frames,
-                                      monthly_index_with_daily_risk, price_index_change,
+from indicata.plans.pipelines import (cases_with_counts, country_indicators_from_long, deposit_tables,
+                                      incidents_without_codes, monthly_index_with_daily_risk, price_index_change,
                                       region_scaled_series, region_table, series_average,
                                       INDICATOR_KEY, INDICATOR_YEAR, REGION_FACTORS)
 from indicata.sinks.files import write_csv
@@ -88,7 +87,7 @@ def country_indicators_job(spark: SparkSession, path: str, from_archives: bool =
     else:
         long = read_indicator_folder(spark, path, key, year)
         stems = folder_stems(spark, path)
-    result = country_indicators(indicator_frames(long, stems, key, year), key)
+    result = country_indicators_from_long(long, stems, key, year)
     return _emit(result, out, jdbc, TABLES["country_indicators"])
 
 

@@ -144,11 +144,22 @@ def country_indicators(frames: Sequence[DataFrame], key: str = INDICATOR_KEY) ->
     return sort_asc(join_all_on_key(frames, key), key)
 
 
+def country_indicators_from_long(long: DataFrame, stems: Sequence[str], key: str = INDICATOR_KEY,
+                                 year: str = INDICATOR_YEAR) -> DataFrame:
+    """E4 from a long (stem, key, value text) table.
+
+    The long table is checkpointed to the shared folder once, so the n
+    per-indicator frames cut from it do not each re-read and re-parse the
+    source files.
+    """
+    shared = long.checkpoint(eager=True)
+    return country_indicators(indicator_frames(shared, stems, key, year), key)
+
+
 def country_indicators_from_folder(spark: SparkSession, path: str, stems: Sequence[str],
                                    key: str = INDICATOR_KEY, year: str = INDICATOR_YEAR) -> DataFrame:
     """E4 end to end from a folder of preamble-headed indicator files."""
-    long = read_indicator_folder(spark, path, key, year)
-    return country_indicators(indicator_frames(long, stems, key, year), key)
+    return country_indicators_from_long(read_indicator_folder(spark, path, key, year), stems, key, year)
 
 
 # E5 ------------------------------------------------------------------------
