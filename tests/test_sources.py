@@ -199,3 +199,29 @@ def test_indicator_blank_line_and_stray_quote(spark, workdir):
     assert long.filter("stem = 'a'").count() == 4
     out = country_indicators_from_folder(spark, f"{folder}/*.csv", ["a", "b"])
     assert rows(out) == [("Peru", 2.0, 7.0), ("Uruguay", 0.0, 8.0)]
+
+
+def test_json_records_non_list_payload_is_empty(spark, workdir):
+    p = _write(f"{workdir}/obj.json", json.dumps({"error": "rate limited", "status": 429}))
+    assert read_json_records(spark, p).count() == 0
+
+
+def test_write_jdbc_options():
+    from indicata.sinks import write_jdbc
+
+    calls = []
+
+    class _Writer:
+        def jdbc(self, url, table, mode=None, properties=None):
+            calls.append((url, table, mode, properties))
+
+    class _Frame:
+        write = _Writer()
+
+    write_jdbc(_Frame(), "jdbc:postgresql://db:5432/x", "covid_indicators", "u", "p",
+               "org.postgresql.Driver", max_connections=8)
+    write_jdbc(_Frame(), "jdbc:postgresql://db:5432/x", "crime_data", truncate=True, mode="append")
+    assert calls[0] == ("jdbc:postgresql://db:5432/x", "covid_indicators", "overwrite",
+                        {"batchsize": "10000", "user": "u", "password": "p",
+                         "driver": "org.postgresql.Driver", "numPartitions": "8"})
+    assert calls[1][2:] == ("append", {"batchsize": "10000", "truncate": "true"})
