@@ -225,3 +225,11 @@ def test_write_jdbc_options():
                         {"batchsize": "10000", "user": "u", "password": "p",
                          "driver": "org.postgresql.Driver", "numPartitions": "8"})
     assert calls[1][2:] == ("append", {"batchsize": "10000", "truncate": "true"})
+
+
+def test_indicator_folder_skips_sub_folders(spark, workdir):
+    folder = _indicator_folder(workdir)
+    _write(f"{folder}/nested/extra.csv", PREAMBLE + HEADER + '"Argentina","ARG","1","2",\n')
+    assert folder_stems(spark, folder) == ["pbi", "poblacion_total"]
+    stems = {r["stem"] for r in read_indicator_folder(spark, folder, "Country Name", "2023").collect()}
+    assert stems == {"pbi", "poblacion_total"}
