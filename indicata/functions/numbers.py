@@ -73,9 +73,15 @@ def truncate_to_long(c: ColumnOrName) -> Column:
 
 def percent_change(current: ColumnOrName, previous: ColumnOrName, scale: int = 2) -> Column:
     """``round((current - previous) / previous * 100, scale)``; null for a
-    missing or zero base (F9, W2)."""
+    missing or zero base (F9, W2).
+
+    The difference is taken in the input type (exact for decimals); the
+    ratio in double.  A decimal quotient of two wide decimals keeps only six
+    places in Spark, which would round values next to a tie twice.
+    """
     cur, prev = _col(current), _col(previous)
-    return round_half_up(F.try_divide(cur - prev, prev) * F.lit(100), scale)
+    ratio = F.try_divide((cur - prev).cast("double"), prev.cast("double"))
+    return round_half_up(ratio * F.lit(100.0), scale)
 
 
 def default_zero(c: ColumnOrName) -> Column:

@@ -16,16 +16,22 @@ from indicata.functions.numbers import round_half_up, to_number
 
 
 def period_totals(df: DataFrame, period: str | Sequence[str], total: tuple[str, str],
-                  averages: Mapping[str, str], scale: int = 2) -> DataFrame:
+                  averages: Mapping[str, str], scale: int = 2,
+                  counts: Mapping[str, str] | None = None) -> DataFrame:
     """Group by period: the sum of one column and rounded averages of others (A1).
 
     ``total`` is (input column, output name); ``averages`` maps output name to
     input column.  Nulls are skipped; a group whose values are all null sums
-    to null.
+    to null.  ``counts`` (output name -> count column) marks an average's
+    input as partial sums over that many values, so rows pre-aggregated on a
+    finer key combine exactly.
     """
     keys = [period] if isinstance(period, str) else list(period)
+    counts = counts or {}
     aggs = [F.sum(total[0]).alias(total[1])]
-    aggs += [round_half_up(F.avg(src), scale).alias(out) for out, src in averages.items()]
+    for out, src in averages.items():
+        avg = F.try_divide(F.sum(src), F.sum(counts[out])) if out in counts else F.avg(src)
+        aggs.append(round_half_up(avg, scale).alias(out))
     return df.groupBy(*keys).agg(*aggs)
 
 

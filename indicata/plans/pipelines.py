@@ -102,20 +102,25 @@ def region_table(scaled: DataFrame, region: str) -> DataFrame:
 def price_index_change(df: DataFrame, period: str = "Periodo", index: str = "Indice_IPC",
                        monthly: str = "v_m_IPC", yearly: str = "v_i_a_IPC",
                        parse_text: bool = True, value_type: str = "float",
-                       partition_by: Sequence[str] | None = None) -> DataFrame:
+                       partition_by: Sequence[str] | None = None,
+                       partial_counts: tuple[str, str] | None = None) -> DataFrame:
     """Per-period index total, average monthly and yearly change, and the
     percent change of the total against the previous period (E3).
 
     Text measures with a decimal comma are parsed (unreadable -> null).  The
     first period (and a zero base) has no change and is removed.  Newest
     period first.  With ``partition_by`` one series per key.
+    ``partial_counts`` = (monthly count, yearly count) columns when the rows
+    are already partial sums on a finer key (see ``period_totals``).
     """
     keys = list(partition_by or [])
-    df = keep(df, *keys, period, index, monthly, yearly)
+    count_cols = list(partial_counts or [])
+    df = keep(df, *keys, period, index, monthly, yearly, *count_cols)
     if parse_text:
         df = df.withColumns({c: parse_decimal_comma(c, value_type) for c in (index, monthly, yearly)})
+    counts = dict(zip(("avg_ipc_mensual", "avg_ipc_interanual"), count_cols))
     totals = period_totals(df, [*keys, period], (index, "indice_ipc"),
-                           {"avg_ipc_mensual": monthly, "avg_ipc_interanual": yearly})
+                           {"avg_ipc_mensual": monthly, "avg_ipc_interanual": yearly}, counts=counts)
     changed = period_change(totals, "indice_ipc", period, "ipc_anterior", "variacion_mensual",
                             partition_by=keys or None)
     out = keep_present(changed, "variacion_mensual").select(
