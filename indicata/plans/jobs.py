@@ -82,8 +82,9 @@ def country_indicators_job(spark: SparkSession, path: str, from_archives: bool =
     member is the indicator file (named after its archive)."""
     if from_archives:
         lines = numbered_member_lines(read_zip_members(spark, path, member_prefix="API"))
-        long = indicator_values(preamble_records(lines), key, year)
         stems = archive_stems(spark, path)
+        # One 'API' member per archive: the file count is the archive count.
+        long = indicator_values(preamble_records(lines, n_files=len(stems)), key, year)
     else:
         long = read_indicator_folder(spark, path, key, year)
         stems = folder_stems(spark, path)

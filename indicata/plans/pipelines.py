@@ -62,7 +62,7 @@ def monthly_index_with_daily_risk(monthly: DataFrame, yearly: DataFrame, daily_r
     months = join_on_key(m, a, "fecha_inflacion")
     joined = join_year_month(months, "fecha_inflacion", r, "fecha_riesgo",
                              broadcast_monthly=broadcast_monthly)
-    return (sort_desc(joined, "fecha_inflacion")
+    return (sort_desc(joined, "fecha_inflacion", "fecha_riesgo")
             .select(format_day("fecha_inflacion").alias("fecha_inflacion"),
                     "valor_mensual", "valor_anual",
                     format_day("fecha_riesgo").alias("fecha_riesgo"), "valor_riesgo"))
@@ -172,8 +172,14 @@ def country_indicators_from_folder(spark: SparkSession, path: str, stems: Sequen
 def cases_with_counts(df: DataFrame, columns: Sequence[str] = CASE_COLUMNS,
                       measures: Sequence[str] = CASE_MEASURES, date: str = "date") -> DataFrame:
     """Case counts by place and date, rows with no count removed, newest
-    first (E5)."""
-    return sort_desc(drop_all_null(keep(df, *columns), measures), date)
+    first (E5).
+
+    Rows of one date follow in the order of the other columns: the order is
+    repeatable, and the range-partitioned sort can split a date that holds
+    a large share of the rows over several tasks.
+    """
+    kept = drop_all_null(keep(df, *columns), measures)
+    return sort_desc(kept, date, *[c for c in columns if c != date])
 
 
 # E6 ------------------------------------------------------------------------

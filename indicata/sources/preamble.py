@@ -55,18 +55,29 @@ def numbered_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return _with_line_numbers(raw).select("file", "stem", "pos", "line")
 
 
-def preamble_records(numbered: DataFrame, skip: int = PREAMBLE_LINES) -> DataFrame:
+# Header rows (one per file) are broadcast up to this many files.
+MAX_BROADCAST_FILES = 100_000
+
+
+def preamble_records(numbered: DataFrame, skip: int = PREAMBLE_LINES,
+                     n_files: int | None = None) -> DataFrame:
     """Records of numbered lines (file, stem, pos, line), each file's header
     attached (S4, R5, R6).
 
     Line ``skip`` of each file is its header; earlier lines are preamble.
     Rows equal to the header (compared as raw tokens, before cleaning) are
     removed.  Output: file, stem, pos, tokens, header (cleaned arrays).
+
+    The header table has one row per file.  When the number of files is
+    known and at most ``MAX_BROADCAST_FILES`` it is broadcast, so the lines
+    of a large file are never shuffled together on their file name.
     """
     tokens = numbered.withColumn("raw_tokens", split_quoted("line"))
     headers = (tokens.filter(F.col("pos") == skip)
                .select("file", F.col("raw_tokens").alias("header_raw"),
                        clean_tokens("raw_tokens").alias("header")))
+    if n_files is not None and n_files <= MAX_BROADCAST_FILES:
+        headers = F.broadcast(headers)
     return (tokens.filter(F.col("pos") > skip)
             .join(headers, "file")
             .filter(F.col("raw_tokens") != F.col("header_raw"))
@@ -79,7 +90,8 @@ def read_preamble_lines(spark: SparkSession, path: str, skip: int = PREAMBLE_LIN
     Columns: ``file``, ``stem`` (name before the first dot), ``pos`` (line
     number in the file), ``tokens`` and ``header`` (cleaned token arrays).
     """
-    return preamble_records(numbered_text_lines(spark, path), skip)
+    n_files = len(spark.read.text(path).inputFiles())
+    return preamble_records(numbered_text_lines(spark, path), skip, n_files)
 
 
 def indicator_values(records: DataFrame, key: str, value: str) -> DataFrame:
