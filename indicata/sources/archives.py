@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,10 @@ MEMBER_LINES_SCHEMA = StructType([
     StructField("line", StringType(), True),
 ])
 
-_BATCH_LINES = 50_000
+# Characters of member text decoded per batch (about 8 MB).
+_CHUNK_CHARS = 8 * 1024 * 1024
+# Line ends as Spark's text reader splits them.
+_NEWLINE = re.compile(r"\r\n|\r|\n")
 
 
 def _open_archive(path: str):
@@ -41,6 +46,25 @@ def _open_archive(path: str):
     return filesystem.open_input_file(inner)
 
 
+def _line_batches(text: io.TextIOBase) -> Iterator[list[str]]:
+    """Lines of a text stream, a chunk at a time (one regex split per chunk)."""
+    carry = ""
+    while True:
+        chunk = text.read(_CHUNK_CHARS)
+        if not chunk:
+            break
+        data = carry + chunk
+        hold = ""
+        if data.endswith("\r"):  # may be the first half of '\r\n'
+            data, hold = data[:-1], "\r"
+        lines = _NEWLINE.split(data)
+        carry = lines.pop() + hold
+        if lines:
+            yield lines
+    if carry:
+        yield [carry[:-1] if carry.endswith("\r") else carry]
+
+
 def _member_lines(paths: Iterator[pd.DataFrame], prefix: str | None, last_only: bool,
                   encoding: str) -> Iterator[pd.DataFrame]:
     for batch in paths:
@@ -52,16 +76,16 @@ def _member_lines(paths: Iterator[pd.DataFrame], prefix: str | None, last_only:
                 if last_only:
                     names = names[-1:]
                 for name in names:
-                    rows: list[tuple] = []
                     with zf.open(name) as member:
                         text = io.TextIOWrapper(member, encoding=encoding, newline="")
-                        for i, line in enumerate(text):
-                            rows.append((path, name, i, line.rstrip("\r\n")))
-                            if len(rows) >= _BATCH_LINES:
-                                yield pd.DataFrame(rows, columns=MEMBER_LINES_SCHEMA.names)
-                                rows = []
-                    if rows:
-                        yield pd.DataFrame(rows, columns=MEMBER_LINES_SCHEMA.names)
+                        start = 0
+                        for lines in _line_batches(text):
+                            yield pd.DataFrame({
+                                "archive": path, "member": name,
+                                "line_no": np.arange(start, start + len(lines), dtype=np.int64),
+                                "line": lines,
+                            })
+                            start += len(lines)
 
 
 def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None = None,
@@ -72,14 +96,21 @@ def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None =
     ``member_prefix`` keeps members whose file name starts with it (e.g.
     'API'); ``last_member`` keeps only the last member of each archive.
     Result columns: archive, member, line_no (0-based), line.
+
+    Decompression is one task per archive (a deflate stream cannot be
+    split); when there are fewer archives than shuffle partitions the lines
+    are spread over the shuffle partitions, so parsing and aggregating them
+    does not stay in those few tasks.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
     n_archives = max(1, len(listing.inputFiles()))
     spread = listing.repartitionByRange(n_archives, "path")
-    return spread.mapInPandas(
+    lines = spread.mapInPandas(
         lambda it: _member_lines(it, member_prefix, last_member, encoding),
         schema=MEMBER_LINES_SCHEMA,
     )
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return lines.repartition(width) if n_archives < width else lines
 
 
 def member_table(lines: DataFrame, columns: list[str]) -> DataFrame:

@@ -233,3 +233,17 @@ def test_indicator_folder_skips_sub_folders(spark, workdir):
     assert folder_stems(spark, folder) == ["pbi", "poblacion_total"]
     stems = {r["stem"] for r in read_indicator_folder(spark, folder, "Country Name", "2023").collect()}
     assert stems == {"pbi", "poblacion_total"}
+
+
+def test_zip_line_splitting_matches_line_iteration(monkeypatch):
+    import random
+
+    from indicata.sources import archives
+
+    monkeypatch.setattr(archives, "_CHUNK_CHARS", 7)
+    rnd = random.Random(3)
+    for _ in range(200):
+        text = "".join(rnd.choice(["a", "b", ",", "\n", "\r", "\r\n", '"']) for _ in range(rnd.randint(0, 60)))
+        want = [ln.rstrip("\r\n") for ln in io.StringIO(text, newline="")]
+        got = [ln for batch in archives._line_batches(io.StringIO(text, newline="")) for ln in batch]
+        assert got == want, repr(text)
