@@ -2,8 +2,8 @@
 
 Each job reads its landed inputs, builds the pipeline's plan, and writes
 the result once per requested output: a CSV directory (``out``) and/or a
-JDBC table (``jdbc`` = dict of url, user, password, driver), replaced on
-every run.  The result DataFrame is returned as well.  Downloading the
+JDBC table (``jdbc`` = dict of url, user, password, driver and optionally
+``as_text``), replaced on every run.  The result DataFrame is returned as well.  Downloading the
 inputs and scheduling the jobs are left to the caller.
 """
 
@@ -17,7 +17,7 @@ from indicata.plans.pipelines import (cases_with_counts, country_indicators_from
                                       incidents_without_codes, monthly_index_with_daily_risk, price_index_change,
                                       region_scaled_series, region_table, series_average,
                                       INDICATOR_KEY, INDICATOR_YEAR, REGION_FACTORS)
-from indicata.sinks.files import write_csv
+from indicata.sinks.files import as_text_table, write_csv
 from indicata.sinks.jdbc import write_jdbc
 from indicata.sources.archives import (archive_stems, header_columns, member_headers,
                                        member_table, numbered_member_lines, read_zip_members)
@@ -46,7 +46,10 @@ def _emit(df: DataFrame, out: str | None, jdbc: Mapping[str, str] | None, table:
     if out is not None:
         write_csv(df, out)
     if jdbc is not None:
-        write_jdbc(df, jdbc["url"], table, jdbc.get("user"), jdbc.get("password"), jdbc.get("driver"))
+        # ``as_text`` stores every column as text, as tables loaded from the
+        # CSV hand-off are; by default the typed result is written.
+        data = as_text_table(df) if str(jdbc.get("as_text", "")).lower() in ("1", "true") else df
+        write_jdbc(data, jdbc["url"], table, jdbc.get("user"), jdbc.get("password"), jdbc.get("driver"))
     return df
 
 

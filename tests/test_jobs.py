@@ -33,7 +33,8 @@ def _zip(path, members):
 @pytest.fixture()
 def jdbc_calls(monkeypatch):
     calls = []
-    monkeypatch.setattr(jobs, "write_jdbc", lambda df, url, table, *a, **k: calls.append((url, table, df.count())))
+    monkeypatch.setattr(jobs, "write_jdbc",
+                        lambda df, url, table, *a, **k: calls.append((url, table, df.count(), df.dtypes)))
     return calls
 
 
@@ -55,7 +56,10 @@ def test_indices_and_region_jobs(spark, workdir, jdbc_calls):
     regions = jobs.region_jobs(spark, out, out_dir=f"{workdir}/regions", jdbc=conn)
     assert sorted(regions) == ["cordoba", "parana", "santafe"]
     assert sorted(rows(regions["cordoba"])) == [("2024-01-31", 6.18, 76.26), ("2024-02-29", 3.96, 82.86)]
-    assert [t for _, t, _ in jdbc_calls] == ["indices", "indices_parana", "indices_santafe", "indices_cordoba"]
+    assert [c[1] for c in jdbc_calls] == ["indices", "indices_parana", "indices_santafe", "indices_cordoba"]
+    assert dict(jdbc_calls[0][3])["valor_riesgo"] == "bigint"
+    jobs.indices_job(spark, m, a, r, jdbc={**conn, "as_text": "true"})
+    assert {t for _, t in jdbc_calls[-1][3]} == {"string"}
 
 
 def test_ipc_job(spark, workdir):
