@@ -110,7 +110,11 @@ def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None =
         schema=MEMBER_LINES_SCHEMA,
     )
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return lines.repartition(width) if n_archives < width else lines
+    if n_archives >= width:
+        return lines
+    # Hash on the line's position: deterministic on retry without the local
+    # sort a round-robin repartition adds, and even across partitions.
+    return lines.repartition(width, "archive", "member", "line_no")
 
 
 def member_table(lines: DataFrame, columns: list[str]) -> DataFrame:
