@@ -247,3 +247,18 @@ def test_zip_line_splitting_matches_line_iteration(monkeypatch):
         want = [ln.rstrip("\r\n") for ln in io.StringIO(text, newline="")]
         got = [ln for batch in archives._line_batches(io.StringIO(text, newline="")) for ln in batch]
         assert got == want, repr(text)
+
+
+def test_json_lines_records_header_from_first_record(spark, workdir):
+    p = _write(f"{workdir}/recs.jsonl",
+               '{"entidad": "A", "tna": 0.3}\n\n{"entidad": "B"}\n{"tna": 1, "entidad": "C"}\n')
+    df = read_json_records(spark, p, multi_line=False)
+    assert df.columns == ["entidad", "tna"]
+    assert sorted(rows(df), key=str) == [("A", "0.3"), ("B", None), ("C", "1")]
+
+
+def test_as_text_table_dates(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2024, 1, 31), dt.datetime(2024, 1, 31, 10, 5, 0), 7)],
+                               "d date, t timestamp, n int")
+    assert rows(as_text_table(df)) == [("2024-01-31", "2024-01-31 10:05:00", "7")]
