@@ -11,9 +11,9 @@ from indicata.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="indicata-test-ckpt-")
-    s = local_session("*", shuffle_partitions=8, app="indicata-tests",
-                      extra={"spark.checkpoint.dir": ckpt})
+    # spark.checkpoint.dir is taken from the session's configuration;
+    # local_session sets a fresh local folder only when it is unset.
+    s = local_session("*", shuffle_partitions=8, app="indicata-tests")
     yield s
     s.stop()
 
