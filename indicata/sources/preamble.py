@@ -24,9 +24,19 @@ from indicata.functions.tokens import clean_tokens, field_by_name, split_quoted
 PREAMBLE_LINES = 4
 
 
-def _with_line_numbers(lines: DataFrame) -> DataFrame:
+# The per-split offset table (one short row per input split) is broadcast
+# up to this many splits (about 60 MB); beyond, the planner decides.
+MAX_BROADCAST_SPLITS = 500_000
+
+
+def _with_line_numbers(lines: DataFrame, max_splits: int | None = None) -> DataFrame:
     """Add ``pos`` (0-based line number within its file) to a text scan that
-    carries ``file``, ``split`` and a per-task increasing ``rid``."""
+    carries ``file``, ``split`` and a per-task increasing ``rid``.
+
+    ``max_splits`` bounds the number of (file, split) pairs; within
+    ``MAX_BROADCAST_SPLITS`` the offsets are broadcast, so the lines are
+    never shuffled to meet them.
+    """
     splits = (lines.groupBy("file", "split")
               .agg(F.min("rid").alias("first_rid"), F.count(F.lit(1)).alias("n_lines")))
     # One row per split: small, and its window partitions by file only.
@@ -36,6 +46,8 @@ def _with_line_numbers(lines: DataFrame) -> DataFrame:
             Window.partitionBy("file").orderBy("split")
             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select("file", "split", "first_rid", "offset")
+    if max_splits is not None and max_splits <= MAX_BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     return (lines.join(offsets, ["file", "split"])
             .withColumn("pos", F.col("offset") + F.col("rid") - F.col("first_rid"))
             .drop("first_rid", "offset"))
@@ -52,7 +64,11 @@ def numbered_text_lines(spark: SparkSession, path: str) -> DataFrame:
                       F.col("_metadata.file_block_start").alias("split"),
                       F.monotonically_increasing_id().alias("rid"),
                       stem.alias("stem"))
-    return _with_line_numbers(raw).select("file", "stem", "pos", "line")
+    # Splits per scan: each file is cut into splits that are packed into scan
+    # partitions, so there are at most (files + partitions) of them; both are
+    # known from planning, without running a job.
+    bound = len(text.inputFiles()) + text.rdd.getNumPartitions()
+    return _with_line_numbers(raw, bound).select("file", "stem", "pos", "line")
 
 
 # Header rows (one per file) are broadcast up to this many files.
