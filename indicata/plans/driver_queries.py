@@ -19,6 +19,7 @@ from indicata.functions.tokens import clean_tokens, split_quoted
 from indicata.operators.aggregates import partial_sums
 from indicata.operators.ordering import top_n
 from indicata.plans import landing
+from indicata.plans.jobs import indices_job
 from indicata.plans.pipelines import (cases_with_counts, country_indicators,
                                       country_indicators_from_folder, deposit_tables,
                                       incidents_without_codes, indicator_frames,
@@ -119,6 +120,16 @@ def monthly_daily_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_index_with_daily_risk(*_index_series(spark, sf_dir))
 
 
+def indices_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 end to end through files: the three series landed as JSON
+    (fecha text, valor number) and run by the E1 job."""
+    paths = []
+    for name, series in zip(("monthly", "yearly", "risk"), _index_series(spark, sf_dir)):
+        line = F.to_json(F.struct(format_day("fecha").alias("fecha"), F.col("valor")))
+        paths.append(landing.land_lines(spark, series.select(line.alias("line")), f"series-{name}"))
+    return indices_job(spark, *paths, multi_line=False)
+
+
 def region_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region_scaled_series(monthly_daily_join(spark, sf_dir))
 
@@ -368,6 +379,7 @@ QUERIES = {
     "period_over_period_by_key": period_over_period_by_key,
     "period_over_period_csv": period_over_period_csv,
     "monthly_daily_join": monthly_daily_join,
+    "indices_from_json": indices_from_json,
     "region_scaled_series": region_scaled,
     "nway_key_join": nway_key_join,
     "series_average": series_average_q,

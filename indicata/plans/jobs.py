@@ -54,11 +54,13 @@ def _emit(df: DataFrame, out: str | None, jdbc: Mapping[str, str] | None, table:
 
 
 def indices_job(spark: SparkSession, monthly_json: str, yearly_json: str, risk_json: str,
-                out: str | None = None, jdbc: Mapping[str, str] | None = None) -> DataFrame:
-    """E1 from the three landed JSON series."""
-    monthly = read_json_series(spark, monthly_json)
-    yearly = read_json_series(spark, yearly_json)
-    risk = read_json_series(spark, risk_json, value_type="long")
+                out: str | None = None, jdbc: Mapping[str, str] | None = None,
+                multi_line: bool = True) -> DataFrame:
+    """E1 from the three landed JSON series (arrays, or JSON Lines with
+    ``multi_line=False``)."""
+    monthly = read_json_series(spark, monthly_json, multi_line=multi_line)
+    yearly = read_json_series(spark, yearly_json, multi_line=multi_line)
+    risk = read_json_series(spark, risk_json, value_type="long", multi_line=multi_line)
     return _emit(monthly_index_with_daily_risk(monthly, yearly, risk), out, jdbc, TABLES["indices"])
 
 
@@ -108,10 +110,11 @@ def crime_job(spark: SparkSession, csv_path: str, out: str | None = None,
 
 
 def deposit_jobs(spark: SparkSession, rates_json: str, deposits_json: str, out_dir: str | None = None,
-                 jdbc: Mapping[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """E7 from the two landed JSON record arrays."""
-    rates, deposits = deposit_tables(read_json_records(spark, rates_json),
-                                     read_json_records(spark, deposits_json))
+                 jdbc: Mapping[str, str] | None = None,
+                 multi_line: bool = True) -> tuple[DataFrame, DataFrame]:
+    """E7 from the two landed JSON record arrays (or JSON Lines)."""
+    rates, deposits = deposit_tables(read_json_records(spark, rates_json, multi_line=multi_line),
+                                     read_json_records(spark, deposits_json, multi_line=multi_line))
     return (_emit(rates, f"{out_dir}/rates" if out_dir else None, jdbc, TABLES["rates"]),
             _emit(deposits, f"{out_dir}/deposits" if out_dir else None, jdbc, TABLES["deposits"]))
 

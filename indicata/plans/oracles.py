@@ -252,6 +252,7 @@ ORACLES = {
     "period_over_period_by_key": PERIOD_OVER_PERIOD_BY_KEY,
     "period_over_period_csv": PERIOD_OVER_PERIOD_CSV,
     "monthly_daily_join": MONTHLY_DAILY_JOIN,
+    "indices_from_json": MONTHLY_DAILY_JOIN,
     "region_scaled_series": REGION_SCALED_SERIES,
     "nway_key_join": NWAY_KEY_JOIN,
     "series_average": SERIES_AVERAGE,
