@@ -19,7 +19,7 @@ from indicata.functions.tokens import clean_tokens, split_quoted
 from indicata.operators.aggregates import partial_sums
 from indicata.operators.ordering import top_n
 from indicata.plans import landing
-from indicata.plans.jobs import indices_job
+from indicata.plans.jobs import indices_job, series_job
 from indicata.plans.pipelines import (cases_with_counts, country_indicators,
                                       country_indicators_from_folder, deposit_tables,
                                       incidents_without_codes, indicator_frames,
@@ -248,6 +248,26 @@ def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series_average(dump, count="n_valor")
 
 
+def series_from_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8 end to end through files: the series dump (line items with their
+    part and supplier attributes, value as text) landed as CSV inside zip
+    archives, read back from each archive's last member by the E8 job."""
+    li = table(spark, sf_dir, "lineitem")
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_size")
+    supp = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    dump = li.join(part, "l_partkey").join(supp, "l_suppkey").select(
+        F.col("l_orderkey").alias("catalogo_id"), F.col("l_linenumber").alias("serie_id"),
+        F.col("l_partkey").alias("dataset_id"), F.col("l_suppkey").alias("distribucion_id"),
+        F.col("p_type").alias("serie_titulo"), F.col("p_brand").alias("serie_unidades"),
+        F.col("p_size").alias("serie_descripcion"), F.col("l_returnflag").alias("distribucion_descripcion"),
+        F.col("s_nationkey").alias("dataset_responsable"), F.col("l_linestatus").alias("dataset_titulo"),
+        F.col("l_extendedprice").alias("valor"))
+    path = landing.land_zip_archives(spark, dump, "series-zip", member_prefix="series_tiempo",
+                                     extra_member="Leeme")
+    return series_job(spark, path, from_archive=True)
+
+
 # --- E5 / E6 / K4: filter, exclusion, first-n -----------------------------------------
 
 def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,6 +403,7 @@ QUERIES = {
     "region_scaled_series": region_scaled,
     "nway_key_join": nway_key_join,
     "series_average": series_average_q,
+    "series_from_archive": series_from_archive,
     "filter_any_measure": filter_any_measure,
     "project_excluding": project_excluding,
     "latest_n_rows": latest_n_rows,

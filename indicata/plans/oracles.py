@@ -256,6 +256,7 @@ ORACLES = {
     "region_scaled_series": REGION_SCALED_SERIES,
     "nway_key_join": NWAY_KEY_JOIN,
     "series_average": SERIES_AVERAGE,
+    "series_from_archive": SERIES_AVERAGE,
     "filter_any_measure": FILTER_ANY_MEASURE,
     "project_excluding": PROJECT_EXCLUDING,
     "latest_n_rows": LATEST_N_ROWS,
