@@ -19,7 +19,8 @@ from indicata.functions.tokens import clean_tokens, split_quoted
 from indicata.operators.aggregates import partial_sums
 from indicata.operators.ordering import top_n
 from indicata.plans import landing
-from indicata.plans.jobs import indices_job, series_job
+from indicata.plans.jobs import (country_indicators_job, covid_job, crime_job, indices_job,
+                                 series_job)
 from indicata.plans.pipelines import (cases_with_counts, country_indicators,
                                       country_indicators_from_folder, deposit_tables,
                                       incidents_without_codes, indicator_frames,
@@ -204,6 +205,14 @@ def folder_scan_file_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return country_indicators_from_folder(spark, path, folder_stems(spark, path))
 
 
+def indicators_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 end to end from zip archives, one per indicator, via the E4 job."""
+    path = landing.land_indicator_archives(
+        spark, _nation_indicators(spark, sf_dir), "Country Name", "2023", "indicator-zips",
+        INDICATOR_PREAMBLE, code="Country Code", repeat_header_for="customer")
+    return country_indicators_job(spark, path, from_archives=True)
+
+
 def year_value_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     long = ev.select(
@@ -285,6 +294,25 @@ def filter_any_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases_with_counts(_cases(spark, sf_dir))
 
 
+def cases_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 end to end: the cases table landed as header CSV, run by the E5 job
+    (columns stay text, as the CSV is read)."""
+    path = landing.land_csv(spark, _cases(spark, sf_dir), "cases-csv")
+    return covid_job(spark, path)
+
+
+def incidents_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 end to end: line items landed as an incident CSV whose columns
+    include six of the nine code columns, run by the E6 job."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("DR_NO"), F.col("l_shipdate").alias("Date Rptd"),
+        F.col("l_suppkey").alias("Rpt Dist No"), F.col("l_returnflag").alias("Mocodes"),
+        F.col("l_partkey").alias("Crm Cd 1"), F.col("l_linenumber").alias("Premis Cd"),
+        "l_quantity", "l_extendedprice", "l_discount", "l_linestatus")
+    path = landing.land_csv(spark, li, "incidents-csv")
+    return crime_job(spark, path)
+
+
 # Columns dropped from lineitem; the last name is absent and ignored.
 LINEITEM_EXCLUDED = ("l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "l_comment")
 
@@ -405,7 +433,9 @@ QUERIES = {
     "series_average": series_average_q,
     "series_from_archive": series_from_archive,
     "filter_any_measure": filter_any_measure,
+    "cases_from_csv": cases_from_csv,
     "project_excluding": project_excluding,
+    "incidents_from_csv": incidents_from_csv,
     "latest_n_rows": latest_n_rows,
     "year_value_default": year_value_default,
     "decimal_comma_parse": decimal_comma_parse,
@@ -419,5 +449,6 @@ QUERIES = {
     "csv_roundtrip_text": csv_roundtrip_text,
     "preamble_csv_scan": preamble_csv_scan,
     "folder_scan_file_key": folder_scan_file_key,
+    "indicators_from_archives": indicators_from_archives,
     "zip_member_scan": zip_member_scan,
 }

@@ -33,34 +33,39 @@ def land_lines(spark: SparkSession, lines: DataFrame, name: str, column: str = "
     return path
 
 
-def land_preamble_folder(spark: SparkSession, long: DataFrame, key: str, year: str,
-                         name: str, preamble: list[str], code: str | None = None,
-                         repeat_header_for: str | None = None) -> str:
-    """Write a (stem, key, code, value) table as one preamble-headed CSV per
-    stem, laid out as ``<folder>/stem=<stem>/part-*.txt``.
+def _indicator_lines(spark: SparkSession, long: DataFrame, key: str, year: str,
+                     preamble: list[str], code: str | None,
+                     repeat_header_for: str | None) -> DataFrame:
+    """(stem, ord, line): the lines of one preamble-headed CSV per stem.
 
     Every field is quoted and each line ends with a comma, like the source
     format.  ``repeat_header_for`` appends a copy of the header line at the
     end of that stem's file.
     """
-    path = scratch_path(spark, name)
     header = ",".join(f'"{h}"' for h in [key, "Country Code", year]) + ","
     head = [(i, line) for i, line in enumerate(preamble)] + [(len(preamble), header)]
     fixed = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(line).alias("line")) for i, line in head])
     top = long.select("stem").distinct().select("stem", F.inline(fixed))
-    q = lambda c: F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'))
+    q = lambda c: F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'))
     body = long.select(
         "stem",
         F.lit(len(preamble) + 1).alias("ord"),
         F.concat_ws(",", q(key), q(code) if code else F.lit('""'), q(year), F.lit("")).alias("line"),
     )
-    parts = [top.select("stem", "ord", "line"), body]
+    lines = top.select("stem", "ord", "line").unionByName(body)
     if repeat_header_for is not None:
-        parts.append(spark.createDataFrame([(repeat_header_for, 1_000_000, header)],
-                                           "stem string, ord int, line string"))
-    lines = parts[0]
-    for p in parts[1:]:
-        lines = lines.unionByName(p)
+        lines = lines.unionByName(spark.createDataFrame([(repeat_header_for, 1_000_000, header)],
+                                                        "stem string, ord int, line string"))
+    return lines
+
+
+def land_preamble_folder(spark: SparkSession, long: DataFrame, key: str, year: str,
+                         name: str, preamble: list[str], code: str | None = None,
+                         repeat_header_for: str | None = None) -> str:
+    """Write a (stem, key, code, value) table as one preamble-headed CSV per
+    stem, laid out as ``<folder>/stem=<stem>/part-*.txt``."""
+    path = scratch_path(spark, name)
+    lines = _indicator_lines(spark, long, key, year, preamble, code, repeat_header_for)
     # One job writes every stem: rows are hash-partitioned by stem and sorted
     # by (stem, order) inside each task; the partitioned writer finds that
     # ordering already satisfies its own (by stem) and writes each stem's
@@ -71,6 +76,37 @@ def land_preamble_folder(spark: SparkSession, long: DataFrame, key: str, year: s
     return path
 
 
+def _indicator_archive_writer(base: str):
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        stem = str(pdf["stem"].iloc[0])
+        body = "\n".join(pdf.sort_values(["ord", "line"])["line"]) + "\n"
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr(f"Metadata_{stem}.csv", "note\nmetadata only\n")
+            zf.writestr(f"API_{stem}_DS2.csv", body)
+        with _open_output(f"{base}/{stem}.zip") as out:
+            out.write(buf.getvalue())
+        return pd.DataFrame({"rows": [len(pdf)]})
+
+    return write
+
+
+def land_indicator_archives(spark: SparkSession, long: DataFrame, key: str, year: str,
+                            name: str, preamble: list[str], code: str | None = None,
+                            repeat_header_for: str | None = None) -> str:
+    """One zip archive per stem, holding the stem's preamble-headed CSV as
+    its 'API' member next to a metadata member, as the source ships them.
+
+    Each archive is written by one task from one group (``applyInPandas``):
+    a group is one indicator's lines, one per country.
+    """
+    path = scratch_path(spark, name)
+    lines = _indicator_lines(spark, long, key, year, preamble, code, repeat_header_for)
+    written = lines.groupBy("stem").applyInPandas(_indicator_archive_writer(path), schema="rows long")
+    written.agg(F.sum("rows")).collect()  # one row: runs the writes
+    return path
+
+
 def _open_output(target: str):
     from pyarrow import fs as pafs
 

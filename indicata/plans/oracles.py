@@ -172,6 +172,20 @@ WHERE event_type NOT IN ('error', 'view') OR event_type NOT IN ('error', 'signup
 ORDER BY date DESC
 """
 
+CASES_FROM_CSV = """
+SELECT event_type AS location, strftime(ts, '%Y-%m-%d') AS date,
+       CASE WHEN event_type NOT IN ('error', 'view') THEN CAST(value AS VARCHAR) END AS total_cases,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(value AS VARCHAR) END AS new_cases
+FROM events
+WHERE event_type NOT IN ('error', 'view') OR event_type NOT IN ('error', 'signup')
+"""
+
+INCIDENTS_FROM_CSV = """
+SELECT CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
+       CAST(l_discount AS VARCHAR) AS l_discount, l_linestatus
+FROM lineitem
+"""
+
 PROJECT_EXCLUDING = """
 SELECT * EXCLUDE (l_tax, l_returnflag, l_linestatus, l_shipdate) FROM lineitem
 """
@@ -258,7 +272,9 @@ ORACLES = {
     "series_average": SERIES_AVERAGE,
     "series_from_archive": SERIES_AVERAGE,
     "filter_any_measure": FILTER_ANY_MEASURE,
+    "cases_from_csv": CASES_FROM_CSV,
     "project_excluding": PROJECT_EXCLUDING,
+    "incidents_from_csv": INCIDENTS_FROM_CSV,
     "latest_n_rows": LATEST_N_ROWS,
     "year_value_default": YEAR_VALUE_DEFAULT,
     "decimal_comma_parse": DECIMAL_COMMA_PARSE,
@@ -272,5 +288,6 @@ ORACLES = {
     "csv_roundtrip_text": CSV_ROUNDTRIP_TEXT,
     "preamble_csv_scan": PREAMBLE_CSV_SCAN,
     "folder_scan_file_key": FOLDER_SCAN_FILE_KEY,
+    "indicators_from_archives": NWAY_KEY_JOIN,
     "zip_member_scan": ZIP_MEMBER_SCAN,
 }
