@@ -124,6 +124,8 @@ def _open_output(target: str):
 
 def _zip_partition_writer(base: str, member_prefix: str, extra_member: str):
     def write(batches):
+        import pyarrow as pa
+        import pyarrow.csv as pcsv
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
@@ -132,15 +134,18 @@ def _zip_partition_writer(base: str, member_prefix: str, extra_member: str):
         with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
             zf.writestr(f"{extra_member}_{part:05d}.csv", "note\nmetadata only\n")
             with zf.open(f"{member_prefix}_{part:05d}.csv", "w") as member:
-                header = True
-                for pdf in batches:
-                    member.write(pdf.to_csv(index=False, header=header).encode("utf-8"))
-                    header = False
-                    rows += len(pdf)
+                writer = None
+                for batch in batches:
+                    if writer is None:
+                        writer = pcsv.CSVWriter(member, batch.schema)
+                    writer.write_batch(batch)
+                    rows += batch.num_rows
+                if writer is not None:
+                    writer.close()
         if rows:
             with _open_output(f"{base}/archive_{part:05d}.zip") as out:
                 out.write(buf.getvalue())
-        yield pd.DataFrame({"rows": [rows]})
+        yield pa.RecordBatch.from_pydict({"rows": [rows]})
 
     return write
 
@@ -151,12 +156,17 @@ def land_zip_archives(spark: SparkSession, df: DataFrame, name: str,
     partition's rows (``<member_prefix>_<part>.csv``) and a member to be
     ignored.
 
-    Written by the executors (``mapInPandas``): each archive is bounded by a
-    partition's size, and a retried task rewrites the same archive.
+    Written by the executors (``mapInArrow``, Arrow's CSV writer): each
+    archive is bounded by a partition's size, and a retried task rewrites the
+    same archive.
     """
     path = scratch_path(spark, name)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    written = text.mapInPandas(_zip_partition_writer(path, member_prefix, extra_member),
-                               schema="rows long")
+    # An explicit partition count (AQE keeps it), hashed on every column so a
+    # retried task sees the same rows: one archive per shuffle partition.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = text.repartition(width, *text.columns)
+    written = text.mapInArrow(_zip_partition_writer(path, member_prefix, extra_member),
+                              schema="rows long")
     written.agg(F.sum("rows")).collect()  # one row: runs the writes
     return path

@@ -2,8 +2,9 @@
 
 The archives are listed with the ``binaryFile`` source (content column not
 selected, so no bytes are loaded by the scan), spread one archive per task,
-and each task streams its archive's members line by line with
-``mapInPandas``: memory per task is one batch of lines, not one archive.
+and each task streams its archive's members chunk by chunk with
+``mapInArrow``, splitting lines with Arrow compute: memory per task is one
+chunk of text, not one archive.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ import zipfile
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -46,8 +48,13 @@ def _open_archive(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _line_batches(text: io.TextIOBase) -> Iterator[list[str]]:
-    """Lines of a text stream, a chunk at a time (one regex split per chunk)."""
+def _line_arrays(text: io.TextIOBase) -> Iterator[pa.Array]:
+    """Lines of a text stream as Arrow string arrays, one per chunk.
+
+    Each chunk is split by one vectorised regex call; no Python object is
+    made per line.  A line cut by a chunk boundary is carried over, and a
+    trailing '\r' is held back in case the next chunk starts with '\n'.
+    """
     carry = ""
     while True:
         chunk = text.read(_CHUNK_CHARS)
@@ -55,20 +62,20 @@ def _line_batches(text: io.TextIOBase) -> Iterator[list[str]]:
             break
         data = carry + chunk
         hold = ""
-        if data.endswith("\r"):  # may be the first half of '\r\n'
+        if data.endswith("\r"):
             data, hold = data[:-1], "\r"
-        lines = _NEWLINE.split(data)
-        carry = lines.pop() + hold
-        if lines:
-            yield lines
+        parts = pc.split_pattern_regex(pa.array([data], pa.string()), pattern=_NEWLINE.pattern).flatten()
+        carry = parts[len(parts) - 1].as_py() + hold
+        if len(parts) > 1:
+            yield parts.slice(0, len(parts) - 1)
     if carry:
-        yield [carry[:-1] if carry.endswith("\r") else carry]
+        yield pa.array([carry[:-1] if carry.endswith("\r") else carry], pa.string())
 
 
-def _member_lines(paths: Iterator[pd.DataFrame], prefix: str | None, last_only: bool,
-                  encoding: str) -> Iterator[pd.DataFrame]:
-    for batch in paths:
-        for path in batch["path"]:
+def _member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, last_only: bool,
+                  encoding: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
             with _open_archive(path) as raw, zipfile.ZipFile(raw) as zf:
                 names = [n for n in zf.namelist() if not n.endswith("/")]
                 if prefix is not None:
@@ -79,13 +86,13 @@ def _member_lines(paths: Iterator[pd.DataFrame], prefix: str | None, last_only:
                     with zf.open(name) as member:
                         text = io.TextIOWrapper(member, encoding=encoding, newline="")
                         start = 0
-                        for lines in _line_batches(text):
-                            yield pd.DataFrame({
-                                "archive": path, "member": name,
-                                "line_no": np.arange(start, start + len(lines), dtype=np.int64),
-                                "line": lines,
-                            })
-                            start += len(lines)
+                        for lines in _line_arrays(text):
+                            n = len(lines)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([path] * n, pa.string()), pa.array([name] * n, pa.string()),
+                                 pa.array(np.arange(start, start + n, dtype=np.int64)), lines],
+                                names=MEMBER_LINES_SCHEMA.names)
+                            start += n
 
 
 def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None = None,
@@ -105,7 +112,7 @@ def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None =
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
     n_archives = max(1, len(listing.inputFiles()))
     spread = listing.repartitionByRange(n_archives, "path")
-    lines = spread.mapInPandas(
+    lines = spread.mapInArrow(
         lambda it: _member_lines(it, member_prefix, last_member, encoding),
         schema=MEMBER_LINES_SCHEMA,
     )

@@ -245,7 +245,7 @@ def test_zip_line_splitting_matches_line_iteration(monkeypatch):
     for _ in range(200):
         text = "".join(rnd.choice(["a", "b", ",", "\n", "\r", "\r\n", '"']) for _ in range(rnd.randint(0, 60)))
         want = [ln.rstrip("\r\n") for ln in io.StringIO(text, newline="")]
-        got = [ln for batch in archives._line_batches(io.StringIO(text, newline="")) for ln in batch]
+        got = [ln for arr in archives._line_arrays(io.StringIO(text, newline="")) for ln in arr.to_pylist()]
         assert got == want, repr(text)
 
 
