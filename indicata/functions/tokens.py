@@ -21,6 +21,11 @@ ColumnOrName = Column | str
 QUOTED_TOKEN_PATTERN = r'(?:[^,"]|"(?:\\.|[^"])*")+'
 QUOTED_TOKEN_PATTERN_POSSESSIVE = r'(?:[^,"]|"[^"\\]*+(?:\\.[^"\\]*+)*+")++'
 
+# CSV fields, empty ones kept: each match starts at the line start or at a
+# separating comma and captures the field (runs of non-comma characters and
+# quoted sections, possessive so a long field cannot backtrack).
+CSV_FIELD_PATTERN = r'(?:^|,)((?:[^,"]|"[^"]*+")*+)'
+
 # Outer whitespace as Python's str.strip sees it (Unicode white space and
 # the four ASCII separator controls).
 _OUTER_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
@@ -30,9 +35,16 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def split_quoted(c: ColumnOrName, pattern: str = QUOTED_TOKEN_PATTERN_POSSESSIVE) -> Column:
-    """Line -> array of raw tokens, quotes still in place."""
-    return F.regexp_extract_all(_col(c), F.lit(pattern), 0)
+def split_quoted(c: ColumnOrName, keep_empty: bool = False) -> Column:
+    """Line -> array of raw tokens, quotes still in place.
+
+    By default unquoted empty fields give no token, as in the source rule;
+    ``keep_empty=True`` keeps every field in its position (CSV semantics:
+    'a,,b' -> ['a', '', 'b'], a trailing comma adds an empty last field).
+    """
+    if keep_empty:
+        return F.regexp_extract_all(_col(c), F.lit(CSV_FIELD_PATTERN), 1)
+    return F.regexp_extract_all(_col(c), F.lit(QUOTED_TOKEN_PATTERN_POSSESSIVE), 0)
 
 
 def clean_token(x: Column) -> Column:

@@ -76,7 +76,7 @@ MAX_BROADCAST_FILES = 100_000
 
 
 def preamble_records(numbered: DataFrame, skip: int = PREAMBLE_LINES,
-                     n_files: int | None = None) -> DataFrame:
+                     n_files: int | None = None, keep_empty: bool = False) -> DataFrame:
     """Records of numbered lines (file, stem, pos, line), each file's header
     attached (S4, R5, R6).
 
@@ -87,8 +87,9 @@ def preamble_records(numbered: DataFrame, skip: int = PREAMBLE_LINES,
     The header table has one row per file.  When the number of files is
     known and at most ``MAX_BROADCAST_FILES`` it is broadcast, so the lines
     of a large file are never shuffled together on their file name.
+    ``keep_empty`` tokenises with CSV semantics (see ``split_quoted``).
     """
-    tokens = numbered.withColumn("raw_tokens", split_quoted("line"))
+    tokens = numbered.withColumn("raw_tokens", split_quoted("line", keep_empty))
     headers = (tokens.filter(F.col("pos") == skip)
                .select("file", F.col("raw_tokens").alias("header_raw"),
                        clean_tokens("raw_tokens").alias("header")))
@@ -100,14 +101,15 @@ def preamble_records(numbered: DataFrame, skip: int = PREAMBLE_LINES,
             .select("file", "stem", "pos", clean_tokens("raw_tokens").alias("tokens"), "header"))
 
 
-def read_preamble_lines(spark: SparkSession, path: str, skip: int = PREAMBLE_LINES) -> DataFrame:
+def read_preamble_lines(spark: SparkSession, path: str, skip: int = PREAMBLE_LINES,
+                        keep_empty: bool = False) -> DataFrame:
     """Records of every file in a folder, with the file's header.
 
     Columns: ``file``, ``stem`` (name before the first dot), ``pos`` (line
     number in the file), ``tokens`` and ``header`` (cleaned token arrays).
     """
     n_files = len(spark.read.text(path).inputFiles())
-    return preamble_records(numbered_text_lines(spark, path), skip, n_files)
+    return preamble_records(numbered_text_lines(spark, path), skip, n_files, keep_empty)
 
 
 def indicator_values(records: DataFrame, key: str, value: str) -> DataFrame:
@@ -118,12 +120,12 @@ def indicator_values(records: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def read_indicator_folder(spark: SparkSession, path: str, key: str, value: str,
-                          skip: int = PREAMBLE_LINES) -> DataFrame:
+                          skip: int = PREAMBLE_LINES, keep_empty: bool = False) -> DataFrame:
     """Long table (stem, key, value text) of a folder of indicator files.
 
     One scan of the whole folder; the file stem names the indicator.
     """
-    return indicator_values(read_preamble_lines(spark, path, skip), key, value)
+    return indicator_values(read_preamble_lines(spark, path, skip, keep_empty), key, value)
 
 
 def folder_stems(spark: SparkSession, path: str) -> list[str]:

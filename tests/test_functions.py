@@ -105,3 +105,20 @@ def test_field_by_name(spark):
 def test_file_stem(spark):
     df = spark.createDataFrame([("pbi.csv",), ("pbi_percapita.2023.csv",), ("noext",)], "f string")
     assert [r[0] for r in rows(df.select(file_stem(F.col("f"))))] == ["pbi", "pbi_percapita", "noext"]
+
+
+@pytest.mark.parametrize("line,expected", [
+    ('a,,b', ["a", "", "b"]),
+    ('"Bahamas, The","BHS","",', ["Bahamas, The", "BHS", "", ""]),
+    ('"say ""hi""",x', ["say hi", "x"]),
+    ('x', ["x"]),
+])
+def test_split_keep_empty_fields(spark, line, expected):
+    df = spark.createDataFrame([(line,)], "line string")
+    assert rows(df.select(clean_tokens(split_quoted("line", keep_empty=True))))[0][0] == expected
+
+
+def test_keep_empty_long_field(spark):
+    long_field = "y" * 30_000
+    df = spark.createDataFrame([(f'"{long_field}",,"b"',)], "line string")
+    assert rows(df.select(clean_tokens(split_quoted("line", keep_empty=True))))[0][0] == [long_field, "", "b"]

@@ -262,3 +262,11 @@ def test_as_text_table_dates(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 31), dt.datetime(2024, 1, 31, 10, 5, 0), 7)],
                                "d date, t timestamp, n int")
     assert rows(as_text_table(df)) == [("2024-01-31", "2024-01-31 10:05:00", "7")]
+
+
+def test_indicator_unquoted_empty_fields(spark, workdir):
+    p = _write(f"{workdir}/plain/ind.csv", PREAMBLE + "Country Name,Country Code,2022,2023,\nPeru,PER,,5,\n")
+    source_rule = read_indicator_folder(spark, p, "Country Name", "2023")
+    csv_rule = read_indicator_folder(spark, p, "Country Name", "2023", keep_empty=True)
+    assert rows(source_rule, "Country Name", "2023") == [("Peru", None)]   # empty 2022 dropped: fields shift
+    assert rows(csv_rule, "Country Name", "2023") == [("Peru", "5")]
