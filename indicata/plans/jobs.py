@@ -82,16 +82,19 @@ def ipc_job(spark: SparkSession, csv_path: str, out: str | None = None,
 
 def country_indicators_job(spark: SparkSession, path: str, from_archives: bool = False,
                            out: str | None = None, jdbc: Mapping[str, str] | None = None,
-                           key: str = INDICATOR_KEY, year: str = INDICATOR_YEAR) -> DataFrame:
+                           key: str = INDICATOR_KEY, year: str = INDICATOR_YEAR,
+                           keep_empty: bool = False) -> DataFrame:
     """E4 from a folder of indicator CSVs, or of zip archives whose 'API'
-    member is the indicator file (named after its archive)."""
+    member is the indicator file (named after its archive).  ``keep_empty``
+    tokenises lines with CSV semantics instead of the source rule."""
     if from_archives:
         lines = numbered_member_lines(read_zip_members(spark, path, member_prefix="API"))
         stems = archive_stems(spark, path)
         # One 'API' member per archive: the file count is the archive count.
-        long = indicator_values(preamble_records(lines, n_files=len(stems)), key, year)
+        records = preamble_records(lines, n_files=len(stems), keep_empty=keep_empty)
+        long = indicator_values(records, key, year)
     else:
-        long = read_indicator_folder(spark, path, key, year)
+        long = read_indicator_folder(spark, path, key, year, keep_empty=keep_empty)
         stems = folder_stems(spark, path)
     result = country_indicators_from_long(long, stems, key, year)
     return _emit(result, out, jdbc, TABLES["country_indicators"])
