@@ -11,3 +11,19 @@ Sub-packages:
 """
 
 __all__ = ["functions", "operators", "plans", "sinks", "sources", "streaming"]
+
+
+def _ship_by_value() -> None:
+    """Functions of this package that run on executors (``mapInArrow``,
+    ``applyInPandas``) are pickled with their code, so executors need not
+    have the package on their path."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover - pyspark always ships it
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

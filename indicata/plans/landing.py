@@ -162,9 +162,12 @@ def land_zip_archives(spark: SparkSession, df: DataFrame, name: str,
     """
     path = scratch_path(spark, name)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    # An explicit partition count (AQE keeps it), hashed on every column so a
-    # retried task sees the same rows: one archive per shuffle partition.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One archive per core: an explicit partition count (AQE keeps it),
+    # hashed on every column so a retried task sees the same rows.
+    try:
+        width = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no context on the client
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = text.repartition(width, *text.columns)
     written = text.mapInArrow(_zip_partition_writer(path, member_prefix, extra_member),
                               schema="rows long")
