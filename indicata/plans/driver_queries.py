@@ -183,7 +183,7 @@ def nway_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The preamble lines of the indicator files.
-INDICATOR_PREAMBLE = ['"Data Source","World Development Indicators",',
+INDICATOR_PREAMBLE = ['"Data Source","Indicator catalogue",',
                       "",
                       '"Last Updated Date","2024-10-24",',
                       ""]

@@ -104,9 +104,9 @@ def test_deposit_jobs(spark, workdir):
 def test_series_job_from_csv_and_archive(spark, workdir):
     text = ("catalogo_id,serie_id,dataset_id,distribucion_id,serie_titulo,serie_unidades,serie_descripcion,"
             "distribucion_descripcion,dataset_responsable,dataset_titulo,valor\n"
-            'c,1,d,x,"IPC, total",Indice,desc,dd,INDEC,Precios,1.00\n'
-            'c,1,d,x,"IPC, total",Indice,desc,dd,INDEC,Precios,1.01\n'
-            "c,2,d,x,EMAE,Indice,desc,dd,INDEC,Actividad,n/a\n")
+            'c,1,d,x,"IPC, total",Indice,desc,dd,Agency,Precios,1.00\n'
+            'c,1,d,x,"IPC, total",Indice,desc,dd,Agency,Precios,1.01\n'
+            "c,2,d,x,EMAE,Indice,desc,dd,Agency,Actividad,n/a\n")
     p = _write(f"{workdir}/series/series.csv", text)
     _zip(f"{workdir}/series_zip/dump.zip", [("readme.txt", "x\n"), ("series-tiempo.csv", text)])
     from_csv = jobs.series_job(spark, p)

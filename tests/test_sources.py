@@ -64,7 +64,7 @@ def test_first_n(spark):
     assert [r[0] for r in rows(first_n(df, 3, [F.col("id").desc()]))] == [9, 8, 7]
 
 
-PREAMBLE = '"Data Source","World Development Indicators",\n\n"Last Updated Date","2024-10-24",\n\n'
+PREAMBLE = '"Data Source","Indicator catalogue",\n\n"Last Updated Date","2024-10-24",\n\n'
 HEADER = '"Country Name","Country Code","2022","2023",\n'
 
 
