@@ -67,7 +67,10 @@ def numbered_text_lines(spark: SparkSession, path: str) -> DataFrame:
     # Splits per scan: each file is cut into splits that are packed into scan
     # partitions, so there are at most (files + partitions) of them; both are
     # known from planning, without running a job.
-    bound = len(text.inputFiles()) + text.rdd.getNumPartitions()
+    try:
+        bound = len(text.inputFiles()) + text.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): the planner decides
+        bound = None
     return _with_line_numbers(raw, bound).select("file", "stem", "pos", "line")
 
 
