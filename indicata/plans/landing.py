@@ -81,7 +81,7 @@ def _indicator_archive_writer(base: str):
         stem = str(pdf["stem"].iloc[0])
         body = "\n".join(pdf.sort_values(["ord", "line"])["line"]) + "\n"
         buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
             zf.writestr(f"Metadata_{stem}.csv", "note\nmetadata only\n")
             zf.writestr(f"API_{stem}_DS2.csv", body)
         with _open_output(f"{base}/{stem}.zip") as out:
@@ -131,7 +131,7 @@ def _zip_partition_writer(base: str, member_prefix: str, extra_member: str):
         part = TaskContext.get().partitionId()
         buf = io.BytesIO()
         rows = 0
-        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
             zf.writestr(f"{extra_member}_{part:05d}.csv", "note\nmetadata only\n")
             with zf.open(f"{member_prefix}_{part:05d}.csv", "w") as member:
                 writer = None
