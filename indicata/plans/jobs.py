@@ -75,9 +75,10 @@ def region_jobs(spark: SparkSession, indices: DataFrame | str, out_dir: str | No
 
 
 def ipc_job(spark: SparkSession, csv_path: str, out: str | None = None,
-            jdbc: Mapping[str, str] | None = None) -> DataFrame:
-    """E3 from the ';' price-index CSV."""
-    return _emit(price_index_change(read_csv_text(spark, csv_path, sep=";")), out, jdbc, TABLES["ipc"])
+            jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """E3 from the ';' price-index CSV (``encoding`` e.g. 'ISO-8859-1')."""
+    df = read_csv_text(spark, csv_path, sep=";", encoding=encoding)
+    return _emit(price_index_change(df), out, jdbc, TABLES["ipc"])
 
 
 def country_indicators_job(spark: SparkSession, path: str, from_archives: bool = False,
@@ -101,15 +102,17 @@ def country_indicators_job(spark: SparkSession, path: str, from_archives: bool =
 
 
 def covid_job(spark: SparkSession, csv_path: str, out: str | None = None,
-              jdbc: Mapping[str, str] | None = None) -> DataFrame:
+              jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8") -> DataFrame:
     """E5 from the landed cases CSV."""
-    return _emit(cases_with_counts(read_csv_text(spark, csv_path)), out, jdbc, TABLES["covid"])
+    df = read_csv_text(spark, csv_path, encoding=encoding)
+    return _emit(cases_with_counts(df), out, jdbc, TABLES["covid"])
 
 
 def crime_job(spark: SparkSession, csv_path: str, out: str | None = None,
-              jdbc: Mapping[str, str] | None = None) -> DataFrame:
+              jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8") -> DataFrame:
     """E6 from the landed incidents CSV."""
-    return _emit(incidents_without_codes(read_csv_text(spark, csv_path)), out, jdbc, TABLES["crime"])
+    df = read_csv_text(spark, csv_path, encoding=encoding)
+    return _emit(incidents_without_codes(df), out, jdbc, TABLES["crime"])
 
 
 def deposit_jobs(spark: SparkSession, rates_json: str, deposits_json: str, out_dir: str | None = None,
@@ -123,12 +126,13 @@ def deposit_jobs(spark: SparkSession, rates_json: str, deposits_json: str, out_d
 
 
 def series_job(spark: SparkSession, path: str, from_archive: bool = False, out: str | None = None,
-               jdbc: Mapping[str, str] | None = None) -> DataFrame:
+               jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8") -> DataFrame:
     """E8 from the series dump: a CSV, or archives whose last member is it."""
     if from_archive:
-        lines = read_zip_members(spark, path, last_member=True)
+        codec = "utf-8-sig" if encoding.upper().replace("_", "-") == "UTF-8" else encoding
+        lines = read_zip_members(spark, path, last_member=True, encoding=codec)
         header = member_headers(lines).select("header").first()["header"]
         dump = member_table(lines, header_columns(header)).drop("archive", "member")
     else:
-        dump = read_csv_text(spark, path)
+        dump = read_csv_text(spark, path, encoding=encoding)
     return _emit(series_average(dump), out, jdbc, TABLES["series"])

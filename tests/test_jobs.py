@@ -114,3 +114,13 @@ def test_series_job_from_csv_and_archive(spark, workdir):
     assert sorted(rows(from_csv), key=str) == sorted(rows(from_zip), key=str)
     got = {r[0]: r[-1] for r in rows(from_csv)}
     assert got == {"IPC, total": 1.01, "EMAE": None}
+
+
+def test_ipc_job_latin1(spark, workdir):
+    path = f"{workdir}/ipc_latin1.csv"
+    with open(path, "w", encoding="latin-1") as f:
+        f.write("Codigo;Descripcion;Periodo;Indice_IPC;v_m_IPC;v_i_a_IPC\n"
+                "0;Nivel general - Región GBA;201701;100,0;1,0;2,0\n"
+                "0;Nivel general - Región GBA;201702;102,0;2,0;2,0\n")
+    out = jobs.ipc_job(spark, path, encoding="ISO-8859-1")
+    assert rows(out) == [("201702", 2.0, 2.0, 2.0)]
