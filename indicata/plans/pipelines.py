@@ -158,6 +158,12 @@ def country_indicators_from_long(long: DataFrame, stems: Sequence[str], key: str
     source files.
     """
     shared = long.checkpoint(eager=True)
+    # An indicator with no records would empty the inner join; fail instead
+    # (one row per indicator comes back to the driver).
+    present = {r["stem"] for r in shared.select("stem").distinct().collect()}
+    missing = [st for st in stems if st not in present]
+    if missing:
+        raise ValueError(f"indicator files without records (no header or data line): {missing}")
     return country_indicators(indicator_frames(shared, stems, key, year), key)
 
 

@@ -270,3 +270,13 @@ def test_indicator_unquoted_empty_fields(spark, workdir):
     csv_rule = read_indicator_folder(spark, p, "Country Name", "2023", keep_empty=True)
     assert rows(source_rule, "Country Name", "2023") == [("Peru", None)]   # empty 2022 dropped: fields shift
     assert rows(csv_rule, "Country Name", "2023") == [("Peru", "5")]
+
+
+
+def test_indicator_file_without_records_fails(spark, workdir):
+    from indicata.plans.pipelines import country_indicators_from_folder
+    folder = f"{workdir}/short"
+    _write(f"{folder}/a.csv", PREAMBLE + HEADER + '"Peru","PER","1","2",\n')
+    _write(f"{folder}/b.csv", PREAMBLE)  # preamble only
+    with pytest.raises(ValueError, match="without records"):
+        country_indicators_from_folder(spark, f"{folder}/*.csv", ["a", "b"])
