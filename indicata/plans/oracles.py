@@ -217,7 +217,7 @@ t AS (
          list_transform(regexp_extract_all(line, '(?:[^,"]|"(?:\\\\.|[^"])*")+'),
                         lambda x: trim(replace(x, '"', ''))) AS toks
   FROM l)
-SELECT event_id, len(toks) AS n_tokens, array_to_string(toks, '|') AS tokens FROM t
+SELECT event_id, CAST(len(toks) AS INTEGER) AS n_tokens, array_to_string(toks, '|') AS tokens FROM t
 """
 
 JSON_SERIES_SCAN = """
