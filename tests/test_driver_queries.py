@@ -43,9 +43,16 @@ def test_every_query_has_an_oracle():
     assert set(entry.oracle_sql()) == set(entry.queries())
 
 
+# Spark type name -> DuckDB type name of the same values.
+DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+              "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
+    oracle_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()}
+    assert {c: DUCK_TYPES.get(t, t) for c, t in df.dtypes} == oracle_types
     cols = df.columns
     got = Counter(tuple(_norm(r[c]) for c in cols) for r in df.collect())
     res = duck.execute(entry.oracle_sql()[name])
