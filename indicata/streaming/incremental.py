@@ -20,7 +20,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from indicata.operators.filters import drop_all_null
 from indicata.operators.projection import exclude, keep
 from indicata.plans.pipelines import CASE_COLUMNS, CASE_MEASURES, INCIDENT_CODE_COLUMNS
-from indicata.session import scratch_path
 
 
 def text_schema(columns: Sequence[str]) -> StructType:
@@ -33,12 +32,17 @@ def run_available(spark: SparkSession, source: str, schema: StructType,
                   checkpoint: str | None = None, sep: str = ",",
                   sink_format: str = "parquet") -> StreamingQuery:
     """Apply ``transform`` to every CSV file landed under ``source`` since the
-    previous run, append the rows to ``sink``, and stop."""
+    previous run, append the rows to ``sink``, and stop.
+
+    The stream's progress is kept in ``checkpoint``, by default
+    ``<sink>/_checkpoint`` (a hidden folder readers of the sink skip), so
+    successive runs with the same sink see each landed file once.
+    """
     stream = (spark.readStream.schema(schema).option("header", True).option("sep", sep)
               .csv(source))
     query = (transform(stream).writeStream.format(sink_format).outputMode("append")
              .option("path", sink)
-             .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint"))
+             .option("checkpointLocation", checkpoint or f"{sink.rstrip('/')}/_checkpoint")
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return query

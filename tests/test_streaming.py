@@ -36,3 +36,13 @@ def test_incidents_incremental(spark, workdir):
     schema = text_schema(["DR_NO", "Date Rptd", "AREA", "Mocodes"])
     run_available(spark, src, schema, incidents_increment, sink, ckpt)
     assert rows(spark.read.parquet(sink)) == [("Central",)]
+
+
+def test_default_checkpoint_is_kept_with_the_sink(spark, workdir):
+    src, sink = f"{workdir}/in", f"{workdir}/out"
+    schema = text_schema(["location", "date", "total_cases", "new_cases", "iso_code"])
+    _land(src, "day1.csv", "AR,2024-01-01,5,1,ARG\n")
+    run_available(spark, src, schema, cases_increment, sink)
+    _land(src, "day2.csv", "BR,2024-01-02,7,,BRA\n")
+    run_available(spark, src, schema, cases_increment, sink)
+    assert spark.read.parquet(sink).count() == 2
