@@ -3,8 +3,9 @@
 Each job reads its landed inputs, builds the pipeline's plan, and writes
 the result once per requested output: a CSV directory (``out``) and/or a
 JDBC table (``jdbc`` = dict of url, user, password, driver and optionally
-``as_text``), replaced on every run.  The result DataFrame is returned as well.  Downloading the
-inputs and scheduling the jobs are left to the caller.
+``as_text``), replaced on every run.  The result DataFrame is returned as
+well.  Downloading the inputs and scheduling the jobs are left to the
+caller.
 """
 
 from __future__ import annotations
@@ -69,6 +70,10 @@ def region_jobs(spark: SparkSession, indices: DataFrame | str, out_dir: str | No
     """One table per region from E1's result (a DataFrame or its CSV)."""
     e1 = read_csv_text(spark, indices) if isinstance(indices, str) else indices
     scaled = region_scaled_series(e1)
+    if out_dir is not None or jdbc is not None:
+        # Up to six writes read the same small table (one row per region and
+        # month): compute it once instead of once per write.
+        scaled = scaled.checkpoint(eager=True)
     return {name: _emit(region_table(scaled, name), f"{out_dir}/{name}" if out_dir else None,
                         jdbc, TABLES[name])
             for name, _ in REGION_FACTORS}
