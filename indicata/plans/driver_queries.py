@@ -26,7 +26,7 @@ from indicata.plans.pipelines import (cases_with_counts, country_indicators,
                                       incidents_without_codes, indicator_frames,
                                       monthly_index_with_daily_risk, price_index_change,
                                       region_scaled_series, series_average)
-from indicata.sources.archives import (header_columns, member_headers, member_table,
+from indicata.sources.archives import (header_columns, member_table, read_zip_headers,
                                        read_zip_members)
 from indicata.sources.csv import read_csv_text, read_csv_typed
 from indicata.sources.json import read_json_records, read_json_series
@@ -418,7 +418,7 @@ def zip_member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     path = landing.land_zip_archives(spark, customer, "customer-zip")
     lines = read_zip_members(spark, path, member_prefix="API")
-    header = member_headers(lines).select("header").first()["header"]
+    header = read_zip_headers(spark, path, member_prefix="API").first()["line"]
     return member_table(lines, header_columns(header)).drop("archive", "member")
 
 

@@ -20,8 +20,8 @@ from indicata.plans.pipelines import (cases_with_counts, country_indicators_from
                                       INDICATOR_KEY, INDICATOR_YEAR, REGION_FACTORS)
 from indicata.sinks.files import as_text_table, write_csv
 from indicata.sinks.jdbc import write_jdbc
-from indicata.sources.archives import (archive_stems, header_columns, member_headers,
-                                       member_table, numbered_member_lines, read_zip_members)
+from indicata.sources.archives import (archive_stems, header_columns, member_table,
+                                       numbered_member_lines, read_zip_headers, read_zip_members)
 from indicata.sources.csv import read_csv_text
 from indicata.sources.json import read_json_records, read_json_series
 from indicata.sources.preamble import (folder_stems, indicator_values, preamble_records,
@@ -136,7 +136,7 @@ def series_job(spark: SparkSession, path: str, from_archive: bool = False, out:
     if from_archive:
         codec = "utf-8-sig" if encoding.upper().replace("_", "-") == "UTF-8" else encoding
         lines = read_zip_members(spark, path, last_member=True, encoding=codec)
-        header = member_headers(lines).select("header").first()["header"]
+        header = read_zip_headers(spark, path, last_member=True, encoding=codec).first()["line"]
         dump = member_table(lines, header_columns(header)).drop("archive", "member")
     else:
         dump = read_csv_text(spark, path, encoding=encoding)

@@ -73,7 +73,7 @@ def _line_arrays(text: io.TextIOBase) -> Iterator[pa.Array]:
 
 
 def _member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, last_only: bool,
-                  encoding: str) -> Iterator[pa.RecordBatch]:
+                  encoding: str, first_line_only: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
             with _open_archive(path) as raw, zipfile.ZipFile(raw) as zf:
@@ -86,7 +86,11 @@ def _member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, last_on
                     with zf.open(name) as member:
                         text = io.TextIOWrapper(member, encoding=encoding, newline="")
                         start = 0
-                        for lines in _line_arrays(text):
+                        chunks = _line_arrays(text)
+                        if first_line_only:  # decompress only what the first line needs
+                            first = text.readline().rstrip("\r\n")
+                            chunks = iter([pa.array([first], pa.string())])
+                        for lines in chunks:
                             n = len(lines)
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array([path] * n, pa.string()), pa.array([name] * n, pa.string()),
@@ -124,6 +128,19 @@ def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None =
     return lines.repartition(width, "archive", "member", "line_no")
 
 
+def read_zip_headers(spark: SparkSession, path: str, member_prefix: str | None = None,
+                     last_member: bool = False, encoding: str = "utf-8-sig",
+                     glob: str = "*.zip") -> DataFrame:
+    """First line of each selected member (archive, member, line_no, line):
+    one task per archive, which decompresses only that line."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+    n_archives = max(1, len(listing.inputFiles()))
+    return listing.repartitionByRange(n_archives, "path").mapInArrow(
+        lambda it: _member_lines(it, member_prefix, last_member, encoding, first_line_only=True),
+        schema=MEMBER_LINES_SCHEMA,
+    )
+
+
 def member_table(lines: DataFrame, columns: list[str]) -> DataFrame:
     """Member lines -> one text column per header name, header lines dropped.
 

@@ -280,3 +280,14 @@ def test_indicator_file_without_records_fails(spark, workdir):
     _write(f"{folder}/b.csv", PREAMBLE)  # preamble only
     with pytest.raises(ValueError, match="without records"):
         country_indicators_from_folder(spark, f"{folder}/*.csv", ["a", "b"])
+
+
+def test_zip_headers_read_first_lines_only(spark, workdir):
+    from indicata.sources import read_zip_headers
+    folder = f"{workdir}/zips_h"
+    _zip(f"{folder}/a.zip", [("Metadata_a.csv", "x\n1\n"), ("API_a.csv", "k,v\r\n1,2\r\n")])
+    _zip(f"{folder}/b.zip", [("API_b.csv", "k,v\n3,4\n")])
+    got = sorted((r["member"], r["line_no"], r["line"]) for r in read_zip_headers(spark, folder, "API").collect())
+    assert got == [("API_a.csv", 0, "k,v"), ("API_b.csv", 0, "k,v")]
+    last = sorted(r["line"] for r in read_zip_headers(spark, folder, last_member=True).collect())
+    assert last == ["k,v", "k,v"]
