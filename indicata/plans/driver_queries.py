@@ -19,8 +19,8 @@ from indicata.functions.tokens import clean_tokens, split_quoted
 from indicata.operators.aggregates import partial_sums
 from indicata.operators.ordering import top_n
 from indicata.plans import landing
-from indicata.plans.jobs import (country_indicators_job, covid_job, crime_job, indices_job,
-                                 series_job)
+from indicata.plans.jobs import (country_indicators_job, covid_job, crime_job, deposit_jobs,
+                                 indices_job, series_job)
 from indicata.plans.pipelines import (cases_with_counts, country_indicators,
                                       country_indicators_from_folder, deposit_tables,
                                       incidents_without_codes, indicator_frames,
@@ -382,6 +382,22 @@ def json_records_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates
 
 
+def deposits_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E7 end to end: rate records landed as JSON arrays (header from the
+    first record, all keys present, missing values null), run by the E7 job."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", F.col("event_type").alias("entidad"),
+        F.when(F.col("event_type") != "error", F.col("value")).alias("tna"),
+        F.lit("logo.png").alias("logo"),
+        F.concat(F.lit("https://example.org/"), F.col("user_id").cast("string")).alias("enlace"))
+    daily = (table(spark, sf_dir, "events").groupBy(format_day("ts").alias("fecha"))
+             .agg(F.avg("value").alias("valor")))
+    rates_path = landing.land_json_arrays(spark, ev, "rates-json")
+    deposits_path = landing.land_json_arrays(spark, daily, "deposits-json")
+    rates, _ = deposit_jobs(spark, rates_path, deposits_path)
+    return rates
+
+
 # --- CSV sources and the CSV hand-off -------------------------------------------------------------
 
 def csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,6 +459,7 @@ QUERIES = {
     "quoted_line_tokens": quoted_line_tokens,
     "json_series_scan": json_series_scan,
     "json_records_to_table": json_records_to_table,
+    "deposits_from_json": deposits_from_json,
     "csv_scan_strings": csv_scan_strings,
     "csv_scan_semicolon": csv_scan_semicolon,
     "csv_scan_inferred": csv_scan_inferred,

@@ -173,3 +173,34 @@ def land_zip_archives(spark: SparkSession, df: DataFrame, name: str,
                               schema="rows long")
     written.agg(F.sum("rows")).collect()  # one row: runs the writes
     return path
+
+
+def _json_array_writer(base: str):
+    def write(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        records = [rec for b in batches for rec in b.column("json").to_pylist()]
+        if records:
+            with _open_output(f"{base}/records_{part:05d}.json") as out:
+                out.write(("[" + ",\n".join(records) + "]\n").encode("utf-8"))
+        yield pa.RecordBatch.from_pydict({"rows": [len(records)]})
+
+    return write
+
+
+def land_json_arrays(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """One JSON array file per partition of ``df``, records with every key
+    (null fields kept), as API payloads are landed.  Records are serialised
+    by Spark (``to_json``); each task only joins its partition's records."""
+    path = scratch_path(spark, name)
+    try:
+        width = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect: no context on the client
+        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rec = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json")
+    text = df.repartition(width, *df.columns).select(rec)
+    written = text.mapInArrow(_json_array_writer(path), schema="rows long")
+    written.agg(F.sum("rows")).collect()  # one row: runs the writes
+    return path

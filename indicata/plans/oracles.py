@@ -231,6 +231,12 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS entidad,
 FROM events
 """
 
+DEPOSITS_FROM_JSON = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS entidad,
+       CASE WHEN event_type = 'error' THEN NULL ELSE CAST(value AS VARCHAR) END AS tna
+FROM events
+"""
+
 CSV_SCAN_STRINGS = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
@@ -282,6 +288,7 @@ ORACLES = {
     "quoted_line_tokens": QUOTED_LINE_TOKENS,
     "json_series_scan": JSON_SERIES_SCAN,
     "json_records_to_table": JSON_RECORDS_TO_TABLE,
+    "deposits_from_json": DEPOSITS_FROM_JSON,
     "csv_scan_strings": CSV_SCAN_STRINGS,
     "csv_scan_semicolon": CSV_SCAN_SEMICOLON,
     "csv_scan_inferred": CSV_SCAN_INFERRED,
