@@ -86,10 +86,10 @@ def _member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, last_on
                     with zf.open(name) as member:
                         text = io.TextIOWrapper(member, encoding=encoding, newline="")
                         start = 0
-                        chunks = _line_arrays(text)
                         if first_line_only:  # decompress only what the first line needs
-                            first = text.readline().rstrip("\r\n")
-                            chunks = iter([pa.array([first], pa.string())])
+                            chunks = iter([pa.array([text.readline().rstrip("\r\n")], pa.string())])
+                        else:
+                            chunks = _line_arrays(text)
                         for lines in chunks:
                             n = len(lines)
                             yield pa.RecordBatch.from_arrays(
