@@ -61,3 +61,8 @@ def test_region_fan_out_is_a_generator_not_a_join(spark):
 def test_no_nested_loop_or_cartesian_join(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_join_key_null_filters_reach_the_scan(spark):
+    plan = plan_of(entry.queries()["series_average"](spark, SF))
+    assert "PushedFilters: [IsNotNull(l_partkey), IsNotNull(l_suppkey)]" in plan
