@@ -27,3 +27,24 @@ def rows(df, *cols):
     """Rows as plain tuples, in the frame's order."""
     cols = cols or tuple(df.columns)
     return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+# Spark type name -> DuckDB type name of the same values.
+DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+              "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def norm(v):
+    """A value in a form that compares exactly across Spark and DuckDB
+    results (floats by their repr, timestamps as ISO text)."""
+    import datetime as dt
+    import math
+    from decimal import Decimal
+
+    if isinstance(v, float):
+        return "nan" if math.isnan(v) else repr(v)
+    if isinstance(v, Decimal):
+        return repr(float(v))
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    return v

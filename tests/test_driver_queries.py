@@ -1,30 +1,18 @@
 """Every registered query against its DuckDB oracle on sf0.001, and the
 entry smoke check."""
 
-import datetime as dt
-import math
 from collections import Counter
-from decimal import Decimal
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tests.conftest import DUCK_TYPES, norm
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
-def _norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(v)
-    if isinstance(v, Decimal):
-        return repr(float(v))
-    if isinstance(v, (dt.datetime, dt.date)):
-        return v.isoformat()
-    return v
-
-
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -43,21 +31,16 @@ def test_every_query_has_an_oracle():
     assert set(entry.oracle_sql()) == set(entry.queries())
 
 
-# Spark type name -> DuckDB type name of the same values.
-DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-              "float": "FLOAT", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
-
-
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     oracle_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()}
     assert {c: DUCK_TYPES.get(t, t) for c, t in df.dtypes} == oracle_types
     cols = df.columns
-    got = Counter(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    got = Counter(tuple(norm(r[c]) for c in cols) for r in df.collect())
     res = duck.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(ocols)
     idx = [ocols.index(c) for c in cols]
-    want = Counter(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
+    want = Counter(tuple(norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == want

@@ -6,32 +6,20 @@ third of the events to one type.  Each query is compared with its oracle on
 that copy.
 """
 
-import datetime as dt
-import math
 import tempfile
 from collections import Counter
-from decimal import Decimal
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tests.conftest import norm
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
-def _norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(v)
-    if isinstance(v, Decimal):
-        return repr(float(v))
-    if isinstance(v, (dt.datetime, dt.date)):
-        return v.isoformat()
-    return v
-
-
 @pytest.fixture(scope="module")
 def skewed_dir(spark):
     out = tempfile.mkdtemp(prefix="indicata-skew-")
@@ -70,9 +58,9 @@ def test_skew_is_present(duck):
 def test_query_matches_oracle_on_skewed_data(spark, skewed_dir, duck, name):
     df = entry.queries()[name](spark, skewed_dir)
     cols = df.columns
-    got = Counter(tuple(_norm(r[c]) for c in cols) for r in df.collect())
+    got = Counter(tuple(norm(r[c]) for c in cols) for r in df.collect())
     res = duck.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     idx = [ocols.index(c) for c in cols]
-    want = Counter(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
+    want = Counter(tuple(norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == want
