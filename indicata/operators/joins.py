@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indicata.functions.dates import year_month_keys
+
 
 def join_on_key(left: DataFrame, right: DataFrame, key: str | Sequence[str],
                 how: str = "inner") -> DataFrame:
@@ -34,9 +36,8 @@ def join_year_month(monthly: DataFrame, monthly_ts: str, daily: DataFrame, daily
     is never shuffled.
     """
     left = F.broadcast(monthly) if broadcast_monthly else monthly
-    cond = ((F.year(left[monthly_ts]) == F.year(daily[daily_ts]))
-            & (F.month(left[monthly_ts]) == F.month(daily[daily_ts])))
-    return left.join(daily, cond, "inner")
+    (ly, lm), (ry, rm) = year_month_keys(left[monthly_ts]), year_month_keys(daily[daily_ts])
+    return left.join(daily, (ly == ry) & (lm == rm), "inner")
 
 
 def join_all_on_key(frames: Sequence[DataFrame], key: str, how: str = "inner") -> DataFrame:
