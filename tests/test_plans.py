@@ -66,3 +66,8 @@ def test_no_nested_loop_or_cartesian_join(spark, name):
 def test_join_key_null_filters_reach_the_scan(spark):
     plan = plan_of(entry.queries()["series_average"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_partkey), IsNotNull(l_suppkey)]" in plan
+
+
+def test_orders_reduced_per_customer_before_the_customer_join(spark):
+    plan = plan_of(entry.queries()["period_over_period_by_key"](spark, SF))
+    assert "Keys [2]: [o_custkey" in plan and "partial_count(v_m_IPC" in plan
