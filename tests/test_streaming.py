@@ -46,3 +46,22 @@ def test_default_checkpoint_is_kept_with_the_sink(spark, workdir):
     _land(src, "day2.csv", "BR,2024-01-02,7,,BRA\n")
     run_available(spark, src, schema, cases_increment, sink)
     assert spark.read.parquet(sink).count() == 2
+
+
+def test_incremental_equals_batch_on_driver_data(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from indicata.plans.driver_queries import _cases
+    from indicata.plans.pipelines import cases_with_counts
+    from indicata.sinks import write_csv
+
+    cases = _cases(spark, "/root/testdata/sf0.001")
+    src, sink = f"{workdir}/in", f"{workdir}/out"
+    schema = text_schema(cases.columns)
+    # Two arrivals that together hold the whole table.
+    write_csv(cases.filter(F.col("date") < "2024-01-15"), f"{src}/arrival1")
+    run_available(spark, f"{src}/*", schema, cases_increment, sink)
+    write_csv(cases.filter(F.col("date") >= "2024-01-15"), f"{src}/arrival2")
+    run_available(spark, f"{src}/*", schema, cases_increment, sink)
+    batch = cases_with_counts(cases.select([F.col(c).cast("string") for c in cases.columns]))
+    assert sorted(rows(spark.read.parquet(sink)), key=str) == sorted(rows(batch), key=str)
