@@ -74,15 +74,18 @@ def render_turn(role: Column, text: Column, escaped: bool) -> Column:
     return F.concat(_by_role(role, 0), F.lit(pad), name, body, F.lit(" "), _by_role(role, 1))
 
 
-def parse(rendered: Column) -> Column:
-    """array<struct<role, text>> of a rendered text; null if it is not a
-    sentence of the grammar."""
-    parts = F.filter(F.split(rendered, f"(?<={CONTROL})|(?={CONTROL})"), lambda p: p != "")
-    triples = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(parts) / 3).cast("int")),
-        lambda i: F.struct(F.get(parts, i * 3).alias("open"), F.get(parts, i * 3 + 1).alias("mid"),
-                           F.get(parts, i * 3 + 2).alias("close")))
-    triples = F.slice(triples, 1, F.floor(F.size(parts) / 3).cast("int"))
+def parse(df: DataFrame, rendered: str, out: str) -> DataFrame:
+    """``df`` with ``out``: array<struct<role, text>> read from the column
+    ``rendered``; null if it is not a sentence of the grammar.
+
+    Each step is a column of its own, so that the cut is evaluated once and
+    the work is linear in the text."""
+    keep = [c for c in df.columns]
+    df = df.withColumn("_parts", F.filter(
+        F.split(rendered, rf"(?=[\[<])(?={CONTROL})|(?<=[\]>])(?<={CONTROL})"), lambda p: p != ""))
+    pick = lambda k: F.filter("_parts", lambda _, i: i % 3 == k)
+    df = df.withColumn("_triples", F.arrays_zip(
+        pick(0).alias("open"), pick(1).alias("mid"), pick(2).alias("close")))
 
     def matched(t: Column) -> Column:
         ok = F.lit(False)
@@ -95,16 +98,17 @@ def parse(rendered: Column) -> Column:
         for name, (opening, _) in MARKS.items():
             role = F.when(t["open"] == opening, F.lit(name)).otherwise(role)
         inner = F.substr(t["mid"], F.lit(2), F.length(t["mid"]) - 2)
-        cut = F.when(role.isNull(), F.locate("\n", inner)).otherwise(F.lit(0))
+        # The first line of an unmarked role's turn is its escaped name.
+        named = ~t["open"].isin(*(m[0] for m in MARKS.values()))
+        cut = F.when(named, F.locate("\n", inner)).otherwise(F.lit(0))
         name = F.substr(inner, F.lit(1), F.greatest(cut - 1, F.lit(0)))
         body = F.substr(inner, cut + 1, F.length(inner))
         return F.struct(
-            F.coalesce(role, unescape(F.replace(name, F.lit("\\n"), F.lit("\n")))).alias("role"),
+            F.when(named, unescape(F.replace(name, F.lit("\\n"), F.lit("\n")))).otherwise(role).alias("role"),
             F.when(F.left(t["mid"], F.lit(1)) == ESCAPED, unescape(body)).otherwise(body).alias("text"))
 
-    whole = (F.size(parts) % 3 == 0) & F.forall(triples, matched)
-    return F.when(F.length(rendered) == 0, F.array().cast("array<struct<role:string,text:string>>")) \
-        .when(whole, F.transform(triples, turn))
+    whole = (F.size("_parts") % 3 == 0) & F.forall("_triples", matched)
+    return df.select(*keep, F.when(whole, F.transform("_triples", turn)).alias(out))
 
 
 def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
@@ -115,17 +119,17 @@ def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "t
     rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"),
                         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
                         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    source = F.array(F.struct(F.col("role"), F.col("text")))
     # Level 0 as it is, level 1 escaped; the first that reads back identical.
-    raw = render_turn(F.col("role"), F.col("text"), escaped=False)
-    kept = rows.withColumn("rendered", F.when(parse(raw).eqNullSafe(source), raw).otherwise(
-        render_turn(F.col("role"), F.col("text"), escaped=True)))
+    raw = rows.withColumn("raw", render_turn(F.col("role"), F.col("text"), escaped=False))
+    same = F.col("back").eqNullSafe(F.array(F.struct("role", "text")))
+    kept = parse(raw, "raw", "back").select("conv_id", "turn", "role", "text", F.when(same, F.col("raw")).otherwise(
+        render_turn(F.col("role"), F.col("text"), escaped=True)).alias("rendered"))
     convs = kept.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text", "rendered"))).alias("all"))
     out = convs.select(
         "conv_id", F.array_join(F.col("all.rendered"), "").alias("formatted"),
         F.transform("all", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("source"))
-    out = out.withColumn("back", parse(F.col("formatted")))
+    out = parse(out, "formatted", "back")
     checked = F.when(F.col("back").eqNullSafe(F.col("source")), F.col("back")).otherwise(
         F.raise_error(F.concat(F.lit("conversation does not read back: "), F.col("conv_id").cast("string"))))
     return out.select("conv_id", "formatted", F.transform(

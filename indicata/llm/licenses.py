@@ -3,13 +3,15 @@
 A text is brought to a canonical form and its SHA-256 is hash-joined to the
 digests of known licence texts and notices:
 
-1. case: A-Z lower-cased;
+1. case: lower-cased;
 2. copyright lines (starting with ``copyright``, ``(c)`` or the sign) go;
-3. punctuation and white space: each run becomes one space;
-4. equivalent spellings (``SPELLINGS`` and the -ise/-ize rule) are unified.
+3. punctuation and white space: each run becomes one space, lines without
+   words go;
+4. equivalent spellings (``SPELLINGS``, single words, and the -ise/-ize rule) are
+   unified.
 
-Whole texts are looked up, and every line of a text as a text of its own, so
-a notice inside a document is found as well.  The table of known texts is
+Whole texts are looked up (their lines joined by a space), and every line as a
+text of its own, so a notice inside a document is found as well.  The table of known texts is
 fixed (tens of rows), so the join is a broadcast by construction and no text is
 shuffled; per document only its digest and its matches are.
 
@@ -24,16 +26,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Patterns of the canonical form (the same in Java and RE2).
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(?:copyright|\(c\)|©)[^\n]*$"
-SEPARATORS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f\x{a0}\x{a9}\x{ab}\x{bb}\x{2010}-\x{2027}]+"
-# Equivalent spellings, each as whole words of the canonical form.
+SEPARATORS = r"[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f\x{a0}\x{a9}\x{ab}\x{bb}\x{2010}-\x{2027}]+"
+# Equivalent spellings of single words of the canonical form.
 SPELLINGS = (
-    ("licence", "license"), ("sub license", "sublicense"), ("sub licensed", "sublicensed"),
-    ("acknowledgement", "acknowledgment"), ("whilst", "while"), ("wilful", "willful"),
-    ("non infringement", "noninfringement"), ("non commercial", "noncommercial"),
-    ("per cent", "percent"), ("https", "http"), ("v2", "version 2"), ("v3", "version 3"),
+    ("licence", "license"), ("licences", "licenses"), ("sublicense", "sub license"),
+    ("sublicence", "sub license"), ("sublicensed", "sub licensed"), ("acknowledgement", "acknowledgment"),
+    ("whilst", "while"), ("wilful", "willful"), ("noninfringement", "non infringement"),
+    ("noncommercial", "non commercial"), ("percent", "per cent"), ("https", "http"),
 )
 IZE = r"\b(authori|organi|recogni|utili|initiali|customi)s(e|ed|es|ing|ation|ations)\b"
 
@@ -84,23 +85,27 @@ specific language governing permissions and limitations under the License."""),
 )
 
 
-def canonical(text: Column) -> Column:
-    out = F.translate(text, UPPER, LOWER)
-    out = F.regexp_replace(out, COPYRIGHT_LINE, "")
+def canonical_lines(text: Column) -> Column:
+    """array<string>: the canonical form of every line that has words."""
+    out = F.replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), F.lit("\n"), F.lit(" \n "))
     out = F.concat(F.lit(" "), F.regexp_replace(out, SEPARATORS, " "), F.lit(" "))
     for spelled, unified in SPELLINGS:
         out = F.replace(out, F.lit(f" {spelled} "), F.lit(f" {unified} "))
-    return F.trim(F.regexp_replace(out, IZE, "$1z$2"))
+    lines = F.split(F.regexp_replace(out, IZE, "$1z$2"), "\n", -1)
+    return F.filter(F.transform(lines, lambda x: F.trim(x)), lambda line: line != "")
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text).cast("binary"), 256)
+def digests(lines: str) -> Column:
+    """The digest of the whole text, then one per line."""
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return F.concat(F.array(sha(F.array_join(lines, " "))), F.transform(lines, sha))
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license), one row per distinct digest."""
-    rows = spark.createDataFrame(list(known), "license string, text string")
-    return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license").alias("license"))
+    """(digest, found), one row per distinct digest."""
+    rows = spark.createDataFrame(list(known), "license string, text string") \
+        .select("license", canonical_lines(F.col("text")).alias("lines"))
+    return rows.groupBy(F.get(digests("lines"), F.lit(0)).alias("digest")).agg(F.min("license").alias("found"))
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=KNOWN) -> DataFrame:
@@ -108,16 +113,13 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     (or null), the number of its lines that are known notices and their
     licences, sorted and joined by ``;`` (empty: none)."""
     table = F.broadcast(known_digests(docs.sparkSession, known))  # fixed list: tens of rows
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    whole = rows.select("doc_id", digest(F.col("text")).alias("text_digest")) \
-        .join(table.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
-    lines = rows.select("doc_id", F.explode(F.split("text", "\n", -1)).alias("line")) \
-        .select("doc_id", digest(F.col("line")).alias("digest")).join(table, "digest") \
-        .select("doc_id", F.lit(None).cast("string").alias("text_digest"),
-                F.lit(None).cast("string").alias("license"), F.col("license").alias("notice"))
-    both = whole.select("doc_id", "text_digest", "license", F.lit(None).cast("string").alias("notice"), F.lit(1).alias("doc")) \
-        .unionByName(lines.withColumn("doc", F.lit(0)))
-    return both.groupBy("doc_id").agg(
-        F.max("text_digest").alias("text_digest"), F.max("license").alias("license"),
-        F.count("notice").alias("n_notice_lines"),
-        F.array_join(F.sort_array(F.collect_set("notice")), ";").alias("notice_licenses"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
+    looked = rows.select("doc_id", F.posexplode_outer(digests("lines")).alias("pos", "digest")) \
+        .join(table, "digest", "left")
+    whole = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    looked = looked.where(whole | F.col("found").isNotNull())  # a row per document and found notice goes on
+    return looked.groupBy("doc_id").agg(
+        F.max(F.when(whole, F.col("digest"))).alias("text_digest"),
+        F.max(F.when(whole, F.col("found"))).alias("license"),
+        F.count(F.when(~whole, F.col("found"))).alias("n_notice_lines"),
+        F.array_join(F.sort_array(F.collect_set(F.when(~whole, F.col("found")))), ";").alias("notice_licenses"))

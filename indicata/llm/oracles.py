@@ -11,25 +11,24 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _canonical(column: str) -> str:
-    out = f"regexp_replace(translate({column}, {AZ}), {_text(COPYRIGHT_LINE)}, '', 'g')"
+def _lines(column: str) -> str:
+    out = f"replace(regexp_replace(lower({column}), {_text(COPYRIGHT_LINE)}, '', 'g'), chr(10), ' ' || chr(10) || ' ')"
     out = f"' ' || regexp_replace({out}, {_text(SEPARATORS)}, ' ', 'g') || ' '"
     for spelled, unified in SPELLINGS:
         out = f"replace({out}, ' {spelled} ', ' {unified} ')"
-    return f"sha256(trim(regexp_replace({out}, {_text(IZE)}, '\\1z\\2', 'g')))"
+    out = f"string_split(regexp_replace({out}, {_text(IZE)}, '\\1z\\2', 'g'), chr(10))"
+    return f"list_filter(list_transform({out}, lambda x: trim(x)), lambda x: x <> '')"
 
 
 LICENSE_SCAN = f"""
 WITH known AS (
-  SELECT {_canonical('text')} AS digest, min(license) AS license
+  SELECT sha256(array_to_string({_lines('text')}, ' ')) AS digest, min(license) AS license
   FROM (VALUES {', '.join(f'({_text(a)}, {_text(b)})' for a, b in KNOWN)}) AS t(license, text) GROUP BY 1),
-whole AS (SELECT doc_id, {_canonical('text')} AS text_digest FROM documents),
-lines AS (
-  SELECT doc_id, {_canonical('line')} AS digest
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+cut AS (SELECT doc_id, {_lines('text')} AS lines FROM documents),
+whole AS (SELECT doc_id, sha256(array_to_string(lines, ' ')) AS text_digest FROM cut),
 notices AS (
   SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ';' ORDER BY license) AS names
-  FROM lines JOIN known USING (digest) GROUP BY doc_id)
+  FROM (SELECT doc_id, sha256(unnest(lines)) AS digest FROM cut) JOIN known USING (digest) GROUP BY doc_id)
 SELECT w.doc_id, w.text_digest, k.license AS license, coalesce(n.n, 0) AS n_notice_lines,
        coalesce(n.names, '') AS notice_licenses
 FROM whole w LEFT JOIN known k ON k.digest = w.text_digest LEFT JOIN notices n ON n.doc_id = w.doc_id

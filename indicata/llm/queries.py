@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import chat, licenses, oracles, packing, url_filter
+from indicata.llm import chat, decontam, jaccard, licenses, oracles, packing, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(1).select(F.explode(F.array(
@@ -44,6 +52,8 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_license_scan": op2_license_scan,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_decontaminate": op4_decontaminate,
     "op6_chat_format": op6_chat_format,
     "op7_url_filter": op7_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
