@@ -34,6 +34,21 @@ SELECT w.doc_id, w.text_digest, k.license AS license, coalesce(n.n, 0) AS n_noti
 FROM whole w LEFT JOIN known k ON k.digest = w.text_digest LEFT JOIN notices n ON n.doc_id = w.doc_id
 """
 
+# Five bits of the digest at a time; the alphabet is that of base32.
+_BITS = "+".join(f"{1 << (4 - k)} * substr(bits, 5 * i + {k + 1}, 1)::INT" for k in range(5))
+WARC_SALVAGE = f"""
+WITH pays AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+sized AS (
+  SELECT page_id, strlen(html) AS payload_bytes, unhex(sha1(html))::BIT::VARCHAR AS bits,
+         max(page_id) OVER (PARTITION BY html) AS first FROM pays)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + {_BITS})::BIGINT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM sized
+"""
+
 _CONTROL = r"\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<s>|</s>|\[ROLE\]|\[/ROLE\]"
 CHAT_FORMAT = f"""
 WITH turns AS (

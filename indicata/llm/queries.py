@@ -6,13 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import chat, decontam, jaccard, licenses, oracles, packing, url_filter
+from indicata.llm import chat, decontam, jaccard, licenses, oracles, packing, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_salvage": op1_warc_salvage,
     "op2_license_scan": op2_license_scan,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
@@ -59,6 +64,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
 }
 ORACLES = {
+    "op1_warc_salvage": oracles.WARC_SALVAGE,
     "op2_license_scan": oracles.LICENSE_SCAN,
     "op6_chat_format": oracles.CHAT_FORMAT,
     "op7_url_filter": oracles.URL_FILTER,
