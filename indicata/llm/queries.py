@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import chat, decontam, jaccard, licenses, oracles, packing, url_filter, warc
+from indicata.llm import chat, decontam, jaccard, licenses, oracles, packing, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(docs, toxicity.train_model(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(1).select(F.explode(F.array(
@@ -59,6 +64,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
+    "op5_toxicity": op5_toxicity,
     "op6_chat_format": op6_chat_format,
     "op7_url_filter": op7_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
