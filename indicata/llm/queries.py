@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import chat, decontam, jaccard, licenses, oracles, packing, toxicity, url_filter, warc
+from indicata.llm import chat, decontam, embed_dedup, jaccard, licenses, lm_score, oracles, packing, toxicity, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc_salvage": op1_warc_salvage,
     "op2_license_scan": op2_license_scan,
@@ -68,6 +76,8 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_url_filter": op7_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
+    "op10_lattice_likelihood": op10_lattice_likelihood,
 }
 ORACLES = {
     "op1_warc_salvage": oracles.WARC_SALVAGE,
