@@ -44,6 +44,7 @@ from indicata.llm.store import written
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9995, 160
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2_000_000
+BITMAP_BITS = 1 << 28  # 32 MB
 
 
 def choose_bands(threshold: float, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -104,21 +105,43 @@ def _digests(flat: pa.Array, offsets: np.ndarray) -> pa.Array:
     return pa.array([xxhash.xxh3_128_digest(t) if t else None for t in joined.to_pylist()], pa.binary())
 
 
-def gram_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, found, grams): digest and sorted distinct n-gram hashes of
-    (node, text) rows."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, "text"):
-            flat, offsets = words(b["text"])
-            grams, at = shingle_hashes(hash_words(flat), offsets, n)
-            sets = [np.unique(grams[lo:hi]).view(np.int64) for lo, hi in zip(at, at[1:])]
-            ends = np.cumsum([0, *map(len, sets)])
-            values = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            cells = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
-            yield pa.RecordBatch.from_arrays([b["node"], _digests(flat, offsets), cells],
-                                             names=["node", "found", "grams"])
+def member_bitmap(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bitmap of the hashes of ``ids.doc_id``, 64 bits per id up to
+    ``BITMAP_BITS``: a filter of bounded size that never misses a member."""
+    n = ids.count()
+    bits = min(BITMAP_BITS, max(1 << 16, 1 << (64 * n).bit_length()))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    cells = ids.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("cell")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(at & 63 AS INT))")).alias("word")).toArrow()
+    words_ = np.zeros(bits // 64, np.int64)
+    words_[cells["cell"].to_numpy()] = cells["word"].to_numpy()
+    return words_.view(np.uint64), bits
 
-    return docs.mapInArrow(run, "node bigint, found binary, grams array<bigint>")
+
+def gram_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(doc_id, found, grams): digest and sorted distinct n-gram hashes of the
+    documents in ``ids`` (and of a few others that the bitmap cannot tell apart);
+    the texts are read where they are and never shuffled."""
+    bitmap, bits = member_bitmap(ids)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # BITMAP_BITS at most
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch["at"].to_numpy()
+            maybe = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            for b in chunks([batch.filter(pa.array(maybe.astype(bool)))], "text"):
+                flat, offsets = words(b["text"])
+                grams, starts = shingle_hashes(hash_words(flat), offsets, n)
+                sets = [np.unique(grams[lo:hi]).view(np.int64) for lo, hi in zip(starts, starts[1:])]
+                ends = np.cumsum([0, *map(len, sets)])
+                values = np.concatenate(sets) if sets else np.empty(0, np.int64)
+                cells = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+                yield pa.RecordBatch.from_arrays([b["doc_id"], _digests(flat, offsets), cells],
+                                                 names=["doc_id", "found", "grams"])
+
+    placed = docs.where("doc_id IS NOT NULL").select(
+        "doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("at"))
+    return placed.mapInArrow(run, "doc_id bigint, found binary, grams array<bigint>")
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,
@@ -159,9 +182,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _with_sets(docs: DataFrame, own: DataFrame, n: int) -> DataFrame:
     """The candidate classes with the n-gram set of their text, read again
     for these classes only (of rows sharing an id, the one with the class's words)."""
-    texts = docs.join(own.select("node", F.col("rep").alias("doc_id")), "doc_id").select("node", "text")
-    sets = gram_sets(texts, n)
-    same = own.drop("rep").join(sets, "node").where("found = digest").drop("found", "digest")
+    own = own.withColumnRenamed("rep", "doc_id")
+    same = own.join(gram_sets(docs, own, n), "doc_id").where("found = digest").drop("doc_id", "found", "digest")
     return same.dropDuplicates(["node"]).withColumn("size", F.size("grams"))
 
 
