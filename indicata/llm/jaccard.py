@@ -37,6 +37,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from indicata.llm.components import components
 from indicata.llm.shingles import chunks, hash_words, mix, shingle_hashes, words
@@ -148,8 +149,57 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per document: doc_id, class_id (the smallest id reachable by
     links, itself included), n_links (other documents linked directly)."""
-    bands, rows = choose_bands(threshold, recall)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    known = F.col("doc_id").isNotNull()
+    return _classified(docs, n, threshold, recall).select(
+        "doc_id", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"),
+        F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"))
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NGRAM,
+                threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs``, all columns, one of each group of linked documents:
+    the one with the smallest id.  Texts without words and rows with a null id stay.
+
+    Only documents that may have to go (by a bitmap of their ids) are shuffled."""
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"),
+                       docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    seen = written(_classified(rows.select("doc_id", "text"), n, threshold, recall), "classified")
+    first = (F.col("doc_id") == F.col("class_id")) & (F.col("digest") == F.col("keeper"))
+    texts = seen.where("class_id IS NOT NULL").groupBy("doc_id", "digest").agg(
+        F.max(first).alias("first"), F.count("*").alias("rows"))
+    act = written(texts.where("NOT first OR rows > 1").select("doc_id", "digest", "first"), "not-first")
+    bitmap, bits = member_bitmap(act)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # BITMAP_BITS at most
+    placed = rows.withColumn("at", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(bits)), F.lit(-1).cast("long")))
+
+    def split(maybe: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = batch["at"].to_numpy()
+                hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+                hit = hit.astype(bool) & (at >= 0)
+                if not maybe:
+                    yield pa.RecordBatch.from_arrays([batch["row"].filter(pa.array(~hit))], names=["row"])
+                    continue
+                for b in chunks([batch.filter(pa.array(hit))], "text"):
+                    yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], _digests(*words(b["text"]))],
+                                                     names=["row", "doc_id", "digest"])
+        return run
+
+    sure = placed.mapInArrow(split(False), StructType([rows.schema["row"]]))
+    unsure = placed.mapInArrow(split(True), StructType([rows.schema["row"], StructField("doc_id", LongType()), StructField("digest", BinaryType())]))
+    judged = unsure.join(act, ["doc_id", "digest"], "left")
+    stay = judged.where(F.col("first").isNull()).select("row")
+    once = judged.where("first").dropDuplicates(["doc_id", "digest"]).select("row")
+    return sure.unionByName(stay).unionByName(once).select("row.*")
+
+
+def _classified(docs: DataFrame, n: int, threshold: float, recall: float) -> DataFrame:
+    """(doc_id, digest, class_id, keeper, n_links) per row; ``keeper`` is the digest
+    of the words of the group's first document.  Null past ``digest`` where
+    the id is null or the text has no words."""
+    bands, rows = choose_bands(threshold, recall)
     signed = written(signatures(docs, "doc_id", "text", n, bands, rows), "signatures")
     # The node number is written with the class, so it is fixed from here on.
     classes = written(signed.where("doc_id IS NOT NULL AND digest IS NOT NULL").groupBy("digest").agg(
@@ -169,14 +219,13 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = written(classes.select("node", "digest", "rep", "copies").join(group, "node", "left")
                      .join(degree, "node", "left"), "placed")
     least = written(placed.where("component IS NOT NULL").groupBy("component")
-                    .agg(F.min("rep").alias("least")), "least")
+                    .agg(F.min(F.struct("rep", "digest")).alias("least")), "least")
     per_class = written(placed.join(least, "component", "left").select(
-        "digest", F.coalesce("least", "rep").alias("class_id"),
+        "digest", F.coalesce("least.rep", "rep").alias("class_id"), F.coalesce("least.digest", "digest").alias("keeper"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "per-class")
+    found = signed.select("doc_id", "digest").join(per_class, "digest", "left")
     known = F.col("doc_id").isNotNull()
-    return signed.select("doc_id", "digest").join(per_class, "digest", "left").select(
-        "doc_id", F.when(known, F.coalesce("class_id", "doc_id")).alias("class_id"),
-        F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"))
+    return found.select("doc_id", "digest", *(F.when(known, F.col(c)).alias(c) for c in ("class_id", "keeper", "n_links")))
 
 
 def _with_sets(docs: DataFrame, own: DataFrame, n: int) -> DataFrame:
