@@ -9,8 +9,8 @@ alone (``i d i o t``) are joined to one word first.  The two ends of a word coun
 as letters.
 
 Nystrom landmarks: words of the training sentences (the most telling words of
-toxic ones, spread by kernel distance, and common clean words) span the
-feature space: phi(w) = K(w, landmarks) K(landmarks, landmarks)^(-1/2).
+toxic ones, spread by kernel distance, common clean words, and the clean words
+that a first fit finds nearest to toxic ones) span the feature space: phi(w) = K(w, landmarks) K(landmarks, landmarks)^(-1/2).
 
 Training: labels belong to texts, so a text is a bag of words and its score is
 that of its worst word (multiple-instance support vector machine): the
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from indicata.llm.shingles import chunks
 
-SAMPLE, NEGATIVES, HARD = 2000, 40_000, 2000  # training texts per class, clean words, hard ones per round
+SAMPLE, NEGATIVES, HARD = 1500, 24_000, 1500  # training texts per class, clean words, hard ones per round
 LANDMARKS, SPAN, DECAY = 160, 5, 0.5
 FOLDS = 5
 LETTERS = 60  # letters told apart; all others count as one more, in no landmark
@@ -116,6 +116,7 @@ class Model:
         m = len(landmarks)
         word, code, weight = self.subsequences(pa.array(landmarks, pa.string()))
         seen = np.unique(code)
+        self.row[:] = 0
         self.row[seen] = np.arange(1, len(seen) + 1)
         values = np.zeros((len(seen) + 1, m), np.float64)
         np.add.at(values, (self.row[code], word), weight)
@@ -129,7 +130,10 @@ class Model:
 
     def kernel(self, words: pa.Array) -> np.ndarray:
         """K(word, landmark), each word scaled to the length of its own subsequences."""
-        return self._sums(words, self.values)
+        out = np.zeros((len(words), self.values.shape[1]), np.float32)
+        for lo in range(0, len(words), 2048):  # bounded work space
+            out[lo: lo + 2048] = self._sums(words.slice(lo, 2048), self.values)
+        return out
 
     def _sums(self, words: pa.Array, values: np.ndarray) -> np.ndarray:
         n = len(words)
@@ -156,7 +160,8 @@ class Model:
     def word_scores(self, words: pa.Array) -> np.ndarray:
         """The machine's value per word: linear in the kernel, so the weights
         are applied to the subsequences once and for all."""
-        return self._sums(words, self.per_code) + self.bias
+        parts = [self._sums(words.slice(lo, 8192), self.per_code) for lo in range(0, len(words), 8192)]
+        return np.concatenate(parts) + self.bias if parts else np.empty(0)
 
     def bag_scores(self, texts: pa.Array) -> np.ndarray:
         """The value of the worst word of each text."""
@@ -177,13 +182,13 @@ class Model:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, steps: int = 25) -> tuple[np.ndarray, float]:
     """Linear machine with squared hinge loss by Newton steps; y is +1 or -1."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-3
     for _ in range(steps):
         active = y * (x @ w) < 1
-        xa, wa = x[active], weight[active] * c
+        xa, wa = x[active].astype(np.float64), weight[active] * c
         new = np.linalg.solve(ridge + xa.T @ (xa * wa[:, None]), xa.T @ (wa * y[active]))
         if np.allclose(new, w, atol=1e-7):
             break
@@ -222,16 +227,11 @@ def train(toxic: list[str], clean: list[str]) -> Model | None:
     log = lambda x: np.log(np.maximum(x, 1e-12))
     telling = tox_df * log(tox_df / (n * share)) + other * log(other / (n * (1 - share)))
     telling = np.where(tox_df > n * share, telling, 0) - np.log(len(names) + 1) - 2
-    word, _, _ = model.subsequences(tox_words)
-    telling[np.bincount(word, minlength=len(names)) == 0] = -np.inf
-    ranked = [i for i in np.lexsort((names, -telling)) if np.isfinite(telling[i])][: 6 * LANDMARKS]
+    telling[~np.asarray(pc.match_substring_regex(tox_words, r"\p{L}")).astype(bool)] = -np.inf
+    ranked = [i for i in _ordered(tox_words, -telling) if np.isfinite(telling[i])][: 6 * LANDMARKS]
     sure = [i for i in ranked if telling[i] > 0]
     floor = 0.0 if sure else -np.inf  # a toxic text without a telling word teaches nothing
-    common = [clean_words[int(i)].as_py() for i in np.lexsort((clean_words.to_pylist(), -clean_df))[:LANDMARKS // 4]]
-    model.set_landmarks(_spread(model, [names[i] for i in sure or ranked], LANDMARKS - len(common)) + common)
-
-    tox_x, clean_x = model.features(tox_words), model.features(clean_words)
-    order = np.lexsort((clean_words.to_pylist(), -clean_df))
+    order = _ordered(clean_words, -clean_df)
     frequent, rest = order[: NEGATIVES // 2], order[NEGATIVES // 2:]
     negatives = np.concatenate([frequent, rest[:: max(1, len(rest) // (NEGATIVES // 2) + 1)]])
     taught = np.array([len(b) > 0 and telling[b].max() > floor for b in tox_bags])
@@ -240,20 +240,28 @@ def train(toxic: list[str], clean: list[str]) -> Model | None:
     bags = [b for b, ok in zip(tox_bags, taught) if ok]
     told = np.array(sure, np.int64)  # every telling word is a witness, and each text's worst
     witness = np.unique([b[np.argmax(telling[b])] for b in bags])
-    for _ in range(4):
-        used = np.union1d(told, witness)
-        x = np.vstack([tox_x[used], clean_x[negatives]])
-        y = np.concatenate([np.ones(len(used)), -np.ones(len(negatives))])
-        seen = np.concatenate([tox_df[used], clean_df[negatives]]) ** 0.5
-        weight = seen * np.where(y > 0, 2_000 / seen[y > 0].sum(), 20_000 / seen[y < 0].sum())
-        w, bias = fit_svm(x, y, weight)
-        score = tox_x @ w + bias
-        hard = np.argsort(-(clean_x @ w), kind="stable")[:HARD]  # the clean words nearest to toxic ones
-        before, witness = witness, np.unique([b[np.argmax(score[b])] for b in bags])
-        if np.array_equal(before, witness) and np.isin(hard, negatives).all():
-            break
-        negatives = np.union1d(negatives, hard)
-    model.set_weights(w, bias)
+    landmarks = _spread(model, [names[i] for i in sure or ranked], LANDMARKS // 2)
+    landmarks += [clean_words[int(i)].as_py() for i in order[: LANDMARKS // 4]]
+    for phase in range(2):
+        model.set_landmarks(landmarks)
+        for _ in range(4):
+            used = np.union1d(told, witness)
+            x = model.features(pa.chunked_array([tox_words.take(pa.array(used)), clean_words.take(pa.array(negatives))])
+                               .combine_chunks())
+            y = np.concatenate([np.ones(len(used)), -np.ones(len(negatives))])
+            seen = np.concatenate([tox_df[used], clean_df[negatives]]) ** 0.5
+            weight = seen * np.where(y > 0, 2_000 / seen[y > 0].sum(), 20_000 / seen[y < 0].sum())
+            w, bias = fit_svm(x, y, weight)
+            model.set_weights(w, bias)
+            score = model.word_scores(tox_words)
+            hard = np.argsort(-model.word_scores(clean_words), kind="stable")[:HARD]  # the clean words nearest to toxic ones
+            before, witness = witness, np.unique([b[np.argmax(score[b])] for b in bags])
+            if np.array_equal(before, witness) and np.isin(hard, negatives).all():
+                break
+            negatives = np.union1d(negatives, hard)
+        if phase == 0:  # the hard clean words become landmarks as well
+            near = [clean_words[int(i)].as_py() for i in hard]
+            landmarks += [v for v in _spread(model, near, LANDMARKS // 4) if v not in landmarks]
     model.empty = float(min(bias, -1.0))
     z = np.concatenate([model.bag_scores(pa.array(toxic, pa.string())), model.bag_scores(pa.array(clean, pa.string()))])
     y = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
@@ -261,6 +269,12 @@ def train(toxic: list[str], clean: list[str]) -> Model | None:
     return model
 
 
+def _ordered(words: pa.Array, value: np.ndarray) -> np.ndarray:
+    """Numbers of the words by value, then by spelling."""
+    keys = pa.table({"value": pa.array(value), "word": words})
+    return pc.sort_indices(keys, sort_keys=[("value", "ascending"), ("word", "ascending")]).to_numpy().astype(np.int64)
+
+
 def _copy_shares(bags: list[np.ndarray]) -> np.ndarray:
     """1 / (texts that are near copies of it, itself included) per text, so that
     a text found many times counts once.  Copies are looked for among the texts
