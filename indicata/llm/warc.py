@@ -46,6 +46,7 @@ READ_BYTES = 1 << 20
 # Fixed values of the WARC format.
 VERSION = b"WARC/1.1\r\n"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 GZIP_MAGIC = b"\x1f\x8b\x08"
 END = b"\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -186,6 +187,8 @@ def parse_head(data: bytes) -> tuple[dict[str, str], int]:
     stop = data.find(END)
     if stop < 0:
         raise Damaged("header does not end")
+    if CONTROL.search(data, 0, stop):
+        raise Damaged("control bytes in the header")
     fields: dict[str, str] = {}
     for line in data[:stop].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
