@@ -8,8 +8,6 @@ itself is left on.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,7 +17,8 @@ ColumnOrName = Column | str
 # rounds the shortest decimal text of the double, other engines round the
 # binary value, and the two disagree on ties such as 1.005.  A decimal with
 # ten places absorbs last-bit noise from summation order, then HALF_UP
-# (away from zero) rounding gives one answer everywhere.
+# (away from zero) rounding gives one answer everywhere.  Values outside the
+# decimal's range, NaN and infinities are rounded as doubles.
 ROUNDING_TYPE = "decimal(38,10)"
 
 
@@ -44,21 +43,18 @@ def parse_decimal_comma(c: ColumnOrName, dtype: str = "float") -> Column:
 
 def round_half_up(c: ColumnOrName, scale: int = 2) -> Column:
     """Round half away from zero to ``scale`` places, result double (F2)."""
-    return F.round(_col(c).cast(ROUNDING_TYPE), scale).cast("double")
+    exact = F.round(_col(c).try_cast(ROUNDING_TYPE), scale).cast("double")
+    return F.coalesce(exact, F.round(_col(c).cast("double"), scale))
 
 
-def scale_and_round(c: ColumnOrName, factor: float | str | Decimal, scale: int = 2) -> Column:
+def scale_and_round_col(c: ColumnOrName, factor: ColumnOrName, scale: int = 2) -> Column:
     """``round(c * factor, scale)`` with the product taken in decimal (F8).
 
     The factor is used as the decimal written, so 0.1 is exactly one tenth.
     """
-    factor_dec = Decimal(str(factor))
-    return F.round(_col(c).cast(ROUNDING_TYPE) * F.lit(factor_dec), scale).cast("double")
-
-
-def scale_and_round_col(c: ColumnOrName, factor: ColumnOrName, scale: int = 2) -> Column:
-    """Same as :func:`scale_and_round` with the factor taken from a column."""
-    return F.round(_col(c).cast(ROUNDING_TYPE) * _col(factor).cast("decimal(12,6)"), scale).cast("double")
+    number, by = _col(c), _col(factor).cast("decimal(12,6)")
+    exact = F.round(F.try_multiply(number.try_cast(ROUNDING_TYPE), by), scale).cast("double")
+    return F.coalesce(exact, F.round(number.cast("double") * by.cast("double"), scale))
 
 
 def truncate_to_long(c: ColumnOrName) -> Column:

@@ -13,18 +13,17 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# The token pattern of the source format, and the same rule
-# written with possessive quantifiers.  Java's regex engine recurses on the
-# plain form and overflows its stack on a field of ~30,000 characters; the
-# possessive form does not backtrack and gives the same tokens on
-# well-formed lines.
-QUOTED_TOKEN_PATTERN = r'(?:[^,"]|"(?:\\.|[^"])*")+'
+# Fixed value: the token pattern of the source format, written with possessive
+# quantifiers.  Java's regex engine recurses on the plain form and overflows
+# its stack on a field of ~30,000 characters; the possessive form does not
+# backtrack and gives the same tokens on well-formed lines.
 QUOTED_TOKEN_PATTERN_POSSESSIVE = r'(?:[^,"]|"[^"\\]*+(?:\\.[^"\\]*+)*+")++'
 
-# CSV fields, empty ones kept: each match starts at the line start or at a
-# separating comma and captures the field (runs of non-comma characters and
-# quoted sections, possessive so a long field cannot backtrack).
-CSV_FIELD_PATTERN = r'(?:^|,)((?:[^,"]|"[^"]*+")*+)'
+# CSV fields, empty ones kept, of a line with a comma put in front: each match
+# starts at a separating comma and captures the field (runs of non-comma
+# characters, quoted sections, a quote that is never closed; possessive so a
+# long field cannot backtrack).
+CSV_FIELD_PATTERN = r',((?:[^,"]++|"[^"]*+"|")*+)'
 
 # Outer whitespace as Python's str.strip sees it (Unicode white space and
 # the four ASCII separator controls).
@@ -43,7 +42,7 @@ def split_quoted(c: ColumnOrName, keep_empty: bool = False) -> Column:
     'a,,b' -> ['a', '', 'b'], a trailing comma adds an empty last field).
     """
     if keep_empty:
-        return F.regexp_extract_all(_col(c), F.lit(CSV_FIELD_PATTERN), 1)
+        return F.regexp_extract_all(F.concat(F.lit(","), _col(c)), F.lit(CSV_FIELD_PATTERN), 1)
     return F.regexp_extract_all(_col(c), F.lit(QUOTED_TOKEN_PATTERN_POSSESSIVE), 0)
 
 

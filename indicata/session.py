@@ -44,8 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    folder is made and registered as the checkpoint folder.
+    Read from the session; only when it is unset and everything runs in one
+    process (a ``local`` master) a fresh folder is made and registered as the
+    checkpoint folder.
     """
     try:
         sc = spark.sparkContext
@@ -53,6 +54,9 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     base = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not base:
+        master = (spark.conf.get("spark.master", None) or "") if sc is None else sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="indicata-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         # DataFrame.checkpoint() needs the context's folder; keep it in step
@@ -66,20 +70,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/landing/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can open local paths."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def ensure_utc(spark: SparkSession) -> None:
-    """Text -> timestamp casts are read in the session zone; pipelines that
-    parse dates call this so results do not depend on the host's zone."""
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
-__all__ = ["local_session", "shared_dir", "scratch_path", "local_fs_path", "ensure_utc"]
+__all__ = ["local_session", "shared_dir", "scratch_path"]

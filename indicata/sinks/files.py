@@ -7,18 +7,24 @@ from pyspark.sql import functions as F
 
 from indicata.sources.csv import read_csv_text
 
-# Fixed text formats for dates written to CSV.
-TIMESTAMP_TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Fixed text format for dates written to CSV.
 DATE_TEXT_FORMAT = "yyyy-MM-dd"
 
 
+_TIMESTAMPS = ("timestamp", "timestamp_ntz")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",",
               header: bool = True) -> None:
     """Header CSV directory, replaced on every run (K1).  One file per task;
-    timestamps written as 'yyyy-MM-dd HH:mm:ss'."""
-    (df.write.mode(mode).option("header", header).option("sep", sep)
-     .option("timestampFormat", TIMESTAMP_TEXT_FORMAT)
-     .option("timestampNTZFormat", TIMESTAMP_TEXT_FORMAT)
+    timestamps written as 'yyyy-MM-dd HH:mm:ss', with the fraction of a second
+    if there is one.  A table without columns lands as an empty file."""
+    if not df.columns:
+        df.sparkSession.createDataFrame([], "line string").coalesce(1).write.mode(mode).text(path)
+        return
+    cols = [F.col(f"`{f.name}`").cast("string").alias(f.name) if f.dataType.typeName() in _TIMESTAMPS
+            else F.col(f"`{f.name}`") for f in df.schema.fields]
+    (df.select(*cols).write.mode(mode).option("header", header).option("sep", sep)
      .option("dateFormat", DATE_TEXT_FORMAT)
      .csv(path))
 
@@ -37,9 +43,7 @@ def as_text_table(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         name = field.name
         type_name = field.dataType.typeName()
-        if type_name in ("timestamp", "timestamp_ntz"):
-            text = F.date_format(F.col(name), TIMESTAMP_TEXT_FORMAT)
-        elif type_name == "date":
+        if type_name == "date":
             text = F.date_format(F.col(name), DATE_TEXT_FORMAT)
         else:
             text = F.col(name).cast("string")

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from indicata.functions import (clean_tokens, field_by_name, file_stem, format_day,
                                 parse_decimal_comma, parse_timestamp, percent_change,
-                                round_half_up, scale_and_round, split_quoted, to_number,
+                                round_half_up, scale_and_round_col, split_quoted, to_number,
                                 truncate_to_long)
-from indicata.functions.tokens import QUOTED_TOKEN_PATTERN
 from tests.conftest import rows
 
+# Fixed value: the plain token pattern of the source format.
+QUOTED_TOKEN_PATTERN = r'(?:[^,"]|"(?:\\.|[^"])*")+'
+
 
 def test_decimal_comma(spark):
     df = spark.createDataFrame([("100,0",), ("1,5",), ("///",), ("1.234,5",), ("",), (None,)], "t string")
@@ -27,9 +29,17 @@ def test_round_half_up(spark, value, expected):
     assert rows(df.select(round_half_up("x")))[0][0] == expected
 
 
+def test_rounding_outside_the_decimal_range(spark):
+    df = spark.createDataFrame([(3e28,), (float("nan"),), (float("inf"),), (-1e300,)], "x double")
+    got = [r[0] for r in rows(df.select(round_half_up("x")))]
+    assert got[0] == 3e28 and got[1] != got[1] and got[2:] == [float("inf"), -1e300]
+    scaled = [r[0] for r in rows(df.select(scale_and_round_col("x", F.lit("0.5"))))]
+    assert scaled[0] == 1.5e28 and scaled[1] != scaled[1] and scaled[2:] == [float("inf"), -5e299]
+
+
 def test_scale_and_round_exact_tenths(spark):
     df = spark.createDataFrame([(150.15,), (45.05,), (3.0,)], "x double")
-    got = [r[0] for r in rows(df.select(scale_and_round("x", "0.1")))]
+    got = [r[0] for r in rows(df.select(scale_and_round_col("x", F.lit("0.1"))))]
     assert got == [15.02, 4.51, 0.3]
 
 
@@ -112,6 +122,10 @@ def test_file_stem(spark):
     ('"Bahamas, The","BHS","",', ["Bahamas, The", "BHS", "", ""]),
     ('"say ""hi""",x', ["say hi", "x"]),
     ('x', ["x"]),
+    (',a,b', ["", "a", "b"]),
+    (',', ["", ""]),
+    ('', [""]),
+    ('a"b,c', ["ab", "c"]),
 ])
 def test_split_keep_empty_fields(spark, line, expected):
     df = spark.createDataFrame([(line,)], "line string")

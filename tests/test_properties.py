@@ -6,11 +6,14 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from indicata.functions import parse_decimal_comma, round_half_up, scale_and_round, split_quoted
-from indicata.functions.tokens import QUOTED_TOKEN_PATTERN
+from indicata.functions import parse_decimal_comma, round_half_up, scale_and_round_col, split_quoted
 from tests.conftest import rows
 
+# Fixed value: the plain token pattern of the source format.
+QUOTED_TOKEN_PATTERN = r'(?:[^,"]|"(?:\\.|[^"])*")+'
+
 SETTINGS = settings(max_examples=15, deadline=None)
 
 cents = st.integers(min_value=-10**9, max_value=10**9)
@@ -32,7 +35,7 @@ def test_round_half_up_of_exact_quotients(spark, pairs):
 def test_scale_and_round_is_exact_decimal(spark, values, factor):
     xs = [Decimal(v) / 100 for v in values]
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
-    got = [r[0] for r in rows(df.select(scale_and_round("x", factor)))]
+    got = [r[0] for r in rows(df.select(scale_and_round_col("x", F.lit(factor))))]
     want = [float((x * Decimal(factor)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for x in xs]
     assert got == want
 
@@ -64,3 +67,20 @@ def test_tokens_equal_source_rule_on_quote_balanced_lines(spark, lines):
     df = spark.createDataFrame([(ln,) for ln in lines], "line string")
     got = [r[0] for r in rows(df.select(split_quoted("line")))]
     assert got == [re.findall(QUOTED_TOKEN_PATTERN, ln) for ln in lines]
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.text(alphabet='ab ,"', max_size=6), min_size=1, max_size=6), min_size=1, max_size=30))
+def test_keep_empty_fields_equal_pythons_csv(spark, records):
+    import csv
+    import io
+
+    lines = []
+    for r in records:
+        out = io.StringIO()
+        csv.writer(out, quoting=csv.QUOTE_MINIMAL, lineterminator="").writerow(r)
+        lines.append(out.getvalue())
+    df = spark.createDataFrame([(ln,) for ln in lines], "line string")
+    got = [r[0] for r in rows(df.select(split_quoted("line", keep_empty=True)))]
+    plain = [[f[1:-1].replace('""', '"') if f.startswith('"') else f for f in r] for r in got]
+    assert plain == [next(csv.reader([ln]), [""]) or [""] for ln in lines]

@@ -12,8 +12,9 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, ckpt=None):
+    def __init__(self, ckpt=None, master="local[2]"):
         self.ckpt = ckpt
+        self.master = master
         self.set_calls = []
 
     def getCheckpointDir(self):
@@ -52,3 +53,13 @@ def test_local_fallback_when_unset():
 def test_real_session_has_folder(spark):
     assert shared_dir(spark)
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_no_local_fallback_on_a_cluster():
+    import pytest
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x"):
+        s = _Session(None)
+        s.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(s)
