@@ -1,25 +1,40 @@
 """Land data derived from the driver tables in the shapes the sources read.
 
 Everything is written by Spark jobs into the shared folder
-(``spark.checkpoint.dir``), a fresh location per call.  Files whose lines
-must keep an order (preamble, header, records) are written one file per
-indicator: the data per indicator is one row per country, a bound set by
-the key, not by the input size.
+(``spark.checkpoint.dir``), a fresh location per call.  A task streams its rows
+to the file it writes; archives and array files are rolled at a number of
+bytes, so there are more of them, not larger ones, as the data grows.
 """
 
 from __future__ import annotations
 
-import io
 import zipfile
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.csv as pcsv
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indicata.functions.files import file_system
 from indicata.session import scratch_path
 from indicata.sinks.files import write_csv
 
 
+ROLL_BYTES = 32 * 1024 * 1024
+
+
+def _open_output(target: str):
+    fs, path = file_system(target)
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    return fs.open_output_stream(path, compression=None)
+
+
+def _run(written: DataFrame) -> None:
+    written.agg(F.sum("rows")).collect()  # one row: runs the writes
+
+
 def land_csv(spark: SparkSession, df: DataFrame, name: str, sep: str = ",") -> str:
     path = scratch_path(spark, name)
     write_csv(df, path, sep=sep)
@@ -59,148 +74,164 @@ def _indicator_lines(spark: SparkSession, long: DataFrame, key: str, year: str,
     return lines
 
 
+def _stem_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[pa.Array]]]:
+    """The rows of a task, sorted by stem, as (stem, line arrays) one by one."""
+    held: list = []
+
+    def lines(stem):
+        while held or fill():
+            first = held[0]
+            n = int((first["stem"].to_numpy(zero_copy_only=False) == stem).sum())  # sorted: the first n
+            if n:
+                yield first["line"].slice(0, n)
+            if n < first.num_rows:
+                held[0] = first.slice(n)
+                return
+            held.pop(0)
+
+    def fill() -> bool:
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                return True
+        return False
+
+    while held or fill():
+        stem = held[0]["stem"][0].as_py()
+        yield stem, lines(stem)
+
+
+def _stem_file_writer(base: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = 0
+        for stem, arrays in _stem_runs(batches):
+            with _open_output(f"{base}/{stem}.csv") as out:
+                for a in arrays:
+                    out.write(("\n".join(a.to_pylist()) + "\n").encode())
+                    rows += len(a)
+        yield pa.RecordBatch.from_pydict({"rows": [rows]})
+    return write
+
+
+def _stem_archive_writer(base: str):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = 0
+        for stem, arrays in _stem_runs(batches):
+            with _open_output(f"{base}/{stem}.zip") as out, \
+                    zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
+                zf.writestr(f"Metadata_{stem}.csv", "note\nmetadata only\n")
+                with zf.open(f"API_{stem}_DS2.csv", "w") as member:
+                    for a in arrays:
+                        member.write(("\n".join(a.to_pylist()) + "\n").encode())
+                        rows += len(a)
+        yield pa.RecordBatch.from_pydict({"rows": [rows]})
+    return write
+
+
+def _by_stem(lines: DataFrame) -> DataFrame:
+    """One stem's lines in order inside one task: a file has one writer, which
+    streams them."""
+    return lines.repartition("stem").sortWithinPartitions("stem", "ord", "line").select("stem", "line")
+
+
 def land_preamble_folder(spark: SparkSession, long: DataFrame, key: str, year: str,
                          name: str, preamble: list[str], code: str | None = None,
                          repeat_header_for: str | None = None) -> str:
     """Write a (stem, key, code, value) table as one preamble-headed CSV per
-    stem, laid out as ``<folder>/stem=<stem>/part-*.txt``."""
+    stem, ``<folder>/<stem>.csv``."""
     path = scratch_path(spark, name)
     lines = _indicator_lines(spark, long, key, year, preamble, code, repeat_header_for)
-    # One job writes every stem: rows are hash-partitioned by stem and sorted
-    # by (stem, order) inside each task; the partitioned writer finds that
-    # ordering already satisfies its own (by stem) and writes each stem's
-    # lines in that order into one file.  Each file holds one row per
-    # country, a size bound set by the key.
-    (lines.repartition("stem").sortWithinPartitions("stem", "ord", "line")
-     .select("stem", "line").write.mode("overwrite").partitionBy("stem").text(path))
+    _run(_by_stem(lines).mapInArrow(_stem_file_writer(path), schema="rows long"))
     return path
 
 
-def _indicator_archive_writer(base: str):
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        stem = str(pdf["stem"].iloc[0])
-        body = "\n".join(pdf.sort_values(["ord", "line"])["line"]) + "\n"
-        buf = io.BytesIO()
-        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
-            zf.writestr(f"Metadata_{stem}.csv", "note\nmetadata only\n")
-            zf.writestr(f"API_{stem}_DS2.csv", body)
-        with _open_output(f"{base}/{stem}.zip") as out:
-            out.write(buf.getvalue())
-        return pd.DataFrame({"rows": [len(pdf)]})
-
-    return write
-
-
 def land_indicator_archives(spark: SparkSession, long: DataFrame, key: str, year: str,
                             name: str, preamble: list[str], code: str | None = None,
                             repeat_header_for: str | None = None) -> str:
     """One zip archive per stem, holding the stem's preamble-headed CSV as
-    its 'API' member next to a metadata member, as the source ships them.
-
-    Each archive is written by one task from one group (``applyInPandas``):
-    a group is one indicator's lines, one per country.
-    """
+    its 'API' member next to a metadata member, as the source ships them."""
     path = scratch_path(spark, name)
     lines = _indicator_lines(spark, long, key, year, preamble, code, repeat_header_for)
-    written = lines.groupBy("stem").applyInPandas(_indicator_archive_writer(path), schema="rows long")
-    written.agg(F.sum("rows")).collect()  # one row: runs the writes
+    _run(_by_stem(lines).mapInArrow(_stem_archive_writer(path), schema="rows long"))
     return path
 
 
-def _open_output(target: str):
-    from pyarrow import fs as pafs
-
-    if target.startswith("file:"):
-        target = target[len("file:"):]
-        while target.startswith("//"):
-            target = target[1:]
-    if "://" in target:
-        filesystem, inner = pafs.FileSystem.from_uri(target)
-    else:
-        filesystem, inner = pafs.LocalFileSystem(), target
-    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    return filesystem.open_output_stream(inner)
-
-
-def _zip_partition_writer(base: str, member_prefix: str, extra_member: str):
-    def write(batches):
-        import pyarrow as pa
-        import pyarrow.csv as pcsv
-        from pyspark import TaskContext
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    # An explicit partition count (AQE keeps it), hashed on every column so a
+    # retried task sees the same rows.
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *df.columns)
 
+
+def _zip_writer(base: str, member_prefix: str, extra_member: str, roll_bytes: int, turn_odd: bool, blank_lines: bool):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        buf = io.BytesIO()
-        rows = 0
-        with zipfile.ZipFile(buf, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
-            zf.writestr(f"{extra_member}_{part:05d}.csv", "note\nmetadata only\n")
-            with zf.open(f"{member_prefix}_{part:05d}.csv", "w") as member:
-                writer = None
-                for batch in batches:
-                    if writer is None:
-                        writer = pcsv.CSVWriter(member, batch.schema)
-                    writer.write_batch(batch)
-                    rows += batch.num_rows
-                if writer is not None:
+        rows = files = 0
+        batch = next(batches, None)
+        while batch is not None:
+            label = f"{part:05d}_{files:04d}"
+            columns = batch.schema.names[::-1] if turn_odd and (part + files) % 2 else batch.schema.names
+            with _open_output(f"{base}/archive_{label}.zip") as out, \
+                    zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
+                zf.writestr(f"{extra_member}_{label}.csv", "note\nmetadata only\n")
+                size = 0
+                with zf.open(f"{member_prefix}_{label}.csv", "w") as member:
+                    writer = pcsv.CSVWriter(member, batch.select(columns).schema)
+                    while batch is not None and size < roll_bytes:
+                        writer.write_batch(batch.select(columns))
+                        if blank_lines:
+                            member.write(b"\n  \n")
+                        rows, size = rows + batch.num_rows, size + batch.nbytes
+                        batch = next(batches, None)
                     writer.close()
-        if rows:
-            with _open_output(f"{base}/archive_{part:05d}.zip") as out:
-                out.write(buf.getvalue())
+            files += 1
         yield pa.RecordBatch.from_pydict({"rows": [rows]})
 
     return write
 
 
-def land_zip_archives(spark: SparkSession, df: DataFrame, name: str,
-                      member_prefix: str = "API", extra_member: str = "Metadata") -> str:
-    """One archive per Spark partition of ``df``, holding a CSV member of the
-    partition's rows (``<member_prefix>_<part>.csv``) and a member to be
-    ignored.
+def land_zip_archives(spark: SparkSession, df: DataFrame, name: str, member_prefix: str = "API",
+                      extra_member: str = "Metadata", roll_bytes: int = ROLL_BYTES, turn_odd: bool = False,
+                      blank_lines: bool = False) -> str:
+    """Zip archives of about ``roll_bytes`` of rows, each with a CSV member
+    (``<member_prefix>_...csv``) and a member to be ignored.
 
-    Written by the executors (``mapInArrow``, Arrow's CSV writer): each
-    archive is bounded by a partition's size, and a retried task rewrites the
-    same archive.
+    Streamed by the executors (``mapInArrow``, Arrow's CSV writer); a retried
+    task rewrites the same archives.  ``turn_odd`` writes the columns of every
+    other archive in reverse, ``blank_lines`` adds empty lines between records.
     """
     path = scratch_path(spark, name)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    # One archive per core: an explicit partition count (AQE keeps it),
-    # hashed on every column so a retried task sees the same rows.
-    try:
-        width = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no context on the client
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = text.repartition(width, *text.columns)
-    written = text.mapInArrow(_zip_partition_writer(path, member_prefix, extra_member),
-                              schema="rows long")
-    written.agg(F.sum("rows")).collect()  # one row: runs the writes
+    _run(_spread(spark, text).mapInArrow(
+        _zip_writer(path, member_prefix, extra_member, roll_bytes, turn_odd, blank_lines), schema="rows long"))
     return path
 
 
-def _json_array_writer(base: str):
-    def write(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
+def _json_array_writer(base: str, roll_bytes: int):
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        records = [rec for b in batches for rec in b.column("json").to_pylist()]
-        if records:
-            with _open_output(f"{base}/records_{part:05d}.json") as out:
-                out.write(("[" + ",\n".join(records) + "]\n").encode("utf-8"))
-        yield pa.RecordBatch.from_pydict({"rows": [len(records)]})
+        rows = files = 0
+        batch = next(batches, None)
+        while batch is not None:
+            with _open_output(f"{base}/records_{part:05d}_{files:04d}.json") as out:
+                size, opening = 0, b"["
+                while batch is not None and size < roll_bytes:
+                    if batch.num_rows:
+                        data = ",\n".join(batch["json"].to_pylist()).encode()
+                        out.write(opening + data)
+                        rows, size, opening = rows + batch.num_rows, size + len(data), b",\n"
+                    batch = next(batches, None)
+                out.write(b"]\n" if opening != b"[" else b"[]\n")
+            files += 1
+        yield pa.RecordBatch.from_pydict({"rows": [rows]})
 
     return write
 
 
-def land_json_arrays(spark: SparkSession, df: DataFrame, name: str) -> str:
-    """One JSON array file per partition of ``df``, records with every key
-    (null fields kept), as API payloads are landed.  Records are serialised
-    by Spark (``to_json``); each task only joins its partition's records."""
+def land_json_arrays(spark: SparkSession, df: DataFrame, name: str, roll_bytes: int = ROLL_BYTES) -> str:
+    """JSON array files of about ``roll_bytes``, records with every key (null
+    fields kept), as API payloads are landed.  Records are serialised by Spark
+    (``to_json``) and streamed."""
     path = scratch_path(spark, name)
-    try:
-        width = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect: no context on the client
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rec = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json")
-    text = df.repartition(width, *df.columns).select(rec)
-    written = text.mapInArrow(_json_array_writer(path), schema="rows long")
-    written.agg(F.sum("rows")).collect()  # one row: runs the writes
+    _run(_spread(spark, df).select(rec).mapInArrow(_json_array_writer(path, roll_bytes), schema="rows long"))
     return path

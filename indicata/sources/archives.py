@@ -10,10 +10,11 @@ chunk of text, not one archive.
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from indicata.functions.files import file_stem, open_input
+from indicata.sources.preamble import LINES_SCHEMA, check_header, header_tokens
+
 MEMBER_LINES_SCHEMA = StructType([
     StructField("archive", StringType(), False),
     StructField("member", StringType(), False),
     StructField("line_no", LongType(), False),
     StructField("line", StringType(), True),
+    StructField("layout", LongType(), False),  # names the member's header line
 ])
+MAX_LAYOUTS = 1000
 
 # Characters of member text decoded per batch (about 8 MB).
 _CHUNK_CHARS = 8 * 1024 * 1024
@@ -35,17 +41,9 @@ _CHUNK_CHARS = 8 * 1024 * 1024
 _NEWLINE = re.compile(r"\r\n|\r|\n")
 
 
-def _open_archive(path: str):
-    """Open an archive by URI (local, HDFS, S3, ... through pyarrow.fs)."""
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return open(local, "rb")
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(inner)
+def layout_of(header: str) -> int:
+    """A 64-bit name of a header line, the same on the driver and in tasks."""
+    return int.from_bytes(hashlib.blake2b(header.encode(), digest_size=8).digest(), "little", signed=True)
 
 
 def _line_arrays(text: io.TextIOBase) -> Iterator[pa.Array]:
@@ -72,31 +70,63 @@ def _line_arrays(text: io.TextIOBase) -> Iterator[pa.Array]:
         yield pa.array([carry[:-1] if carry.endswith("\r") else carry], pa.string())
 
 
+def _members(path: str, prefix: str | None, last_only: bool, encoding: str) -> Iterator[tuple[str, io.TextIOWrapper]]:
+    """(name, text stream) of the selected members of one archive."""
+    with open_input(path) as raw, zipfile.ZipFile(raw) as zf:
+        names = [n for n in zf.namelist() if not n.endswith("/")]
+        if prefix is not None:
+            names = [n for n in names if n.rsplit("/", 1)[-1].startswith(prefix)]
+        for name in names[-1:] if last_only else names:
+            with zf.open(name) as member:
+                yield name, io.TextIOWrapper(member, encoding=encoding, newline="")
+
+
 def _member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, last_only: bool,
                   encoding: str, first_line_only: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            with _open_archive(path) as raw, zipfile.ZipFile(raw) as zf:
-                names = [n for n in zf.namelist() if not n.endswith("/")]
-                if prefix is not None:
-                    names = [n for n in names if n.rsplit("/", 1)[-1].startswith(prefix)]
-                if last_only:
-                    names = names[-1:]
-                for name in names:
-                    with zf.open(name) as member:
-                        text = io.TextIOWrapper(member, encoding=encoding, newline="")
-                        start = 0
-                        if first_line_only:  # decompress only what the first line needs
-                            chunks = iter([pa.array([text.readline().rstrip("\r\n")], pa.string())])
-                        else:
-                            chunks = _line_arrays(text)
-                        for lines in chunks:
-                            n = len(lines)
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array([path] * n, pa.string()), pa.array([name] * n, pa.string()),
-                                 pa.array(np.arange(start, start + n, dtype=np.int64)), lines],
-                                names=MEMBER_LINES_SCHEMA.names)
-                            start += n
+            for name, text in _members(path, prefix, last_only, encoding):
+                start, layout = 0, 0
+                if first_line_only:  # decompress only what the first line needs
+                    chunks = iter([pa.array([text.readline().rstrip("\r\n")], pa.string())])
+                else:
+                    chunks = _line_arrays(text)
+                for lines in chunks:
+                    n = len(lines)
+                    if start == 0:
+                        layout = layout_of(lines[0].as_py())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(path, n), pa.repeat(name, n), pa.array(np.arange(start, start + n, dtype=np.int64)),
+                         lines, pa.repeat(pa.scalar(layout, pa.int64()), n)],
+                        names=MEMBER_LINES_SCHEMA.names)
+                    start += n
+
+
+def _preamble_member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, skip: int, keep_empty: bool,
+                           required: Sequence[str], encoding: str) -> Iterator[pa.RecordBatch]:
+    """The lines after each member's header (line ``skip``), the header attached."""
+    for batch in batches:
+        for path, stem in zip(batch["path"].to_pylist(), batch["stem"].to_pylist()):
+            for name, text in _members(path, prefix, False, encoding):
+                top = [text.readline() for _ in range(skip + 1)]
+                if not top[skip]:
+                    continue
+                tokens = header_tokens(top[skip].rstrip("\r\n"), keep_empty)
+                check_header(f"{path}!{name}", tokens, required)
+                header, start = pa.scalar(tokens, pa.list_(pa.string())), skip + 1
+                for lines in _line_arrays(text):
+                    n = len(lines)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(f"{path}!{name}", n), pa.repeat(stem, n), pa.array(np.arange(start, start + n, dtype=np.int64)),
+                         lines, pa.repeat(header, n)], names=["file", "stem", "offset", "line", "header_raw"])
+                    start += n
+
+
+def _listing(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(path, stem), dealt one archive per task as far as there are tasks."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+    listing = listing.select("path", file_stem(F.element_at(F.split("path", "/"), -1)).alias("stem"))
+    return listing.repartition(max(1, listing.count()), "path")
 
 
 def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None = None,
@@ -106,65 +136,74 @@ def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None =
 
     ``member_prefix`` keeps members whose file name starts with it (e.g.
     'API'); ``last_member`` keeps only the last member of each archive.
-    Result columns: archive, member, line_no (0-based), line.
+    Result columns: archive, member, line_no (0-based), line, layout (names
+    the member's first line).
 
-    Decompression is one task per archive (a deflate stream cannot be
-    split); when there are fewer archives than shuffle partitions the lines
-    are spread over the shuffle partitions, so parsing and aggregating them
-    does not stay in those few tasks.
+    Decompression is one task per archive (a deflate stream cannot be split);
+    the lines are then spread over the shuffle partitions, whatever the number
+    of archives, so parsing and aggregating a large one is shared.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
-    n_archives = max(1, len(listing.inputFiles()))
-    spread = listing.repartitionByRange(n_archives, "path")
-    lines = spread.mapInArrow(
-        lambda it: _member_lines(it, member_prefix, last_member, encoding),
-        schema=MEMBER_LINES_SCHEMA,
-    )
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n_archives >= width:
-        return lines
+    lines = _listing(spark, path, glob).select("path").mapInArrow(
+        lambda it: _member_lines(it, member_prefix, last_member, encoding), schema=MEMBER_LINES_SCHEMA)
     # Hash on the line's position: deterministic on retry without the local
     # sort a round-robin repartition adds, and even across partitions.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return lines.repartition(width, "archive", "member", "line_no")
 
 
+def read_zip_preamble(spark: SparkSession, path: str, skip: int, member_prefix: str | None = None,
+                      keep_empty: bool = False, required: Sequence[str] = (), encoding: str = "utf-8-sig",
+                      glob: str = "*.zip") -> DataFrame:
+    """Lines of preamble-headed members in the shape ``preamble_records`` takes;
+    the stem is the archive's file name before the first dot."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _listing(spark, path, glob).mapInArrow(
+        lambda it: _preamble_member_lines(it, member_prefix, skip, keep_empty, tuple(required), encoding),
+        schema=LINES_SCHEMA).repartition(width, "file", "offset")
+
+
 def read_zip_headers(spark: SparkSession, path: str, member_prefix: str | None = None,
                      last_member: bool = False, encoding: str = "utf-8-sig",
                      glob: str = "*.zip") -> DataFrame:
-    """First line of each selected member (archive, member, line_no, line):
+    """First line of each selected member (archive, member, line_no, line, layout):
     one task per archive, which decompresses only that line."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
-    n_archives = max(1, len(listing.inputFiles()))
-    return listing.repartitionByRange(n_archives, "path").mapInArrow(
+    return _listing(spark, path, glob).select("path").mapInArrow(
         lambda it: _member_lines(it, member_prefix, last_member, encoding, first_line_only=True),
         schema=MEMBER_LINES_SCHEMA,
     )
 
 
-def member_table(lines: DataFrame, columns: list[str]) -> DataFrame:
-    """Member lines -> one text column per header name, header lines dropped.
-
-    Each line is parsed with Spark's own CSV parser (``from_csv``), so quoted
-    commas are handled; a record may not span lines.
-    """
-    ddl = ", ".join(f"`{c}` STRING" for c in columns)
-    return (lines.filter(F.col("line_no") > 0)
-            .select("archive", "member", F.from_csv("line", ddl).alias("rec"))
-            .select("archive", "member", *[F.col("rec").getField(c).alias(c) for c in columns]))
+def member_layouts(headers: DataFrame) -> list[str]:
+    """The distinct header lines of ``read_zip_headers``, at most ``MAX_LAYOUTS``."""
+    found = sorted(r["line"] for r in headers.select("line").distinct().limit(MAX_LAYOUTS + 1).collect())
+    if len(found) > MAX_LAYOUTS:
+        raise ValueError(f"more than {MAX_LAYOUTS} different header lines")
+    return found
 
 
-def member_headers(lines: DataFrame) -> DataFrame:
-    """First line of each member (one row per member)."""
-    return lines.filter(F.col("line_no") == 0).select("archive", "member", F.col("line").alias("header"))
+def member_table(lines: DataFrame, columns: Sequence[str], headers: Sequence[str] | None = None) -> DataFrame:
+    """Member lines -> one text column per name; header and blank lines go.
 
-
-def numbered_member_lines(lines: DataFrame) -> DataFrame:
-    """Member lines as (file, stem, pos, line), the shape the preamble parser
-    takes; the stem is the archive's file name before the first dot."""
-    name = F.regexp_extract("archive", r"([^/]+)$", 1)
-    return lines.select(F.concat_ws("!", "archive", "member").alias("file"),
-                        F.split_part(name, F.lit("."), F.lit(1)).alias("stem"),
-                        F.col("line_no").alias("pos"), "line")
+    Each line is parsed once with Spark's own CSV parser (``from_csv``), so quoted
+    commas are handled; a record may not span lines.  With ``headers`` (the
+    distinct header lines, see ``member_layouts``) the fields are taken by name
+    from each member's own header, null where it lacks one; without, all
+    members have ``columns`` in this order.
+    """
+    names = {layout_of(h): header_columns(h) for h in headers or []}
+    width = max([len(columns), *map(len, names.values())])
+    ddl = ", ".join(f"c{i} STRING" for i in range(width))
+    records = lines.filter((F.col("line_no") > 0) & (F.trim("line") != "")).select(
+        "archive", "member", "layout", F.from_csv("line", ddl).alias("rec"))
+    if not names:
+        return records.select("archive", "member", *[F.col(f"rec.c{i}").alias(c) for i, c in enumerate(columns)])
+    records = records.withColumn("fields", F.array(*[F.col(f"rec.c{i}") for i in range(width)]))
+    out = []
+    for c in columns:
+        places = [x for k, own in names.items() if c in own for x in (F.lit(k).cast("long"), F.lit(own.index(c)))]
+        out.append((F.get("fields", F.try_element_at(F.create_map(*places), F.col("layout"))) if places
+                    else F.lit(None).cast("string")).alias(c))
+    return records.select("archive", "member", *out)
 
 
 def header_columns(header_line: str) -> list[str]:
@@ -173,6 +212,6 @@ def header_columns(header_line: str) -> list[str]:
 
 
 def archive_stems(spark: SparkSession, path: str, glob: str = "*.zip") -> list[str]:
-    """Sorted stems of the archives under ``path``, from the listing only."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).inputFiles()
-    return sorted({f.rstrip("/").rsplit("/", 1)[-1].split(".")[0] for f in files})
+    """Sorted stems of the archives under ``path``, from the listing only (one per
+    indicator)."""
+    return sorted(r["stem"] for r in _listing(spark, path, glob).select("stem").distinct().collect())

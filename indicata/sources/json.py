@@ -12,21 +12,39 @@ from indicata.functions.numbers import truncate_to_long
 
 def read_json_series(spark: SparkSession, path: str, value_type: str = "double",
                      multi_line: bool = True, date_field: str = "fecha",
-                     value_field: str = "valor") -> DataFrame:
+                     value_field: str = "valor", tolerant: bool = False) -> DataFrame:
     """``[{fecha, valor, ...}, ...]`` -> rows (fecha text, valor number).
 
     Extra keys are dropped.  ``valor`` is read as text and converted with
     ``try_cast`` so quoted numbers are accepted; ``value_type='long'``
-    truncates towards zero (2.9 -> 2).  A file holding one JSON array is one
-    task; JSON Lines (``multi_line=False``) split across tasks.
+    truncates towards zero (2.9 -> 2).  Text that is not JSON fails the job, as
+    does a missing or unreadable value unless ``tolerant`` (null then).  A file
+    holding one JSON array is one task; JSON Lines (``multi_line=False``) split
+    across tasks.
     """
     df = (spark.read.schema(f"`{date_field}` string, `{value_field}` string")
-          .option("multiLine", multi_line).json(path))
+          .option("multiLine", multi_line).option("mode", "FAILFAST").json(path))
     value = truncate_to_long(value_field) if value_type == "long" else \
         F.col(value_field).try_cast(value_type)
+    if not tolerant:
+        shown = F.coalesce(F.col(value_field), F.lit("null"))
+        value = F.coalesce(value, F.raise_error(F.concat(
+            F.lit(f"unreadable {value_field}: "), shown, F.lit(" on "), F.coalesce(F.col(date_field), F.lit("null"))))
+            .cast(value_type))
     return df.select(F.col(date_field), value.alias(value_field))
 
 
+def _array_records(text: DataFrame) -> DataFrame:
+    """One row per element of each whole-file array.  A payload that is valid
+    JSON but no list has no records; text that is not JSON fails the job."""
+    is_list = F.json_array_length("value").isNotNull()
+    kind = "array<map<string,string>>"
+    recs = F.when(is_list, F.from_json("value", kind, {"mode": "FAILFAST"})).when(
+        F.try_parse_json("value").isNotNull(), F.array().cast(kind)).otherwise(
+        F.raise_error(F.concat(F.lit("not JSON: "), F.left("value", F.lit(80)))).cast(kind))
+    return text.where(F.trim("value") != "").select(F.explode(recs).alias("rec"))
+
+
 def read_json_records(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                       multi_line: bool = True, strict: bool = True) -> DataFrame:
     """JSON records -> a table of text columns.
@@ -34,16 +52,19 @@ def read_json_records(spark: SparkSession, path: str, columns: Sequence[str] | N
     Columns are ``columns`` or, when not given, the keys of the first record.
     A record missing a key gives null there.  With ``strict`` a record with
     a key outside the columns fails the job (checked per row on the
-    executors with ``raise_error``, nothing is collected).  Files holding a
-    JSON array are parsed one file per task; JSON Lines split across tasks.
+    executors with ``raise_error``, nothing is collected), as does text that is
+    not JSON and an element that is no record.  Files holding a JSON array are
+    parsed one file per task (an array file is one API payload); JSON Lines
+    split across tasks.
     """
     if multi_line:
-        text = spark.read.text(path, wholetext=True)
-        recs = text.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("rec"))
+        recs = _array_records(spark.read.text(path, wholetext=True))
     else:
         text = spark.read.text(path)
         recs = text.filter(F.trim("value") != "").select(
             F.from_json("value", "map<string,string>").alias("rec"))
+    recs = recs.select(F.coalesce("rec", F.raise_error(F.lit("a JSON element is not a record")).cast("map<string,string>"))
+                       .alias("rec"))
     if columns is None:
         first = recs.select(F.map_keys("rec").alias("k")).first()
         if first is None:

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from indicata.sinks import as_text_table, csv_roundtrip, first_n, write_csv
-from indicata.sources import (folder_stems, member_headers, member_table, read_csv_text,
+from indicata.sources import (folder_stems, member_layouts, member_table, read_csv_text,
                               read_csv_typed, read_indicator_folder, read_json_records,
                               read_json_series, read_preamble_lines, read_zip_members,
                               rows_to_frame)
@@ -88,29 +88,53 @@ def _indicator_folder(workdir):
 def test_preamble_lines_drop_preamble_and_repeated_header(spark, workdir):
     folder = _indicator_folder(workdir)
     recs = read_preamble_lines(spark, f"{folder}/*.csv")
-    got = sorted((r["stem"], r["pos"], tuple(r["tokens"])) for r in recs.collect())
-    assert ("pbi", 5, ("Bahamas, The", "BHS", "1.0", "1.5")) in got
-    assert ("pbi", 7, ("", "YYY", "2", "3")) in got
+    got = sorted((r["stem"], r["offset"], tuple(r["tokens"])) for r in recs.collect())
+    first = len(PREAMBLE + HEADER)
+    assert ("pbi", first, ("Bahamas, The", "BHS", "1.0", "1.5")) in got
+    assert ("", "YYY", "2", "3") in [t for _, _, t in got]
     assert all(t[2][0] != "Country Name" for t in got)
     assert len(got) == 4 + 4
 
 
-def test_preamble_line_numbers_independent_of_splits(spark, workdir):
-    body = "".join(f'"C{i:04d}","K{i:04d}","{i}","{i * 2}",\n' for i in range(400))
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_preamble_lines_independent_of_ranges(spark, workdir, end):
+    body = "".join(f'"C{i:04d} é","K{i:04d}","{"x" * (i % 50)}","{i * 2}",\n' for i in range(400))
+    text = (PREAMBLE + HEADER + body).replace("\n", end)
+    path = f"{workdir}/big/ind.csv"
+    os.makedirs(os.path.dirname(path))
+    with open(path, "w", newline="") as f:
+        f.write(text.rstrip("\r\n"))  # no line feed at the end
+    want = [(f"C{i:04d} é", f"K{i:04d}", "x" * (i % 50), str(i * 2)) for i in range(400)]
+    for size in (7, 64, 100, 1000, 10**6):
+        got = sorted((r["offset"], tuple(r["tokens"])) for r in read_preamble_lines(spark, path, split_bytes=size).collect())
+        assert [t for _, t in got] == want, size
+        data = text.encode()
+        assert all(data[o:].startswith(f'"{t[0]}"'.encode()) for o, t in got)
+
+
+def test_preamble_lines_survive_a_change_of_parallelism(spark, workdir):
+    body = "".join(f'"C{i:06d}","K","{i}","{i * 2}",\n' for i in range(60_000))
     path = _write(f"{workdir}/big/ind.csv", PREAMBLE + HEADER + body)
-    base = sorted((r["pos"], tuple(r["tokens"])) for r in read_preamble_lines(spark, path).collect())
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "4")
     try:
-        lines = read_preamble_lines(spark, path)
-        assert spark.read.text(path).rdd.getNumPartitions() > 20
-        split = sorted((r["pos"], tuple(r["tokens"])) for r in lines.collect())
+        lines = read_preamble_lines(spark, path, split_bytes=100_000)
+        lines.explain()
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "11")  # as executors come and go
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300000")
+        got = lines.select("tokens").collect()
     finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert split == base
-    assert [p for p, _ in split] == list(range(5, 405))
-    assert split[0][1] == ("C0000", "K0000", "0", "0")
+    assert len(got) == 60_000 and len({tuple(r["tokens"]) for r in got}) == 60_000
+
+
+def test_header_without_a_column_fails_and_names_the_file(spark, workdir):
+    from indicata.plans.pipelines import country_indicators_from_folder
+    folder = f"{workdir}/wrong"
+    _write(f"{folder}/a.csv", PREAMBLE + HEADER + '"Peru","PER","1","2",\n')
+    _write(f"{folder}/b.csv", PREAMBLE + HEADER.replace("2023", "2019") + '"Peru","PER","1","2",\n')
+    with pytest.raises(Exception, match=r"b\.csv: header lacks \['2023'\]"):
+        country_indicators_from_folder(spark, f"{folder}/*.csv", ["a", "b"]).collect()
 
 
 def test_indicator_folder_end_to_end(spark, workdir):
@@ -172,7 +196,7 @@ def test_zip_members_prefix_and_last(spark, workdir):
     _zip(f"{folder}/a.zip", [("Metadata_a.csv", "x\n1\n"), ("API_a.csv", "k,v\r\n\"p, q\",1\r\nr,2\r\n")])
     _zip(f"{folder}/b.zip", [("API_b.csv", "k,v\ns,3\n"), ("notes.txt", "hello\n")])
     lines = read_zip_members(spark, folder, member_prefix="API")
-    assert sorted(r["member"] for r in member_headers(lines).collect()) == ["API_a.csv", "API_b.csv"]
+    assert sorted({r["member"] for r in lines.collect()}) == ["API_a.csv", "API_b.csv"]
     table = member_table(lines, ["k", "v"])
     assert sorted(rows(table, "k", "v")) == [("p, q", "1"), ("r", "2"), ("s", "3")]
     last = read_zip_members(spark, folder, last_member=True)
@@ -291,3 +315,59 @@ def test_zip_headers_read_first_lines_only(spark, workdir):
     assert got == [("API_a.csv", 0, "k,v"), ("API_b.csv", 0, "k,v")]
     last = sorted(r["line"] for r in read_zip_headers(spark, folder, last_member=True).collect())
     assert last == ["k,v", "k,v"]
+
+
+def test_bad_json_series_fail(spark, workdir):
+    cut = _write(f"{workdir}/cut.json", '[{"fecha": "2024-01-01", "valor": 1}, {"fecha": "2024-0')
+    page = _write(f"{workdir}/page.json", "<html><body>error</body></html>")
+    for path in (cut, page):
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+            read_json_series(spark, path).collect()
+    for value in ("null", '"n/a"'):
+        p = _write(f"{workdir}/v{len(value)}.json", '[{"fecha": "2024-01-01", "valor": %s}]' % value)
+        with pytest.raises(Exception, match="unreadable valor"):
+            read_json_series(spark, p).collect()
+        assert rows(read_json_series(spark, p, tolerant=True)) == [("2024-01-01", None)]
+
+
+def test_bad_json_records_fail(spark, workdir):
+    folder = f"{workdir}/mixed"
+    _write(f"{folder}/good.json", json.dumps([{"a": 1}]))
+    _write(f"{folder}/cut.json", '[{"a": 1}, {"a": ')
+    with pytest.raises(Exception, match="not JSON"):
+        read_json_records(spark, folder, ["a"]).collect()
+    page = _write(f"{workdir}/page/x.json", "<html></html>")
+    with pytest.raises(Exception, match="not JSON"):
+        read_json_records(spark, page, ["a"]).collect()
+    lines = _write(f"{workdir}/l.jsonl", '{"a": 1}\n{"a": \n{"a": 3}\n')
+    with pytest.raises(Exception, match="not a record"):
+        read_json_records(spark, lines, ["a"], multi_line=False).collect()
+    odd = _write(f"{workdir}/odd/x.json", "[1, 2]")
+    with pytest.raises(Exception):
+        read_json_records(spark, odd, ["a"]).collect()
+
+
+def test_empty_json_array_lands_an_empty_file(spark, workdir):
+    from indicata.plans import jobs
+    empty = _write(f"{workdir}/empty.json", "[]")
+    full = _write(f"{workdir}/full.json", '[{"fecha": "2024-01-01", "valor": 3}]')
+    rates, deposits = jobs.deposit_jobs(spark, empty, full, out_dir=f"{workdir}/dep")
+    assert rates.count() == 0 and rows(deposits) == [("2024-01-01", "3")]
+    assert os.path.exists(f"{workdir}/dep/rates/_SUCCESS")
+
+
+def test_csv_keeps_fractions_of_a_second(spark, workdir):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-02 03:04:05.678901' AS a, timestamp'2024-01-02 03:04:05' AS b")
+    want = [("2024-01-02 03:04:05.678901", "2024-01-02 03:04:05")]
+    assert rows(csv_roundtrip(spark, df, f"{workdir}/frac")) == want == rows(as_text_table(df))
+
+
+def test_archives_with_other_column_orders_and_blank_lines(spark, workdir):
+    from indicata.sources import read_zip_headers
+    folder = f"{workdir}/orders"
+    _zip(f"{folder}/a.zip", [("API_a.csv", 'k,v,w\n"p, q",1,x\n\n  \nr,2,y\n')])
+    _zip(f"{folder}/b.zip", [("API_b.csv", "v,k\n3,s\n")])
+    headers = member_layouts(read_zip_headers(spark, folder, "API"))
+    assert headers == ["k,v,w", "v,k"]
+    table = member_table(read_zip_members(spark, folder, member_prefix="API"), ["k", "v", "w"], headers)
+    assert sorted(rows(table, "k", "v", "w"), key=str) == [("p, q", "1", "x"), ("r", "2", "y"), ("s", "3", None)]
