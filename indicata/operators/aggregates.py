@@ -35,32 +35,13 @@ def period_totals(df: DataFrame, period: str | Sequence[str], total: tuple[str,
     return df.groupBy(*keys).agg(*aggs)
 
 
-def group_average(df: DataFrame, keys: Sequence[str], value: str, alias: str,
-                  scale: int = 2, count: str | None = None) -> DataFrame:
+def group_average(df: DataFrame, keys: Sequence[str], value: str, alias: str, scale: int = 2) -> DataFrame:
     """Rounded average of a (possibly text) column per group.
 
     Text is read as double with ``try_cast``: unreadable values are skipped
-    like nulls.  Null keys form their own group.  With ``count`` the rows
-    are partials from :func:`partial_sums` (``value`` holds a sum of
-    ``count`` readable values) and the average is sum(value) / sum(count).
+    like nulls.  Null keys form their own group.
     """
-    if count is None:
-        avg = F.avg(to_number(value, "double"))
-    else:
-        avg = F.try_divide(F.sum(value), F.sum(count))
-    return df.groupBy(*keys).agg(round_half_up(avg, scale).alias(alias))
-
-
-def partial_sums(df: DataFrame, keys: Sequence[str], value: str,
-                 sum_alias: str = "value_sum", count_alias: str = "value_count") -> DataFrame:
-    """Per-key sum and count of the readable values of a (possibly text)
-    column: the combinable form of an average.
-
-    Use it to shrink a large table on fine keys before joins that add the
-    grouping attributes, then finish with ``group_average(..., count=...)``.
-    """
-    num = to_number(value, "double")
-    return df.groupBy(*keys).agg(F.sum(num).alias(sum_alias), F.count(num).alias(count_alias))
+    return df.groupBy(*keys).agg(round_half_up(F.avg(to_number(value, "double")), scale).alias(alias))
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str],

@@ -1,11 +1,9 @@
 """Joins (J1-J3).
 
 Strategy: the joins here are equi-joins, so Spark hashes or sorts on the
-keys and never falls back to a nested loop.  A side is broadcast only when
-its size is bounded by construction (a monthly series has at most twelve
-rows a year); everything else is left to the planner, which broadcasts at
-run time (AQE, ``spark.sql.autoBroadcastJoinThreshold``) only when the
-measured side is small and otherwise sort-merge joins, splitting skewed
+keys and never falls back to a nested loop.  No side is hinted: the planner
+broadcasts at run time (AQE, ``spark.sql.autoBroadcastJoinThreshold``) only
+a side measured to be small and otherwise sort-merge joins, splitting skewed
 partitions (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
@@ -15,7 +13,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from indicata.functions.dates import year_month_keys
 
@@ -27,17 +24,14 @@ def join_on_key(left: DataFrame, right: DataFrame, key: str | Sequence[str],
 
 
 def join_year_month(monthly: DataFrame, monthly_ts: str, daily: DataFrame, daily_ts: str,
-                    broadcast_monthly: bool = True) -> DataFrame:
+                    how: str = "inner") -> DataFrame:
     """Each monthly row joined to every daily row of the same year and month.
 
     The condition is an equality of expressions, which Catalyst extracts as
-    hash/sort keys.  The monthly side holds one row per month, a size bound
-    fixed by the calendar, so it is broadcast by default and the daily side
-    is never shuffled.
+    hash/sort keys.  ``how='left_semi'`` keeps the months that have a daily row.
     """
-    left = F.broadcast(monthly) if broadcast_monthly else monthly
-    (ly, lm), (ry, rm) = year_month_keys(left[monthly_ts]), year_month_keys(daily[daily_ts])
-    return left.join(daily, (ly == ry) & (lm == rm), "inner")
+    (ly, lm), (ry, rm) = year_month_keys(monthly[monthly_ts]), year_month_keys(daily[daily_ts])
+    return monthly.join(daily, (ly == ry) & (lm == rm), how)
 
 
 def join_all_on_key(frames: Sequence[DataFrame], key: str, how: str = "inner") -> DataFrame:

@@ -23,7 +23,3 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename columns; the new name may be built from data, e.g. '<stem> 2023' (P3)."""
     return df.withColumnsRenamed(dict(mapping))
 
-
-def with_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
-    """Add or replace several computed columns in one projection."""
-    return df.withColumns(dict(exprs))

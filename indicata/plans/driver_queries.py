@@ -16,20 +16,20 @@ from pyspark.sql import functions as F
 from indicata.functions.dates import format_day, format_month, parse_timestamp
 from indicata.functions.numbers import parse_decimal_comma, round_half_up, truncate_to_long
 from indicata.functions.tokens import clean_tokens, split_quoted
-from indicata.operators.aggregates import partial_sums
-from indicata.operators.ordering import top_n
 from indicata.plans import landing
 from indicata.plans.jobs import (country_indicators_job, covid_job, crime_job, deposit_jobs,
-                                 indices_job, series_job)
-from indicata.plans.pipelines import (cases_with_counts, country_indicators,
-                                      country_indicators_from_folder, deposit_tables,
-                                      incidents_without_codes, indicator_frames,
-                                      monthly_index_with_daily_risk, price_index_change,
-                                      region_scaled_series, series_average)
-from indicata.sources.archives import (header_columns, member_table, read_zip_headers,
-                                       read_zip_members)
+                                 indices_job, region_jobs, series_job)
+from indicata.plans.pipelines import (REGION_FACTORS, cases_with_counts, country_indicators_from_folder,
+                                      country_indicators_from_long, deposit_tables, incidents_without_codes,
+                                      indicator_frames, monthly_index, monthly_index_with_daily_risk,
+                                      price_index_change, region_scaled_series, series_average)
+from indicata.session import scratch_path
+from indicata.sinks.files import csv_roundtrip
+from indicata.sinks.preview import first_n
+from indicata.sources.archives import member_layouts, member_table, read_zip_headers, read_zip_members
 from indicata.sources.csv import read_csv_text, read_csv_typed
 from indicata.sources.json import read_json_records, read_json_series
+from indicata.sources.memory import rows_to_frame
 from indicata.sources.preamble import folder_stems, read_indicator_folder
 
 MONEY = "decimal(18,2)"
@@ -105,10 +105,12 @@ def _index_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     # both the daily series and the monthly roll-up are derived.  The join
     # filters Catalyst infers differ between the two uses, so the plans would
     # not share a scan; the per-day table (one row per calendar day) is
-    # checkpointed to the shared folder once instead.
+    # written to the shared folder once instead.
     daily_stats = (orders.groupBy(F.date_trunc("day", "o_orderdate").alias("fecha"))
-                   .agg(F.sum(price).alias("s"), F.count(price).alias("n"))
-                   .checkpoint(eager=True))
+                   .agg(F.sum(price).alias("s"), F.count(price).alias("n")))
+    path = scratch_path(spark, "orders-per-day")
+    daily_stats.write.parquet(path)
+    daily_stats = spark.read.schema(daily_stats.schema).parquet(path)
     daily = daily_stats.select("fecha", truncate_to_long(F.col("s") / F.col("n")).alias("valor"))
     monthly = (daily_stats.groupBy(F.date_trunc("month", "fecha").alias("fecha"))
                .agg(round_half_up(F.sum("s") / F.sum("n") / F.lit(1000)).alias("valor")))
@@ -132,7 +134,20 @@ def indices_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def region_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return region_scaled_series(monthly_daily_join(spark, sf_dir))
+    return region_scaled_series(monthly_index(*_index_series(spark, sf_dir)))
+
+
+def region_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2's three tables, landed by the region job from E1's landed CSV, with
+    each region's factor from an in-memory lookup table."""
+    e1 = landing.land_csv(spark, monthly_daily_join(spark, sf_dir), "indices-csv")
+    tables = region_jobs(spark, e1, out_dir=scratch_path(spark, "regions"))
+    factors = rows_to_frame(spark, REGION_FACTORS, "region string, factor string")
+    out = None
+    for name, table_ in tables.items():
+        one = table_.select(F.lit(name).alias("region"), *table_.columns)
+        out = one if out is None else out.unionByName(one)
+    return out.join(factors, "region")
 
 
 # --- E4: per-nation indicators ----------------------------------------------------
@@ -178,8 +193,7 @@ def _nation_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nway_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = _nation_indicators(spark, sf_dir)
-    return country_indicators(indicator_frames(long, INDICATOR_STEMS))
+    return country_indicators_from_long(_nation_indicators(spark, sf_dir), INDICATOR_STEMS)
 
 
 # The preamble lines of the indicator files.
@@ -205,6 +219,24 @@ def folder_scan_file_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return country_indicators_from_folder(spark, path, folder_stems(spark, path))
 
 
+LARGE_FILE_ROWS, LARGE_SPLIT_BYTES = 20_000, 64 * 1024
+
+
+def preamble_lines_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as preamble-headed files of about ``LARGE_FILE_ROWS`` records, read
+    in ranges far smaller than a file; more files as the table grows."""
+    ev = table(spark, sf_dir, "events")
+    files = max(2, ev.count() // LARGE_FILE_ROWS)
+    long = ev.select(
+        F.concat(F.lit("events_"), F.pmod("event_id", F.lit(files)).cast("string")).alias("stem"),
+        F.concat_ws(", ", "event_type", F.col("event_id").cast("string")).alias("Country Name"),
+        F.col("user_id").cast("string").alias("Country Code"),
+        F.when(F.col("event_type") != "error", F.col("value").cast("string")).otherwise(F.lit("")).alias("2023"))
+    path = landing.land_preamble_folder(spark, long, "Country Name", "2023", "events-preamble", INDICATOR_PREAMBLE,
+                                        code="Country Code", repeat_header_for="events_0")
+    return read_indicator_folder(spark, path, "Country Name", "2023", split_bytes=LARGE_SPLIT_BYTES)
+
+
 def indicators_from_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E4 end to end from zip archives, one per indicator, via the E4 job."""
     path = landing.land_indicator_archives(
@@ -230,20 +262,18 @@ def year_value_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8's average over six keys, four of which come from part and supplier.
 
-    Line items are first reduced to partial sums and counts per (part,
-    supplier, flag, status) -- the finest keys that determine the six
-    grouping keys -- so the two dimension joins move partials instead of
-    line items, and a hot part or supplier is collapsed map-side.
+    Pruned line items are joined to the two dimensions, which AQE broadcasts
+    while they are small (a hot part or supplier is split by its skew join
+    otherwise), and averaged with one partial aggregate on the six keys.  Some
+    flags are null and some values unreadable.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
-        F.col("l_extendedprice").cast("string").alias("valor"))
-    partial = partial_sums(li, ["l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"], "valor",
-                           "valor", "n_valor")
+        "l_partkey", "l_suppkey", F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"), "l_linestatus",
+        F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string")).alias("valor"))
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_size")
     supp = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    dump = partial.join(part, "l_partkey").join(supp, "l_suppkey").select(
+    dump = li.join(part, "l_partkey").join(supp, "l_suppkey").select(
         F.col("l_partkey").cast("string").alias("dataset_id"),
         F.col("l_suppkey").cast("string").alias("distribucion_id"),
         F.col("p_type").alias("serie_titulo"),
@@ -251,10 +281,8 @@ def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("string").alias("serie_descripcion"),
         F.col("l_returnflag").alias("distribucion_descripcion"),
         F.col("s_nationkey").cast("string").alias("dataset_responsable"),
-        F.col("l_linestatus").alias("dataset_titulo"),
-        "valor", "n_valor",
-    )
-    return series_average(dump, count="n_valor")
+        F.col("l_linestatus").alias("dataset_titulo"), "valor")
+    return series_average(dump)
 
 
 def series_from_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +351,7 @@ def project_excluding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_n_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    return top_n(ev, 100, [F.col("ts").desc_nulls_last(), F.col("event_id").asc()])
+    return first_n(ev, 100, [F.col("ts").desc_nulls_last(), F.col("event_id").asc()])
 
 
 # --- scalar parsing ----------------------------------------------------------------------
@@ -354,6 +382,15 @@ def quoted_line_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.array_join(toks, "|").alias("tokens"))
 
 
+def quoted_line_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with empty first, middle and last fields, every field kept."""
+    ev = table(spark, sf_dir, "events")
+    first = F.when(F.col("event_type") != "view", F.concat(F.lit('"a, '), F.col("event_type"), F.lit('"'))).otherwise(F.lit(""))
+    line = F.concat(first, F.lit(","), F.col("value").cast("string"), F.lit(',,"",'), F.col("event_id").cast("string"), F.lit(","))
+    fields = clean_tokens(split_quoted(line, keep_empty=True))
+    return ev.select("event_id", F.size(fields).alias("n_fields"), F.array_join(fields, "|").alias("fields"))
+
+
 # --- JSON sources ----------------------------------------------------------------------------
 
 def json_series_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,24 +415,30 @@ def json_records_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = landing.land_lines(spark, ev.select(line.alias("line")), "json-records")
     recs = read_json_records(spark, path, ["event_id", "entidad", "tna", "logo", "enlace"],
                              multi_line=False)
-    rates, _ = deposit_tables(recs, recs)
-    return rates
+    return deposit_tables(recs, recs)[0]
 
 
-def deposits_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E7 end to end: rate records landed as JSON arrays (header from the
-    first record, all keys present, missing values null), run by the E7 job."""
+def _deposits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """E7 end to end: both tables landed as JSON arrays (header from the first
+    record, all keys present, missing values null), run by the E7 job."""
     ev = table(spark, sf_dir, "events").select(
         "event_id", F.col("event_type").alias("entidad"),
         F.when(F.col("event_type") != "error", F.col("value")).alias("tna"),
         F.lit("logo.png").alias("logo"),
         F.concat(F.lit("https://example.org/"), F.col("user_id").cast("string")).alias("enlace"))
     daily = (table(spark, sf_dir, "events").groupBy(format_day("ts").alias("fecha"))
-             .agg(F.avg("value").alias("valor")))
+             .agg(F.count("value").alias("valor")))
     rates_path = landing.land_json_arrays(spark, ev, "rates-json")
     deposits_path = landing.land_json_arrays(spark, daily, "deposits-json")
-    rates, _ = deposit_jobs(spark, rates_path, deposits_path)
-    return rates
+    return deposit_jobs(spark, rates_path, deposits_path)
+
+
+def deposits_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _deposits(spark, sf_dir)[0]
+
+
+def deposits_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _deposits(spark, sf_dir)[1]
 
 
 # --- CSV sources and the CSV hand-off -------------------------------------------------------------
@@ -423,9 +466,11 @@ def csv_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey",
         F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
-        "o_totalprice", "o_orderdate", "o_orderpriority")
-    path = landing.land_csv(spark, o, "orders-roundtrip")
-    return read_csv_text(spark, path)
+        "o_totalprice", "o_orderdate", "o_orderpriority",
+        # Every third stamp is a whole second, the others have a fraction.
+        (F.col("o_orderdate") + F.make_dt_interval(
+            secs=((F.col("o_orderkey") % 3) * F.lit(Decimal("0.120301"))))).alias("stamp"))
+    return csv_roundtrip(spark, o, scratch_path(spark, "orders-roundtrip"))
 
 
 # --- zip archives ---------------------------------------------------------------------------
@@ -433,9 +478,20 @@ def csv_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zip_member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     path = landing.land_zip_archives(spark, customer, "customer-zip")
+    return _archive_table(spark, path, customer.columns)
+
+
+def _archive_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    headers = member_layouts(read_zip_headers(spark, path, member_prefix="API"))
     lines = read_zip_members(spark, path, member_prefix="API")
-    header = read_zip_headers(spark, path, member_prefix="API").first()["line"]
-    return member_table(lines, header_columns(header)).drop("archive", "member")
+    return member_table(lines, columns, headers).drop("archive", "member")
+
+
+def zip_member_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small archives in two column orders, with blank lines between records."""
+    customer = table(spark, sf_dir, "customer")
+    path = landing.land_zip_archives(spark, customer, "customer-zip-mixed", roll_bytes=4096, turn_odd=True, blank_lines=True)
+    return _archive_table(spark, path, customer.columns)
 
 
 QUERIES = {
@@ -445,6 +501,7 @@ QUERIES = {
     "monthly_daily_join": monthly_daily_join,
     "indices_from_json": indices_from_json,
     "region_scaled_series": region_scaled,
+    "region_tables": region_tables,
     "nway_key_join": nway_key_join,
     "series_average": series_average_q,
     "series_from_archive": series_from_archive,
@@ -457,15 +514,19 @@ QUERIES = {
     "decimal_comma_parse": decimal_comma_parse,
     "text_to_timestamp": text_to_timestamp,
     "quoted_line_tokens": quoted_line_tokens,
+    "quoted_line_fields": quoted_line_fields,
     "json_series_scan": json_series_scan,
     "json_records_to_table": json_records_to_table,
     "deposits_from_json": deposits_from_json,
+    "deposits_30_days": deposits_30_days,
     "csv_scan_strings": csv_scan_strings,
     "csv_scan_semicolon": csv_scan_semicolon,
     "csv_scan_inferred": csv_scan_inferred,
     "csv_roundtrip_text": csv_roundtrip_text,
     "preamble_csv_scan": preamble_csv_scan,
+    "preamble_lines_large": preamble_lines_large,
     "folder_scan_file_key": folder_scan_file_key,
     "indicators_from_archives": indicators_from_archives,
     "zip_member_scan": zip_member_scan,
+    "zip_member_layouts": zip_member_layouts,
 }

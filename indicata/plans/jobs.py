@@ -1,10 +1,11 @@
 """One function per pipeline, from landed files to output tables.
 
-Each job reads its landed inputs, builds the pipeline's plan, and writes
-the result once per requested output: a CSV directory (``out``) and/or a
-JDBC table (``jdbc`` = dict of url, user, password, driver and optionally
-``as_text``), replaced on every run.  The result DataFrame is returned as
-well.  Downloading the inputs and scheduling the jobs are left to the
+Each job reads its landed inputs, builds the pipeline's plan and runs it
+once: the result goes to a CSV directory (``out``) and/or a JDBC table
+(``jdbc`` = dict of url, user, password, driver and optionally ``as_text``),
+replaced on every run.  With both, the table is loaded from the CSV just
+written, and the frame returned reads it too; without ``out`` the frame
+returned is the plan.  Downloading the inputs and scheduling the jobs are left to the
 caller.
 """
 
@@ -18,13 +19,14 @@ from indicata.plans.pipelines import (cases_with_counts, country_indicators_from
                                       incidents_without_codes, monthly_index_with_daily_risk, price_index_change,
                                       region_scaled_series, region_table, series_average,
                                       INDICATOR_KEY, INDICATOR_YEAR, REGION_FACTORS)
+from indicata.session import scratch_path
 from indicata.sinks.files import as_text_table, write_csv
 from indicata.sinks.jdbc import write_jdbc
-from indicata.sources.archives import (archive_stems, header_columns, member_table,
-                                       numbered_member_lines, read_zip_headers, read_zip_members)
+from indicata.sources.archives import (archive_stems, header_columns, member_layouts, member_table,
+                                       read_zip_headers, read_zip_members, read_zip_preamble)
 from indicata.sources.csv import read_csv_text
 from indicata.sources.json import read_json_records, read_json_series
-from indicata.sources.preamble import (folder_stems, indicator_values, preamble_records,
+from indicata.sources.preamble import (PREAMBLE_LINES, folder_stems, indicator_values, preamble_records,
                                        read_indicator_folder)
 
 # The output table of each pipeline.
@@ -46,7 +48,9 @@ TABLES = {
 def _emit(df: DataFrame, out: str | None, jdbc: Mapping[str, str] | None, table: str) -> DataFrame:
     if out is not None:
         write_csv(df, out)
-    if jdbc is not None:
+        if df.columns:  # what follows reads the landed result, the plan is not run again
+            df = df.sparkSession.read.schema(df.schema).csv(out, header=True)
+    if jdbc is not None and df.columns:
         # ``as_text`` stores every column as text, as tables loaded from the
         # CSV hand-off are; by default the typed result is written.
         data = as_text_table(df) if str(jdbc.get("as_text", "")).lower() in ("1", "true") else df
@@ -73,7 +77,9 @@ def region_jobs(spark: SparkSession, indices: DataFrame | str, out_dir: str | No
     if out_dir is not None or jdbc is not None:
         # Up to six writes read the same small table (one row per region and
         # month): compute it once instead of once per write.
-        scaled = scaled.checkpoint(eager=True)
+        path = scratch_path(spark, "region-scaled")
+        scaled.write.parquet(path)
+        scaled = spark.read.schema(scaled.schema).parquet(path)
     return {name: _emit(region_table(scaled, name), f"{out_dir}/{name}" if out_dir else None,
                         jdbc, TABLES[name])
             for name, _ in REGION_FACTORS}
@@ -94,11 +100,10 @@ def country_indicators_job(spark: SparkSession, path: str, from_archives: bool =
     member is the indicator file (named after its archive).  ``keep_empty``
     tokenises lines with CSV semantics instead of the source rule."""
     if from_archives:
-        lines = numbered_member_lines(read_zip_members(spark, path, member_prefix="API"))
+        lines = read_zip_preamble(spark, path, PREAMBLE_LINES, member_prefix="API", keep_empty=keep_empty,
+                                  required=(key, year))
         stems = archive_stems(spark, path)
-        # One 'API' member per archive: the file count is the archive count.
-        records = preamble_records(lines, n_files=len(stems), keep_empty=keep_empty)
-        long = indicator_values(records, key, year)
+        long = indicator_values(preamble_records(lines, keep_empty), key, year)
     else:
         long = read_indicator_folder(spark, path, key, year, keep_empty=keep_empty)
         stems = folder_stems(spark, path)
@@ -136,8 +141,8 @@ def series_job(spark: SparkSession, path: str, from_archive: bool = False, out:
     if from_archive:
         codec = "utf-8-sig" if encoding.upper().replace("_", "-") == "UTF-8" else encoding
         lines = read_zip_members(spark, path, last_member=True, encoding=codec)
-        header = read_zip_headers(spark, path, last_member=True, encoding=codec).first()["line"]
-        dump = member_table(lines, header_columns(header)).drop("archive", "member")
+        headers = member_layouts(read_zip_headers(spark, path, last_member=True, encoding=codec))
+        dump = member_table(lines, header_columns(headers[0]), headers).drop("archive", "member")
     else:
         dump = read_csv_text(spark, path, encoding=encoding)
     return _emit(series_average(dump), out, jdbc, TABLES["series"])

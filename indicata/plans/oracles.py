@@ -154,15 +154,21 @@ FROM events
 WHERE event_type <> 'view'
 """
 
-SERIES_AVERAGE = f"""
+def _series_average(flag: str, value: str) -> str:
+    return f"""
 SELECT p.p_type AS serie_titulo, p.p_brand AS serie_unidades, CAST(p.p_size AS VARCHAR) AS serie_descripcion,
-       l.l_returnflag AS distribucion_descripcion, CAST(s.s_nationkey AS VARCHAR) AS dataset_responsable,
+       {flag} AS distribucion_descripcion, CAST(s.s_nationkey AS VARCHAR) AS dataset_responsable,
        l.l_linestatus AS dataset_titulo,
-       {_r2('AVG(TRY_CAST(CAST(l.l_extendedprice AS VARCHAR) AS DOUBLE))')} AS promedio_x_serie
+       {_r2(f'AVG(TRY_CAST({value} AS DOUBLE))')} AS promedio_x_serie
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
 GROUP BY ALL
 """
 
+
+SERIES_FROM_ARCHIVE = _series_average("l.l_returnflag", "CAST(l.l_extendedprice AS VARCHAR)")
+SERIES_AVERAGE = _series_average(
+    "nullif(l.l_returnflag, 'R')", "CASE WHEN l.l_linenumber = 7 THEN 'n/a' ELSE CAST(l.l_extendedprice AS VARCHAR) END")
+
 FILTER_ANY_MEASURE = """
 SELECT event_type AS location, strftime(ts, '%Y-%m-%d') AS date,
        CASE WHEN event_type NOT IN ('error', 'view') THEN value END AS total_cases,
@@ -206,6 +212,7 @@ TEXT_TO_TIMESTAMP = """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS fecha FROM orders
 """
 
+# The pattern in it is a fixed value: the token pattern of the source format.
 QUOTED_LINE_TOKENS = """
 WITH l AS (
   SELECT event_id,
@@ -259,10 +266,39 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus,
        CAST(o_totalprice AS VARCHAR) AS o_totalprice,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
-       o_orderpriority
+       o_orderpriority,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+         || CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '.120301' ELSE '.240602' END AS stamp
 FROM orders
 """
 
+REGION_TABLES = f"""
+WITH scaled AS ({REGION_SCALED_SERIES})
+SELECT *, CASE region WHEN 'parana' THEN '0.1' WHEN 'santafe' THEN '0.2' ELSE '0.3' END AS factor FROM scaled
+"""
+
+DEPOSITS_30_DAYS = """
+SELECT strftime(ts, '%Y-%m-%d') AS fecha, CAST(count(value) AS VARCHAR) AS valor FROM events GROUP BY 1
+"""
+
+# Fixed value: a field of a CSV line with a comma put in front.
+CSV_FIELD = r',((?:[^,"]|"[^"]*")*)'
+QUOTED_LINE_FIELDS = f"""
+WITH l AS (
+  SELECT event_id, CASE WHEN event_type <> 'view' THEN '"a, ' || event_type || '"' ELSE '' END
+    || ',' || CAST(value AS VARCHAR) || ',,"",' || CAST(event_id AS VARCHAR) || ',' AS line FROM events),
+t AS (SELECT event_id, list_transform(regexp_extract_all(',' || line, '{CSV_FIELD}', 1),
+                                      lambda x: trim(replace(x, '"', ''))) AS fields FROM l)
+SELECT event_id, CAST(len(fields) AS INTEGER) AS n_fields, array_to_string(fields, '|') AS fields FROM t
+"""
+
+PREAMBLE_LINES_LARGE = """
+SELECT 'events_' || CAST(event_id % greatest(2, (SELECT count(*) FROM events) // 20000) AS VARCHAR) AS stem,
+       event_type || ', ' || CAST(event_id AS VARCHAR) AS "Country Name",
+       CASE WHEN event_type <> 'error' THEN CAST(value AS VARCHAR) ELSE '' END AS "2023"
+FROM events
+"""
+
 FOLDER_SCAN_FILE_KEY = NWAY_KEY_JOIN
 
 ZIP_MEMBER_SCAN = CSV_SCAN_STRINGS
@@ -274,9 +310,10 @@ ORACLES = {
     "monthly_daily_join": MONTHLY_DAILY_JOIN,
     "indices_from_json": MONTHLY_DAILY_JOIN,
     "region_scaled_series": REGION_SCALED_SERIES,
+    "region_tables": REGION_TABLES,
     "nway_key_join": NWAY_KEY_JOIN,
     "series_average": SERIES_AVERAGE,
-    "series_from_archive": SERIES_AVERAGE,
+    "series_from_archive": SERIES_FROM_ARCHIVE,
     "filter_any_measure": FILTER_ANY_MEASURE,
     "cases_from_csv": CASES_FROM_CSV,
     "project_excluding": PROJECT_EXCLUDING,
@@ -286,15 +323,19 @@ ORACLES = {
     "decimal_comma_parse": DECIMAL_COMMA_PARSE,
     "text_to_timestamp": TEXT_TO_TIMESTAMP,
     "quoted_line_tokens": QUOTED_LINE_TOKENS,
+    "quoted_line_fields": QUOTED_LINE_FIELDS,
     "json_series_scan": JSON_SERIES_SCAN,
     "json_records_to_table": JSON_RECORDS_TO_TABLE,
     "deposits_from_json": DEPOSITS_FROM_JSON,
+    "deposits_30_days": DEPOSITS_30_DAYS,
     "csv_scan_strings": CSV_SCAN_STRINGS,
     "csv_scan_semicolon": CSV_SCAN_SEMICOLON,
     "csv_scan_inferred": CSV_SCAN_INFERRED,
     "csv_roundtrip_text": CSV_ROUNDTRIP_TEXT,
     "preamble_csv_scan": PREAMBLE_CSV_SCAN,
+    "preamble_lines_large": PREAMBLE_LINES_LARGE,
     "folder_scan_file_key": FOLDER_SCAN_FILE_KEY,
     "indicators_from_archives": NWAY_KEY_JOIN,
     "zip_member_scan": ZIP_MEMBER_SCAN,
+    "zip_member_layouts": ZIP_MEMBER_SCAN,
 }

@@ -20,6 +20,7 @@ from indicata.operators.joins import join_all_on_key, join_on_key, join_year_mon
 from indicata.operators.ordering import sort_asc, sort_desc
 from indicata.operators.projection import exclude, keep, rename
 from indicata.operators.windows import period_change
+from indicata.session import scratch_path
 from indicata.sources.preamble import read_indicator_folder
 
 # Fixed values of the pipelines.
@@ -45,23 +46,35 @@ def _as_timestamp(df: DataFrame, column: str) -> DataFrame:
 
 # E1 ------------------------------------------------------------------------
 
-def monthly_index_with_daily_risk(monthly: DataFrame, yearly: DataFrame, daily_risk: DataFrame,
-                                  broadcast_monthly: bool = True) -> DataFrame:
+def _month_rows(monthly: DataFrame, yearly: DataFrame) -> DataFrame:
+    m = _as_timestamp(rename(monthly, {"fecha": "fecha_inflacion", "valor": "valor_mensual"}),
+                      "fecha_inflacion")
+    a = _as_timestamp(rename(yearly, {"fecha": "fecha_inflacion", "valor": "valor_anual"}),
+                      "fecha_inflacion")
+    return join_on_key(m, a, "fecha_inflacion")
+
+
+def _daily_rows(daily_risk: DataFrame) -> DataFrame:
+    return _as_timestamp(rename(daily_risk, {"fecha": "fecha_riesgo", "valor": "valor_riesgo"}), "fecha_riesgo")
+
+
+def monthly_index(monthly: DataFrame, yearly: DataFrame, daily_risk: DataFrame) -> DataFrame:
+    """The months of E1's result, one row each: what E2 scales, without the
+    fan-out to days and the sort (fecha_inflacion, valor_mensual, valor_anual)."""
+    months = join_year_month(_month_rows(monthly, yearly), "fecha_inflacion", _daily_rows(daily_risk),
+                             "fecha_riesgo", how="left_semi")
+    return months.select(format_day("fecha_inflacion").alias("fecha_inflacion"), "valor_mensual", "valor_anual")
+
+
+def monthly_index_with_daily_risk(monthly: DataFrame, yearly: DataFrame, daily_risk: DataFrame) -> DataFrame:
     """Monthly and year-on-year index joined with every daily risk value of
     the same month, newest month first, dates as 'yyyy-MM-dd' (E1).
 
     Inputs are (fecha, valor) series.  Output: fecha_inflacion,
     valor_mensual, valor_anual, fecha_riesgo, valor_riesgo.
     """
-    m = _as_timestamp(rename(monthly, {"fecha": "fecha_inflacion", "valor": "valor_mensual"}),
-                      "fecha_inflacion")
-    a = _as_timestamp(rename(yearly, {"fecha": "fecha_inflacion", "valor": "valor_anual"}),
-                      "fecha_inflacion")
-    r = _as_timestamp(rename(daily_risk, {"fecha": "fecha_riesgo", "valor": "valor_riesgo"}),
-                      "fecha_riesgo")
-    months = join_on_key(m, a, "fecha_inflacion")
-    joined = join_year_month(months, "fecha_inflacion", r, "fecha_riesgo",
-                             broadcast_monthly=broadcast_monthly)
+    joined = join_year_month(_month_rows(monthly, yearly), "fecha_inflacion", _daily_rows(daily_risk),
+                             "fecha_riesgo")
     return (sort_desc(joined, "fecha_inflacion", "fecha_riesgo")
             .select(format_day("fecha_inflacion").alias("fecha_inflacion"),
                     "valor_mensual", "valor_anual",
@@ -153,11 +166,13 @@ def country_indicators_from_long(long: DataFrame, stems: Sequence[str], key: str
                                  year: str = INDICATOR_YEAR) -> DataFrame:
     """E4 from a long (stem, key, value text) table.
 
-    The long table is checkpointed to the shared folder once, so the n
-    per-indicator frames cut from it do not each re-read and re-parse the
-    source files.
+    The long table is written to the shared folder once, partitioned by stem:
+    each of the n per-indicator frames then reads its own part and two columns,
+    and the source files are read and parsed once.
     """
-    shared = long.checkpoint(eager=True)
+    path = scratch_path(long.sparkSession, "indicators-long")
+    long.select("stem", key, year).write.partitionBy("stem").parquet(path)
+    shared = long.sparkSession.read.schema(long.select(key, year, "stem").schema).parquet(path)
     # An indicator with no records would empty the inner join; fail instead
     # (one row per indicator comes back to the driver).
     present = {r["stem"] for r in shared.select("stem").distinct().collect()}
@@ -209,9 +224,6 @@ def deposit_tables(rates: DataFrame, deposits_30_days: DataFrame,
 # E8 ------------------------------------------------------------------------
 
 def series_average(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, value: str = "valor",
-                   ids: Sequence[str] = SERIES_ID_COLUMNS, count: str | None = None) -> DataFrame:
-    """Average value per series over its descriptive keys.
-
-    ``count`` marks ``value`` as partial sums (see ``partial_sums``).
-    """
-    return group_average(exclude(df, ids), list(keys), value, "promedio_x_serie", count=count)
+                   ids: Sequence[str] = SERIES_ID_COLUMNS) -> DataFrame:
+    """Average value per series over its descriptive keys."""
+    return group_average(exclude(df, ids), list(keys), value, "promedio_x_serie")

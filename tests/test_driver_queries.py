@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from indicata.plans.driver_queries import QUERIES
 from tests.conftest import DUCK_TYPES, norm
 
 SF = "/root/testdata/sf0.001"
@@ -28,10 +29,10 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql()) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     oracle_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()}

@@ -97,7 +97,7 @@ def test_e1_accepts_timestamps(spark):
     m = spark.createDataFrame([(ts, 1.0)], "fecha timestamp, valor double")
     a = spark.createDataFrame([(ts, 2.0)], "fecha timestamp, valor double")
     r = spark.createDataFrame([(dt.datetime(2024, 1, 5), 3)], "fecha timestamp, valor long")
-    assert rows(monthly_index_with_daily_risk(m, a, r, broadcast_monthly=False)) == [
+    assert rows(monthly_index_with_daily_risk(m, a, r)) == [
         ("2024-01-31", 1.0, 2.0, "2024-01-05", 3)]
 
 
