@@ -100,7 +100,7 @@ def _place_urls(bounds):
             part = [bisect_right(bounds, x) for x in zip(b["key"].to_pylist(), b["salt"].to_pylist())]
             n = b.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array([1] * n, pa.int32()), b["key"], b["id"], b["host"],
+                [pa.array(part, pa.int32()), pa.repeat(pa.scalar(1, pa.int32()), n), b["key"], b["id"], b["host"],
                  b["path"], pa.nulls(n, pa.string())],
                 names=["part", "kind", "key", "id", "host", "path", "verdict"])
     return place
@@ -109,13 +109,16 @@ def _place_urls(bounds):
 def _place_rules(bounds):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
-                lo, hi = bisect_right(bounds, (r["key"], -_MAX)), bisect_right(bounds, (r["key"] + TOP, _MAX))
-                n = hi - lo + 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(lo, hi + 1), pa.int32()), pa.array([0] * n, pa.int32()),
-                     *(pa.array([v] * n, pa.string()) for v in (r["key"], None, r["host"], r["path"], r["verdict"]))],
-                    names=["part", "kind", "key", "id", "host", "path", "verdict"])
+            part, at = [], []
+            for i, key in enumerate(b["key"].to_pylist()):
+                lo, hi = bisect_right(bounds, (key, -_MAX)), bisect_right(bounds, (key + TOP, _MAX))
+                part += range(lo, hi + 1)
+                at += [i] * (hi - lo + 1)
+            rules = b.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.repeat(pa.scalar(0, pa.int32()), len(at)), rules["key"],
+                 pa.nulls(len(at), pa.string()), rules["host"], rules["path"], rules["verdict"]],
+                names=["part", "kind", "key", "id", "host", "path", "verdict"])
     return place
 
 
