@@ -44,12 +44,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.llm.components import components
+from indicata.llm.skew import salted_join
 from indicata.llm.store import written
 
 THRESHOLD = 0.98
 BLOCK, PIVOTS = 1024, 8
 SLACK = 1e-7  # on distances, far above rounding; the cosine decides
 RADII = (1.0, 0.5, 0.25, 0.125)
+WIDE, PAIRS = 4096, 200_000  # pairs of children worked out as one product; pairs held at once
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
@@ -73,9 +75,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     per = written(classes.select("node", "key", "rep", "copies").join(group, "node", "left").join(degree, "node", "left"), "per-class")
     least = written(per.where("component IS NOT NULL").groupBy("component").agg(F.min("rep").alias("least")), "least")
     per = written(per.join(least, "component", "left").select(
-        "key", F.coalesce("least", "rep").alias("component_id"),
+        "key", "copies", F.coalesce("least", "rep").alias("component_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "per-key")
-    out = keyed.select("vec_id", "key").join(per, "key", "left")
+    out = salted_join(keyed.select("vec_id", "key"), per, "key", "copies", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                       F.coalesce("component_id", "vec_id").alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
@@ -207,39 +209,56 @@ class CoverTree:
     def level(self, i: int):
         return self.levels[min(i, len(self.levels) - 1)]
 
-    def expand(self, i: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index into ``nodes``, child at level i + 1) of all children."""
+    def children(self, i: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Children at level i + 1: an order of that level by parent, and where
+        in it each node's children start and how many they are."""
         if i + 1 >= len(self.levels):
-            return np.arange(len(nodes)), nodes
+            return np.arange(len(self.levels[-1][0])), nodes, np.ones(len(nodes), int)
         parent = self.levels[i + 1][1]
         order = np.argsort(parent, kind="stable")
         first = np.searchsorted(parent[order], nodes)
-        n = np.searchsorted(parent[order], nodes, side="right") - first
-        at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return np.repeat(np.arange(len(nodes)), n), order[at]
+        return order, first, np.searchsorted(parent[order], nodes, side="right") - first
 
 
 def dual_pairs(a: CoverTree, b: CoverTree, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """(point of a, point of b) of all pairs not further apart than ``reach``."""
+    """(point of a, point of b) of all pairs not further apart than ``reach``;
+    of a tree with itself every pair of different points comes once."""
+    same = a is b
     left, right = np.zeros(1, int), np.zeros(1, int)
     depth = max(len(a.levels), len(b.levels))
-    for i in range(depth):
-        if i:
-            at, left2 = a.expand(i - 1, left)
-            right = right[at]
-            at, right = b.expand(i - 1, right)
-            left = left2[at]
+    for i in range(1, depth + 1):  # the last round meets the points, whose covering radius is 0
         (pa_, _, ca), (pb_, _, cb) = a.level(i), b.level(i)
-        near = np.zeros(len(left), bool)
-        for lo in range(0, len(left), 200_000):  # bounded work space
-            l, r = left[lo: lo + 200_000], right[lo: lo + 200_000]
-            if 4 * len(l) > len(pa_) * len(pb_):  # most pairs are left: one product for all
-                dot = (a.x[pa_] @ b.x[pb_].T)[l, r]
-            else:
-                dot = np.einsum("ij,ij->i", a.x[pa_[l]], b.x[pb_[r]])
-            near[lo: lo + 200_000] = np.sqrt(np.maximum(2 - 2 * dot, 0)) <= reach + ca[l] + cb[r]
-        left, right = left[near], right[near]
-    return a.level(depth)[0][left], b.level(depth)[0][right]
+        order_a, first_a, n_a = a.children(i - 1, left)
+        order_b, first_b, n_b = b.children(i - 1, right)
+        found = []
+        wide = n_a * n_b >= WIDE
+        for k in np.flatnonzero(wide):  # many children: one product for all their pairs
+            l = order_a[first_a[k]: first_a[k] + n_a[k]]
+            r = order_b[first_b[k]: first_b[k] + n_b[k]]
+            far = np.maximum(2 - 2 * (a.x[pa_[l]] @ b.x[pb_[r]].T), 0)
+            near = far <= (reach + ca[l][:, None] + cb[r][None, :]) ** 2
+            if same and left[k] == right[k]:
+                near = np.triu(near)
+            x, y = np.nonzero(near)
+            found.append((l[x], r[y]))
+        k = np.flatnonzero(~wide)
+        pairs = n_a[k] * n_b[k]
+        for part in np.split(k, np.searchsorted(np.cumsum(pairs), np.arange(PAIRS, pairs.sum(), PAIRS))):
+            n = n_a[part] * n_b[part]
+            own = np.repeat(part, n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            l = order_a[first_a[own] + at // n_b[own]]
+            r = order_b[first_b[own] + at % n_b[own]]
+            far = np.maximum(2 - 2 * np.einsum("ij,ij->i", a.x[pa_[l]], b.x[pb_[r]]), 0)
+            near = far <= (reach + ca[l] + cb[r]) ** 2
+            if same:
+                near &= (left[own] != right[own]) | (l <= r)
+            found.append((l[near], r[near]))
+        left, right = (np.concatenate(c) for c in zip(*found))
+    x, y = a.level(depth)[0][left], b.level(depth)[0][right]
+    if same:
+        x, y = x[x != y], y[x != y]
+    return x, y
 
 
 def _traverse(threshold: float, reach: float):
@@ -275,7 +294,7 @@ def _compare(held, key, threshold: float, reach: float) -> pa.RecordBatch:
     i, j = dual_pairs(tree, tree if key[0] == key[1] else CoverTree(unit[right]), reach)
     i, j = left[i], right[j]
     if key[0] == key[1]:
-        i, j = i[i < j], j[i < j]
+        i, j = np.minimum(i, j), np.maximum(i, j)
     linked = np.einsum("ij,ij->i", vec[i], vec[j]) / (size[i] * size[j]) >= threshold
     i, j = i[linked], j[linked]
     links = np.bincount(i, copies[j], len(node)) + np.bincount(j, copies[i], len(node))

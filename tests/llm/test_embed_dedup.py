@@ -75,6 +75,17 @@ def test_dual_traversal_finds_all_pairs(seed):
     assert want <= set(zip(i.tolist(), j.tolist())) and len(set(zip(i.tolist(), j.tolist()))) == len(i)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_a_tree_with_itself_gives_each_pair_once(seed):
+    x = embed_dedup._unit(vectors(seed, 360).astype(float))
+    tree = CoverTree(x)
+    i, j = dual_pairs(tree, tree, 0.2)
+    got = [(min(p), max(p)) for p in zip(i.tolist(), j.tolist())]
+    d = np.sqrt(np.maximum(2 - 2 * x @ x.T, 0))
+    want = {(p, q) for p, q in zip(*map(np.ndarray.tolist, np.nonzero(d <= 0.2 - 1e-9))) if p < q}
+    assert want <= set(got) and len(set(got)) == len(got) and all(p != q for p, q in got)
+
+
 def test_tree_levels_are_nested_and_cover():
     x = embed_dedup._unit(vectors(3, 360).astype(float))
     tree = CoverTree(x)
