@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.llm.shingles import chunks, hash_words, shingle_hashes, words
+from indicata.llm.store import small_batches
 
 NGRAM, THRESHOLD = 5, 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 16
@@ -211,6 +212,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document and benchmark item found in it: doc_id, item_id,
     similarity, hamming, start (shingle), n_shingles of the best window."""
     spark = docs.sparkSession
+    small_batches(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id bigint, item_id bigint, similarity double, hamming int, start bigint, n_shingles bigint"
     out = None
@@ -237,6 +239,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
                     threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose text holds no benchmark item."""
     spark = docs.sparkSession
+    small_batches(spark)
     for indexes in item_chunks(benchmark):
         shared = spark.sparkContext.broadcast(cloudpickle.dumps(indexes))  # code included
 

@@ -41,10 +41,11 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from indicata.llm.components import components
 from indicata.llm.shingles import chunks, hash_words, mix, shingle_hashes, words
-from indicata.llm.store import written
+from indicata.llm.skew import salted_join
+from indicata.llm.store import small_batches, written
 
 NGRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9995, 160
-BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 512, 1_000_000
 BITMAP_BITS = 1 << 28  # 32 MB
 
 
@@ -171,7 +172,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     act = written(texts.where("NOT first OR rows > 1").select("doc_id", "digest", "first"), "not-first")
     bitmap, bits = member_bitmap(act)
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # BITMAP_BITS at most
-    placed = rows.withColumn("at", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(bits)), F.lit(-1).cast("long")))
+    placed = rows.select("row", "doc_id", F.coalesce(
+        F.pmod(F.xxhash64("doc_id"), F.lit(bits)), F.lit(-1).cast("long")).alias("at"))
 
     def split(maybe: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +184,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 if not maybe:
                     yield pa.RecordBatch.from_arrays([batch["row"].filter(pa.array(~hit))], names=["row"])
                     continue
-                for b in chunks([batch.filter(pa.array(hit))], "text"):
+                some = batch.filter(pa.array(hit))
+                some = some.append_column("text", some["row"].field(text_col).cast(pa.string()))
+                for b in chunks([some], "text"):
                     yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], _digests(*words(b["text"]))],
                                                      names=["row", "doc_id", "digest"])
         return run
@@ -199,6 +203,7 @@ def _classified(docs: DataFrame, n: int, threshold: float, recall: float) -> Dat
     """(doc_id, digest, class_id, keeper, n_links) per row; ``keeper`` is the digest
     of the words of the group's first document.  Null past ``digest`` where
     the id is null or the text has no words."""
+    small_batches(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall)
     signed = written(signatures(docs, "doc_id", "text", n, bands, rows), "signatures")
     # The node number is written with the class, so it is fixed from here on.
@@ -221,9 +226,9 @@ def _classified(docs: DataFrame, n: int, threshold: float, recall: float) -> Dat
     least = written(placed.where("component IS NOT NULL").groupBy("component")
                     .agg(F.min(F.struct("rep", "digest")).alias("least")), "least")
     per_class = written(placed.join(least, "component", "left").select(
-        "digest", F.coalesce("least.rep", "rep").alias("class_id"), F.coalesce("least.digest", "digest").alias("keeper"),
+        "digest", "copies", F.coalesce("least.rep", "rep").alias("class_id"), F.coalesce("least.digest", "digest").alias("keeper"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "per-class")
-    found = signed.select("doc_id", "digest").join(per_class, "digest", "left")
+    found = salted_join(signed.select("doc_id", "digest"), per_class, "digest", "copies", "doc_id")
     known = F.col("doc_id").isNotNull()
     return found.select("doc_id", "digest", *(F.when(known, F.col(c)).alias(c) for c in ("class_id", "keeper", "n_links")))
 
@@ -325,7 +330,7 @@ def _compare(held, key, threshold: float, bands: int) -> tuple[np.ndarray, ...]:
     common = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(col, kind="stable")
     owner, col = owner[order], col[order]
-    width = max(1, 8_000_000 // max(m, 1))
+    width = max(1, 1_000_000 // max(m, 1))  # bounded work space
     for lo in range(0, int(col[-1]) + 1 if len(col) else 0, width):
         a, b = np.searchsorted(col, (lo, lo + width))
         o, c = owner[a:b], col[a:b] - lo

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 
 NOT_WORD = r"[^\p{L}\p{N}\p{M}]+"
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -30,6 +30,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, size: int = CHUNK_BYT
         for lo, hi in zip(cuts, cuts[1:]):
             if hi > lo:
                 yield b.slice(lo, hi - lo)
+        pa.default_memory_pool().release_unused()
 
 
 def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

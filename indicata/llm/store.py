@@ -7,12 +7,25 @@ and never a recomputation of the steps before.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from indicata.session import scratch_path
 
 
+BATCH_ROWS_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: hand them to Python in batches of at most ``BATCH_ROWS`` rows
+    (the session's setting is lowered if it is larger), so that an executor holds
+    a few MB of them per task outside its heap."""
+    rows = int(spark.conf.get(BATCH_ROWS_CONF))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(BATCH_ROWS_CONF, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a fresh folder of the shared scratch space, reread."""
     spark = df.sparkSession

@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicata.llm.shingles import chunks
+from indicata.llm.store import small_batches
 
 SAMPLE, NEGATIVES, HARD = 1500, 24_000, 1500  # training texts per class, clean words, hard ones per round
 LANDMARKS, SPAN, DECAY = 160, 5, 0.5
@@ -53,6 +54,7 @@ LETTERS = 60  # letters told apart; all others count as one more, in no landmark
 START, STOP = "\ue000", "\ue001"
 # All ways to take three of at most SPAN letters in order, from the first on.
 PATTERNS = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]
+CHUNK_BYTES = 2 << 20  # a distinct word is worked out once per chunk
 _SEPARATOR = 10
 
 
@@ -368,12 +370,12 @@ def _score(model: Model | None, texts: pa.Array) -> np.ndarray:
 
 def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted per row of ``docs``."""
-    code = cloudpickle.dumps(model)
-    shared = docs.sparkSession.sparkContext.broadcast(code)  # some hundred kB, whatever the input
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))  # some hundred kB, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = pickle.loads(shared.value)
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", CHUNK_BYTES):
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(_score(m, b["text"]))],
                                              names=["doc_id", "held_out", "score"])
 
@@ -385,11 +387,12 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
 
 def drop_toxic(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = pickle.loads(shared.value)
-        for b in chunks(batches, text_col):
+        for b in chunks(batches, text_col, CHUNK_BYTES):
             yield b.filter(pa.array(_score(m, b[text_col]) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.llm.skew import salted_join
-from indicata.llm.store import written
+from indicata.llm.store import small_batches, written
 from indicata.session import scratch_path
 
 FILE_BYTES = 64 << 20
@@ -128,6 +128,7 @@ def write_warc(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, date
                 [pa.array(c, t) for c, t in zip(zip(*done), (pa.string(), pa.int64(), pa.int64()))],
                 names=["path", "records", "bytes"])
 
+    small_batches(pages.sparkSession)
     rows = deduplicated(pages, **columns)
     return written(rows.mapInArrow(run, "path string, records bigint, bytes bigint"), "warc-manifest")
 
