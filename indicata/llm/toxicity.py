@@ -5,8 +5,9 @@ a span of at most ``SPAN`` letters; a subsequence with g letters skipped counts
 ``DECAY ** g``.  An insult with letters left out, put in between, or with
 prefixes and endings keeps most of its subsequences.  Characters that are no
 letters are skipped for free, so ``i.d.i.o.t`` is ``idiot``; single letters standing
-alone (``i d i o t``) are joined to one word first.  The two ends of a word count
-as letters.
+alone (``i d i o t``), however many and however far apart, are joined to one word
+first, and stretches of a long run count as words too.  The two ends of a word
+count as letters.
 
 Nystrom landmarks: words of the training sentences (the most telling words of
 toxic ones, spread by kernel distance, common clean words, and the clean words
@@ -54,20 +55,42 @@ LETTERS = 60  # letters told apart; all others count as one more, in no landmark
 START, STOP = "\ue000", "\ue001"
 # All ways to take three of at most SPAN letters in order, from the first on.
 PATTERNS = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]
+WINDOWS = (5, 7, 9, 12)  # letters of the stretches of a run of single letters
 CHUNK_BYTES = 2 << 20  # a distinct word is worked out once per chunk
 _SEPARATOR = 10
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Lower-cased words of all texts in order, and each text's offsets; runs of
-    single characters are joined."""
-    low = pc.utf8_lower(pc.fill_null(texts, ""))
-    low = pc.replace_substring_regex(low, r"(^|[\x00-\x20])([^\x00-\x20])[\x00-\x20]([^\x00-\x20])[\x00-\x20]([^\x00-\x20])"
-                                          r"(?:[\x00-\x20]([^\x00-\x20])(?:[\x00-\x20]([^\x00-\x20]))?)?($|[\x00-\x20])",
-                                     r"\1\2\3\4\5\6\7")
-    lists = pc.ascii_split_whitespace(low)
+    single characters, of any length and with any white space between, are joined.
+    The stretches of a run (``WINDOWS`` letters) follow its text's words, as an
+    insult may be spelled out amid other words."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     size = np.asarray(pc.list_value_length(lists), dtype=np.int64)
-    return lists.flatten(), np.concatenate([[0], np.cumsum(size)])
+    flat, offsets = lists.flatten(), np.concatenate([[0], np.cumsum(size)])
+    single = np.asarray(pc.utf8_length(flat)) == 1
+    opens = np.ones(len(flat) + 1, bool)  # a word begins here, the end included
+    opens[1:-1] = ~(single[1:] & single[:-1])
+    opens[offsets] = True
+    words, number = _joined(flat, np.flatnonzero(opens)), np.cumsum(opens) - 1
+    at = np.flatnonzero(single & np.asarray(pc.match_substring_regex(flat, r"^\p{L}")).astype(bool))
+    run = number[at]  # the letters of all runs, and the word that each is part of
+    parts, home = [words], [np.repeat(np.arange(len(size)), np.diff(number[offsets]))]
+    for n in WINDOWS:
+        first = np.flatnonzero(run[n - 1:] == run[: max(len(run) - n + 1, 0)])
+        if len(first):
+            letters = flat.take(pa.array(at[first[:, None] + np.arange(n)].ravel()))
+            parts.append(_joined(letters, np.arange(0, n * len(first) + 1, n)))
+            home.append(np.searchsorted(offsets, at[first], side="right") - 1)
+    if len(parts) == 1:
+        return words, number[offsets]
+    text = np.concatenate(home)
+    every = pa.chunked_array(parts).combine_chunks().take(pa.array(np.argsort(text, kind="stable")))
+    return every, np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(size)))])
+
+
+def _joined(words: pa.Array, starts: np.ndarray) -> pa.Array:
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), words), "")
 
 
 class Model:

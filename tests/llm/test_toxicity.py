@@ -118,3 +118,23 @@ def test_without_labels_or_rows(spark):
     assert {r.score for r in toxicity.score_documents(docs, None).collect()} == {0.0}
     assert toxicity.score_documents(docs.limit(0), None).count() == 0
     assert toxicity.drop_toxic(docs, None).count() == docs.count()
+
+
+def test_spaced_out_insults_of_any_length(model):
+    clean = "then the other one on it"
+    for word in ("stupid", "worthless", "pathetic", "disgustingly"[:10]):
+        joined = toxicity.words_of(pa.array([f"{clean} {' '.join(word)} {clean}"]))[0].to_pylist()
+        assert word in joined
+    for word in INSULTS:
+        for gap in (" ", "  ", "\n", " \t", "  "):
+            for spaced in (gap.join(word), gap.join("a" + word), gap.join("youare" + word + "andtheother")):
+                assert model.probabilities(pa.array([f"{clean} {spaced} {clean}"]))[0] >= 0.5, (word, spaced)
+    rng = random.Random(4)
+    spelled = [" ".join(text(rng).replace(" ", "")) for _ in range(50)]
+    assert (model.probabilities(pa.array(spelled)) < 0.5).mean() > 0.95
+
+
+def test_runs_end_with_their_text():
+    words, offsets = toxicity.words_of(pa.array(["one a  b", "c d", "", None, "s t u p i d x two", "12 e"]))
+    got = [words.to_pylist()[lo:hi] for lo, hi in zip(offsets, offsets[1:])]
+    assert got == [["one", "ab"], ["cd"], [""], [""], ["stupidx", "two", "stupi", "tupid", "upidx", "stupidx"], ["12", "e"]]
