@@ -7,7 +7,7 @@ prefixes and endings keeps most of its subsequences.  Characters that are no
 letters are skipped for free, so ``i.d.i.o.t`` is ``idiot``; single letters standing
 alone (``i d i o t``), however many and however far apart, are joined to one word
 first, and stretches of a long run count as words too.  The two ends of a word
-count as letters.
+count as letters.  Letters of every script are told apart, vowel signs included.
 
 Nystrom landmarks: words of the training sentences (the most telling words of
 toxic ones, spread by kernel distance, common clean words, and the clean words
@@ -35,7 +35,10 @@ extra columns are kept by ``drop_toxic`` and ignored by ``score_documents``.
 from __future__ import annotations
 
 import pickle
+import sys
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +53,6 @@ from indicata.llm.store import small_batches
 SAMPLE, NEGATIVES, HARD = 1500, 24_000, 1500  # training texts per class, clean words, hard ones per round
 LANDMARKS, SPAN, DECAY = 160, 5, 0.5
 FOLDS = 5
-LETTERS = 60  # letters told apart; all others count as one more, in no landmark
 # The ends of a word count as letters of their own (private-use characters).
 START, STOP = "\ue000", "\ue001"
 # All ways to take three of at most SPAN letters in order, from the first on.
@@ -93,17 +95,30 @@ def _joined(words: pa.Array, starts: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), words), "")
 
 
+@cache
+def _is_letter() -> np.ndarray:
+    """Per code point: a letter, or a vowel sign (a mark that is neither an accent nor invisible)."""
+    invisible = {0x34F, 0x17B4, 0x17B5, 0x180B, 0x180C, 0x180D, 0x180F, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
+    sign = lambda ch: unicodedata.category(ch) in ("Mn", "Mc") and not unicodedata.combining(ch)
+    out = np.array([ch.isalpha() or sign(ch) for ch in map(chr, range(sys.maxunicode + 1))])
+    out[[*invisible]] = False
+    out[[ord(START), ord(STOP)]] = True
+    return out
+
+
+def _slot(code: np.ndarray) -> np.ndarray:
+    """18 bits of a mix of the code."""
+    return ((code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+
+
 class Model:
-    """Letter table, landmarks and weights; ``scores`` gives a value per word."""
-
-    def __init__(self, alphabet: str):
-        self.table = np.zeros(0x3000, np.int64)  # 0: no letter
-        for cp in range(0x3000):
-            if chr(cp).isalpha():
-                self.table[cp] = LETTERS + 3
-        for i, ch in enumerate(alphabet[:LETTERS]):
-            self.table[ord(ch)] = i + 1
-        self.row = np.zeros(1 << 18, np.int32)  # subsequence code -> row of ``values``
+    """Landmarks and weights; ``scores`` gives a value per word.  A subsequence's
+    code holds its three code points (21 bits each), so that no two share one;
+    ``alphabet`` is of no effect."""
+
+    def __init__(self, alphabet: str = ""):
+        self.codes = np.zeros(0, np.int64)  # subsequences of the landmarks, sorted: rows of ``values`` from 1 on
+        self.maybe = np.zeros(1 << 18, bool)  # slots of ``codes``
         self.values = np.zeros((1, 0), np.float32)
         self.bias = 0.0
         self.empty = 0.0
@@ -118,8 +133,7 @@ class Model:
         joined = START + pc.binary_join(every, f"{STOP}\n{START}")[0].as_py() + STOP
         cps = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
         word = np.cumsum(cps == _SEPARATOR)
-        letter = np.where(cps < 0x3000, self.table[np.minimum(cps, 0x2FFF)], LETTERS + 3)
-        letter[cps == ord(START)], letter[cps == ord(STOP)] = LETTERS + 1, LETTERS + 2
+        letter = np.where(_is_letter()[cps], cps, 0)  # 0: no letter
         padded = np.concatenate([letter, np.zeros(SPAN, np.int64)])
         owner = np.concatenate([word, np.full(SPAN, -1)])
         n = len(cps)
@@ -129,7 +143,7 @@ class Model:
             b, c = padded[first + j], padded[first + k]
             ok = (b > 0) & (c > 0) & (owner[first + k] == word[first])
             at = first[ok]
-            out.append((word[at], (letter[at] << 12) | (b[ok] << 6) | c[ok], np.full(len(at), weight, np.float32), at))
+            out.append((word[at], (letter[at] << 42) | (b[ok] << 21) | c[ok], np.full(len(at), weight, np.float32), at))
         w, code, weight, at = (np.concatenate(x) for x in zip(*out))
         order = np.argsort(at, kind="stable") if n else np.empty(0, np.int64)
         return w[order], code[order], weight[order]
@@ -140,11 +154,11 @@ class Model:
     def set_landmarks(self, landmarks: list[str]) -> None:
         m = len(landmarks)
         word, code, weight = self.subsequences(pa.array(landmarks, pa.string()))
-        seen = np.unique(code)
-        self.row[:] = 0
-        self.row[seen] = np.arange(1, len(seen) + 1)
-        values = np.zeros((len(seen) + 1, m), np.float64)
-        np.add.at(values, (self.row[code], word), weight)
+        self.codes = np.unique(code)
+        self.maybe[:] = False
+        self.maybe[_slot(self.codes)] = True
+        values = np.zeros((len(self.codes) + 1, m), np.float64)
+        np.add.at(values, (np.searchsorted(self.codes, code) + 1, word), weight)
         norm = np.sqrt(np.maximum((values ** 2).sum(axis=0), 1e-12))
         values /= norm
         gram = values.T @ values
@@ -164,9 +178,11 @@ class Model:
         n = len(words)
         word, code, weight = self.subsequences(words)
         norm = self._norms(word, weight, n)
-        row = self.row[code]
-        hit = row > 0
-        word, row, weight = word[hit], row[hit], weight[hit]
+        hit = np.flatnonzero(self.maybe[_slot(code)])
+        row = np.searchsorted(self.codes, code[hit])
+        same = self.codes[np.minimum(row, len(self.codes) - 1)] == code[hit] if len(self.codes) else np.zeros(0, bool)
+        hit, row = hit[same], row[same] + 1
+        word, weight = word[hit], weight[hit]
         if values.ndim == 1:  # the weights are already applied: one value per subsequence
             return np.bincount(word, weight * values[row], n) / norm
         out = np.zeros((n, values.shape[1]), np.float32)
@@ -236,13 +252,7 @@ def train(toxic: list[str], clean: list[str]) -> Model | None:
     count = lambda words, bag, share: np.bincount(
         np.concatenate(bag), np.repeat(share, [len(x) for x in bag]), len(words))
     tox_df, clean_df = count(tox_words, tox_bags, tox_share), count(clean_words, clean_bags, clean_share)
-    letters: dict[str, int] = {}
-    for words, df in ((tox_words, tox_df), (clean_words, clean_df)):
-        for word, n in zip(words.to_pylist(), df.tolist()):
-            for ch in word:
-                if ch.isalpha() and ord(ch) < 0x3000:
-                    letters[ch] = letters.get(ch, 0) + n
-    model = Model("".join(sorted(letters, key=lambda ch: (-letters[ch], ch))[:LETTERS]))
+    model = Model()
     # Log-likelihood ratio of a word's texts being toxic more often than all are,
     # less what the best of so many words reaches by chance.
     in_clean = dict(zip(clean_words.to_pylist(), clean_df.tolist()))

@@ -138,3 +138,37 @@ def test_runs_end_with_their_text():
     words, offsets = toxicity.words_of(pa.array(["one a  b", "c d", "", None, "s t u p i d x two", "12 e"]))
     got = [words.to_pylist()[lo:hi] for lo, hi in zip(offsets, offsets[1:])]
     assert got == [["one", "ab"], ["cd"], [""], [""], ["stupidx", "two", "stupi", "tupid", "upidx", "stupidx"], ["12", "e"]]
+
+
+KANA, HANGUL = [chr(c) for c in range(0x30A2, 0x30EC)], [chr(c) for c in range(0xAC00, 0xAC00 + 28 * 60, 28)]
+CYRILLIC, GREEK = [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x3B1, 0x3CA) if c != 0x3C2]
+IDEOGRAPHS, DEVANAGARI = [chr(c) for c in range(0x4E00, 0x4E60)], [chr(c) + v for c in range(0x915, 0x925) for v in ("", "ु", "े")]
+
+
+def test_letters_of_every_script_are_told_apart():
+    m = toxicity.Model()
+    pairs = [("アイウエオ", "カキクケコ"), ("漢字文化", "時間空間"), ("가나다라", "마바사아"), ("кук", "шиш"), ("कुके", "केकु"), ("ꦏꦒꦔ", "ꦕꦗꦚ")]
+    m.set_landmarks([w for pair in pairs for w in pair])
+    k = m.kernel(pa.array([w for pair in pairs for w in pair]))
+    for i in range(0, 2 * len(pairs), 2):
+        assert k[i, i] > 0.9 and k[i, i + 1] < 0.7, pairs[i // 2]
+
+
+def test_many_scripts_at_once():
+    rng = random.Random(5)
+    scripts = [KANA, HANGUL, CYRILLIC, GREEK, IDEOGRAPHS, DEVANAGARI, list("abcdefghijklmnopqrstuvwxyz")]
+    make = lambda letters: "".join(rng.choices(letters, k=6))
+    vocabulary = [[make(s) for _ in range(60)] for s in scripts]
+    insults = [[make(s) for _ in range(3)] for s in scripts]
+
+    def sentence(k, toxic):
+        out = rng.choices(vocabulary[k % len(scripts)], k=20)
+        if toxic:
+            out[rng.randrange(20)] = rng.choice(insults[k % len(scripts)])
+        return " ".join(out)
+
+    model = toxicity.train([sentence(k, True) for k in range(420)], [sentence(k, False) for k in range(840)])
+    for k in range(len(scripts)):
+        y = np.array([i % 2 == 0 for i in range(60)])
+        p = model.probabilities(pa.array([sentence(k, bool(t)) for t in y]))
+        assert ((p >= 0.5) == y).mean() > 0.95, k
