@@ -4,7 +4,8 @@ A text is brought to a canonical form and its SHA-256 is hash-joined to the
 digests of known licence texts and notices:
 
 1. case: lower-cased;
-2. copyright lines (starting with ``copyright``, ``(c)`` or the sign) go;
+2. copyright lines (starting with ``copyright``, ``(c)`` or the sign) go, but not lines of a clause that
+   happens to be broken there (``COPYRIGHT HOLDERS BE LIABLE``);
 3. punctuation and white space: each run becomes one space, lines without
    words go;
 4. equivalent spellings (``SPELLINGS``, single words, and the -ise/-ize rule) are
@@ -12,7 +13,7 @@ digests of known licence texts and notices:
 
 Whole texts are looked up (their lines joined by a space), and every line as a
 text of its own, so a notice inside a document is found as well.  The table of known texts is
-fixed (tens of rows), so the join is a broadcast by construction and no text is
+fixed (some tens of rows), so the join is a broadcast by construction and no text is
 shuffled; per document only its digest and its matches are.
 
 Defined cases: a null text has a null digest and matches nothing; an empty text
@@ -23,11 +24,19 @@ their notices); an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Patterns of the canonical form (the same in Java and RE2).
+# Patterns of the canonical form (but for NOTICE_LINE, the same in Java and RE2).
+# COPYRIGHT_LINE is what the SQL uses: it drops every line that starts so, NOTICE_LINE those that are notices.
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(?:copyright|\(c\)|©)[^\n]*$"
+# Words that go on a clause: a line that begins with them is no copyright line.
+_CLAUSE = (r"(?:holders?|owners?|notices?|laws?|licen[sc]es?|statements?|permissions?|treat(?:y|ies)|disclaimers?|interests?"
+           r"|rights?|protections?|patents?|trademarks?|ownership|doctrines?|resulting|like|if|and|or|on|in|is|as|for|to|that|the[ \t]+(?:software|library|program))")
+NOTICE_LINE = (rf"(?m)^[ \t#*/;-]*(?:copyright\b(?![ \t,-]*{_CLAUSE}\b|[ \t,.;-]*(?:the)?[ \t]*$)"
+               r"|\(c\)(?![ \t]*(?:you|under|if|to|the|a|an|any|all|each|in|for|it|affirmer)\b|[ \t]*$)|©)[^\n]*$")
 SEPARATORS = r"[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f\x{a0}\x{a9}\x{ab}\x{bb}\x{2010}-\x{2027}]+"
 # Equivalent spellings of single words of the canonical form.
 SPELLINGS = (
@@ -84,10 +93,58 @@ specific language governing permissions and limitations under the License."""),
     ("all-rights-reserved", "All rights reserved."),
 )
 
+_AS_IS = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_SOURCE = """Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer."""
+_BINARY = """Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution."""
+_NAMES = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission."""
+_MAY = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:"""
+
+
+def _bsd(clauses: tuple[str, ...], number: str) -> str:
+    return "\n\n".join([_MAY, *(number.format(i + 1) + c for i, c in enumerate(clauses)), _AS_IS])
+
+
+# Title lines that may stand before a text.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                     "BSD 2-Clause Simplified License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                     "BSD 3-Clause New or Revised License"),
+}
+
+
+def complete_texts() -> tuple[tuple[str, str], ...]:
+    """(license, text) of complete licences: with and without a title line, a line
+    that reserves all rights, numbers before clauses, and what follows the terms."""
+    texts = [(name, text) for name, text in KNOWN[:2]]
+    texts += [("BSD-2-Clause", _bsd((_SOURCE, _BINARY), n)) for n in ("", "{}. ")]
+    texts += [("BSD-3-Clause", _bsd((_SOURCE, _BINARY, _NAMES), n)) for n in ("", "{}. ")]
+    out = [(name, "\n".join([*title, *rights, text])) for name, text in texts for title in ((), *((t,) for t in TITLES[name]))
+           for rights in ((), ("All rights reserved.",))]
+    end = "END OF TERMS AND CONDITIONS"
+    for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        out.append((path.stem, text))
+        if end in text:
+            out += [(path.stem, text.split(end)[0]), (path.stem, text.split(end)[0] + end)]
+    return tuple(out)
+
 
 def canonical_lines(text: Column) -> Column:
     """array<string>: the canonical form of every line that has words."""
-    out = F.replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), F.lit("\n"), F.lit(" \n "))
+    out = F.replace(F.regexp_replace(F.lower(text), NOTICE_LINE, ""), F.lit("\n"), F.lit(" \n "))
     out = F.concat(F.lit(" "), F.regexp_replace(out, SEPARATORS, " "), F.lit(" "))
     for spelled, unified in SPELLINGS:
         out = F.replace(out, F.lit(f" {spelled} "), F.lit(f" {unified} "))
@@ -108,11 +165,11 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     return rows.groupBy(F.get(digests("lines"), F.lit(0)).alias("digest")).agg(F.min("license").alias("found"))
 
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=KNOWN) -> DataFrame:
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=None) -> DataFrame:
     """One row per document: its text digest, the licence its whole text is
     (or null), the number of its lines that are known notices and their
     licences, sorted and joined by ``;`` (empty: none)."""
-    table = F.broadcast(known_digests(docs.sparkSession, known))  # fixed list: tens of rows
+    table = F.broadcast(known_digests(docs.sparkSession, known or KNOWN + complete_texts()))  # fixed list: some tens of rows
     rows = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
     looked = rows.select("doc_id", F.posexplode_outer(digests("lines")).alias("pos", "digest")) \
         .join(table, "digest", "left")

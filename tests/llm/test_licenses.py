@@ -1,3 +1,6 @@
+import re
+import textwrap
+
 from indicata.llm import licenses
 from tests.llm.helpers import messy_documents, prose
 
@@ -36,3 +39,30 @@ def test_messy_rows_and_empty_table(spark):
 def test_native_plan(spark):
     plan = licenses.license_scan(messy_documents(spark, [(1, "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def wrapped(text, width):
+    """The text in other lines; paragraphs that hold a copyright line stay as they are."""
+    out = []
+    for part in re.split(r"\n\s*\n", text):
+        own = re.search(r"(?i)copyright (?:\(c\)|\[)", part)
+        out.append(part if own else textwrap.fill(" ".join(part.split()), width, break_long_words=False, break_on_hyphens=False))
+    return "\n\n".join(out)
+
+
+def test_wrapping_does_not_matter(spark):
+    texts = [(name, text) for name, text in licenses.complete_texts()]
+    rows = [(i * 10 + k, wrapped(text, w), name) for i, (name, text) in enumerate(texts)
+            for k, w in enumerate((24, 41, 57, 72, 80, 100, 100_000))]
+    got = scan(spark, [r[:2] for r in rows], False)
+    assert [(i, n) for i, t, n in rows if got[i].license != n] == []
+
+
+def test_titles_and_copyright_lines(spark):
+    title = "The MIT License (MIT)\n\nCopyright (c) 2021 A. Person\nCopyright 2020 Other Person\n(c) 2019 Third Person\n"
+    usual = MIT.replace("AUTHORS OR\nCOPYRIGHT HOLDERS", "AUTHORS OR COPYRIGHT HOLDERS")
+    got = scan(spark, [(1, title + usual), (2, "MIT License\n\n© Acme\n\n" + MIT), (3, usual.replace("BE LIABLE", "BE LIABEL")),
+                       (4, "MIT License\nCopyright The Authors\n" + MIT.replace("LIABLE FOR ANY CLAIM", "GLAD")),
+                       (5, "BSD 3-Clause License\n\nCopyright (c) 2020, Acme\nAll rights reserved.\n\n"
+                        + licenses._bsd((licenses._SOURCE, licenses._BINARY, licenses._NAMES), "{}. "))], False)
+    assert [got[i].license for i in (1, 2, 3, 4, 5)] == ["MIT", "MIT", None, None, "BSD-3-Clause"]
