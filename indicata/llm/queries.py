@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import chat, decontam, embed_dedup, jaccard, licenses, lm_score, oracles, packing, toxicity, url_filter, warc
+from indicata.llm import (chat, decontam, embed_dedup, html_text, jaccard, licenses, lm_score, oracles, packing, toxicity,
+                          url_filter, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,10 @@ def op10_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_warc_salvage": op1_warc_salvage,
     "op2_license_scan": op2_license_scan,
@@ -78,6 +83,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_lattice_likelihood": op10_lattice_likelihood,
+    "op12_html_extraction": op12_html_extraction,
 }
 ORACLES = {
     "op1_warc_salvage": oracles.WARC_SALVAGE,

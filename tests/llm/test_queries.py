@@ -26,7 +26,7 @@ def duck():
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11)) | {12}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
@@ -78,6 +78,14 @@ def test_packing_holds_every_token(spark, duck):
     assert {r[0]: r[1] for r in got} == {i: len(re.findall("[^\x20\x09-\x0D]+", t)) for i, t in documents(duck)}
 
 
+def test_html_extraction(spark, duck):
+    from tests.llm import test_html_text
+
+    pages = duck.execute("SELECT page_id, url, html FROM pages").fetchall()
+    got = sorted(tuple(r) for r in queries.op12_html_extraction(spark, SF).collect())
+    assert got == sorted((i, u, t, len(t)) for i, u, t in ((i, u, test_html_text.plain(h)) for i, u, h in pages))
+
+
 def test_embeddings(spark, duck):
     rows = duck.execute("SELECT vec_id, embedding, label FROM embeddings").fetchall()
     got = sorted([tuple(r) for r in queries.op9_embedding_near_dedup(spark, SF).collect()], key=str)
