@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.llm import (chat, decontam, embed_dedup, html_text, jaccard, licenses, lm_score, oracles, packing, toxicity,
-                          url_filter, warc)
+                          url_filter, warc, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op10_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_lattice_likelihood": op10_lattice_likelihood,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_html_extraction": op12_html_extraction,
 }
 ORACLES = {

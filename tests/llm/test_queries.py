@@ -26,7 +26,7 @@ def duck():
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11)) | {12}
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11)) | {11, 12}
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
@@ -78,6 +78,13 @@ def test_packing_holds_every_token(spark, duck):
     assert {r[0]: r[1] for r in got} == {i: len(re.findall("[^\x20\x09-\x0D]+", t)) for i, t in documents(duck)}
 
 
+def test_whitening(spark, duck):
+    from tests.llm import test_whitening
+
+    rows = duck.execute("SELECT vec_id, embedding FROM embeddings").fetchall()
+    test_whitening.agrees(queries.op11_embedding_whitening(spark, SF).collect(), rows)
+
+
 def test_html_extraction(spark, duck):
     from tests.llm import test_html_text
 
