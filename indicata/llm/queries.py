@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicata.llm import (chat, decontam, embed_dedup, html_text, jaccard, licenses, lm_score, oracles, packing, toxicity,
-                          url_filter, warc, whitening)
+from indicata.llm import (chat, decontam, embed_dedup, html_text, jaccard, licenses, lm_score, oracles, packing,
+                          prefix_trie, toxicity, url_filter, warc, whitening)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,11 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prefix_trie.turn_rows(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.steps_with_shared_heads(rows))
+
+
 QUERIES = {
     "op1_warc_salvage": op1_warc_salvage,
     "op2_license_scan": op2_license_scan,
@@ -89,10 +94,12 @@ QUERIES = {
     "op10_lattice_likelihood": op10_lattice_likelihood,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_html_extraction": op12_html_extraction,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES = {
     "op1_warc_salvage": oracles.WARC_SALVAGE,
     "op2_license_scan": oracles.LICENSE_SCAN,
     "op6_chat_format": oracles.CHAT_FORMAT,
     "op7_url_filter": oracles.URL_FILTER,
+    "op13_prefix_trie": oracles.PREFIX_TRIE,
 }
