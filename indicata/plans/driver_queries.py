@@ -26,9 +26,10 @@ from indicata.plans.pipelines import (REGION_FACTORS, cases_with_counts, country
 from indicata.session import scratch_path
 from indicata.sinks.files import csv_roundtrip
 from indicata.sinks.preview import first_n
-from indicata.sources.archives import member_layouts, member_table, read_zip_headers, read_zip_members
+from indicata.sources.archives import ZipCatalogue, member_table
 from indicata.sources.csv import read_csv_text, read_csv_typed
-from indicata.sources.json import read_json_records, read_json_series
+from indicata.sources.faults import fault_report, set_aside
+from indicata.sources.json import json_records_checked, read_json_records, read_json_series
 from indicata.sources.memory import rows_to_frame
 from indicata.sources.preamble import folder_stems, read_indicator_folder
 
@@ -441,6 +442,37 @@ def deposits_30_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _deposits(spark, sf_dir)[1]
 
 
+LARGE_ARRAY_FILES = 2
+
+
+def json_array_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as two array files, however many there are, each read in ranges far
+    smaller than the file; texts hold quotes, brackets and backslashes."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", F.concat(F.lit('["'), F.col("event_type"), F.lit('\\"]}, {')).alias("label"),
+        F.when(F.col("event_type") != "error", F.col("value")).alias("value"), "props")
+    path = landing.land_json_arrays(spark, ev, "events-arrays", roll_bytes=1 << 62, files=LARGE_ARRAY_FILES)
+    return read_json_records(spark, path, split_bytes=LARGE_SPLIT_BYTES)
+
+
+def json_faults_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON Lines in a folder per event type, some cut off, some no
+    records, some with text behind, some with an unknown key: counted per folder and
+    reason, next to the sound ones, which are kept."""
+    ev = table(spark, sf_dir, "events")
+    line = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "valor": '), F.col("value").cast("string"))
+    nth = lambda k, r: F.pmod("event_id", F.lit(k)) == r
+    made = (F.when(nth(97, 1), line).when(nth(101, 2), F.col("event_id").cast("string"))
+            .when(nth(103, 3), F.concat(line, F.lit("} {}"))).when(nth(107, 4), F.concat(line, F.lit(', "otra": 1}')))
+            .otherwise(F.concat(line, F.lit("}"))))
+    path = landing.land_lines_by_stem(spark, ev.select(F.col("event_type").alias("stem"), made.alias("line")), "events-faults")
+    checked = json_records_checked(spark, path, ["event_id", "valor"], multi_line=False)
+    checked = checked.withColumn("stem", F.regexp_extract("file", r"stem=([^/]+)/", 1))
+    sound, faulty = set_aside(checked)
+    good = sound.groupBy("stem").agg(F.lit("sound").alias("reason"), F.count("*").alias("n"))
+    return good.unionByName(fault_report(faulty, "stem"))
+
+
 # --- CSV sources and the CSV hand-off -------------------------------------------------------------
 
 def csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,18 +514,31 @@ def zip_member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _archive_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    headers = member_layouts(read_zip_headers(spark, path, member_prefix="API"))
-    lines = read_zip_members(spark, path, member_prefix="API")
-    return member_table(lines, columns, headers).drop("archive", "member")
+    members = ZipCatalogue(spark, path, member_prefix="API")
+    return member_table(members.lines(), columns, members.headers()).drop("archive", "member")
 
 
 def zip_member_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small archives in two column orders, with blank lines between records."""
+    """Small archives in two column orders, some without two of the columns, with
+    blank lines before the header and between records and with empty members."""
     customer = table(spark, sf_dir, "customer")
-    path = landing.land_zip_archives(spark, customer, "customer-zip-mixed", roll_bytes=4096, turn_odd=True, blank_lines=True)
+    third = F.pmod("c_custkey", F.lit(3)) == 1
+    odd = {"roll_bytes": 4096, "turn_odd": True, "blank_lines": True}
+    path = landing.land_zip_archives(spark, customer.where(~third), "customer-zip-mixed", **odd)
+    landing.land_zip_archives(spark, customer.where(third).drop("c_acctbal", "c_mktsegment"), "", path=path, label="b", **odd)
     return _archive_table(spark, path, customer.columns)
 
 
+MEMBERS_PER_ARCHIVE, MEMBER_BYTES = 64, 16 * 1024
+
+
+def zip_member_parallel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in a few archives of many members each, which are dealt to tasks."""
+    orders = table(spark, sf_dir, "orders")
+    path = landing.land_zip_archives(spark, orders, "orders-zip", roll_bytes=MEMBER_BYTES, members=MEMBERS_PER_ARCHIVE)
+    return _archive_table(spark, path, orders.columns)
+
+
 QUERIES = {
     "period_over_period": period_over_period,
     "period_over_period_by_key": period_over_period_by_key,
@@ -529,4 +574,7 @@ QUERIES = {
     "indicators_from_archives": indicators_from_archives,
     "zip_member_scan": zip_member_scan,
     "zip_member_layouts": zip_member_layouts,
+    "zip_member_parallel": zip_member_parallel,
+    "json_array_large": json_array_large,
+    "json_faults_set_aside": json_faults_set_aside,
 }

@@ -22,8 +22,7 @@ from indicata.plans.pipelines import (cases_with_counts, country_indicators_from
 from indicata.session import scratch_path
 from indicata.sinks.files import as_text_table, write_csv
 from indicata.sinks.jdbc import write_jdbc
-from indicata.sources.archives import (archive_stems, header_columns, member_layouts, member_table,
-                                       read_zip_headers, read_zip_members, read_zip_preamble)
+from indicata.sources.archives import ZipCatalogue, archive_stems, member_table
 from indicata.sources.csv import read_csv_text
 from indicata.sources.json import read_json_records, read_json_series
 from indicata.sources.preamble import (PREAMBLE_LINES, folder_stems, indicator_values, preamble_records,
@@ -100,10 +99,9 @@ def country_indicators_job(spark: SparkSession, path: str, from_archives: bool =
     member is the indicator file (named after its archive).  ``keep_empty``
     tokenises lines with CSV semantics instead of the source rule."""
     if from_archives:
-        lines = read_zip_preamble(spark, path, PREAMBLE_LINES, member_prefix="API", keep_empty=keep_empty,
-                                  required=(key, year))
+        members = ZipCatalogue(spark, path, member_prefix="API", skip=PREAMBLE_LINES)
         stems = archive_stems(spark, path)
-        long = indicator_values(preamble_records(lines, keep_empty), key, year)
+        long = indicator_values(preamble_records(members.preamble_lines(keep_empty, (key, year)), keep_empty), key, year)
     else:
         long = read_indicator_folder(spark, path, key, year, keep_empty=keep_empty)
         stems = folder_stems(spark, path)
@@ -140,9 +138,8 @@ def series_job(spark: SparkSession, path: str, from_archive: bool = False, out:
     """E8 from the series dump: a CSV, or archives whose last member is it."""
     if from_archive:
         codec = "utf-8-sig" if encoding.upper().replace("_", "-") == "UTF-8" else encoding
-        lines = read_zip_members(spark, path, last_member=True, encoding=codec)
-        headers = member_layouts(read_zip_headers(spark, path, last_member=True, encoding=codec))
-        dump = member_table(lines, header_columns(headers[0]), headers).drop("archive", "member")
+        members = ZipCatalogue(spark, path, last_member=True, encoding=codec)
+        dump = member_table(members.lines(), members.columns(), members.headers()).drop("archive", "member")
     else:
         dump = read_csv_text(spark, path, encoding=encoding)
     return _emit(series_average(dump), out, jdbc, TABLES["series"])

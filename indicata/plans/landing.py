@@ -162,27 +162,35 @@ def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *df.columns)
 
 
-def _zip_writer(base: str, member_prefix: str, extra_member: str, roll_bytes: int, turn_odd: bool, blank_lines: bool):
+def _zip_writer(base: str, label: str, member_prefix: str, extra_member: str, roll_bytes: int, members: int, turn_odd: bool,
+                blank_lines: bool):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         rows = files = 0
         batch = next(batches, None)
         while batch is not None:
-            label = f"{part:05d}_{files:04d}"
+            name = f"{label}{part:05d}_{files:04d}"
             columns = batch.schema.names[::-1] if turn_odd and (part + files) % 2 else batch.schema.names
-            with _open_output(f"{base}/archive_{label}.zip") as out, \
+            with _open_output(f"{base}/archive_{name}.zip") as out, \
                     zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED, compresslevel=1) as zf:
-                zf.writestr(f"{extra_member}_{label}.csv", "note\nmetadata only\n")
-                size = 0
-                with zf.open(f"{member_prefix}_{label}.csv", "w") as member:
-                    writer = pcsv.CSVWriter(member, batch.select(columns).schema)
-                    while batch is not None and size < roll_bytes:
-                        writer.write_batch(batch.select(columns))
+                zf.writestr(f"{extra_member}_{name}.csv", "note\nmetadata only\n")
+                if blank_lines:
+                    zf.writestr(f"{member_prefix}_{name}_empty.csv", "")
+                for k in range(members):
+                    if batch is None:
+                        break
+                    size = 0
+                    with zf.open(f"{member_prefix}_{name}_{k:05d}.csv", "w") as member:
                         if blank_lines:
-                            member.write(b"\n  \n")
-                        rows, size = rows + batch.num_rows, size + batch.nbytes
-                        batch = next(batches, None)
-                    writer.close()
+                            member.write(b"\n \n")
+                        writer = pcsv.CSVWriter(member, batch.select(columns).schema)
+                        while batch is not None and size < roll_bytes:
+                            writer.write_batch(batch.select(columns))
+                            if blank_lines:
+                                member.write(b"\n  \n")
+                            rows, size = rows + batch.num_rows, size + batch.nbytes
+                            batch = next(batches, None)
+                        writer.close()
             files += 1
         yield pa.RecordBatch.from_pydict({"rows": [rows]})
 
@@ -191,18 +199,23 @@ def _zip_writer(base: str, member_prefix: str, extra_member: str, roll_bytes: in
 
 def land_zip_archives(spark: SparkSession, df: DataFrame, name: str, member_prefix: str = "API",
                       extra_member: str = "Metadata", roll_bytes: int = ROLL_BYTES, turn_odd: bool = False,
-                      blank_lines: bool = False) -> str:
-    """Zip archives of about ``roll_bytes`` of rows, each with a CSV member
-    (``<member_prefix>_...csv``) and a member to be ignored.
+                      blank_lines: bool = False, members: int = 1, path: str | None = None, label: str = "") -> str:
+    """Zip archives of ``members`` CSV members (``<member_prefix>_...csv``) of about
+    ``roll_bytes`` of rows each, and a member to be ignored.
 
     Streamed by the executors (``mapInArrow``, Arrow's CSV writer); a retried
     task rewrites the same archives.  ``turn_odd`` writes the columns of every
-    other archive in reverse, ``blank_lines`` adds empty lines between records.
+    other archive in reverse, ``blank_lines`` adds empty lines before the header and between
+    records and a member without any.  More archives go to the same ``path`` under another ``label``.
     """
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    _run(_spread(spark, text).mapInArrow(
-        _zip_writer(path, member_prefix, extra_member, roll_bytes, turn_odd, blank_lines), schema="rows long"))
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // members)
+    # An explicit partition count (AQE keeps it), hashed on every column so a
+    # retried task sees the same rows.
+    dealt = text.repartition(parts, *text.columns)
+    _run(dealt.mapInArrow(_zip_writer(path, label, member_prefix, extra_member, roll_bytes, members, turn_odd, blank_lines),
+                          schema="rows long"))
     return path
 
 
@@ -227,11 +240,20 @@ def _json_array_writer(base: str, roll_bytes: int):
     return write
 
 
-def land_json_arrays(spark: SparkSession, df: DataFrame, name: str, roll_bytes: int = ROLL_BYTES) -> str:
+def land_lines_by_stem(spark: SparkSession, lines: DataFrame, name: str) -> str:
+    """Lines (stem, line) as text files in one folder per stem, ``<folder>/stem=<stem>``."""
+    path = scratch_path(spark, name)
+    lines.select("stem", F.col("line").alias("value")).write.partitionBy("stem").text(path)
+    return path
+
+
+def land_json_arrays(spark: SparkSession, df: DataFrame, name: str, roll_bytes: int = ROLL_BYTES,
+                     files: int | None = None) -> str:
     """JSON array files of about ``roll_bytes``, records with every key (null
     fields kept), as API payloads are landed.  Records are serialised by Spark
-    (``to_json``) and streamed."""
+    (``to_json``) and streamed by ``files`` tasks (one per shuffle partition if not given)."""
     path = scratch_path(spark, name)
     rec = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("json")
-    _run(_spread(spark, df).select(rec).mapInArrow(_json_array_writer(path, roll_bytes), schema="rows long"))
+    dealt = _spread(spark, df) if files is None else df.repartition(files, *df.columns)
+    _run(dealt.select(rec).mapInArrow(_json_array_writer(path, roll_bytes), schema="rows long"))
     return path

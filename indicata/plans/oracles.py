@@ -303,6 +303,27 @@ FOLDER_SCAN_FILE_KEY = NWAY_KEY_JOIN
 
 ZIP_MEMBER_SCAN = CSV_SCAN_STRINGS
 
+ZIP_MEMBER_LAYOUTS = f"""
+SELECT * REPLACE (CASE WHEN CAST(c_custkey AS BIGINT) % 3 <> 1 THEN c_acctbal END AS c_acctbal,
+                  CASE WHEN CAST(c_custkey AS BIGINT) % 3 <> 1 THEN c_mktsegment END AS c_mktsegment)
+FROM ({ZIP_MEMBER_SCAN})
+"""
+
+ZIP_MEMBER_PARALLEL = "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM orders"
+
+JSON_ARRAY_LARGE = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, '["' || event_type || '\\"]}, {' AS label,
+       CASE WHEN event_type <> 'error' THEN CAST(value AS VARCHAR) END AS value, props
+FROM events
+"""
+
+JSON_FAULTS_SET_ASIDE = """
+SELECT event_type AS stem, CASE
+    WHEN event_id % 97 = 1 OR event_id % 101 = 2 OR event_id % 103 = 3 THEN 'a JSON element is not a record'
+    WHEN event_id % 107 = 4 THEN 'record has keys outside the header' ELSE 'sound' END AS reason, count(*) AS n
+FROM events GROUP BY ALL
+"""
+
 ORACLES = {
     "period_over_period": PERIOD_OVER_PERIOD,
     "period_over_period_by_key": PERIOD_OVER_PERIOD_BY_KEY,
@@ -337,5 +358,8 @@ ORACLES = {
     "folder_scan_file_key": FOLDER_SCAN_FILE_KEY,
     "indicators_from_archives": NWAY_KEY_JOIN,
     "zip_member_scan": ZIP_MEMBER_SCAN,
-    "zip_member_layouts": ZIP_MEMBER_SCAN,
+    "zip_member_layouts": ZIP_MEMBER_LAYOUTS,
+    "zip_member_parallel": ZIP_MEMBER_PARALLEL,
+    "json_array_large": JSON_ARRAY_LARGE,
+    "json_faults_set_aside": JSON_FAULTS_SET_ASIDE,
 }

@@ -1,6 +1,6 @@
 """Typed readers for landed files."""
 
-from indicata.sources.archives import (archive_stems, header_columns, member_layouts, member_table,
+from indicata.sources.archives import (ZipCatalogue, archive_stems, header_columns, member_layouts, member_table,
                                        read_zip_headers, read_zip_members, read_zip_preamble)
 from indicata.sources.csv import read_csv_text, read_csv_typed
 from indicata.sources.faults import fault_report, raise_faults, set_aside
@@ -10,7 +10,7 @@ from indicata.sources.preamble import (PREAMBLE_LINES, folder_stems, indicator_v
                                        preamble_records, read_indicator_folder, read_preamble_lines)
 
 __all__ = [
-    "PREAMBLE_LINES", "archive_stems", "fault_report", "folder_stems", "header_columns", "indicator_values", "json_records_checked", "json_texts",
+    "PREAMBLE_LINES", "ZipCatalogue", "archive_stems", "fault_report", "folder_stems", "header_columns", "indicator_values", "json_records_checked", "json_texts",
     "member_layouts", "member_table",
     "preamble_lines", "preamble_records", "read_zip_headers", "read_zip_preamble", "read_csv_text",
     "read_csv_typed", "read_indicator_folder", "read_json_records", "read_json_series",

@@ -1,10 +1,16 @@
 """Zip archives of CSV files, read as a Spark job.
 
 The archives are listed with the ``binaryFile`` source (content column not
-selected, so no bytes are loaded by the scan), spread one archive per task,
-and each task streams its archive's members chunk by chunk with
-``mapInArrow``, splitting lines with Arrow compute: memory per task is one
-chunk of text, not one archive.
+selected, so no bytes are loaded by the scan).  One task per archive reads its
+central directory and the header line of the selected members: the catalogue,
+a small written table of places, sizes and headers.  From it the members are
+dealt to tasks by their stored size, so that an archive of many members is
+read by many tasks.  A task goes straight to its members' places and streams
+them chunk by chunk (``mapInArrow``, lines split with Arrow compute): its memory
+is one chunk of text.
+
+A member's header is its first line that is not blank; members without one are
+left out.
 """
 
 from __future__ import annotations
@@ -13,17 +19,20 @@ import csv
 import hashlib
 import io
 import re
+import struct
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from indicata.functions.files import file_stem, open_input
+from indicata.session import scratch_path
 from indicata.sources.preamble import LINES_SCHEMA, check_header, header_tokens
 
 MEMBER_LINES_SCHEMA = StructType([
@@ -70,56 +79,130 @@ def _line_arrays(text: io.TextIOBase) -> Iterator[pa.Array]:
         yield pa.array([carry[:-1] if carry.endswith("\r") else carry], pa.string())
 
 
-def _members(path: str, prefix: str | None, last_only: bool, encoding: str) -> Iterator[tuple[str, io.TextIOWrapper]]:
-    """(name, text stream) of the selected members of one archive."""
-    with open_input(path) as raw, zipfile.ZipFile(raw) as zf:
-        names = [n for n in zf.namelist() if not n.endswith("/")]
-        if prefix is not None:
-            names = [n for n in names if n.rsplit("/", 1)[-1].startswith(prefix)]
-        for name in names[-1:] if last_only else names:
-            with zf.open(name) as member:
-                yield name, io.TextIOWrapper(member, encoding=encoding, newline="")
+# Local header of a member: 26 bytes before the lengths of its name and extra field.
+_LOCAL_HEADER = "<26xHH"
+_READ_BYTES = 1 << 20
+# Stored bytes of members that one task reads, if they are smaller each.
+UNIT_BYTES = 32 * 1024 * 1024
+
+
+class _Member(io.RawIOBase):
+    """The text of one member, from its place in the archive (no directory is read)."""
+
+    def __init__(self, raw, name: str, place: int, stored: int, method: int, crc: int):
+        raw.seek(place)
+        size = struct.calcsize(_LOCAL_HEADER)
+        raw.seek(place + size + sum(struct.unpack(_LOCAL_HEADER, raw.read(size))))
+        self.raw, self.name, self.left, self.crc, self.sum = raw, name, stored, crc, 0
+        self.inflate = zlib.decompressobj(-15) if method == zipfile.ZIP_DEFLATED else None
+        self.ready = b""
+
+    def readable(self) -> bool:
+        return True
+
+    def _fill(self) -> None:
+        while not self.ready and (self.left or self.inflate is not None and self.inflate.unconsumed_tail):
+            data = self.inflate.unconsumed_tail if self.inflate is not None else b""
+            if not data:
+                data = self.raw.read(min(_READ_BYTES, self.left))
+                if not data:
+                    raise ValueError(f"{self.name}: the archive ends inside this member")
+                self.left -= len(data)
+            self.ready = data if self.inflate is None else self.inflate.decompress(data, 4 * _READ_BYTES)
+        if not self.ready and self.inflate is not None:
+            self.ready = self.inflate.flush()
+            self.inflate = None
+        self.sum = zlib.crc32(self.ready, self.sum)
+        if not self.ready and self.sum != self.crc:
+            raise ValueError(f"{self.name}: bad checksum")
+
+    def readinto(self, buffer) -> int:
+        if not self.ready:
+            self._fill()
+        n = min(len(buffer), len(self.ready))
+        buffer[:n], self.ready = self.ready[:n], self.ready[n:]
+        return n
+
+
+def _open_member(raw, name: str, place: int, stored: int, method: int, crc: int, encoding: str) -> io.TextIOWrapper:
+    if method not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        raise ValueError(f"{name}: compression method {method} is not supported")
+    member = io.BufferedReader(_Member(raw, name, place, stored, method, crc), _READ_BYTES)
+    return io.TextIOWrapper(member, encoding=encoding, newline="")
+
+
+def _head(text: io.TextIOBase, skip: int) -> str | None:
+    """The line after ``skip`` lines, or with no lines to skip the first that is not blank."""
+    for _ in range(skip):
+        text.readline()
+    while line := text.readline():
+        if skip or line.strip():
+            return line.rstrip("\r\n")
+    return None
+
+
+_CATALOGUE = pa.schema([("archive", pa.string()), ("stem", pa.string()), ("member", pa.string()), ("place", pa.int64()),
+                        ("stored", pa.int64()), ("method", pa.int32()), ("crc", pa.int64()), ("header", pa.string())])
+_CATALOGUE_DDL = ("archive string, stem string, member string, place bigint, stored bigint, method int, crc bigint, "
+                  "header string")
+
+
+def _read_directories(batches: Iterator[pa.RecordBatch], prefix: str | None, last_only: bool, skip: int,
+                      encoding: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, stem in zip(batch["path"].to_pylist(), batch["stem"].to_pylist()):
+            rows = []
+            with open_input(path) as raw:
+                with zipfile.ZipFile(raw) as zf:
+                    found = [x for x in zf.infolist() if not x.is_dir()
+                             and (prefix is None or x.filename.rsplit("/", 1)[-1].startswith(prefix))]
+                    for x in found[-1:] if last_only else found:
+                        name = f"{path}!{x.filename}"
+                        if x.flag_bits & 1:
+                            raise ValueError(f"{name}: encrypted members are not supported")
+                        text = _open_member(raw, name, x.header_offset, x.compress_size, x.compress_type, x.CRC, encoding)
+                        header = _head(text, skip)
+                        if header is not None:
+                            rows.append((path, stem, x.filename, x.header_offset, x.compress_size, x.compress_type, x.CRC, header))
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(_CATALOGUE.names, r)) for r in rows], schema=_CATALOGUE)
+
+
+def _read_members(batches: Iterator[pa.RecordBatch], skip: int, encoding: str) -> Iterator[tuple[dict, int, pa.Array]]:
+    """(catalogue row, number of the first line, lines) of the members' lines, from the header line on."""
+    for batch in batches:
+        for r in batch.to_pylist():
+            with open_input(r["archive"]) as raw:
+                text = _open_member(raw, f"{r['archive']}!{r['member']}", r["place"], r["stored"], r["method"], r["crc"], encoding)
+                header, start = _head(text, skip), 1
+                yield r, 0, pa.array([header], pa.string())
+                for lines in _line_arrays(text):
+                    yield r, start, lines
+                    start += len(lines)
 
 
-def _member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, last_only: bool,
-                  encoding: str, first_line_only: bool = False) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            for name, text in _members(path, prefix, last_only, encoding):
-                start, layout = 0, 0
-                if first_line_only:  # decompress only what the first line needs
-                    chunks = iter([pa.array([text.readline().rstrip("\r\n")], pa.string())])
-                else:
-                    chunks = _line_arrays(text)
-                for lines in chunks:
-                    n = len(lines)
-                    if start == 0:
-                        layout = layout_of(lines[0].as_py())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(path, n), pa.repeat(name, n), pa.array(np.arange(start, start + n, dtype=np.int64)),
-                         lines, pa.repeat(pa.scalar(layout, pa.int64()), n)],
-                        names=MEMBER_LINES_SCHEMA.names)
-                    start += n
-
-
-def _preamble_member_lines(batches: Iterator[pa.RecordBatch], prefix: str | None, skip: int, keep_empty: bool,
+def _member_lines(batches: Iterator[pa.RecordBatch], encoding: str) -> Iterator[pa.RecordBatch]:
+    for r, start, lines in _read_members(batches, 0, encoding):
+        n = len(lines)
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(r["archive"], n), pa.repeat(r["member"], n), pa.array(np.arange(start, start + n, dtype=np.int64)),
+             lines, pa.repeat(pa.scalar(layout_of(r["header"]), pa.int64()), n)], names=MEMBER_LINES_SCHEMA.names)
+
+
+def _preamble_member_lines(batches: Iterator[pa.RecordBatch], skip: int, keep_empty: bool,
                            required: Sequence[str], encoding: str) -> Iterator[pa.RecordBatch]:
     """The lines after each member's header (line ``skip``), the header attached."""
-    for batch in batches:
-        for path, stem in zip(batch["path"].to_pylist(), batch["stem"].to_pylist()):
-            for name, text in _members(path, prefix, False, encoding):
-                top = [text.readline() for _ in range(skip + 1)]
-                if not top[skip]:
-                    continue
-                tokens = header_tokens(top[skip].rstrip("\r\n"), keep_empty)
-                check_header(f"{path}!{name}", tokens, required)
-                header, start = pa.scalar(tokens, pa.list_(pa.string())), skip + 1
-                for lines in _line_arrays(text):
-                    n = len(lines)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(f"{path}!{name}", n), pa.repeat(stem, n), pa.array(np.arange(start, start + n, dtype=np.int64)),
-                         lines, pa.repeat(header, n)], names=["file", "stem", "offset", "line", "header_raw"])
-                    start += n
+    for r, start, lines in _read_members(batches, skip, encoding):
+        if start == 0:
+            tokens = header_tokens(r["header"], keep_empty)
+            check_header(f"{r['archive']}!{r['member']}", tokens, required)
+            header = pa.scalar(tokens, pa.list_(pa.string()))
+            continue
+        n = len(lines)
+        yield pa.RecordBatch.from_arrays(
+            [pa.repeat(f"{r['archive']}!{r['member']}", n), pa.repeat(r["stem"], n),
+             pa.array(np.arange(start, start + n, dtype=np.int64) + skip), lines, pa.repeat(header, n)],
+            names=["file", "stem", "offset", "line", "header_raw"])
 
 
 def _listing(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -129,48 +212,90 @@ def _listing(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return listing.repartition(max(1, listing.count()), "path")
 
 
-def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None = None,
-                     last_member: bool = False, encoding: str = "utf-8-sig",
-                     glob: str = "*.zip") -> DataFrame:
-    """Lines of the CSV members of every archive under ``path``.
+class ZipCatalogue:
+    """The selected members of the archives under ``path``, with their headers.
 
     ``member_prefix`` keeps members whose file name starts with it (e.g.
-    'API'); ``last_member`` keeps only the last member of each archive.
-    Result columns: archive, member, line_no (0-based), line, layout (names
-    the member's first line).
-
-    Decompression is one task per archive (a deflate stream cannot be split);
-    the lines are then spread over the shuffle partitions, whatever the number
-    of archives, so parsing and aggregating a large one is shared.
+    'API'); ``last_member`` keeps only the last member of each archive; the header is the line after
+    ``skip`` lines (0: the first that is not blank).  Each archive's directory is read once.
     """
-    lines = _listing(spark, path, glob).select("path").mapInArrow(
-        lambda it: _member_lines(it, member_prefix, last_member, encoding), schema=MEMBER_LINES_SCHEMA)
-    # Hash on the line's position: deterministic on retry without the local
-    # sort a round-robin repartition adds, and even across partitions.
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return lines.repartition(width, "archive", "member", "line_no")
+
+    def __init__(self, spark: SparkSession, path: str, member_prefix: str | None = None, last_member: bool = False,
+                 skip: int = 0, encoding: str = "utf-8-sig", glob: str = "*.zip"):
+        self.spark, self.path, self.skip, self.encoding = spark, path, skip, encoding
+        target = scratch_path(spark, "zip-catalogue")
+        _listing(spark, path, glob).mapInArrow(
+            lambda it: _read_directories(it, member_prefix, last_member, skip, encoding), _CATALOGUE_DDL
+        ).write.parquet(target)
+        self.members = spark.read.schema(_CATALOGUE_DDL).parquet(target)
+
+    def headers(self) -> list[str]:
+        """The distinct header lines, at most ``MAX_LAYOUTS``."""
+        return member_layouts(self.members.select(F.col("header").alias("line")))
+
+    def columns(self) -> list[str]:
+        """The names in any header: those of the first member by archive and name, then the others' new ones."""
+        first = self.members.orderBy("archive", "place").select("header").first()
+        if first is None:
+            raise ValueError(f"no member with a header line under {self.path}")
+        names = dict.fromkeys(header_columns(first.header))
+        for h in self.headers():
+            names |= dict.fromkeys(header_columns(h))
+        return list(names)
+
+    def stems(self) -> list[str]:
+        return sorted(r.stem for r in self.members.select("stem").distinct().collect())
+
+    def units(self) -> tuple[DataFrame, int]:
+        """The members, dealt to tasks: neighbours in an archive are read by one task up to
+        ``UNIT_BYTES`` of stored bytes, a larger one alone; and the number of units."""
+        so_far = Window.partitionBy("archive").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+        members = self.members.withColumn("unit", F.floor(F.coalesce(F.sum("stored").over(so_far), F.lit(0)) / UNIT_BYTES))
+        n = members.select("archive", "unit").distinct().count()
+        return members.repartition(max(1, n), "archive", "unit").sortWithinPartitions("archive", "place").drop("unit"), n
+
+    def lines(self, spread: bool | None = None) -> DataFrame:
+        """archive, member, line_no (0: the header), line, layout (names the header line).
+
+        With fewer units than shuffle partitions the lines are spread over these, so that
+        parsing a few large members is shared; ``spread`` settles it either way."""
+        units, n = self.units()
+        encoding = self.encoding
+        found = units.mapInArrow(lambda it: _member_lines(it, encoding), schema=MEMBER_LINES_SCHEMA)
+        return self._spread(found, n, spread, "archive", "member", "line_no")
+
+    def preamble_lines(self, keep_empty: bool = False, required: Sequence[str] = (), spread: bool | None = None) -> DataFrame:
+        """Lines of preamble-headed members in the shape ``preamble_records`` takes."""
+        units, n = self.units()
+        skip, needed, encoding = self.skip, tuple(required), self.encoding
+        found = units.mapInArrow(lambda it: _preamble_member_lines(it, skip, keep_empty, needed, encoding), LINES_SCHEMA)
+        return self._spread(found, n, spread, "file", "offset")
+
+    def _spread(self, lines: DataFrame, units: int, spread: bool | None, *place: str) -> DataFrame:
+        width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # Hash on the line's position: deterministic on retry without the local
+        # sort a round-robin repartition adds, and even across partitions.
+        return lines.repartition(width, *place) if (units < width if spread is None else spread) else lines
+
+
+def read_zip_members(spark: SparkSession, path: str, member_prefix: str | None = None,
+                     last_member: bool = False, encoding: str = "utf-8-sig", glob: str = "*.zip") -> DataFrame:
+    """Lines of the CSV members of every archive under ``path`` (S8), see ``ZipCatalogue``."""
+    return ZipCatalogue(spark, path, member_prefix, last_member, 0, encoding, glob).lines()
 
 
 def read_zip_preamble(spark: SparkSession, path: str, skip: int, member_prefix: str | None = None,
                       keep_empty: bool = False, required: Sequence[str] = (), encoding: str = "utf-8-sig",
                       glob: str = "*.zip") -> DataFrame:
-    """Lines of preamble-headed members in the shape ``preamble_records`` takes;
-    the stem is the archive's file name before the first dot."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return _listing(spark, path, glob).mapInArrow(
-        lambda it: _preamble_member_lines(it, member_prefix, skip, keep_empty, tuple(required), encoding),
-        schema=LINES_SCHEMA).repartition(width, "file", "offset")
+    """Lines of preamble-headed members; the stem is the archive's file name before the first dot."""
+    return ZipCatalogue(spark, path, member_prefix, False, skip, encoding, glob).preamble_lines(keep_empty, required)
 
 
 def read_zip_headers(spark: SparkSession, path: str, member_prefix: str | None = None,
-                     last_member: bool = False, encoding: str = "utf-8-sig",
-                     glob: str = "*.zip") -> DataFrame:
-    """First line of each selected member (archive, member, line_no, line, layout):
-    one task per archive, which decompresses only that line."""
-    return _listing(spark, path, glob).select("path").mapInArrow(
-        lambda it: _member_lines(it, member_prefix, last_member, encoding, first_line_only=True),
-        schema=MEMBER_LINES_SCHEMA,
-    )
+                     last_member: bool = False, encoding: str = "utf-8-sig", glob: str = "*.zip") -> DataFrame:
+    """Header line of each selected member (archive, member, line_no, line)."""
+    members = ZipCatalogue(spark, path, member_prefix, last_member, 0, encoding, glob).members
+    return members.select("archive", "member", F.lit(0).cast("long").alias("line_no"), F.col("header").alias("line"))
 
 
 def member_layouts(headers: DataFrame) -> list[str]:

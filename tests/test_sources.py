@@ -424,3 +424,54 @@ def test_archives_with_other_column_orders_and_blank_lines(spark, workdir):
     assert headers == ["k,v,w", "v,k"]
     table = member_table(read_zip_members(spark, folder, member_prefix="API"), ["k", "v", "w"], headers)
     assert sorted(rows(table, "k", "v", "w"), key=str) == [("p, q", "1", "x"), ("r", "2", "y"), ("s", "3", None)]
+
+
+def test_odd_members(spark, workdir):
+    """Blank first lines, members without a line, columns that differ, stored members, a directory."""
+    from indicata.plans import jobs
+    from indicata.plans.pipelines import SERIES_KEYS
+    from indicata.sources import ZipCatalogue
+
+    keys = ",".join(SERIES_KEYS)
+    vals = ",".join("k" for _ in SERIES_KEYS)
+    folder = f"{workdir}/odd"
+    _zip(f"{folder}/a.zip", [("a.csv", f"\n  \r\n{keys},valor\n\n{vals},1\n")])
+    _zip(f"{folder}/b.zip", [("b.csv", f"valor,extra,{keys}\n4,x,{vals}\n")])
+    _zip(f"{folder}/c.zip", [("c.csv", f"{keys}\n{vals}\n")])
+    _zip(f"{folder}/d.zip", [("d.csv", "")])
+    _zip(f"{folder}/e.zip", [("e.csv", " \n\n")])
+    members = ZipCatalogue(spark, folder, last_member=True)
+    assert members.columns() == [*SERIES_KEYS, "valor", "extra"] and members.members.count() == 3
+    assert rows(jobs.series_job(spark, folder, from_archive=True), "promedio_x_serie") == [(2.5,)]
+    _zip(f"{workdir}/none/x.zip", [("x.csv", "")])
+    with pytest.raises(Exception, match="no member with a header line"):
+        jobs.series_job(spark, f"{workdir}/none", from_archive=True).collect()
+
+
+@pytest.mark.parametrize("unit", [1, 100, 1 << 30])
+def test_one_archive_of_many_members_is_read_by_many_tasks(spark, workdir, monkeypatch, unit):
+    from indicata.sources import ZipCatalogue, archives
+
+    monkeypatch.setattr(archives, "UNIT_BYTES", unit)
+    folder = f"{workdir}/many{unit}"
+    os.makedirs(folder)
+    with zipfile.ZipFile(f"{folder}/all.zip", "w") as zf:
+        for k in range(40):
+            kind = zipfile.ZIP_STORED if k % 3 else zipfile.ZIP_DEFLATED
+            zf.writestr(f"dir/API_{k}.csv", "k,v\n" + "".join(f"{k},{i}\n" for i in range(50)), compress_type=kind)
+            zf.writestr(f"other_{k}.csv", "x\n")
+    lines = ZipCatalogue(spark, folder, member_prefix="API").lines(spread=False)
+    table = member_table(lines, ["k", "v"]).withColumn("task", F.spark_partition_id())
+    assert sorted((int(k), int(v)) for k, v in rows(table, "k", "v")) == [(k, i) for k in range(40) for i in range(50)]
+    tasks = table.select("task").distinct().count()
+    assert tasks == 1 if unit == 1 << 30 else tasks > 8
+
+
+def test_damaged_members_fail(spark, workdir):
+    path = f"{workdir}/bad/x.zip"
+    _zip(path, [("API_x.csv", "k,v\n" + "a,1\n" * 1000)])
+    data = bytearray(open(path, "rb").read())
+    data[3000] ^= 1
+    open(path, "wb").write(bytes(data))
+    with pytest.raises(Exception, match="API_x.csv"):
+        read_zip_members(spark, f"{workdir}/bad").collect()
