@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from indicata.functions.dates import year_month_keys
 
@@ -45,3 +46,37 @@ def join_all_on_key(frames: Sequence[DataFrame], key: str, how: str = "inner") -
         raise ValueError("join_all_on_key needs at least one frame")
     return reduce(lambda a, b: a.join(b, on=key, how=how), frames)
 
+
+GROUP_ROWS = 100_000  # rows of one key that are joined as one group
+
+
+def join_stems(long: DataFrame, stems: Sequence[str], key: str, value: str, names: Sequence[str], stem: str = "stem",
+               group_rows: int = GROUP_ROWS) -> DataFrame:
+    """The inner join of one frame per stem on ``key`` (J3), from a long table (stem, key, value)
+    in one grouped pass: per key the values of each stem, then their product.
+
+    A key has as many result rows as ``join_all_on_key`` gives it; null keys never match.  Keys of
+    more than ``group_rows`` rows would make large groups: they are folded join by join."""
+    rows = long.where(F.col(f"`{key}`").isNotNull() & F.col(stem).isin(list(stems))).select(stem, key, value)
+    large = rows.groupBy(key).count().where(F.col("count") > group_rows).select(key)
+    some = not large.isEmpty()
+    small = rows.join(large, key, "left_anti") if some else rows
+    out = _grouped(small, stems, key, value, names, stem)
+    if some:
+        rest = rows.join(large, key, "left_semi")
+        frames = [rest.where(F.col(stem) == s).select(key, F.col(value).alias(n)) for s, n in zip(stems, names)]
+        out = out.unionByName(join_all_on_key(frames, key))
+    return out
+
+
+def _grouped(rows: DataFrame, stems: Sequence[str], key: str, value: str, names: Sequence[str], stem: str) -> DataFrame:
+    held = [f"_v{i}" for i in range(len(stems))]
+    # Null values count as values: they are kept inside a struct.
+    lists = [F.collect_list(F.when(F.col(stem) == s, F.struct(F.col(value).alias("v")))).alias(h) for s, h in zip(stems, held)]
+    out = rows.groupBy(key).agg(*lists)
+    done: list[str] = []
+    for h, name in zip(held, names):  # an empty list drops the key, more values multiply its rows
+        out = out.select(f"`{key}`", *(f"`{d}`" for d in done), *held[len(done) + 1:], F.explode(h).alias("_one"))
+        out = out.select(f"`{key}`", *(f"`{d}`" for d in done), *held[len(done) + 1:], F.col("_one.v").alias(name))
+        done.append(name)
+    return out

@@ -14,17 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicata.functions.dates import format_day, format_month, parse_timestamp
-from indicata.functions.numbers import parse_decimal_comma, round_half_up, truncate_to_long
+from indicata.functions.numbers import parse_decimal_comma, percent_change, round_half_up, truncate_to_long
+from indicata.functions.observed import RunCounts
 from indicata.functions.tokens import clean_tokens, split_quoted
+from indicata.operators.skew import hot_keys, join_hot_keys
+from indicata.operators.windows import previous_row
 from indicata.plans import landing
 from indicata.plans.jobs import (country_indicators_job, covid_job, crime_job, deposit_jobs,
                                  indices_job, region_jobs, series_job)
-from indicata.plans.pipelines import (REGION_FACTORS, cases_with_counts, country_indicators_from_folder,
+from indicata.plans.partials import merged_average, refresh
+from indicata.plans.pipelines import (INDICATOR_KEY, INDICATOR_YEAR, REGION_FACTORS, cases_with_counts, country_indicators_from_folder,
                                       country_indicators_from_long, deposit_tables, incidents_without_codes,
                                       indicator_frames, monthly_index, monthly_index_with_daily_risk,
                                       price_index_change, region_scaled_series, series_average)
 from indicata.session import scratch_path
-from indicata.sinks.files import csv_roundtrip
+from indicata.sinks.files import csv_roundtrip, write_csv
 from indicata.sinks.preview import first_n
 from indicata.sources.archives import ZipCatalogue, member_table
 from indicata.sources.csv import read_csv_text, read_csv_typed
@@ -96,6 +100,16 @@ def period_over_period_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_index_change(read_csv_text(spark, path, sep=";"))
 
 
+def previous_row_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's value next to the one before it, over one ordering of all events, and the
+    change in percent: ranges of the ordering, no single task."""
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", F.col("value").cast(MONEY).alias("valor"))
+    before = previous_row(ev, "valor", ["ts", "event_id"], "valor_anterior")
+    return before.select("event_id", F.col("valor").cast("double").alias("valor"),
+                         F.col("valor_anterior").cast("double").alias("valor_anterior"),
+                         percent_change("valor", "valor_anterior").alias("variacion"))
+
+
 # --- E1 / E2: key join, year-month join, per-region scaling ---------------------
 
 def _index_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -197,6 +211,40 @@ def nway_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return country_indicators_from_long(_nation_indicators(spark, sf_dir), INDICATOR_STEMS)
 
 
+WIDE_STEMS = 50
+
+
+def nway_key_join_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fifty indicators per order priority joined in one grouped pass; the first two have a
+    value per order status, so their keys repeat."""
+    orders = table(spark, sf_dir, "orders").where("o_totalprice is not null")
+    which = F.pmod("o_orderkey", F.lit(WIDE_STEMS))
+    stem = F.format_string("s%02d", which.cast("int"))
+    long = orders.groupBy(stem.alias("stem"), F.col("o_orderpriority").alias(INDICATOR_KEY),
+                          F.when(which < 2, F.col("o_orderstatus")).alias("status")).agg(
+        F.max(F.col("o_totalprice").cast(MONEY)).cast("string").alias(INDICATOR_YEAR))
+    return country_indicators_from_long(long.drop("status"), [f"s{i:02d}" for i in range(WIDE_STEMS)])
+
+
+def dropped_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the E4 job drops or reads as 0, counted in the run that writes its table: orders as
+    indicator files, some without a name, some values no numbers, one file with its header twice."""
+    orders = table(spark, sf_dir, "orders")
+    files = max(2, orders.count() // LARGE_FILE_ROWS)
+    key = F.col("o_orderkey")
+    long = orders.select(
+        F.concat(F.lit("orders_"), F.pmod(key, F.lit(files)).cast("string")).alias("stem"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(key.cast("string")).alias(INDICATOR_KEY),
+        F.lit("x").alias("Country Code"),
+        F.when(F.pmod(key, F.lit(7)) == 0, F.lit("n/a")).when(F.pmod(key, F.lit(11)) == 0, F.lit(""))
+        .otherwise(F.col("o_totalprice").cast("string")).alias(INDICATOR_YEAR))
+    path = landing.land_preamble_folder(spark, long, INDICATOR_KEY, INDICATOR_YEAR, "orders-preamble", INDICATOR_PREAMBLE,
+                                        code="Country Code", repeat_header_for="orders_0")
+    counts = RunCounts()
+    country_indicators_job(spark, path, counts=counts)
+    return rows_to_frame(spark, sorted(counts.get().items()), "metric string, n bigint")
+
+
 # The preamble lines of the indicator files.
 INDICATOR_PREAMBLE = ['"Data Source","Indicator catalogue",',
                       "",
@@ -264,17 +312,21 @@ def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8's average over six keys, four of which come from part and supplier.
 
     Pruned line items are joined to the two dimensions, which AQE broadcasts
-    while they are small (a hot part or supplier is split by its skew join
-    otherwise), and averaged with one partial aggregate on the six keys.  Some
-    flags are null and some values unreadable.
+    while they are small (a hot part or supplier is dealt over salts), and averaged
+    with one partial aggregate on the six keys.  Some flags are null and some values unreadable.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"), "l_linestatus",
+        "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber",
+        F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"), "l_linestatus",
         F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string")).alias("valor"))
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_size")
     supp = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    dump = li.join(part, "l_partkey").join(supp, "l_suppkey").select(
+    # A part or supplier with much of the rows is found first and its rows are dealt out.
+    hot = hot_keys(li, ["l_partkey", "l_suppkey"])
+    joined = join_hot_keys(li, part, "l_partkey", hot["l_partkey"])
+    joined = join_hot_keys(joined, supp, "l_suppkey", hot["l_suppkey"])
+    dump = joined.select(
         F.col("l_partkey").cast("string").alias("dataset_id"),
         F.col("l_suppkey").cast("string").alias("distribucion_id"),
         F.col("p_type").alias("serie_titulo"),
@@ -286,6 +338,26 @@ def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series_average(dump)
 
 
+MERGED_FILES = 16
+
+
+def series_average_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Average value per six keys over line items landed as CSV files in two batches, each added
+    to the partial totals of the files before; the second lands one file of the first again."""
+    keys = ["l_returnflag", "l_linestatus", "l_linenumber", "l_tax", "l_discount", "l_suppkey"]
+    li = table(spark, sf_dir, "lineitem").select(
+        F.pmod(F.xxhash64("l_orderkey"), F.lit(MERGED_FILES)).alias("stem"), *keys,
+        F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string")).alias("valor"))
+    first = F.col("stem") < MERGED_FILES // 2
+    state = scratch_path(spark, "series-partials")
+    read = lambda paths: read_csv_text(spark, paths)
+    path = landing.land_stem_files(spark, li.where(first), "stem", "series-files")
+    refresh(spark, path, state, read, keys, "valor")
+    landing.land_stem_files(spark, li.where(~first | (F.col("stem") == 0)), "stem", "", path=path)
+    refresh(spark, path, state, read, keys, "valor")
+    return merged_average(spark, state, keys, "promedio_x_serie")
+
+
 def series_from_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8 end to end through files: the series dump (line items with their
     part and supplier attributes, value as text) landed as CSV inside zip
@@ -505,6 +577,15 @@ def csv_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_roundtrip(spark, o, scratch_path(spark, "orders-roundtrip"))
 
 
+def csv_replace_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV table replaced by a newer one with other rows, each swapped in when it is whole."""
+    customer = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer-replaced")
+    write_csv(customer.where("c_acctbal < 0"), path)
+    write_csv(customer.where("c_acctbal >= 0").withColumn("c_acctbal", F.col("c_acctbal").cast(MONEY) * 2), path)
+    return read_csv_text(spark, path)
+
+
 # --- zip archives ---------------------------------------------------------------------------
 
 def zip_member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -549,7 +630,12 @@ QUERIES = {
     "region_tables": region_tables,
     "nway_key_join": nway_key_join,
     "series_average": series_average_q,
+    "series_average_merged": series_average_merged,
     "series_from_archive": series_from_archive,
+    "previous_row_large": previous_row_large,
+    "nway_key_join_wide": nway_key_join_wide,
+    "dropped_counts": dropped_counts,
+    "csv_replace_commit": csv_replace_commit,
     "filter_any_measure": filter_any_measure,
     "cases_from_csv": cases_from_csv,
     "project_excluding": project_excluding,

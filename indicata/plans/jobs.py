@@ -14,7 +14,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from indicata.functions.observed import RunCounts
 from indicata.plans.pipelines import (cases_with_counts, country_indicators_from_long, deposit_tables,
                                       incidents_without_codes, monthly_index_with_daily_risk, price_index_change,
                                       region_scaled_series, region_table, series_average,
@@ -25,8 +27,8 @@ from indicata.sinks.jdbc import write_jdbc
 from indicata.sources.archives import ZipCatalogue, archive_stems, member_table
 from indicata.sources.csv import read_csv_text
 from indicata.sources.json import read_json_records, read_json_series
-from indicata.sources.preamble import (PREAMBLE_LINES, folder_stems, indicator_values, preamble_records,
-                                       read_indicator_folder)
+from indicata.functions.tokens import split_quoted
+from indicata.sources.preamble import PREAMBLE_LINES, folder_stems, indicator_values, preamble_lines, preamble_records
 
 # The output table of each pipeline.
 TABLES = {
@@ -85,35 +87,41 @@ def region_jobs(spark: SparkSession, indices: DataFrame | str, out_dir: str | No
 
 
 def ipc_job(spark: SparkSession, csv_path: str, out: str | None = None,
-            jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8") -> DataFrame:
+            jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8",
+            counts: RunCounts | None = None) -> DataFrame:
     """E3 from the ';' price-index CSV (``encoding`` e.g. 'ISO-8859-1')."""
     df = read_csv_text(spark, csv_path, sep=";", encoding=encoding)
-    return _emit(price_index_change(df), out, jdbc, TABLES["ipc"])
+    return _emit(price_index_change(df, counts=counts), out, jdbc, TABLES["ipc"])
 
 
 def country_indicators_job(spark: SparkSession, path: str, from_archives: bool = False,
                            out: str | None = None, jdbc: Mapping[str, str] | None = None,
                            key: str = INDICATOR_KEY, year: str = INDICATOR_YEAR,
-                           keep_empty: bool = False) -> DataFrame:
+                           keep_empty: bool = False, counts: RunCounts | None = None) -> DataFrame:
     """E4 from a folder of indicator CSVs, or of zip archives whose 'API'
     member is the indicator file (named after its archive).  ``keep_empty``
-    tokenises lines with CSV semantics instead of the source rule."""
+    tokenises lines with CSV semantics instead of the source rule.  ``counts`` gets the copies of
+    headers, the rows without a key and the values that are no numbers."""
     if from_archives:
         members = ZipCatalogue(spark, path, member_prefix="API", skip=PREAMBLE_LINES)
         stems = archive_stems(spark, path)
-        long = indicator_values(preamble_records(members.preamble_lines(keep_empty, (key, year)), keep_empty), key, year)
+        lines = members.preamble_lines(keep_empty, (key, year))
     else:
-        long = read_indicator_folder(spark, path, key, year, keep_empty=keep_empty)
+        lines = preamble_lines(spark, path, PREAMBLE_LINES, keep_empty, (key, year))
         stems = folder_stems(spark, path)
-    result = country_indicators_from_long(long, stems, key, year)
+    if counts is not None:
+        lines = counts.watch(lines, header_copies=split_quoted("line", keep_empty) == F.col("header_raw"))
+    long = indicator_values(preamble_records(lines, keep_empty), key, year)
+    result = country_indicators_from_long(long, stems, key, year, counts)
     return _emit(result, out, jdbc, TABLES["country_indicators"])
 
 
 def covid_job(spark: SparkSession, csv_path: str, out: str | None = None,
-              jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8") -> DataFrame:
+              jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8",
+              counts: RunCounts | None = None) -> DataFrame:
     """E5 from the landed cases CSV."""
     df = read_csv_text(spark, csv_path, encoding=encoding)
-    return _emit(cases_with_counts(df), out, jdbc, TABLES["covid"])
+    return _emit(cases_with_counts(df, counts=counts), out, jdbc, TABLES["covid"])
 
 
 def crime_job(spark: SparkSession, csv_path: str, out: str | None = None,
@@ -134,7 +142,8 @@ def deposit_jobs(spark: SparkSession, rates_json: str, deposits_json: str, out_d
 
 
 def series_job(spark: SparkSession, path: str, from_archive: bool = False, out: str | None = None,
-               jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8") -> DataFrame:
+               jdbc: Mapping[str, str] | None = None, encoding: str = "UTF-8",
+               counts: RunCounts | None = None) -> DataFrame:
     """E8 from the series dump: a CSV, or archives whose last member is it."""
     if from_archive:
         codec = "utf-8-sig" if encoding.upper().replace("_", "-") == "UTF-8" else encoding
@@ -142,4 +151,4 @@ def series_job(spark: SparkSession, path: str, from_archive: bool = False, out:
         dump = member_table(members.lines(), members.columns(), members.headers()).drop("archive", "member")
     else:
         dump = read_csv_text(spark, path, encoding=encoding)
-    return _emit(series_average(dump), out, jdbc, TABLES["series"])
+    return _emit(series_average(dump, counts=counts), out, jdbc, TABLES["series"])

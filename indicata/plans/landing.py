@@ -240,6 +240,18 @@ def _json_array_writer(base: str, roll_bytes: int):
     return write
 
 
+def land_stem_files(spark: SparkSession, df: DataFrame, stem: str, name: str, path: str | None = None) -> str:
+    """CSV files ``<folder>/<stem>.csv`` with a header, one per value of the column ``stem``; files of
+    the same name are written anew."""
+    path = path or scratch_path(spark, name)
+    columns = [c for c in df.columns if c != stem]
+    body = df.select(F.col(stem).cast("string").alias("stem"), F.lit(1).alias("ord"), F.to_csv(F.struct(*columns)).alias("line"))
+    head = df.select(F.col(stem).cast("string").alias("stem")).distinct().select(
+        "stem", F.lit(0).alias("ord"), F.lit(",".join(columns)).alias("line"))
+    _run(_by_stem(head.unionByName(body)).mapInArrow(_stem_file_writer(path), schema="rows long"))
+    return path
+
+
 def land_lines_by_stem(spark: SparkSession, lines: DataFrame, name: str) -> str:
     """Lines (stem, line) as text files in one folder per stem, ``<folder>/stem=<stem>``."""
     path = scratch_path(spark, name)

@@ -301,6 +301,44 @@ FROM events
 
 FOLDER_SCAN_FILE_KEY = NWAY_KEY_JOIN
 
+PREVIOUS_ROW_LARGE = f"""
+WITH w AS (
+  SELECT event_id, CAST(value AS DECIMAL(18,2)) AS valor,
+         lag(CAST(value AS DECIMAL(18,2))) OVER (ORDER BY ts, event_id) AS valor_anterior FROM events)
+SELECT event_id, CAST(valor AS DOUBLE) AS valor, CAST(valor_anterior AS DOUBLE) AS valor_anterior,
+       {_r2('(valor - valor_anterior) / NULLIF(valor_anterior, 0) * 100')} AS variacion FROM w
+"""
+
+_WIDE = [f"s{i:02d}" for i in range(50)]
+NWAY_KEY_JOIN_WIDE = """
+WITH long AS (
+  SELECT printf('s%02d', o_orderkey % 50) AS stem, o_orderpriority AS k,
+         coalesce(TRY_CAST(CAST(max(CAST(o_totalprice AS DECIMAL(18,2))) AS VARCHAR) AS FLOAT), 0) AS v
+  FROM orders GROUP BY printf('s%02d', o_orderkey % 50), o_orderpriority, CASE WHEN o_orderkey % 50 < 2 THEN o_orderstatus END)
+SELECT k AS "Country Name", """ + ", ".join(f'{s} AS "{s} 2023"' for s in _WIDE) + """
+FROM (SELECT DISTINCT k FROM long) """ + " ".join(
+    f"JOIN (SELECT k, v AS {s} FROM long WHERE stem = '{s}') USING (k)" for s in _WIDE)
+
+DROPPED_COUNTS = """
+SELECT 'header_copies' AS metric, 1::BIGINT AS n
+UNION ALL SELECT 'no_key', count(*) FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'unreadable', count(*) FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 7 = 0
+"""
+
+CSV_REPLACE_COMMIT = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 2 AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer WHERE c_acctbal >= 0
+"""
+
+SERIES_AVERAGE_MERGED = f"""
+SELECT CAST(l_returnflag AS VARCHAR) AS l_returnflag, CAST(l_linestatus AS VARCHAR) AS l_linestatus,
+       CAST(l_linenumber AS VARCHAR) AS l_linenumber, CAST(l_tax AS VARCHAR) AS l_tax, CAST(l_discount AS VARCHAR) AS l_discount,
+       CAST(l_suppkey AS VARCHAR) AS l_suppkey,
+       {_r2("AVG(CASE WHEN l_linenumber <> 7 THEN l_extendedprice END)")} AS promedio_x_serie
+FROM lineitem GROUP BY 1, 2, 3, 4, 5, 6
+"""
+
 ZIP_MEMBER_SCAN = CSV_SCAN_STRINGS
 
 ZIP_MEMBER_LAYOUTS = f"""
@@ -334,7 +372,12 @@ ORACLES = {
     "region_tables": REGION_TABLES,
     "nway_key_join": NWAY_KEY_JOIN,
     "series_average": SERIES_AVERAGE,
+    "series_average_merged": SERIES_AVERAGE_MERGED,
     "series_from_archive": SERIES_FROM_ARCHIVE,
+    "previous_row_large": PREVIOUS_ROW_LARGE,
+    "nway_key_join_wide": NWAY_KEY_JOIN_WIDE,
+    "dropped_counts": DROPPED_COUNTS,
+    "csv_replace_commit": CSV_REPLACE_COMMIT,
     "filter_any_measure": FILTER_ANY_MEASURE,
     "cases_from_csv": CASES_FROM_CSV,
     "project_excluding": PROJECT_EXCLUDING,

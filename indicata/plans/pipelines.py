@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from indicata.functions.dates import format_day, parse_timestamp
 from indicata.functions.numbers import (default_zero, parse_decimal_comma, scale_and_round_col,
                                         to_number)
+from indicata.functions.observed import RunCounts, watch
 from indicata.operators.aggregates import group_average, one_row_per_key, period_totals
 from indicata.operators.filters import drop_all_null, keep_present, non_empty_key
-from indicata.operators.joins import join_all_on_key, join_on_key, join_year_month
+from indicata.operators.joins import join_all_on_key, join_on_key, join_stems, join_year_month
 from indicata.operators.ordering import sort_asc, sort_desc
 from indicata.operators.projection import exclude, keep, rename
 from indicata.operators.windows import period_change
@@ -116,7 +117,8 @@ def price_index_change(df: DataFrame, period: str = "Periodo", index: str = "Ind
                        monthly: str = "v_m_IPC", yearly: str = "v_i_a_IPC",
                        parse_text: bool = True, value_type: str = "float",
                        partition_by: Sequence[str] | None = None,
-                       partial_counts: tuple[str, str] | None = None) -> DataFrame:
+                       partial_counts: tuple[str, str] | None = None,
+                       counts: RunCounts | None = None) -> DataFrame:
     """Per-period index total, average monthly and yearly change, and the
     percent change of the total against the previous period (E3).
 
@@ -125,15 +127,18 @@ def price_index_change(df: DataFrame, period: str = "Periodo", index: str = "Ind
     period first.  With ``partition_by`` one series per key.
     ``partial_counts`` = (monthly count, yearly count) columns when the rows
     are already partial sums on a finer key (see ``period_totals``).
+    ``counts`` gets the texts that are no numbers.
     """
     keys = list(partition_by or [])
     count_cols = list(partial_counts or [])
     df = keep(df, *keys, period, index, monthly, yearly, *count_cols)
     if parse_text:
+        df = watch(counts, df, **{f"unreadable_{c}": F.nullif(F.col(c), F.lit("")).isNotNull()
+                                  & parse_decimal_comma(c, value_type).isNull() for c in (index, monthly, yearly)})
         df = df.withColumns({c: parse_decimal_comma(c, value_type) for c in (index, monthly, yearly)})
-    counts = dict(zip(("avg_ipc_mensual", "avg_ipc_interanual"), count_cols))
+    value_counts = dict(zip(("avg_ipc_mensual", "avg_ipc_interanual"), count_cols))
     totals = period_totals(df, [*keys, period], (index, "indice_ipc"),
-                           {"avg_ipc_mensual": monthly, "avg_ipc_interanual": yearly}, counts=counts)
+                           {"avg_ipc_mensual": monthly, "avg_ipc_interanual": yearly}, counts=value_counts)
     changed = period_change(totals, "indice_ipc", period, "ipc_anterior", "variacion_mensual",
                             partition_by=keys or None)
     out = keep_present(changed, "variacion_mensual").select(
@@ -163,23 +168,27 @@ def country_indicators(frames: Sequence[DataFrame], key: str = INDICATOR_KEY) ->
 
 
 def country_indicators_from_long(long: DataFrame, stems: Sequence[str], key: str = INDICATOR_KEY,
-                                 year: str = INDICATOR_YEAR) -> DataFrame:
+                                 year: str = INDICATOR_YEAR, counts: RunCounts | None = None) -> DataFrame:
     """E4 from a long (stem, key, value text) table.
 
-    The long table is written to the shared folder once, partitioned by stem:
-    each of the n per-indicator frames then reads its own part and two columns,
-    and the source files are read and parsed once.
+    The long table is written to the shared folder once, so the source files are read
+    and parsed once, and joined by one grouped pass over it (``join_stems``).
+    ``counts`` gets the rows without a key and the values read as 0.
     """
     path = scratch_path(long.sparkSession, "indicators-long")
-    long.select("stem", key, year).write.partitionBy("stem").parquet(path)
-    shared = long.sparkSession.read.schema(long.select(key, year, "stem").schema).parquet(path)
+    named = non_empty_key(watch(counts, long.select("stem", key, year), no_key=~F.coalesce(
+        F.col(f"`{key}`") != "", F.lit(False))), key)
+    number = to_number(year, "float")
+    named = watch(counts, named, unreadable=F.nullif(F.col(f"`{year}`"), F.lit("")).isNotNull() & number.isNull())
+    named.select("stem", key, default_zero(number).alias("_value")).write.parquet(path)
+    shared = long.sparkSession.read.parquet(path)
     # An indicator with no records would empty the inner join; fail instead
     # (one row per indicator comes back to the driver).
     present = {r["stem"] for r in shared.select("stem").distinct().collect()}
     missing = [st for st in stems if st not in present]
     if missing:
         raise ValueError(f"indicator files without records (no header or data line): {missing}")
-    return country_indicators(indicator_frames(shared, stems, key, year), key)
+    return sort_asc(join_stems(shared, stems, key, "_value", [f"{st} {year}" for st in stems]), key)
 
 
 def country_indicators_from_folder(spark: SparkSession, path: str, stems: Sequence[str],
@@ -191,15 +200,24 @@ def country_indicators_from_folder(spark: SparkSession, path: str, stems: Sequen
 # E5 ------------------------------------------------------------------------
 
 def cases_with_counts(df: DataFrame, columns: Sequence[str] = CASE_COLUMNS,
-                      measures: Sequence[str] = CASE_MEASURES, date: str = "date") -> DataFrame:
+                      measures: Sequence[str] = CASE_MEASURES, date: str = "date",
+                      counts: RunCounts | None = None) -> DataFrame:
     """Case counts by place and date, rows with no count removed, newest
     first (E5).
 
     Rows of one date follow in the order of the other columns: the order is
     repeatable, and the range-partitioned sort can split a date that holds
-    a large share of the rows over several tasks.
+    a large share of the rows over several tasks.  With ``counts`` (the rows without any
+    count) the rows kept are written before they are sorted, as a sort reads its input twice.
     """
-    kept = drop_all_null(keep(df, *columns), measures)
+    missing = F.lit(True)
+    for m in measures:
+        missing = missing & F.col(m).isNull()
+    kept = drop_all_null(watch(counts, keep(df, *columns), no_measure=missing), measures)
+    if counts is not None:
+        path = scratch_path(df.sparkSession, "cases")
+        kept.write.parquet(path)
+        kept = df.sparkSession.read.schema(kept.schema).parquet(path)
     return sort_desc(kept, date, *[c for c in columns if c != date])
 
 
@@ -224,6 +242,9 @@ def deposit_tables(rates: DataFrame, deposits_30_days: DataFrame,
 # E8 ------------------------------------------------------------------------
 
 def series_average(df: DataFrame, keys: Sequence[str] = SERIES_KEYS, value: str = "valor",
-                   ids: Sequence[str] = SERIES_ID_COLUMNS) -> DataFrame:
-    """Average value per series over its descriptive keys."""
+                   ids: Sequence[str] = SERIES_ID_COLUMNS, counts: RunCounts | None = None) -> DataFrame:
+    """Average value per series over its descriptive keys (E8); ``counts`` gets the values that are
+    no numbers."""
+    df = watch(counts, df, unreadable=F.nullif(F.col(value).cast("string"), F.lit("")).isNotNull()
+               & to_number(value, "double").isNull())
     return group_average(exclude(df, ids), list(keys), value, "promedio_x_serie")

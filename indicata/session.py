@@ -3,6 +3,7 @@ scratch folder that landed files and lineage cuts go to."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -62,7 +63,21 @@ def shared_dir(spark: SparkSession) -> str:
         # DataFrame.checkpoint() needs the context's folder; keep it in step
         # with the session setting (or the local fallback above).
         sc.setCheckpointDir(base)
-    return base.rstrip("/")
+    return qualified(spark, base.rstrip("/"))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme: without one it lies on the session's default file
+    system, also for tasks that do not open it through Spark."""
+    if re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:", path):
+        return path
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # Spark Connect: the server resolves it
+        return path
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    fs = found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.makeQualified(found).toString()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -70,4 +85,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/landing/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["local_session", "shared_dir", "scratch_path"]
+__all__ = ["local_session", "qualified", "scratch_path", "shared_dir"]

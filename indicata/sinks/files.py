@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +17,45 @@ DATE_TEXT_FORMAT = "yyyy-MM-dd"
 _TIMESTAMPS = ("timestamp", "timestamp_ntz")
 
 
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """A folder replaced by what ``write`` writes, which gets a staging folder next to it.
+
+    Only when that has succeeded are the two swapped: the old folder is renamed, the new
+    one takes its name, the old one is deleted.  A run that fails leaves the old output as it
+    was; between the two renames there is none (a moment on a file system, longer in an object
+    store, where renaming copies), and a failed second one puts the old folder back."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    mark = uuid.uuid4().hex[:12]
+    # Names with an underscore in front are not seen by readers of the parent folder.
+    staged, old = (jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{kind}-{target.getName()}-{mark}")
+                   for kind in ("staged", "replaced"))
+    try:
+        write(staged.toString())
+        had = fs.exists(target)
+        if had and not fs.rename(target, old):
+            raise OSError(f"{path} cannot be renamed")
+        if not fs.rename(staged, target):
+            if had:
+                fs.rename(old, target)
+            raise OSError(f"{staged.toString()} cannot be renamed to {path}")
+        if had:
+            fs.delete(old, True)
+    finally:
+        if fs.exists(staged):
+            fs.delete(staged, True)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",",
               header: bool = True) -> None:
-    """Header CSV directory, replaced on every run (K1).  One file per task;
+    """Header CSV directory, replaced on every run (K1): the old one stays until the new
+    one is whole.  One file per task;
     timestamps written as 'yyyy-MM-dd HH:mm:ss', with the fraction of a second
     if there is one.  A table without columns lands as an empty file."""
+    if mode == "overwrite":
+        replace_folder(df.sparkSession, path, lambda staged: write_csv(df, staged, "errorifexists", sep, header))
+        return
     if not df.columns:
         df.sparkSession.createDataFrame([], "line string").coalesce(1).write.mode(mode).text(path)
         return

@@ -1,0 +1,174 @@
+"""What has to work at any size: ranged windows, hot keys, grouped n-way joins, staged
+replacement, counts of dropped rows, refreshed totals, qualified paths."""
+
+import os
+import random
+import time
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from indicata.functions.observed import RunCounts
+from indicata.operators.joins import join_all_on_key, join_stems
+from indicata.operators.skew import hot_keys, join_hot_keys
+from indicata.operators.windows import previous_row, previous_value
+from indicata.plans import jobs
+from indicata.plans.partials import merged_average, refresh
+from indicata.session import qualified
+from indicata.sinks import write_csv
+from indicata.sources import read_csv_text
+from tests.conftest import rows
+from tests.test_sources import _indicator_folder
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_previous_row_equals_lag(spark, parts):
+    rng = random.Random(parts)
+    data = [(i, rng.choice([None, 1, 2, 2, 2, 2, rng.randrange(100)]), rng.choice([None, rng.random()])) for i in range(500)]
+    df = spark.createDataFrame(data, "id long, p int, v double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = previous_row(df, "v", ["p", "id"], "prev")
+        assert got.columns == ["id", "p", "v", "prev"] and "SinglePartition" not in _plan(got)
+        want = sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+        assert sorted(rows(got), key=str) == sorted(
+            [(*r, q[2] if q else None) for q, r in zip([None, *want], want)], key=str)
+        # Ties and repeated rows: every value but one is somebody's previous one.
+        twice = previous_row(df.union(df), "v", ["p"], "prev")
+        left = Counter(r[2] for r in data + data)
+        left.subtract(Counter(r.prev for r in twice.collect()))
+        assert twice.count() == 1000 and sum(abs(n) for n in left.values()) <= 2
+        assert rows(previous_row(df.limit(0), "v", ["id"], "prev")) == []
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_single_partition_is_kept_for_calendar_sized_input(spark):
+    assert "SinglePartition" in _plan(previous_value(spark.range(3).withColumn("v", F.lit(1)), "v", "id", "p"))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_hot_key_join_equals_join(spark, how):
+    rng = random.Random(1)
+    left = spark.createDataFrame(
+        [(i, 7 if i % 3 == 0 else None if i % 17 == 0 else rng.randrange(300)) for i in range(3000)], "id long, k int")
+    right = spark.createDataFrame([(k, f"r{k}{j}") for k in range(0, 280) for j in range(1 + k % 2)], "k int, r string")
+    hot = hot_keys(left, ["k"], 0.05)["k"]
+    assert hot == [7]
+    got = join_hot_keys(left, right, "k", hot, how)
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(left.join(right, "k", how))))
+    assert hot_keys(spark.range(1000), ["id"])["id"] == [] and hot_keys(spark.range(0), ["id"])["id"] == []
+    with pytest.raises(ValueError):
+        join_hot_keys(left, right, "k", hot, "full")
+
+
+def test_no_task_gets_much_of_a_hot_key(spark):
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.enabled")}
+    for c, v in zip(old, ("-1", "32", "false")):
+        spark.conf.set(c, v)
+    try:
+        left = spark.range(60_000).withColumn("k", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 9001))
+        right = spark.range(9001).select(F.col("id").alias("k"), (F.col("id") * 2).alias("r"))
+        joined = join_hot_keys(left, right, "k", hot_keys(left, ["k"])["k"])
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 60_000 and max(sizes) < 0.1 * 60_000
+        plain = [r[1] for r in left.join(right, "k").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(plain) > 0.3 * 60_000
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+@pytest.mark.parametrize("group_rows", [100_000, 4])
+def test_join_stems_equals_the_fold(spark, group_rows):
+    rng = random.Random(2)
+    stems = ["a", "b.c", "d"]
+    data = [(rng.choice([*stems, "x"]), rng.choice([None, "k 1", "k2", "k3", "k4"]), rng.choice([None, 1.0, 2.0])) for _ in range(60)]
+    data += [("a", "only a", 1.0)]
+    long = spark.createDataFrame(data, "stem string, `the key` string, v double")
+    names = [f"{s} 2023" for s in stems]
+    got = join_stems(long, stems, "the key", "v", names, group_rows=group_rows)
+    fold = join_all_on_key([long.where(F.col("stem") == s).select("the key", F.col("v").alias(f"{s} 2023")) for s in stems], "the key")
+    assert got.columns == fold.columns and sorted(map(str, rows(got, *range(4)))) == sorted(map(str, rows(fold, *range(4))))
+    if group_rows == 100_000:
+        assert _plan(got).split("== Initial Plan ==")[-1].count("hashpartitioning") == 1
+
+
+def test_failed_replacement_keeps_the_old_table(spark, workdir):
+    path = f"{workdir}/table"
+    write_csv(spark.range(3), path)
+    bad = spark.range(1000).select(F.when(F.col("id") == 999, F.raise_error(F.lit("half-way")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="half-way"):
+        write_csv(bad, path)
+    assert sorted(rows(read_csv_text(spark, path))) == [("0",), ("1",), ("2",)] and os.listdir(workdir) == ["table"]
+    write_csv(read_csv_text(spark, path).where("id > 0"), path)  # a table may be read while it is replaced
+    assert sorted(rows(read_csv_text(spark, path))) == [("1",), ("2",)] and os.listdir(workdir) == ["table"]
+
+
+def test_counts_of_dropped_rows(spark, workdir):
+    counts = RunCounts()
+    folder = _indicator_folder(workdir)
+    jobs.country_indicators_job(spark, folder, counts=counts).collect()
+    assert set(counts.get()) == {"header_copies", "no_key", "unreadable"} and counts.get()["header_copies"] >= 0
+    cases = f"{workdir}/cases.csv"
+    with open(cases, "w") as f:
+        f.write("location,date,total_cases,new_cases\n" + "a,2024-01-01,,\n" * 5 + "b,2024-01-02,1,\n" * 7)
+    counts = RunCounts()
+    assert jobs.covid_job(spark, cases, out=f"{workdir}/cases-out", counts=counts).count() == 7
+    assert counts.get() == {"no_measure": 5}
+    ipc = f"{workdir}/ipc.csv"
+    with open(ipc, "w") as f:
+        f.write("Periodo;Indice_IPC;v_m_IPC;v_i_a_IPC\n2017-01;100,0;///;\n2017-02;x;1,5;2\n2017-02;7;1,5;\n")
+    counts = RunCounts()
+    jobs.ipc_job(spark, ipc, out=f"{workdir}/ipc-out", counts=counts)
+    assert counts.get() == {"unreadable_Indice_IPC": 1, "unreadable_v_m_IPC": 1, "unreadable_v_i_a_IPC": 0}
+
+
+def test_refreshed_totals(spark, workdir):
+    folder, state = f"{workdir}/in", f"{workdir}/state"
+    os.makedirs(folder)
+
+    def land(name, *values):
+        with open(f"{folder}/{name}.csv", "w") as f:
+            f.write("k,v\n" + "".join(f"{k},{v}\n" for k, v in values))
+
+    read = lambda paths: read_csv_text(spark, paths)
+    result = lambda: dict(rows(merged_average(spark, state, ["k"], "m")))
+    land("one", ("a", 1), ("a", 2), ("", 5))
+    land("two", ("b", 4), ("c", "n/a"))
+    assert refresh(spark, folder, state, read, ["k"], "v") == 2
+    assert result() == {"a": 1.5, None: 5.0, "b": 4.0, "c": None}
+    assert refresh(spark, folder, state, read, ["k"], "v") == 0 and result()["a"] == 1.5
+    time.sleep(1.1)  # file times may have whole seconds
+    land("one", ("a", 10))
+    land("three", ("b", 8), ("a", 20))
+    assert refresh(spark, folder, state, read, ["k"], "v") == 2
+    assert result() == {"a": 15.0, "b": 6.0, "c": None}
+
+    def broken(paths):
+        return read(paths).withColumn("v", F.raise_error(F.lit("lost")).cast("string"))
+
+    land("four", ("a", 1000))
+    with pytest.raises(Exception, match="lost"):
+        refresh(spark, folder, state, broken, ["k"], "v")
+    assert result() == {"a": 15.0, "b": 6.0, "c": None}
+    assert refresh(spark, folder, state, read, ["k"], "v") == 1 and result()["a"] == round((10 + 20 + 1000) / 3, 2)
+
+
+def test_paths_without_a_scheme_lie_on_the_default_file_system(spark, workdir):
+    assert qualified(spark, "s3a://bucket/x") == "s3a://bucket/x"
+    assert qualified(spark, "/shared/x").startswith("file:/")
+    old = spark.conf.get("fs.defaultFS", None)
+    spark.conf.set("fs.defaultFS", "viewfs://cluster/")
+    spark.conf.set("fs.viewfs.mounttable.cluster.link./shared", f"file://{workdir}")
+    try:
+        assert qualified(spark, "/shared/x") == "viewfs://cluster/shared/x"
+    finally:
+        spark.conf.unset("fs.defaultFS") if old is None else spark.conf.set("fs.defaultFS", old)
