@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.01
+SALTS = 4  # per shuffle partition, so that the hash of (key, salt) spreads them evenly
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> dict[str, list]:
@@ -31,13 +32,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> di
 def join_hot_keys(left: DataFrame, right: DataFrame, key: str, hot: Sequence, how: str = "inner",
                   spread: Sequence[str] | None = None) -> DataFrame:
     """``left`` joined to ``right`` on ``key`` (inner or left), the rows of the ``hot`` keys of
-    ``left`` dealt over the shuffle partitions by a hash of the columns ``spread`` (all of them
+    ``left`` dealt over ``SALTS`` parts a shuffle partition by a hash of the columns ``spread`` (all of them
     if not given)."""
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"no salted join for {how}")
     if not hot:
         return left.join(right, key, how)
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = SALTS * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     zero = F.lit(0).cast("long")
     is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
     dealt = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*(spread or left.columns)), F.lit(salts))).otherwise(zero))
