@@ -6,7 +6,8 @@ a span of at most ``SPAN`` letters; a subsequence with g letters skipped counts
 prefixes and endings keeps most of its subsequences.  Characters that are no
 letters are skipped for free, so ``i.d.i.o.t`` is ``idiot``; single letters standing
 alone (``i d i o t``), however many and however far apart, are joined to one word
-first, and stretches of a long run count as words too.  The two ends of a word
+first, and stretches of a long run count as words too.  So do the parts of a word between marks
+(``a/b/idiot/c``) and the stretches of a very long word (scripts without blanks).  The two ends of a word
 count as letters.  Letters of every script are told apart, vowel signs included.
 
 Nystrom landmarks: words of the training sentences (the most telling words of
@@ -21,13 +22,13 @@ word that tells the classes apart beyond chance are left out (wrong labels).  A
 the bag scores turns them into probabilities.
 
 The fit takes a bounded sample (``SAMPLE`` labelled texts per class, those of the
-least id hashes, and ``NEGATIVES`` clean words), whatever the input's size;
+least id hashes, one text per id, and ``NEGATIVES`` clean words), whatever the input's size;
 scoring reads every text whole, each distinct word of a batch once.  Nothing
 but the text enters a score.
 
 Defined cases: a null or empty text, and one without words of three letters,
 gets the score of an empty bag (near 0); label rows with a null id or label are
-ignored, an id labelled twice counts as toxic if one of its labels is; without
+ignored, an id labelled twice counts as toxic if one of its labels is, a document without an id is not held out; without
 both classes among the labels every score is 0; repeated rows score alike;
 extra columns are kept by ``drop_toxic`` and ignored by ``score_documents``.
 """
@@ -57,19 +58,55 @@ FOLDS = 5
 START, STOP = "\ue000", "\ue001"
 # All ways to take three of at most SPAN letters in order, from the first on.
 PATTERNS = [(j, k, DECAY ** (k - 2)) for k in range(2, SPAN) for j in range(1, k)]
-WINDOWS = (5, 7, 9, 12)  # letters of the stretches of a run of single letters
+WINDOWS = (5, 7, 9, 12)  # letters of the stretches of a run of single letters, or of a long word
+LONG = 24  # letters of a word that is read by stretches as well
+NO_LETTERS = r"[^\p{L}\p{M}]+"
+GLUED = r"\p{L}\p{M}*[^\p{L}\p{M}]+\p{L}"  # marks between letters
 CHUNK_BYTES = 2 << 20  # a distinct word is worked out once per chunk
 _SEPARATOR = 10
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Lower-cased words of all texts in order, and each text's offsets; runs of
-    single characters, of any length and with any white space between, are joined.
-    The stretches of a run (``WINDOWS`` letters) follow its text's words, as an
-    insult may be spelled out amid other words."""
+    """Lower-cased words of all texts in order, and each text's offsets.
+
+    Words end at white space; runs of single characters, of any length and with any
+    white space between, are joined.  A text's further words follow: the stretches of
+    such a run (``WINDOWS`` letters), as an insult may be spelled out amid other words; the
+    parts of a word that has marks between letters, cut at these and read like a text of
+    their own; and the stretches of a word of more than ``LONG`` letters."""
     lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     size = np.asarray(pc.list_value_length(lists), dtype=np.int64)
-    flat, offsets = lists.flatten(), np.concatenate([[0], np.cumsum(size)])
+    flat = lists.flatten()
+    parts, home = _spelled(flat, np.concatenate([[0], np.cumsum(size)]))
+    owner = np.repeat(np.arange(len(size)), size)
+    glued = np.flatnonzero(np.asarray(pc.match_substring_regex(flat, GLUED)).astype(bool))
+    if len(glued):
+        spaced = pc.replace_substring_regex(flat.take(pa.array(glued)), NO_LETTERS, " ")
+        cut = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(spaced))
+        more, inside = _spelled(cut.flatten(), np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(cut), dtype=np.int64))]))
+        parts += more
+        home += [owner[glued][x] for x in inside]
+    long = [(i, k) for i, p in enumerate(parts) for k in np.flatnonzero(np.asarray(pc.utf8_length(p)) > LONG).tolist()]
+    if long:
+        found, at = [], []
+        for i, k in long:
+            word = "".join(ch for ch in parts[i][k].as_py() if _is_letter()[ord(ch)])
+            if len(word) > LONG:
+                for n in WINDOWS:
+                    found += [word[j: j + n] for j in range(len(word) - n + 1)]
+                at.append((home[i][k], sum(len(word) - n + 1 for n in WINDOWS)))
+        parts.append(pa.array(found, pa.string()))
+        home.append(np.repeat([h for h, _ in at], [n for _, n in at]).astype(np.int64))
+    if len(parts) == 1:
+        return parts[0], np.concatenate([[0], np.cumsum(np.bincount(home[0], minlength=len(size)))])
+    text = np.concatenate(home)
+    every = pa.chunked_array(parts).combine_chunks().take(pa.array(np.argsort(text, kind="stable")))
+    return every, np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(size)))])
+
+
+def _spelled(flat: pa.Array, offsets: np.ndarray) -> tuple[list[pa.Array], list[np.ndarray]]:
+    """Words with runs of single characters joined, then the stretches of these runs; and the
+    text that each belongs to."""
     single = np.asarray(pc.utf8_length(flat)) == 1
     opens = np.ones(len(flat) + 1, bool)  # a word begins here, the end included
     opens[1:-1] = ~(single[1:] & single[:-1])
@@ -77,18 +114,14 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     words, number = _joined(flat, np.flatnonzero(opens)), np.cumsum(opens) - 1
     at = np.flatnonzero(single & np.asarray(pc.match_substring_regex(flat, r"^\p{L}")).astype(bool))
     run = number[at]  # the letters of all runs, and the word that each is part of
-    parts, home = [words], [np.repeat(np.arange(len(size)), np.diff(number[offsets]))]
+    parts, home = [words], [np.repeat(np.arange(len(offsets) - 1), np.diff(number[offsets]))]
     for n in WINDOWS:
         first = np.flatnonzero(run[n - 1:] == run[: max(len(run) - n + 1, 0)])
         if len(first):
             letters = flat.take(pa.array(at[first[:, None] + np.arange(n)].ravel()))
             parts.append(_joined(letters, np.arange(0, n * len(first) + 1, n)))
             home.append(np.searchsorted(offsets, at[first], side="right") - 1)
-    if len(parts) == 1:
-        return words, number[offsets]
-    text = np.concatenate(home)
-    every = pa.chunked_array(parts).combine_chunks().take(pa.array(np.argsort(text, kind="stable")))
-    return every, np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(size)))])
+    return parts, home
 
 
 def _joined(words: pa.Array, starts: np.ndarray) -> pa.Array:
@@ -113,10 +146,9 @@ def _slot(code: np.ndarray) -> np.ndarray:
 
 class Model:
     """Landmarks and weights; ``scores`` gives a value per word.  A subsequence's
-    code holds its three code points (21 bits each), so that no two share one;
-    ``alphabet`` is of no effect."""
+    code holds its three code points (21 bits each), so that no two share one."""
 
-    def __init__(self, alphabet: str = ""):
+    def __init__(self):
         self.codes = np.zeros(0, np.int64)  # subsequences of the landmarks, sorted: rows of ``values`` from 1 on
         self.maybe = np.zeros(1 << 18, bool)  # slots of ``codes``
         self.values = np.zeros((1, 0), np.float32)
@@ -128,7 +160,7 @@ class Model:
         """(word, code, weight) of every three-letter subsequence, by word."""
         if not len(words):
             return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.float32),)
-        bare = pc.replace_substring_regex(words, r"[^\p{L}\p{M}]+", "")
+        bare = pc.replace_substring_regex(words, NO_LETTERS, "")
         every = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), bare)
         joined = START + pc.binary_join(every, f"{STOP}\n{START}")[0].as_py() + STOP
         cps = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -372,7 +404,7 @@ def _logistic(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int) -> tuple[list, list]:
@@ -387,9 +419,12 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     if not ids:
         return [], []
     chosen = docs.sparkSession.createDataFrame(ids, "id bigint, toxic int")
+    # One text per id, whatever the rows that share it: the driver gets at most two samples of texts.
+    text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "id").orderBy("id", "text").collect()  # bounded by the sample
-    return [r.text or "" for r in rows if r.toxic == 1], [r.text or "" for r in rows if r.toxic == 0]
+        .join(F.broadcast(chosen), "id").groupBy("id", "toxic") \
+        .agg(F.min_by(text, F.struct(F.xxhash64(text), text)).alias("text")).orderBy("id").collect()
+    return [r.text for r in rows if r.toxic == 1], [r.text for r in rows if r.toxic == 0]
 
 
 def train_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

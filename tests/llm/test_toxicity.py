@@ -51,7 +51,7 @@ def test_kernel_equals_enumeration(model):
         return out
 
     words = ["idiot", "stupid", "moran"]
-    m = toxicity.Model("abcdefghijklmnopqrstuvwxyz")
+    m = toxicity.Model()
     m.set_landmarks(words)
     got = m.kernel(pa.array(["stuupid", "mor.on", "x"]))
     for row, word in zip(got, ["stuupid", "moron", "x"]):
@@ -140,6 +140,53 @@ def test_runs_end_with_their_text():
     assert got == [["one", "ab"], ["cd"], [""], [""], ["stupidx", "two", "stupi", "tupid", "upidx", "stupidx"], ["12", "e"]]
 
 
+def test_insults_glued_to_other_words(model):
+    plain = "then the other one on it"
+    for word in INSULTS:
+        for form in ("{}/{}/WORD/{}", "{},{},WORD,{}", "{}—WORD—{}", "({}WORD)...{}".replace("{}WORD", "WORD"), "{}_{}-WORD-{}",
+                     "{}.{}.WORD.{}.{}", "[{}]WORD[{}]", "{}/{}/" + "-".join("WORD") + "/{}"):
+            if "WORD" not in form:
+                form = form.replace("W-O-R-D", "-".join(word))
+            glued = form.replace("WORD", word).replace("{}", "other")
+            got = model.probabilities(pa.array([f"{plain} {glued} {plain}", glued]))
+            assert (got >= 0.5).all(), glued
+    for glued in ("other/on/the/in", "on,the,other,in,at", "other—on—it", "(other)...on", "one-at-the-other", "don't/can't",
+                  "https://the.other.one/at/on?in=es&or=at"):
+        assert model.probabilities(pa.array([glued]))[0] < 0.5, glued
+    words, offsets = toxicity.words_of(pa.array(["x a/b-idiot.c, 12", "don't"]))
+    assert [words.to_pylist()[lo:hi] for lo, hi in zip(offsets, offsets[1:])] == [
+        ["x", "a/b-idiot.c,", "12", "ab", "idiot", "c"], ["don't", "don", "t"]]
+
+
+def test_text_without_blanks():
+    rng = random.Random(6)
+    words = ["".join(rng.choices(KANA, k=4)) for _ in range(60)]
+    bad = ["".join(rng.choices(KANA, k=5)) for _ in range(3)]
+
+    def sentence(toxic, join):
+        out = rng.choices(words, k=20)
+        if toxic:
+            out[rng.randrange(20)] = rng.choice(bad)
+        return join.join(out)
+
+    model = toxicity.train([sentence(True, " ") for _ in range(200)], [sentence(False, " ") for _ in range(400)])
+    y = np.array([i % 2 == 0 for i in range(60)])
+    p = model.probabilities(pa.array([sentence(bool(t), "") for t in y]))
+    assert ((p >= 0.5) == y).mean() > 0.8
+
+
+def test_training_takes_one_text_per_id(spark):
+    docs = spark.createDataFrame([(3, "hot text")] * 500 + [(3, None), (3, "other")] + [(i, f"t{i}") for i in range(20)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    toxic, clean = toxicity.training_texts(docs, labels, "doc_id", "text", 100)
+    import zlib
+    kept = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5]
+    assert len(toxic) == sum(i % 2 for i in kept) and len(clean) == sum(1 - i % 2 for i in kept)
+    row = toxicity.score_documents(spark.createDataFrame([(None, "x")], "doc_id long, text string"), None).first()
+    assert row.held_out is False and row.score == 0.0
+
+
 KANA, HANGUL = [chr(c) for c in range(0x30A2, 0x30EC)], [chr(c) for c in range(0xAC00, 0xAC00 + 28 * 60, 28)]
 CYRILLIC, GREEK = [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x3B1, 0x3CA) if c != 0x3C2]
 IDEOGRAPHS, DEVANAGARI = [chr(c) for c in range(0x4E00, 0x4E60)], [chr(c) + v for c in range(0x915, 0x925) for v in ("", "ु", "े")]
