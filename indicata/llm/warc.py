@@ -7,7 +7,8 @@ own; a task rolls its files at ``file_bytes``.  Files are named by task attempt
 and only those of committed attempts are listed in the returned manifest, so a
 retried or speculative task cannot add records twice.
 
-Reader: an archive is read as a stream, one record in memory at a time.  Every
+Reader: an archive is read as a stream, one record in memory at a time; a gzip member
+may hold several records, up to a whole archive, and a header may have any length.  Every
 record is checked: the member's checksum (gzip), version line, header fields,
 ``Content-Length`` against the bytes that follow, the closing empty lines, and
 the block and payload digests.  After a failed check the reader searches on
@@ -27,7 +28,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
+import tempfile
 import zlib
 from collections.abc import Iterator
 
@@ -43,12 +46,15 @@ from indicata.session import scratch_path
 
 FILE_BYTES = 64 << 20
 READ_BYTES = 1 << 20
+MEMBER_BYTES = 32 << 20  # of a gzip member's text in memory
 # Fixed values of the WARC format.
 VERSION = b"WARC/1.1\r\n"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 CONTROL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 GZIP_MAGIC = b"\x1f\x8b\x08"
 END = b"\r\n\r\n"
+BEGINNING = re.compile(rb"\x1f\x8b\x08|WARC/1\.")  # of a member or a version line
+HEADER_END = re.compile(rb"\r\n\r\n|\r\nWARC/1\.|" + CONTROL.pattern)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_PREFIX = "urn:x-page:"
 
@@ -146,18 +152,27 @@ class Archive:
         at = pos - self.start
         return self.held[at: at + n]
 
-    def find(self, marks: tuple[bytes, ...], pos: int) -> int:
-        """The first place of a mark at or after ``pos``, else the end."""
+    def find(self, pattern: re.Pattern, pos: int) -> int:
+        """The first place at or after ``pos`` where ``pattern`` (at most nine bytes) matches, else the end."""
+        size = 4096  # most are near
         while pos < self.size:
-            part = self.read(pos, min(READ_BYTES, self.size - pos))
-            found = [p for p in (part.find(m) for m in marks) if p >= 0]
+            part = self.read(pos, min(size, self.size - pos))
+            found = pattern.search(part)
             if found:
-                return pos + min(found)
-            pos += max(1, len(part) - 8)
+                return pos + found.start()
             if len(part) <= 8:
                 break
+            pos, size = pos + len(part) - 8, min(4 * size, READ_BYTES)
         return self.size
 
+    def header(self, pos: int) -> bytes:
+        """The bytes from ``pos`` to the first empty line, however far; raises Damaged if control
+        bytes, another version line or the end of the file come first."""
+        end = self.find(HEADER_END, pos)
+        if self.read(end, len(END)) != END:
+            raise Damaged("control bytes in the header" if CONTROL.match(self.read(end, 1)) else "header does not end")
+        return self.read(pos, end + len(END) - pos)
+
 
 class Damaged(Exception):
     """A failed check; ``end`` is where the frame ends, if that is known."""
@@ -167,18 +182,22 @@ class Damaged(Exception):
         self.end = end
 
 
-def read_member(src: Archive, pos: int) -> tuple[bytes, int]:
-    z, out, at = zlib.decompressobj(31), [], pos
+def read_member(src: Archive, pos: int) -> tuple["Archive", int]:
+    """The text of the gzip member at ``pos`` as an archive of its own, and the
+    member's end.  Up to ``MEMBER_BYTES`` are held in memory; more of it lies in a file
+    without a name that ends with the task."""
+    z, at = zlib.decompressobj(31), pos
+    out = tempfile.SpooledTemporaryFile(MEMBER_BYTES)
     while not z.eof:
-        part = src.read(at, min(1 << 16, src.size - at))
+        part = z.unconsumed_tail or src.read(at, min(1 << 16, src.size - at))
         if not part:
             raise Damaged("truncated gzip member")
+        at += 0 if z.unconsumed_tail else len(part)
         try:
-            out.append(z.decompress(part))
+            out.write(z.decompress(part, READ_BYTES))
         except zlib.error:
             raise Damaged("bad gzip member") from None
-        at += len(part)
-    return b"".join(out), at - len(z.unused_data)
+    return Archive(out, out.tell()), at - len(z.unused_data)
 
 
 def parse_head(data: bytes) -> tuple[dict[str, str], int]:
@@ -211,24 +230,16 @@ def check_digest(fields: dict[str, str], name: str, data: bytes, end: int) -> No
 
 
 def read_record(src: Archive, pos: int) -> tuple[dict[str, str], bytes, int]:
-    """Header fields, payload and end of the record at ``pos``; raises Damaged."""
-    if src.read(pos, 3) == GZIP_MAGIC:
-        data, end = read_member(src, pos)
-        fields, at = parse_head(data)
-        length = int(fields["content-length"])
-        if len(data) - at != length + len(END):
-            raise Damaged("content-length differs", end)
-        block, tail = data[at: at + length], data[at + length:]
-    else:
-        head = src.read(pos, min(1 << 16, src.size - pos))
-        fields, at = parse_head(head)
-        length = int(fields["content-length"])
-        end = pos + at + length + len(END)
-        if end > src.size:
-            raise Damaged("content-length past the end")
-        block = src.read(pos + at, length)
-        tail = src.read(end - len(END), len(END))
-    if tail != END:
+    """Header fields, payload and end of the plain record at ``pos``; raises Damaged."""
+    if not VERSION_LINE.match(src.read(pos, 10)):
+        raise Damaged("no version line")
+    fields, at = parse_head(src.header(pos))
+    length = int(fields["content-length"])
+    end = pos + at + length + len(END)
+    if end > src.size:
+        raise Damaged("content-length past the end")
+    block = src.read(pos + at, length)
+    if src.read(end - len(END), len(END)) != END:
         raise Damaged("record does not close")
     check_digest(fields, "warc-block-digest", block, end)
     http, _, payload = block.partition(END) if fields.get("content-type", "").startswith("application/http") else (b"", b"", block)
@@ -242,23 +253,46 @@ def read_record(src: Archive, pos: int) -> tuple[dict[str, str], bytes, int]:
     return fields, payload, end
 
 
+def read_at(src: Archive, pos: int) -> tuple[Iterator[tuple], int]:
+    """What ``salvage`` gives for the record, or the gzip member with records in it, at
+    ``pos``, and its end; raises Damaged if no record passes the checks."""
+    if src.read(pos, 3) != GZIP_MAGIC:
+        fields, payload, end = read_record(src, pos)
+        return iter([("record", pos, end, fields, payload)]), end
+    member, end = read_member(src, pos)
+    found, first = salvage(member), []
+    for item in found:
+        first.append(item)
+        if item[0] == "record":
+            break
+    else:
+        raise Damaged(first[0][3] if first else "empty gzip member", end)
+
+    def inside() -> Iterator[tuple]:
+        for kind, start, stop, *rest in itertools.chain(first, found):
+            yield (kind, pos, end, *rest) if kind == "record" else (kind, pos, end, f"bytes {start} to {stop} of the member: {rest[0]}")
+
+    return inside(), end
+
+
 def salvage(src: Archive) -> Iterator[tuple]:
     """``("record", start, end, fields, payload)`` and ``("gap", start, end, reason)``
-    in file order; together they cover the whole file."""
+    in file order; together they cover the whole file.  What lies in one gzip member has the
+    member's start and end."""
     pos = 0
     while pos < src.size:
         try:
-            fields, payload, end = read_record(src, pos)
-            yield "record", pos, end, fields, payload
+            found, end = read_at(src, pos)
+            yield from found
             pos = end
             continue
         except Damaged as bad:
             reason, start, resume = str(bad), pos, bad.end
         while True:  # the next place whose record passes all checks
-            at = resume if resume is not None else src.find((GZIP_MAGIC, b"WARC/1."), pos + 1)
+            at = resume if resume is not None else src.find(BEGINNING, pos + 1)
             if resume is not None and at < src.size:
                 try:
-                    read_record(src, at)
+                    read_at(src, at)
                     break
                 except Damaged:
                     resume = None
@@ -267,7 +301,7 @@ def salvage(src: Archive) -> Iterator[tuple]:
                 at = src.size
                 break
             try:
-                read_record(src, at)
+                read_at(src, at)
                 break
             except Damaged:
                 pos = at

@@ -67,6 +67,43 @@ def test_content_length_lies():
     assert [x[3]["warc-record-id"] for x in out if x[0] == "record"] == ["<urn:x-page:18>", "<urn:x-page:19>"]
 
 
+@pytest.mark.parametrize("pack", [warc.gzip_member, bytes])
+def test_long_headers(pack):
+    parts = records(9)
+    for k, size in ((2, 70_000), (5, 3 << 20)):
+        parts[k] = warc.make_record(k, "http://x.example/" + "a" * size, b"payload", None, DATE)
+    out = read(b"".join(map(pack, parts)))
+    assert [x[0] for x in out] == ["record"] * 9 and len(out[5][3]["warc-target-uri"]) > 3 << 20
+
+
+@pytest.mark.parametrize("limit", [1 << 25, 1000])
+def test_member_of_several_records(monkeypatch, limit):
+    monkeypatch.setattr(warc, "MEMBER_BYTES", limit)
+    parts = records(30)
+    bad = bytearray(parts[12])
+    bad[-20] ^= 1  # its digest differs
+    whole = [warc.gzip_member(b"".join(parts[:10])), warc.gzip_member(parts[10]),
+             warc.gzip_member(b"".join([parts[11], bytes(bad), b"junk", *parts[13:20]])), b"".join(parts[20:25]),
+             warc.gzip_member(b"".join(parts[25:]))]
+    out = read(b"".join(whole))
+    assert [x[3]["warc-record-id"] for x in out if x[0] == "record"] == [f"<urn:x-page:{i}>" for i in range(30) if i != 12]
+    gaps = [x for x in out if x[0] == "gap"]
+    assert len(gaps) == 1 and gaps[0][1:3] == (len(whole[0] + whole[1]), len(b"".join(whole[:3]))) and "of the member" in gaps[0][3]
+    broken = bytearray(whole[0])
+    broken[len(broken) // 2] ^= 255  # the member's own checksum fails
+    out = read(bytes(broken) + b"".join(whole[1:]))
+    assert len([x for x in out if x[0] == "record"]) == 19 and out[0][:3] == ("gap", 0, len(whole[0]))
+
+
+def test_version_lines_without_an_end_cost_linear_time():
+    import time
+
+    data = b"WARC/1.1\r\na: b\r\n" * 20_000
+    start = time.process_time()
+    out = read(data)
+    assert [x[:3] for x in out] == [("gap", 0, len(data))] and time.process_time() - start < 10
+
+
 def b32(text):
     return base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
 
