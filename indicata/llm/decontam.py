@@ -13,12 +13,14 @@ Only windows around a shared shingle are fingerprinted: a window without one
 has similarity 0, so none is lost.  The radius covers the expected distance at
 the threshold by more than two standard deviations.
 
-Documents are never shuffled.  The benchmark is dealt into chunks of a bounded
-number of words, and each chunk is indexed and broadcast on its own, so the
-broadcast is bounded whatever the benchmark's size; every document meets every
-chunk.
-
-Defined cases: null or empty documents and items match nothing; an item of
+Documents are never shuffled.  Equal benchmark texts are one item, reported with the least
+of their ids and their number.  The benchmark is read in chunks of a bounded
+number of words, and each chunk is indexed and broadcast on its own, so what the
+driver holds and sends is bounded whatever the benchmark's size; every document meets every
+chunk, and with several the result of each is written before the next is read.
+
+Defined cases: null or empty documents and items match nothing; an item with a text
+but without an id counts like any other (its id in the result is null); an item of
 fewer than five words is one shingle, its whole text; a document shorter
 than an item is compared as one window; repeated rows are judged alike; an
 empty benchmark matches nothing; extra columns are kept by ``clean_documents``
@@ -27,7 +29,6 @@ and ignored by ``contamination``.
 
 from __future__ import annotations
 
-import math
 import pickle
 from collections import Counter
 from collections.abc import Iterator
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicata.llm.shingles import chunks, hash_words, shingle_hashes, words
-from indicata.llm.store import small_batches
+from indicata.llm.store import small_batches, written
 
 NGRAM, THRESHOLD = 5, 0.8
 BITS, BLOCKS, RADIUS = 64, 8, 16
@@ -51,8 +52,8 @@ _FILTER_BITS = 22
 class ItemIndex:
     """One chunk of the benchmark, for one shingle width."""
 
-    def __init__(self, ids: list[int], shingles: list[np.ndarray]):
-        self.ids = np.array(ids, np.int64)
+    def __init__(self, ids: list[int | None], members: list[int], shingles: list[np.ndarray]):
+        self.ids, self.members = ids, members
         self.counts = [Counter(s.tolist()) for s in shingles]
         self.sizes = np.array([len(s) for s in shingles], np.int64)
         flat = np.concatenate(shingles)
@@ -137,7 +138,7 @@ def similarity(a: Counter, b: Counter) -> float:
 
 
 def search(index: ItemIndex, hashes: np.ndarray, at: np.ndarray, threshold: float) -> list[tuple]:
-    """(text, item id, similarity, hamming, start, length) of the best window per
+    """(text, item id, members, similarity, hamming, start, length) of the best window per
     text and item; ``hashes`` holds all texts' shingles, ``at`` their offsets."""
     hit = np.flatnonzero(index.maybe[(hashes & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)])
     lo = np.searchsorted(index.keys, hashes[hit])
@@ -171,30 +172,47 @@ def search(index: ItemIndex, hashes: np.ndarray, at: np.ndarray, threshold: floa
                     key = (int(t[w]), i)
                     if key not in best or sim > best[key][0]:
                         best[key] = (sim, int(np.bitwise_count(prints[w] ^ index.prints[i])), int(s[w] - at[t[w]]), int(m[w]))
-    return [(t, int(index.ids[i]), *v) for (t, i), v in sorted(best.items())]
+    return [(t, index.ids[i], index.members[i], *v) for (t, i), v in sorted(best.items())]
+
+
+def item_classes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    """(text, id, members, n): one row per distinct text, its least id (null if it has none), how many
+    rows have it, and its words by the tokenizer's rule; texts without words are left out."""
+    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    words_in = F.regexp_count(F.lower("text"), F.lit(r"[\p{L}\p{N}\p{M}]+"))
+    return items.where("text is not null").groupBy("text").agg(
+        F.min("id").alias("id"), F.count("*").alias("members")).withColumn("n", words_in).where("n > 0")
 
 
 def item_chunks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
                 chunk_words: int = CHUNK_WORDS) -> Iterator[dict[int, ItemIndex]]:
-    """Indexes by shingle width, one dictionary per chunk of the benchmark."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).dropna()
-    total = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    n = max(1, math.ceil(total / chunk_words))
-    part = items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
-    for k in range(n):
-        rows = part.where(F.col("part") == k).select("id", "text").orderBy("id", "text").collect()  # bounded by the chunk
-        flat, offsets = words(pa.array([r.text for r in rows], pa.string()))
-        hashes = hash_words(flat)
-        widths: dict[int, tuple[list, list]] = {}
-        for r, lo, hi in zip(rows, offsets, offsets[1:]):
-            if hi > lo:
-                width = min(NGRAM, int(hi - lo))
-                own, _ = shingle_hashes(hashes[lo:hi], np.array([0, hi - lo]), width)
-                ids, sets = widths.setdefault(width, ([], []))
-                ids.append(r.id)
-                sets.append(own)
-        if widths:
-            yield {w: ItemIndex(*v) for w, v in widths.items()}
+    """Indexes by shingle width, one dictionary per chunk of the benchmark: the distinct texts pass by
+    in order, and a chunk is closed when it holds ``chunk_words`` words."""
+    classes = written(item_classes(benchmark, id_col, text_col), "benchmark-items")
+    held, size = [], 0
+    for r in classes.orderBy(F.xxhash64("text"), "text").toLocalIterator():
+        held.append(r)
+        size += r.n
+        if size >= chunk_words:
+            yield from _indexes(held)
+            held, size = [], 0
+    yield from _indexes(held)
+
+
+def _indexes(rows: list) -> Iterator[dict[int, ItemIndex]]:
+    if not rows:
+        return
+    flat, offsets = words(pa.array([r.text for r in rows], pa.string()))
+    hashes = hash_words(flat)
+    widths: dict[int, tuple[list, list, list]] = {}
+    for r, lo, hi in zip(rows, offsets, offsets[1:]):
+        if hi > lo:
+            width = min(NGRAM, int(hi - lo))
+            own, _ = shingle_hashes(hashes[lo:hi], np.array([0, hi - lo]), width)
+            for column, value in zip(widths.setdefault(width, ([], [], [])), (r.id, r.members, own)):
+                column.append(value)
+    if widths:
+        yield {w: ItemIndex(*v) for w, v in widths.items()}
 
 
 def _hits(indexes: dict[int, ItemIndex], texts: pa.Array, threshold: float) -> list[tuple]:
@@ -207,32 +225,55 @@ def _hits(indexes: dict[int, ItemIndex], texts: pa.Array, threshold: float) -> l
     return out
 
 
+def _each_chunk(spark, benchmark: DataFrame, step) -> None:
+    """``step(broadcast, more)`` for every chunk: ``more`` says whether there are several, and then
+    ``step`` has run its plan when it returns, so that one chunk at a time is held."""
+    chunks_ = item_chunks(benchmark)
+    now = next(chunks_, None)
+    several = False
+    while now is not None:
+        after = next(chunks_, None)
+        several = several or after is not None
+        shared = spark.sparkContext.broadcast(cloudpickle.dumps(now))  # code included
+        step(shared, several)
+        if several:
+            shared.destroy()
+        now = after
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document and benchmark item found in it: doc_id, item_id,
-    similarity, hamming, start (shingle), n_shingles of the best window."""
+    """One row per document and distinct benchmark text found in it: doc_id, item_id (the
+    text's least id), n_items (benchmark rows with that text), similarity, hamming, start (shingle),
+    n_shingles of the best window."""
     spark = docs.sparkSession
     small_batches(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id bigint, item_id bigint, similarity double, hamming int, start bigint, n_shingles bigint"
-    out = None
-    for indexes in item_chunks(benchmark):
-        shared = spark.sparkContext.broadcast(cloudpickle.dumps(indexes))  # code included
+    names = ["doc_id", "item_id", "n_items", "similarity", "hamming", "start", "n_shingles"]
+    schema = "doc_id bigint, item_id bigint, n_items bigint, similarity double, hamming int, start bigint, n_shingles bigint"
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int64())
+    out: list[DataFrame] = []
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def step(shared, several: bool) -> None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             indexes = pickle.loads(shared.value)
             for b in chunks(batches, "text"):
                 found = _hits(indexes, b["text"], threshold)
                 if found:
                     row, *rest = map(list, zip(*found))
-                    kinds = (pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [b["doc_id"].take(pa.array(row, pa.int64())), *(pa.array(c, k) for c, k in zip(rest, kinds))],
-                        names=["doc_id", "item_id", "similarity", "hamming", "start", "n_shingles"])
+                        [b["doc_id"].take(pa.array(row, pa.int64())), *(pa.array(c, k) for c, k in zip(rest, kinds))], names=names)
 
         part = src.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+        out.append(written(part, "contaminated") if several else part)
+
+    _each_chunk(spark, benchmark, step)
+    if not out:
+        return spark.createDataFrame([], schema)
+    result = out[0]
+    for more in out[1:]:
+        result = result.unionByName(more)
+    return result
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
@@ -240,15 +281,18 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
     """The rows of ``docs``, all columns, whose text holds no benchmark item."""
     spark = docs.sparkSession
     small_batches(spark)
-    for indexes in item_chunks(benchmark):
-        shared = spark.sparkContext.broadcast(cloudpickle.dumps(indexes))  # code included
+    kept = [docs]
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def step(shared, several: bool) -> None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             indexes = pickle.loads(shared.value)
             for b in chunks(batches, text_col):
                 keep = np.ones(b.num_rows, bool)
                 keep[[f[0] for f in _hits(indexes, b[text_col], threshold)]] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        left = kept[0].mapInArrow(run, docs.schema)
+        kept[0] = written(left, "decontaminated") if several else left
+
+    _each_chunk(spark, benchmark, step)
+    return kept[0]

@@ -25,8 +25,13 @@ def brute(docs, items, threshold=0.8):
             if not doc and grams(t, 1)[1] and grams(t, 1)[1] < n:
                 continue
             best = 0.0
+            mine = set(own)
+            shared = [x in mine for x in doc]
+            b = Counter(own)
             for s in range(max(1, len(doc) - len(own) + 1)):
-                a, b = Counter(doc[s: s + len(own)]), Counter(own)
+                if len(doc) > 500 and not any(shared[s: s + len(own)]):
+                    continue  # a window without a shared shingle has similarity 0
+                a = Counter(doc[s: s + len(own)])
                 both = sum((a & b).values())
                 best = max(best, both / max(1, sum(a.values()) + len(own) - both))
             if best >= threshold - 1e-12:
@@ -67,7 +72,7 @@ def test_chunks_of_the_benchmark_give_the_same(spark, monkeypatch):
     docs, items = case()
     bench = spark.createDataFrame(items, "item_id long, text string")
     chunks = decontam.item_chunks
-    monkeypatch.setattr(decontam, "item_chunks", lambda b: chunks(b, chunk_words=60))
+    monkeypatch.setattr(decontam, "item_chunks", lambda b: chunks(b, chunk_words=150))
     assert found(decontam.contamination(messy_documents(spark, docs, extra=False), bench)) == brute(docs, items)
 
 
@@ -86,10 +91,30 @@ def test_clean_documents_keeps_the_rest(spark):
     assert decontam.contamination(frame.limit(0), bench).count() == 0
 
 
+def test_items_without_an_id_and_repeated_items(spark):
+    rows = [(None, prose(1, 30)), (None, prose(1, 30)), (7, prose(2, 30)), (5, prose(2, 30)), (None, prose(2, 30)),
+            *[(100 + k, prose(3, 30)) for k in range(50)], (9, None), (None, None), (3, "...")]
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    docs = [(k, prose(50 + k, 20) + " " + prose(1 + k % 3, 30)) for k in range(30)] + [(99, prose(99, 50))]
+    frame = messy_documents(spark, docs, extra=False)
+    got = sorted(((r.doc_id, r.item_id, r.n_items) for r in decontam.contamination(frame, bench).collect()), key=str)
+    assert got == sorted([(k, *((None, 2), (5, 3), (100, 50))[k % 3]) for k in range(30)], key=str)
+    assert [r.doc_id for r in decontam.clean_documents(frame, bench).collect()] == [99]
+
+
+def test_chunks_are_bounded(spark):
+    rows = [(k, prose(k, 30)) for k in range(40)] * 3
+    bench = spark.createDataFrame(rows, "item_id long, text string")
+    sizes = [sum(len(i.ids) for i in c.values()) for c in decontam.item_chunks(bench, chunk_words=100)]
+    assert sizes == [4] * 10
+    frame = messy_documents(spark, [(k, prose(k, 30)) for k in range(45)], extra=False)
+    assert sorted(r.doc_id for r in decontam.clean_documents(frame, bench).collect()) == [40, 41, 42, 43, 44]
+
+
 def test_index_returns_all_fingerprints_within_the_radius():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2 ** 63, 40, dtype=np.uint64)
-    index = decontam.ItemIndex(list(range(200)), [rng.integers(0, 2 ** 63, 12, dtype=np.uint64) for _ in range(200)])
+    index = decontam.ItemIndex(list(range(200)), [1] * 200, [rng.integers(0, 2 ** 63, 12, dtype=np.uint64) for _ in range(200)])
     probes = []
     for p in index.prints[:40]:
         for bits in range(0, 24):
