@@ -1,6 +1,6 @@
 """Licence scan by canonical digests (native DataFrame functions only).
 
-A text is brought to a canonical form and its SHA-256 is hash-joined to the
+A text is brought to a canonical form and its SHA-256 is looked up among the
 digests of known licence texts and notices:
 
 1. case: lower-cased;
@@ -13,13 +13,13 @@ digests of known licence texts and notices:
 
 Whole texts are looked up (their lines joined by a space), and every line as a
 text of its own, so a notice inside a document is found as well.  The table of known texts is
-fixed (some tens of rows), so the join is a broadcast by construction and no text is
-shuffled; per document only its digest and its matches are.
+fixed (some tens of digests) and part of the plan, a hash table in every task: each row is judged by
+itself, and nothing is shuffled.
 
 Defined cases: a null text has a null digest and matches nothing; an empty text
 or one of only punctuation has the digest of the empty string, which no known
-text has; rows sharing an id give one row (the largest digest and licence, all
-their notices); an empty table gives an empty result; extra columns are ignored.
+text has; rows sharing an id, and rows without one, give a row each; an empty
+table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,14 +29,17 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Patterns of the canonical form (but for NOTICE_LINE, the same in Java and RE2).
-# COPYRIGHT_LINE is what the SQL uses: it drops every line that starts so, NOTICE_LINE those that are notices.
-COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(?:copyright|\(c\)|©)[^\n]*$"
-# Words that go on a clause: a line that begins with them is no copyright line.
+# Patterns of the canonical form.  A line is a copyright line if it matches a pattern of
+# NOTICES and, from there on, none of what makes it a clause.  No look-around, so that SQL can say the same.
+LEAD = r"^[ \t#*/;-]*"
+_END = r"(?:[^a-z0-9_]|$)"  # of a word
 _CLAUSE = (r"(?:holders?|owners?|notices?|laws?|licen[sc]es?|statements?|permissions?|treat(?:y|ies)|disclaimers?|interests?"
            r"|rights?|protections?|patents?|trademarks?|ownership|doctrines?|resulting|like|if|and|or|on|in|is|as|for|to|that|the[ \t]+(?:software|library|program))")
-NOTICE_LINE = (rf"(?m)^[ \t#*/;-]*(?:copyright\b(?![ \t,-]*{_CLAUSE}\b|[ \t,.;-]*(?:the)?[ \t]*$)"
-               r"|\(c\)(?![ \t]*(?:you|under|if|to|the|a|an|any|all|each|in|for|it|affirmer)\b|[ \t]*$)|©)[^\n]*$")
+NOTICES = (
+    (LEAD + "copyright" + _END, (LEAD + rf"copyright[ \t,-]*{_CLAUSE}{_END}", LEAD + r"copyright[ \t,.;-]*(?:the)?[ \t]*$")),
+    (LEAD + r"\(c\)", (LEAD + rf"\(c\)[ \t]*(?:you|under|if|to|the|a|an|any|all|each|in|for|it|affirmer){_END}", LEAD + r"\(c\)[ \t]*$")),
+    (LEAD + "©", ()),
+)
 SEPARATORS = r"[\x00-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f\x{a0}\x{a9}\x{ab}\x{bb}\x{2010}-\x{2027}]+"
 # Equivalent spellings of single words of the canonical form.
 SPELLINGS = (
@@ -142,41 +145,51 @@ def complete_texts() -> tuple[tuple[str, str], ...]:
     return tuple(out)
 
 
+def is_notice(line: Column) -> Column:
+    """Whether a lower-case line is a copyright line."""
+    found = F.lit(False)
+    for begins, clauses in NOTICES:
+        own = F.rlike(line, F.lit(begins))
+        for c in clauses:
+            own = own & ~F.rlike(line, F.lit(c))
+        found = found | own
+    return found
+
+
 def canonical_lines(text: Column) -> Column:
     """array<string>: the canonical form of every line that has words."""
-    out = F.replace(F.regexp_replace(F.lower(text), NOTICE_LINE, ""), F.lit("\n"), F.lit(" \n "))
-    out = F.concat(F.lit(" "), F.regexp_replace(out, SEPARATORS, " "), F.lit(" "))
+    kept = F.filter(F.split(F.lower(text), "\n", -1), lambda line: ~is_notice(line))
+    out = F.concat(F.lit(" "), F.regexp_replace(F.array_join(kept, " \n "), SEPARATORS, " "), F.lit(" "))
     for spelled, unified in SPELLINGS:
         out = F.replace(out, F.lit(f" {spelled} "), F.lit(f" {unified} "))
     lines = F.split(F.regexp_replace(out, IZE, "$1z$2"), "\n", -1)
     return F.filter(F.transform(lines, lambda x: F.trim(x)), lambda line: line != "")
 
 
-def digests(lines: str) -> Column:
-    """The digest of the whole text, then one per line."""
-    sha = lambda c: F.sha2(c.cast("binary"), 256)
-    return F.concat(F.array(sha(F.array_join(lines, " "))), F.transform(lines, sha))
+def _sha(value: Column) -> Column:
+    return F.sha2(value.cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, found), one row per distinct digest."""
-    rows = spark.createDataFrame(list(known), "license string, text string") \
-        .select("license", canonical_lines(F.col("text")).alias("lines"))
-    return rows.groupBy(F.get(digests("lines"), F.lit(0)).alias("digest")).agg(F.min("license").alias("found"))
+def known_digests(spark: SparkSession, known=None) -> dict[str, str]:
+    """License by digest of the canonical text (a fixed list: some tens)."""
+    rows = spark.createDataFrame(list(known or KNOWN + complete_texts()), "license string, text string")
+    digest = _sha(F.array_join(canonical_lines(F.col("text")), " "))
+    return dict(rows.groupBy(digest.alias("digest")).agg(F.min("license")).collect())
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=None) -> DataFrame:
-    """One row per document: its text digest, the licence its whole text is
+    """One row per row of ``docs``: doc_id, its text digest, the licence its whole text is
     (or null), the number of its lines that are known notices and their
     licences, sorted and joined by ``;`` (empty: none)."""
-    table = F.broadcast(known_digests(docs.sparkSession, known or KNOWN + complete_texts()))  # fixed list: some tens of rows
-    rows = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
-    looked = rows.select("doc_id", F.posexplode_outer(digests("lines")).alias("pos", "digest")) \
-        .join(table, "digest", "left")
-    whole = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    looked = looked.where(whole | F.col("found").isNotNull())  # a row per document and found notice goes on
-    return looked.groupBy("doc_id").agg(
-        F.max(F.when(whole, F.col("digest"))).alias("text_digest"),
-        F.max(F.when(whole, F.col("found"))).alias("license"),
-        F.count(F.when(~whole, F.col("found"))).alias("n_notice_lines"),
-        F.array_join(F.sort_array(F.collect_set(F.when(~whole, F.col("found")))), ";").alias("notice_licenses"))
+    table = known_digests(docs.sparkSession, known)
+    found = F.create_map(*(F.lit(x) for item in sorted(table.items()) for x in item))
+    lines = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col).cast("string")).alias("lines"))
+    # The digests of a text and of its known lines, worked out once in a generator.
+    known_lines = F.filter(F.transform("lines", _sha), lambda d: d.isin(list(table)))
+    looked = lines.select("doc_id", F.inline(F.array(F.struct(
+        _sha(F.array_join("lines", " ")).alias("text_digest"), F.coalesce(known_lines, F.array().cast("array<string>")).alias("hits")))))
+    return looked.select(
+        "doc_id", "text_digest", F.try_element_at(found, F.col("text_digest")).alias("license"),
+        F.size("hits").cast("long").alias("n_notice_lines"),
+        F.array_join(F.sort_array(F.array_distinct(F.transform("hits", lambda d: F.try_element_at(found, d)))), ";")
+        .alias("notice_licenses"))

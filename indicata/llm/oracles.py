@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from indicata.llm.licenses import COPYRIGHT_LINE, IZE, KNOWN, SEPARATORS, SPELLINGS
+from indicata.llm.licenses import IZE, KNOWN, NOTICES, SEPARATORS, SPELLINGS, complete_texts
 
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -11,9 +11,15 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _notice(line: str) -> str:
+    own = (f"(regexp_matches({line}, {_text(begins)})"
+           + "".join(f" AND NOT regexp_matches({line}, {_text(c)})" for c in clauses) + ")" for begins, clauses in NOTICES)
+    return " OR ".join(own)
+
+
 def _lines(column: str) -> str:
-    out = f"replace(regexp_replace(lower({column}), {_text(COPYRIGHT_LINE)}, '', 'g'), chr(10), ' ' || chr(10) || ' ')"
-    out = f"' ' || regexp_replace({out}, {_text(SEPARATORS)}, ' ', 'g') || ' '"
+    kept = f"list_filter(string_split(lower({column}), chr(10)), lambda l: NOT ({_notice('l')}))"
+    out = f"' ' || regexp_replace(array_to_string({kept}, ' ' || chr(10) || ' '), {_text(SEPARATORS)}, ' ', 'g') || ' '"
     for spelled, unified in SPELLINGS:
         out = f"replace({out}, ' {spelled} ', ' {unified} ')"
     out = f"string_split(regexp_replace({out}, {_text(IZE)}, '\\1z\\2', 'g'), chr(10))"
@@ -23,15 +29,14 @@ def _lines(column: str) -> str:
 LICENSE_SCAN = f"""
 WITH known AS (
   SELECT sha256(array_to_string({_lines('text')}, ' ')) AS digest, min(license) AS license
-  FROM (VALUES {', '.join(f'({_text(a)}, {_text(b)})' for a, b in KNOWN)}) AS t(license, text) GROUP BY 1),
-cut AS (SELECT doc_id, {_lines('text')} AS lines FROM documents),
-whole AS (SELECT doc_id, sha256(array_to_string(lines, ' ')) AS text_digest FROM cut),
+  FROM (VALUES {', '.join(f'({_text(a)}, {_text(b)})' for a, b in KNOWN + complete_texts())}) AS t(license, text) GROUP BY 1),
+cut AS (SELECT row_number() OVER () AS r, doc_id, {_lines('text')} AS lines FROM documents),
 notices AS (
-  SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ';' ORDER BY license) AS names
-  FROM (SELECT doc_id, sha256(unnest(lines)) AS digest FROM cut) JOIN known USING (digest) GROUP BY doc_id)
-SELECT w.doc_id, w.text_digest, k.license AS license, coalesce(n.n, 0) AS n_notice_lines,
+  SELECT r, count(*) AS n, string_agg(DISTINCT license, ';' ORDER BY license) AS names
+  FROM (SELECT r, sha256(unnest(lines)) AS digest FROM cut) JOIN known USING (digest) GROUP BY r)
+SELECT c.doc_id, sha256(array_to_string(lines, ' ')) AS text_digest, k.license AS license, coalesce(n.n, 0) AS n_notice_lines,
        coalesce(n.names, '') AS notice_licenses
-FROM whole w LEFT JOIN known k ON k.digest = w.text_digest LEFT JOIN notices n ON n.doc_id = w.doc_id
+FROM cut c LEFT JOIN known k ON k.digest = sha256(array_to_string(lines, ' ')) LEFT JOIN notices n ON n.r = c.r
 """
 
 # Five bits of the digest at a time; the alphabet is that of base32.

@@ -31,7 +31,7 @@ def test_notice_lines(spark):
 
 def test_messy_rows_and_empty_table(spark):
     got = scan(spark, [], extra=True)
-    assert len(got) == 8 and got[9001].text_digest is None and got[9002].license is None
+    assert len(got) == 8 and licenses.license_scan(messy_documents(spark, [], True)).count() == 10 and got[9001].text_digest is None and got[9002].license is None
     assert got[9002].text_digest == got[9003].text_digest == got[9004].text_digest
     assert licenses.license_scan(messy_documents(spark, [], True).limit(0)).count() == 0
 
@@ -66,3 +66,31 @@ def test_titles_and_copyright_lines(spark):
                        (5, "BSD 3-Clause License\n\nCopyright (c) 2020, Acme\nAll rights reserved.\n\n"
                         + licenses._bsd((licenses._SOURCE, licenses._BINARY, licenses._NAMES), "{}. "))], False)
     assert [got[i].license for i in (1, 2, 3, 4, 5)] == ["MIT", "MIT", None, None, "BSD-3-Clause"]
+
+
+def test_rows_that_share_an_id_are_judged_each(spark):
+    isc = dict((k, t) for k, t in reversed(licenses.KNOWN))["ISC"]
+    docs = spark.createDataFrame([(1, MIT), (1, isc), (None, MIT), (None, isc), (None, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.license) for r in licenses.license_scan(docs).collect()), key=str)
+    assert got == sorted([(1, "MIT"), (1, "ISC"), (None, "MIT"), (None, "ISC"), (None, None)], key=str)
+
+
+def test_sql_follows_the_operator(spark):
+    """The SQL on complete texts, titles, copyright lines and clauses broken at the word."""
+    import duckdb
+    import pyarrow as pa
+
+    from indicata.llm import oracles
+
+    lead = ["", "Copyright (c) 2021 A. Person\n", "(c) 2019 Third\n", "© Acme\n", "COPYRIGHT 2020 X\r\n", " * Copyright The Authors\n",
+            "copyright holders be liable\n", "(c) you must\n", "Copyright\n", "copyright the\n", "copyrighted work\n", "(c)\n",
+            "copyright, holder's\n", "copyright-notice\n"]
+    texts = [t for _, t in licenses.complete_texts()] + [t for _, t in licenses.KNOWN]
+    rows = [(k, a + t) for k, t in enumerate(texts) for a in lead[:: 1 if len(t) < 5000 else 4]]
+    rows += [(900 + k, "plain line\n" + a + "tail") for k, a in enumerate(lead)] + [(None, MIT), (None, None), (1, "")]
+    got = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows]}))
+    want = con.execute(oracles.LICENSE_SCAN).fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert sum(r[2] is not None for r in want) > 60
