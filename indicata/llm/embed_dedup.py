@@ -170,41 +170,50 @@ class CoverTree:
 
     ``levels[i]`` is (points, parent, cover): the points that are centres, the
     position of each one's parent in the level above, and the greatest distance
-    of a centre to a point below it.  The last level is all points."""
+    of a centre to a point below it.  The last level is all points.  A level splits the
+    points of every centre among it and new centres half as far, so that points are
+    compared with centres of their own part only."""
 
     def __init__(self, x: np.ndarray):
-        self.x = x
-        d = np.sqrt(np.maximum(2 - 2 * (x @ x.T), 0))
-        np.fill_diagonal(d, 0)
-        centres = np.array([0])
-        nets = [centres]
+        self.x, self.distances = x, 0  # how many were worked out
+        every = np.arange(len(x))
+        centre = np.zeros(len(x), int)  # position of each point's centre in the last level
+        far = self._distance(every, np.zeros(len(x), int))  # and the distance to it
+        net = np.zeros(1, int)
+        self.levels = [(net, np.zeros(1, int), self._cover(centre, far, 1))]
         for radius in RADII:
-            covered = (d[:, centres] <= radius).any(axis=1)
-            added = []
-            while not covered.all():
-                new = int(np.argmin(covered))
-                added.append(new)
-                covered |= d[:, new] <= radius
-            centres = np.concatenate([centres, np.array(added, int)])
-            nets.append(centres)
-            if len(centres) == len(x):
+            if len(net) == len(x):
                 break
-        if len(nets[-1]) < len(x):
-            rest = np.setdiff1d(np.arange(len(x)), nets[-1])
-            nets.append(np.concatenate([nets[-1], rest]))
-        parents = [np.zeros(1, int)]
-        for above, net in zip(nets, nets[1:]):
-            up = np.argmin(d[np.ix_(net, above)], axis=1)
-            up[:len(above)] = np.arange(len(above))  # nested: a centre is its own parent
-            parents.append(up)
-        self.levels = []
-        below = np.arange(len(nets[-1]))  # each point's ancestor, from the last level up
-        for i in range(len(nets) - 1, -1, -1):
-            cover = np.zeros(len(nets[i]))
-            np.maximum.at(cover, below, d[nets[i][below], nets[-1]])
-            self.levels.append((nets[i], parents[i], cover))
-            below = parents[i][below]
-        self.levels.reverse()
+            parents, added = [np.arange(len(net))], []  # nested: a centre is its own parent
+            home = centre.copy()
+            left = np.flatnonzero(far > radius)
+            n = len(net)
+            while len(left):  # a round: one new centre among the uncovered points of every old one
+                owner, first, which = np.unique(home[left], return_index=True, return_inverse=True)
+                new = left[first]
+                d = self._distance(left, new[which])
+                inside = d <= radius
+                inside[first] = True
+                centre[left[inside]], far[left[inside]] = n + which[inside], d[inside]
+                added.append(new)
+                parents.append(owner)
+                n, left = n + len(new), left[~inside]
+            net = np.concatenate([net, *added])
+            far[net] = 0.0
+            self.levels.append((net, np.concatenate(parents), self._cover(centre, far, n)))
+        if len(net) < len(x):
+            rest = np.setdiff1d(every, net)
+            self.levels.append((np.concatenate([net, rest]), np.concatenate([np.arange(len(net)), centre[rest]]), np.zeros(len(x))))
+
+    def _distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        self.distances += len(a)
+        return np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", self.x[a], self.x[b]), 0))
+
+    @staticmethod
+    def _cover(centre: np.ndarray, far: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(n)
+        np.maximum.at(out, centre, far)
+        return out + SLACK  # rounding of distances near 0
 
     def level(self, i: int):
         return self.levels[min(i, len(self.levels) - 1)]
@@ -285,8 +294,8 @@ def _compare(held, key, threshold: float, reach: float) -> pa.RecordBatch:
     t = pa.Table.from_batches(held).combine_chunks()
     node, copies, side = (t[c].to_numpy() for c in ("node", "copies", "side"))
     vec = t["v"].chunk(0).flatten().to_numpy().reshape(len(node), -1)
+    vec = np.ldexp(vec, -np.frexp(np.abs(vec).max(axis=1, keepdims=True))[1])  # by powers of two: exact, no square overflows
     size = np.linalg.norm(vec, axis=1)
-    size = np.where(np.isfinite(size) & (size > 0), size, 1.0)
     unit = _unit(vec)
     left = np.flatnonzero(side == key[0])
     right = np.flatnonzero(side == key[1])

@@ -94,3 +94,29 @@ def test_tree_levels_are_nested_and_cover():
     for (above, _, _), (net, parent, _), radius in zip(tree.levels, tree.levels[1:], (2.0, *embed_dedup.RADII)):
         assert set(above) <= set(net)
         assert (d[net, above[parent]] <= radius + 1e-6).all()
+
+
+def test_tiny_and_huge_components(spark):
+    rows = [(1, [1e-200, 1e-200], 1), (2, [2e-200, 2e-200], 1), (3, [1e200, 1e200], 1), (4, [3e250, 3e250], 1),
+            (5, [1e-200, -1e-200], 1), (6, [5e-324, 5e-324], 1), (7, [1.0, 1e-300], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(df).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 6: (4, 1), 5: (0, 5), 7: (0, 7)}
+
+
+def test_tree_is_built_without_all_distances():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([c + 0.02 * rng.standard_normal((64, 32)) for c in rng.standard_normal((16, 32))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = embed_dedup.CoverTree(x)
+    assert tree.distances < len(x) ** 2 / 8
+    d = np.sqrt(np.maximum(2 - 2 * x @ x.T, 0))
+    below = np.arange(len(x))
+    assert sorted(tree.levels[-1][0]) == list(range(len(x)))
+    for i in range(len(tree.levels) - 1, -1, -1):
+        points, parent, cover = tree.levels[i]
+        at = points[below]
+        assert (d[at, tree.levels[-1][0]] <= cover[below] + 1e-7).all()
+        if i and i <= len(embed_dedup.RADII):
+            assert (tree.levels[i - 1][0] == points[:len(tree.levels[i - 1][0])]).all()
+        below = parent[below]
