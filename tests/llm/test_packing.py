@@ -64,13 +64,12 @@ def test_own_token_column(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 32), max_size=60))
-def test_best_fit_is_best_fit(lengths):
+@given(st.lists(st.integers(0, 32), max_size=60), st.sampled_from([None, *CAPS]))
+def test_best_fit_is_best_fit(lengths, prefer):
     lengths = sorted(lengths, reverse=True)
-    number, offset, used = packing.best_fit(lengths, CAPS)
-    remaining = sum(lengths)
+    number, offset, used = packing.best_fit(lengths, CAPS, prefer)
     rooms = {}  # bin -> room
-    for n, k, o in zip(lengths, number, offset):
+    for at, (n, k, o) in enumerate(zip(lengths, number, offset)):
         if n == 0:
             assert k == -1
             continue
@@ -79,7 +78,54 @@ def test_best_fit_is_best_fit(lengths):
             assert rooms[k] == min(fitting)
         else:
             assert k == len(rooms)
-            rooms[k] = min((c for c in CAPS if c >= n), key=lambda c: (packing.bin_cost(c) / min(c, remaining), c))
+            rooms[k] = max(prefer, min(c for c in CAPS if c >= n)) if prefer else plain_opening(n, lengths[at + 1:])
         rooms[k] -= n
-        remaining -= n
     assert len(used) == len(rooms)
+
+
+def plain_opening(n, rest):
+    """The size whose cost per token is least when filled with the longest pieces that fit."""
+    def rated(c):
+        held = n
+        for m in rest:
+            if m and held + m <= c:
+                held += m
+        return packing.bin_cost(min(x for x in CAPS if x >= held)) / held, c
+    return min((c for c in CAPS if c >= n), key=rated)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 32), max_size=60))
+def test_no_single_size_is_cheaper(lengths):
+    lengths = sorted(lengths, reverse=True)
+    cost = lambda p: packing.total_cost(p[2], CAPS)
+    best = cost(packing.cheapest(lengths, CAPS))
+    assert all(best <= cost(packing.best_fit(lengths, CAPS, c)) for c in (None, *CAPS))
+
+
+def test_bins_are_recomputed_from_the_rows(spark):
+    """Each shard's bins, worked out anew from its pieces alone."""
+    rng = random.Random(3)
+    docs = messy_documents(spark, [(k, prose(k, rng.randrange(0, 90))) for k in range(200)], extra=False)
+    rows = packing.pack(docs, capacities=CAPS, shard_items=40).collect()
+    shards = defaultdict(list)
+    for r in rows:
+        if r.bin_id is not None:
+            shards[r.bin_id >> 32].append(r)
+    assert len(shards) > 3
+    for own in shards.values():
+        own.sort(key=lambda r: (-r.n_tokens, r.doc_id, r.piece))
+        number, offset, used = packing.cheapest([r.n_tokens for r in own], CAPS)
+        assert [(r.bin_id & 0xFFFFFFFF, r.bin_offset, r.bin_used) for r in own] == [
+            (k, o, used[k]) for k, o in zip(number, offset)]
+
+
+def test_rows_without_an_id_spread_over_shards(spark):
+    docs = messy_documents(spark, [(None, prose(1, 5))] * 400 + [(7, prose(2, 6))] * 400, extra=False)
+    rows = packing.pack(docs, capacities=CAPS, shard_items=100).collect()
+    for i in (None, 7):
+        own = defaultdict(int)
+        for r in rows:
+            if r.doc_id == i:
+                own[r.bin_id >> 32] += 1
+        assert len(own) == 8 and max(own.values()) < 120 and sum(own.values()) == 400
