@@ -29,6 +29,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> di
     return {k: [v for i, v in enumerate(candidates[k]) if row[f"{k}:{i}"] > share * row["rows"]] for k in keys}
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark will broadcast ``df`` in an equi-join by its own size check (estimated size
+    under ``spark.sql.autoBroadcastJoinThreshold``); the keys' frequencies do not matter then."""
+    session = df.sparkSession
+    limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
+def join_spread(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``left`` joined to ``right`` on ``key``: plainly where ``right`` is broadcast, else with the
+    hot keys of ``left`` found and dealt out."""
+    hot = [] if is_broadcast(right) else hot_keys(left, [key])[key]
+    return join_hot_keys(left, right, key, hot, how)
+
+
 def join_hot_keys(left: DataFrame, right: DataFrame, key: str, hot: Sequence, how: str = "inner",
                   spread: Sequence[str] | None = None) -> DataFrame:
     """``left`` joined to ``right`` on ``key`` (inner or left), the rows of the ``hot`` keys of

@@ -17,7 +17,7 @@ from indicata.functions.dates import format_day, format_month, parse_timestamp
 from indicata.functions.numbers import parse_decimal_comma, percent_change, round_half_up, truncate_to_long
 from indicata.functions.observed import RunCounts
 from indicata.functions.tokens import clean_tokens, split_quoted
-from indicata.operators.skew import hot_keys, join_hot_keys
+from indicata.operators.skew import join_spread
 from indicata.operators.windows import previous_row
 from indicata.plans import landing
 from indicata.plans.jobs import (country_indicators_job, covid_job, crime_job, deposit_jobs,
@@ -322,11 +322,8 @@ def series_average_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_size")
     supp = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    # A part or supplier with much of the rows is found first and its rows are dealt out.
-    hot = hot_keys(li, ["l_partkey", "l_suppkey"])
-    joined = join_hot_keys(li, part, "l_partkey", hot["l_partkey"])
-    joined = join_hot_keys(joined, supp, "l_suppkey", hot["l_suppkey"])
-    dump = joined.select(
+    # Beyond the broadcast size a part or supplier with much of the rows is found first and its rows are dealt out.
+    dump = join_spread(join_spread(li, part, "l_partkey"), supp, "l_suppkey").select(
         F.col("l_partkey").cast("string").alias("dataset_id"),
         F.col("l_suppkey").cast("string").alias("distribucion_id"),
         F.col("p_type").alias("serie_titulo"),

@@ -5,7 +5,7 @@ cut into ranges.  What a byte means depends on all before it (inside a string?
 how deep?), so the ranges are read twice: the first time each tells how it
 would change that state, for both cases of its start (outside and inside a
 string; whether the first byte is escaped is seen in the backslashes before
-it).  The changes of a file's ranges, a few numbers each, are put together in order; the second
+it; a file's first range needs no such reading).  The changes of a file's ranges, a few numbers each, are put together in order; the second
 time each range, now knowing its start, gives the elements that begin in it and
 reads on to the end of the last one.  No file and no array is held as one text.
 
@@ -131,6 +131,7 @@ _STATES = pa.schema([*_RANGE, ("escaped", pa.bool_()), ("inside", pa.int32()), (
 _STATES_DDL = ("path string, start bigint, stop bigint, length bigint, escaped boolean, inside int, depth bigint, seen boolean, "
                "closed boolean, lead int")
 _NO_BRACKET = 1 << 60
+_UNSEEN = -1
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,6 +240,7 @@ def _whole_file(r: dict, handle) -> list[tuple]:
     """A file that begins like no list is judged whole."""
     if r["start"]:
         return []
+    handle.seek(0)
     data = handle.read()
     text = data.decode("utf-8-sig", "replace")
     try:
@@ -253,6 +255,9 @@ def _read_elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for b in batches:
         for r in b.to_pylist():
             with open_input(r["path"]) as handle:
+                if r["lead"] == _UNSEEN:  # a file's first range: what leads is in it, or nothing begins there
+                    text = (data.lstrip(_SPACE) for _, data in _blocks(handle, 0, r["stop"]))
+                    r["lead"] = next((t[0] for t in text if t), None)
                 if r["lead"] is None:
                     continue
                 found = _Elements(r, handle).run() if r["lead"] == ord("[") else [_whole_file(r, handle)]
@@ -276,7 +281,18 @@ def array_ranges(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES)
 def array_elements(spark: SparkSession, ranges: DataFrame) -> DataFrame:
     """(file, offset, text, fault): a row per element of each file's list, its
     place in the file and its JSON text, or what is wrong there."""
-    parts = max(1, min(ranges.count(), 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # The state at the start of a file is known, so its first range is read once; the
+    # others' states need the ranges before them.
+    n = ranges.agg(F.count("*").alias("all"), F.count_if(F.col("start") > 0).alias("later")).first()
+    most = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    begin = ranges.where("start = 0").select("*", *(F.lit(v).cast(k).alias(c) for c, k, v in (
+        ("escaped", "boolean", False), ("inside", "int", 0), ("depth", "bigint", 0), ("seen", "boolean", False),
+        ("closed", "boolean", False), ("lead", "int", _UNSEEN))))
+    found = begin.repartition(max(1, min(n["all"] - n["later"], most)), "path").mapInArrow(_read_elements, ELEMENTS_SCHEMA)
+    if not n["later"]:
+        return found
+    parts = max(1, min(n["all"], most))
     changes = ranges.repartition(parts, "path", "start").mapInArrow(_read_changes, _CHANGES_DDL)
     states = changes.repartition(parts, "path").sortWithinPartitions("path", "start").mapInArrow(_add_up, _STATES_DDL)
-    return states.repartition(parts, "path", "start").mapInArrow(_read_elements, ELEMENTS_SCHEMA)
+    later = states.where("start > 0").repartition(parts, "path", "start").mapInArrow(_read_elements, ELEMENTS_SCHEMA)
+    return found.unionByName(later)

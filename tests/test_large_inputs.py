@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from indicata.functions.observed import RunCounts
 from indicata.operators.joins import join_all_on_key, join_stems
-from indicata.operators.skew import hot_keys, join_hot_keys
+from indicata.operators.skew import hot_keys, is_broadcast, join_hot_keys, join_spread
 from indicata.operators.windows import previous_row, previous_value
 from indicata.plans import jobs
 from indicata.plans.partials import merged_average, refresh
@@ -79,6 +79,8 @@ def test_no_task_gets_much_of_a_hot_key(spark):
         joined = join_hot_keys(left, right, "k", hot_keys(left, ["k"])["k"])
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == 60_000 and max(sizes) < 0.1 * 60_000
+        assert not is_broadcast(right)
+        assert join_spread(left, right, "k").count() == 60_000 and "_salt" in _plan(join_spread(left, right, "k"))
         plain = [r[1] for r in left.join(right, "k").groupBy(F.spark_partition_id()).count().collect()]
         assert max(plain) > 0.3 * 60_000
     finally:
