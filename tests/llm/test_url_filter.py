@@ -63,3 +63,77 @@ def test_many_rules_at_range_ends(spark):
             assert got[i] == (f"s.d{k}.com/p", "allow")
         else:
             assert got[i] == (f"d{k}.com/", "block" if k % 2 else "allow")
+
+
+class Counted(str):
+    """A text that counts how often it is compared."""
+    seen = 0
+
+    def __lt__(self, other):
+        Counted.seen += 1
+        return str.__lt__(self, other)
+
+
+def test_work_per_url_is_logarithmic_in_the_rules_of_its_host():
+    rng = random.Random(3)
+    nested = ["/" + "n" * k for k in range(300)]
+    paths = sorted({f"/{k:05d}/" for k in range(100_000)} | set(nested) | {"", "/", "/\U0010ffff", "/\U0010ffff\U0010ffffx"})
+    own = url_filter.HostRules("com.hot.")
+    for path in paths:
+        own.add("hot.com", path, "block")
+    have = set(paths)
+    asked = [f"/{rng.randrange(100_100):05d}/x" for _ in range(300)] + [p + "x" for p in nested] + ["", "x", "/\U0010ffff\U0010ffffxy", "/\U0010ffffa"]
+    for path in asked:
+        want = next(path[:k] for k in range(len(path), -1, -1) if path[:k] in have)
+        Counted.seen = 0
+        assert own.best(Counted(path))[3] == "hot.com" + want
+        assert Counted.seen <= 19
+    assert len(own.starts) <= 2 * len(paths) + 1
+
+
+@pytest.mark.parametrize("ranges", [2, 25])
+def test_many_rules_of_a_hot_host(spark, ranges):
+    rng = random.Random(4)
+    words = ["a", "b", "c", "ab", "\u00e9", "\U0010ffff", "z/"]
+    text = lambda most: "/" + "".join(rng.choice(words) for _ in range(rng.randrange(most)))
+    rules = {(h, text(6), rng.choice(["allow", "block"])) for h in ("com", "hot.com", "x.hot.com", "y.net") for _ in range(1500)}
+    rows = [(i if i % 3 else None, f"http://{h}{text(9)}") for i in range(2000) for h in [rng.choice(["hot.com", "hot.com", "x.hot.com", "z.y.net", "com"])]]
+    rows += [(None, "http://hot.com/ab")] * 1000
+    by_host = {}
+    for h, p, v in rules:
+        key = by_host.setdefault(h, {})
+        key[p] = max(key.get(p, (False, "")), (v == "block", v))
+
+    def want(url):
+        host, path = url[7:].split("/", 1)
+        path, labels = "/" + path, host.split(".")
+        fits = [(len(h) + k, len(h), *own[path[:k]][:1], h + path[:k], own[path[:k]][1]) for h, own in by_host.items()
+                if labels[-len(h.split(".")):] == h.split(".") for k in range(len(path) + 1) if path[:k] in own]
+        best = max(fits, default=None)
+        return best and best[3], best[4] if best else "allow"
+
+    frame = spark.createDataFrame(rows, "page_id long, url string").repartition(5)
+    table = spark.createDataFrame(list(rules) + list(rules)[:50], "host string, path string, verdict string")
+    got = sorted(((r.page_id, f"http://{r.host}{r.path}", r.rule, r.verdict)
+                  for r in url_filter.match_urls(frame, table, ranges=ranges).collect()), key=str)
+    assert got == sorted(((i, u, *want(u)) for i, u in rows), key=str)
+
+
+def test_rules_reach_all_ranges_they_can_fit_and_no_others():
+    rng = random.Random(5)
+    keys = ["com.", "com.a.", "com.a.b.", "com.aa.", "net."]
+    texts = ["", "/", "/a", "/a/", "/ab", "/b", "/b/c"]
+    for _ in range(200):
+        bounds = sorted({(rng.choice(keys), rng.choice(texts), rng.randrange(3)) for _ in range(rng.randrange(9))})
+        parts = url_filter.rule_parts(bounds)
+        for key in keys:
+            for path in texts:
+                placed = parts(key, path)
+                assert len(placed) == len(set(placed))
+                for k in keys:
+                    for p in [*texts, "/a/x", "/zz"]:
+                        if k.startswith(key) and p.startswith(path):
+                            for salt in range(-1, 4):
+                                assert url_filter.bisect_right(bounds, (k, p, salt)) in placed
+    hot = [("com.hot.", f"/{k:03d}", 0) for k in range(500)]
+    assert len(url_filter.rule_parts(hot)("com.hot.", "/100/x")) <= 4
