@@ -48,35 +48,55 @@ def join_all_on_key(frames: Sequence[DataFrame], key: str, how: str = "inner") -
 
 
 GROUP_ROWS = 100_000  # rows of one key that are joined as one group
+GROUP_PRODUCT = 1_000_000  # result rows of one key that are made from one group
 
 
 def join_stems(long: DataFrame, stems: Sequence[str], key: str, value: str, names: Sequence[str], stem: str = "stem",
-               group_rows: int = GROUP_ROWS) -> DataFrame:
+               group_rows: int = GROUP_ROWS, group_product: int = GROUP_PRODUCT) -> DataFrame:
     """The inner join of one frame per stem on ``key`` (J3), from a long table (stem, key, value)
     in one grouped pass: per key the values of each stem, then their product.
 
     A key has as many result rows as ``join_all_on_key`` gives it; null keys never match.  Keys of
-    more than ``group_rows`` rows would make large groups: they are folded join by join."""
-    rows = long.where(F.col(f"`{key}`").isNotNull() & F.col(stem).isin(list(stems))).select(stem, key, value)
-    large = rows.groupBy(key).count().where(F.col("count") > group_rows).select(key)
+    more than ``group_rows`` rows, or of more than ``group_product`` result rows, would make large
+    groups: they are folded join by join."""
+    which = F.array_position(F.array(*(F.lit(s) for s in dict.fromkeys(stems))), F.col(stem))
+    rows = long.where(F.col(f"`{key}`").isNotNull() & F.col(stem).isin(list(stems))).select(
+        F.col(f"`{key}`").alias("_key"), which.alias("_stem"), F.col(f"`{value}`").alias("_value"))
+    # Per key and stem one partial row; a key without rows of some stem has no result.
+    counts = rows.groupBy("_key", "_stem").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("_key").agg(F.sum("n").alias("n"), F.count("*").alias("stems"),
+                                       F.exp(F.sum(F.log("n"))).alias("product"))
+    large = sizes.where((F.col("n") > group_rows) | (F.col("product") > group_product)).where(
+        F.col("stems") == len(set(stems))).select("_key")
     some = not large.isEmpty()
-    small = rows.join(large, key, "left_anti") if some else rows
-    out = _grouped(small, stems, key, value, names, stem)
+    out = _grouped(rows.join(large, "_key", "left_anti") if some else rows, stems)
     if some:
-        rest = rows.join(large, key, "left_semi")
-        frames = [rest.where(F.col(stem) == s).select(key, F.col(value).alias(n)) for s, n in zip(stems, names)]
-        out = out.unionByName(join_all_on_key(frames, key))
-    return out
+        rest = rows.join(large, "_key", "left_semi")
+        order = list(dict.fromkeys(stems))
+        out = out.unionByName(join_all_on_key(
+            [rest.where(F.col("_stem") == order.index(s) + 1).select("_key", F.col("_value").alias(f"_v{i}"))
+             for i, s in enumerate(stems)], "_key"))
+    return out.toDF(key, *names)
 
 
-def _grouped(rows: DataFrame, stems: Sequence[str], key: str, value: str, names: Sequence[str], stem: str) -> DataFrame:
-    held = [f"_v{i}" for i in range(len(stems))]
+def _grouped(rows: DataFrame, stems: Sequence[str]) -> DataFrame:
+    """One shuffle on the key serves both groupings: values per (key, stem), then stems per key."""
+    order = list(dict.fromkeys(stems))
     # Null values count as values: they are kept inside a struct.
-    lists = [F.collect_list(F.when(F.col(stem) == s, F.struct(F.col(value).alias("v")))).alias(h) for s, h in zip(stems, held)]
-    out = rows.groupBy(key).agg(*lists)
-    done: list[str] = []
-    for h, name in zip(held, names):  # an empty list drops the key, more values multiply its rows
-        out = out.select(f"`{key}`", *(f"`{d}`" for d in done), *held[len(done) + 1:], F.explode(h).alias("_one"))
-        out = out.select(f"`{key}`", *(f"`{d}`" for d in done), *held[len(done) + 1:], F.col("_one.v").alias(name))
-        done.append(name)
-    return out
+    per_stem = rows.repartition("_key").groupBy("_key", "_stem").agg(F.collect_list(F.struct("_value")).alias("held"))
+    per_key = per_stem.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("_stem", "held"))).alias("held"))
+    whole = per_key.where(F.size("held") == len(order))
+    # Row i of a key's product takes value (i div stride) mod size of each stem.
+    sizes = F.transform("held", lambda h: F.size(h["held"]).cast("long"))
+    picked = F.transform(F.array(*(F.lit(order.index(s)) for s in stems)), lambda k: F.get("sizes", k))
+    strides = F.aggregate(picked, F.array(F.lit(1).cast("long")),
+                          lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) * n)))
+    placed = whole.withColumn("sizes", sizes).withColumn("strides", strides)
+    each = placed.select("_key", "held", "sizes", "strides",
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.element_at("strides", -1) - 1)).alias("i"))
+    columns = []
+    for i, s in enumerate(stems):
+        k = order.index(s)
+        at = F.floor(F.col("i") / F.col("strides")[i]) % F.col("sizes")[k]
+        columns.append(F.col("held")[k]["held"][at.cast("int")]["_value"].alias(f"_v{i}"))
+    return each.select("_key", *columns)

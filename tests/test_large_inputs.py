@@ -88,21 +88,33 @@ def test_no_task_gets_much_of_a_hot_key(spark):
             spark.conf.set(c, v)
 
 
-@pytest.mark.parametrize("group_rows", [100_000, 4])
-def test_join_stems_equals_the_fold(spark, group_rows):
+@pytest.mark.parametrize(("group_rows", "group_product"), [(100_000, 1_000_000), (4, 1_000_000), (100_000, 20)])
+def test_join_stems_equals_the_fold(spark, group_rows, group_product):
     rng = random.Random(2)
     stems = ["a", "b.c", "d"]
     data = [(rng.choice([*stems, "x"]), rng.choice([None, "k 1", "k2", "k3", "k4"]), rng.choice([None, 1.0, 2.0])) for _ in range(60)]
     data += [("a", "only a", 1.0)]
     long = spark.createDataFrame(data, "stem string, `the key` string, v double")
     names = [f"{s} 2023" for s in stems]
-    got = join_stems(long, stems, "the key", "v", names, group_rows=group_rows)
+    got = join_stems(long, stems, "the key", "v", names, group_rows=group_rows, group_product=group_product)
     fold = join_all_on_key([long.where(F.col("stem") == s).select("the key", F.col("v").alias(f"{s} 2023")) for s in stems], "the key")
     assert got.columns == fold.columns and sorted(map(str, rows(got, *range(4)))) == sorted(map(str, rows(fold, *range(4))))
-    if group_rows == 100_000:
+    if group_rows == 100_000 and group_product == 1_000_000:
         assert _plan(got).split("== Initial Plan ==")[-1].count("hashpartitioning") == 1
 
 
+def test_join_stems_edge_cases(spark):
+    ddl = "stem string, k string, v string"
+    # A stem listed twice is joined twice; no key has all stems; no rows at all; a key that is large but lacks a stem.
+    long = spark.createDataFrame([("a", "x", "1"), ("a", "x", "2"), ("b", "x", None), ("a", "y", "3")], ddl)
+    got = join_stems(long, ["a", "b", "a"], "k", "v", ["p", "q", "r"])
+    assert sorted(rows(got, *range(4)), key=str) == sorted(
+        [("x", s, None, t) for s in "12" for t in "12"], key=str)
+    assert join_stems(long, ["a", "c"], "k", "v", ["p", "q"]).count() == 0
+    assert join_stems(long.limit(0), ["a"], "k", "v", ["p"]).columns == ["k", "p"]
+    assert join_stems(long, ["a", "c"], "k", "v", ["p", "q"], group_rows=1).count() == 0
+
+
 def test_failed_replacement_keeps_the_old_table(spark, workdir):
     path = f"{workdir}/table"
     write_csv(spark.range(3), path)
