@@ -1,5 +1,6 @@
 """The registered queries: against their SQL, or plainly recomputed."""
 
+import math
 import zlib
 from collections import Counter
 
@@ -100,6 +101,10 @@ def test_embeddings(spark, duck):
 def test_lattice_likelihood(spark, duck):
     from tests.llm import test_lm_score
 
+    docs = documents(duck)
     got = queries.op10_lattice_likelihood(spark, SF).collect()
-    _, want = test_lm_score.brute(documents(duck))
+    counts, want = test_lm_score.brute(docs)
     assert sorted([(*tuple(r)[:5], round(r.base_score, 6)) for r in got], key=str) == want
+    # Every whole text's score is the sum of its words' marginal probabilities and the end.
+    scores = test_lm_score.lattice_scores(docs, counts)
+    assert len(scores) == len(got) and all(math.isclose(r.score, scores[r.doc_id], rel_tol=1e-9) for r in got)
