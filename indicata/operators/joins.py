@@ -62,13 +62,8 @@ def join_stems(long: DataFrame, stems: Sequence[str], key: str, value: str, name
     which = F.array_position(F.array(*(F.lit(s) for s in dict.fromkeys(stems))), F.col(stem))
     rows = long.where(F.col(f"`{key}`").isNotNull() & F.col(stem).isin(list(stems))).select(
         F.col(f"`{key}`").alias("_key"), which.alias("_stem"), F.col(f"`{value}`").alias("_value"))
-    # Per key and stem one partial row; a key without rows of some stem has no result.
-    counts = rows.groupBy("_key", "_stem").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("_key").agg(F.sum("n").alias("n"), F.count("*").alias("stems"),
-                                       F.exp(F.sum(F.log("n"))).alias("product"))
-    large = sizes.where((F.col("n") > group_rows) | (F.col("product") > group_product)).where(
-        F.col("stems") == len(set(stems))).select("_key")
-    some = not large.isEmpty()
+    large = _large_keys(rows, len(set(stems)), len(stems), group_rows, group_product)
+    some = large is not None
     out = _grouped(rows.join(large, "_key", "left_anti") if some else rows, stems)
     if some:
         rest = rows.join(large, "_key", "left_semi")
@@ -79,6 +74,22 @@ def join_stems(long: DataFrame, stems: Sequence[str], key: str, value: str, name
     return out.toDF(key, *names)
 
 
+def _large_keys(rows: DataFrame, distinct: int, stems: int, group_rows: int, group_product: int) -> DataFrame | None:
+    """The keys that are not to be joined as one group; None if there are none."""
+    # Of n rows of k stems at most (n / k) ** k results can be made, so the number of rows per
+    # key clears nearly all keys; the rows per stem are counted for the others alone.
+    n, repeats = F.col("n"), -(-stems // distinct)
+    most = repeats * distinct * F.log(n / distinct)
+    doubtful = rows.groupBy("_key").agg(F.count("*").alias("n")).where(
+        (n > group_rows) | (most > F.log(F.lit(group_product)))).select("_key")
+    if doubtful.isEmpty():
+        return None
+    counts = rows.join(doubtful, "_key", "left_semi").groupBy("_key", "_stem").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("_key").agg(F.sum("n").alias("n"), (repeats * F.sum(F.log("n"))).alias("log_product"))
+    large = sizes.where((n > group_rows) | (F.col("log_product") > F.log(F.lit(group_product)))).select("_key")
+    return None if large.isEmpty() else large
+
+
 def _grouped(rows: DataFrame, stems: Sequence[str]) -> DataFrame:
     """One shuffle on the key serves both groupings: values per (key, stem), then stems per key."""
     order = list(dict.fromkeys(stems))
