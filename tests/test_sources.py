@@ -5,6 +5,7 @@ import json
 import os
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -384,6 +385,41 @@ def test_array_file_is_read_by_ranges(spark, workdir, split):
     assert {json.dumps(json.loads(g[2])) for g in got} == {json.dumps(r["deep"]) for r in recs}
 
 
+@pytest.mark.parametrize("longest", [0, 300_000])
+def test_array_ranges_read_little_behind_them(workdir, monkeypatch, longest):
+    from indicata.sources import json_arrays
+
+    split, read = 16 * 1024, []
+
+    class Counted:
+        def __init__(self, uri):
+            self.handle = open(uri, "rb")
+            self.seek = self.handle.seek
+
+        def read(self, size):
+            read.append(len(data := self.handle.read(size)))
+            return data
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *args):
+            self.handle.close()
+
+    recs = [{"k": i, "text": '"]}, {\\' * (longest if i == 7_000 else 3)} for i in range(20_000)]
+    path = _write(f"{workdir}/counted{longest}.json", json.dumps(recs))
+    size = os.path.getsize(path)
+    monkeypatch.setattr(json_arrays, "open_input", Counted)
+    ranges = [{"path": path, "start": s, "stop": min(s + split, size), "length": size} for s in range(0, size, split)]
+    changes = list(json_arrays._read_changes([pa.RecordBatch.from_pylist(ranges)]))
+    states = list(json_arrays._add_up(changes))
+    read.clear()
+    found = [t for b in json_arrays._read_elements(states) for t in b.to_pylist()]
+    assert [json.loads(t["text"]) for t in found] == recs and not any(t["fault"] for t in found)
+    # The file once, the ends of the ranges' last elements and at most thrice the longest one.
+    assert sum(read) < 2 * size + 3 * max(len(t["text"]) for t in found)
+
+
 def test_faults_are_set_aside(spark, workdir):
     from indicata.sources import fault_report, json_records_checked, set_aside
 
